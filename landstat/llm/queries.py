@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from landstat.llm.bpe import op10_byte_bpe
+from landstat.llm.decontaminate import OP6_SQL, op6_decontaminate
 from landstat.llm.simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op10_byte_bpe)
+    f.__name__: f for f in (op1_simhash, op6_decontaminate, op10_byte_bpe)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_decontaminate": OP6_SQL}
