@@ -61,10 +61,10 @@ def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, whole
 
 
-def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Window hashes (signed), the place of each window's first line among the non-blank lines, and their byte spans.
+def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Window hashes (signed) by the place of the window's first line among the non-blank lines, and the lines' byte spans.
 
-    A window of three whole lines always counts; one with wrapped pieces counts from ``fewest`` words.
+    A window of three whole lines always counts; one with wrapped pieces counts from ``fewest`` words. Others have the hash 0.
     """
     starts, ends, whole = pieces(raw)
     lines, spans, is_whole = [], [], []
@@ -74,17 +74,16 @@ def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, list[tuple
             spans.append((a, b))
             is_whole.append(w)
     normal = [b" ".join(words) for words in lines]
-    hashes, places = [], []
+    hashes = []
     for i in range(len(lines) - WINDOW + 1):
-        if sum(map(len, lines[i : i + WINDOW])) >= fewest or all(is_whole[i : i + WINDOW]):
-            hashes.append(xxhash.xxh64_intdigest(b"\n".join(normal[i : i + WINDOW]), 7))
-            places.append(i)
-    return np.array(hashes, dtype=np.uint64).view(np.int64), np.array(places, dtype=np.int32), spans
+        counts = sum(map(len, lines[i : i + WINDOW])) >= fewest or all(is_whole[i : i + WINDOW])
+        hashes.append((xxhash.xxh64_intdigest(b"\n".join(normal[i : i + WINDOW]), 7) or 1) if counts else 0)
+    return np.array(hashes, dtype=np.uint64).view(np.int64), spans
 
 
 def strip(raw: bytes, places: list[int], fewest: int) -> tuple[str, int]:
     """A text without the lines that windows at ``places`` cover, and how many lines that were."""
-    _, _, spans = windows(raw, fewest)
+    _, spans = windows(raw, fewest)
     gone = sorted({i + k for i in places for k in range(WINDOW)})
     out, at = [], 0
     for i in gone:
@@ -106,19 +105,20 @@ def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, most_b
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                found = [windows((t or "").encode("utf-8", "replace"), fewest)[:2] for t in batch.column(2).to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(h) for h, _ in found])]).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(x))) for x in zip(*found)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["id", "text_hash", "hashes", "places"])
+                found = [windows((t or "").encode("utf-8", "replace"), fewest)[0] for t in batch.column(2).to_pylist()]
+                offsets = np.concatenate([[0], np.cumsum([len(h) for h in found])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "text_hash", "hashes"])
 
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
-    hashed = checkpointed(rows.mapInArrow(run, f"id {kind}, text_hash long, hashes array<long>, places array<int>").filter("size(hashes) > 0"))
-    each = hashed.select("id", "text_hash", "places", F.posexplode("hashes").alias("k", "h")).select("h", F.struct("id", "text_hash", F.get("places", F.col("k")).alias("place")).alias("spot"))
-    again = each.groupBy("h").agg(F.count("*").alias("n"), F.min("spot").alias("first")).filter("n > 1").drop("n")
-    again = checkpointed(again)
+    hashed = checkpointed(rows.mapInArrow(run, f"id {kind}, text_hash long, hashes array<long>").filter("size(hashes) > 0"))
+    again = checkpointed(hashed.select(F.explode("hashes").alias("h")).filter("h <> 0").groupBy("h").count().filter("count > 1").select("h"))
     if again.count() <= most_broadcast:
         again = F.broadcast(again)
-    later = each.join(again, "h").filter("spot > first")
+    each = hashed.select("id", "text_hash", F.posexplode("hashes").alias("place", "h")).filter("h <> 0").join(again, "h")
+    each = checkpointed(each.select("h", F.struct("id", "text_hash", "place").alias("spot")))
+    first = each.groupBy("h").agg(F.min("spot").alias("first"))
+    later = each.join(first, "h").filter("spot > first")
     return later.select("spot.*").groupBy("id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
