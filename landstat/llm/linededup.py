@@ -25,71 +25,68 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The lines of a text, wrapped: byte starts, byte ends and whether each is a whole line. They cover the text."""
+def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Window hashes (signed) by the place of the window's first line among the non-blank lines; starts and ends of those lines.
+
+    Lines of many words are wrapped; all lines with the blank ones between them cover the text. A window of three whole lines
+    always counts, one with wrapped pieces counts from ``fewest`` words; others have the hash 0.
+    """
+    none = np.zeros(0, np.int64)
     data = np.frombuffer(raw, dtype=np.uint8)
     n = len(data)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    line_ends = np.flatnonzero(data == 10)
-    line_starts = np.concatenate([[0], line_ends + 1])
     space = SPACE[data]
-    word_starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-    word_ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]]))
-    cuts = np.zeros(0, np.int64)
-    if len(word_starts):
-        line = np.searchsorted(line_starts, word_starts, side="right") - 1
-        size = np.bincount(line, minlength=len(line_starts))[line]
-        length = word_ends - word_starts + 1
-        at = lambda k: data[np.maximum(word_ends - k, word_starts)].astype(np.uint64)
-        h = (at(0) | at(1) << np.uint64(8) | at(2) << np.uint64(16) | data[word_starts].astype(np.uint64) << np.uint64(24) | length.astype(np.uint64) << np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-        least = size > LONG
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    word_starts, word_ends = edges[::2], edges[1::2]
+    if not len(word_starts):
+        return none, none, none
+    line_starts = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
+    line = np.searchsorted(line_starts, word_starts, side="right") - 1
+    length = word_ends - word_starts
+    at = lambda k: data[np.maximum(word_ends - k, word_starts)].astype(np.uint64)
+    h = (at(1) | at(2) << np.uint64(8) | at(3) << np.uint64(16) | data[word_starts].astype(np.uint64) << np.uint64(24) | length.astype(np.uint64) << np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    first_of_line = np.concatenate([[True], line[1:] != line[:-1]])
+    cut = first_of_line.copy()
+    long_lines = np.bincount(line)[line] > LONG
+    if long_lines.any():
+        least = long_lines
         for k in range(1, RADIUS + 1):
-            far = np.full(len(h), np.iinfo(np.uint64).max)
             same = np.zeros(len(h), bool)
-            same[k:] = line[k:] == line[:-k]
-            left = far.copy()
+            same[k:] = line[k:] == line[:-k]  # false for the first words of a line: no wrap before them
+            left, right = np.full(len(h), ~np.uint64(0)), np.full(len(h), ~np.uint64(0))
             left[k:][same[k:]] = h[:-k][same[k:]]
-            right = far
             right[:-k][same[k:]] = h[k:][same[k:]]
-            least &= same & (h < left) & (h <= right)  # not before the first words of a line
-        cuts = word_starts[least]
-    starts = np.union1d(line_starts[line_starts < n], cuts)
-    ends = np.append(starts[1:], n)
-    whole = np.isin(starts, line_starts) & (np.isin(ends, line_starts) | (ends == n))
-    return starts, ends, whole
-
-
-def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Window hashes (signed) by the place of the window's first line among the non-blank lines, and the lines' byte spans.
-
-    A window of three whole lines always counts; one with wrapped pieces counts from ``fewest`` words. Others have the hash 0.
-    """
-    starts, ends, whole = pieces(raw)
-    lines, spans, is_whole = [], [], []
-    for a, b, w in zip(starts.tolist(), ends.tolist(), whole.tolist()):
-        if words := raw[a:b].split():
-            lines.append(words)
-            spans.append((a, b))
-            is_whole.append(w)
-    normal = [b" ".join(words) for words in lines]
-    hashes = []
-    for i in range(len(lines) - WINDOW + 1):
-        counts = sum(map(len, lines[i : i + WINDOW])) >= fewest or all(is_whole[i : i + WINDOW])
-        hashes.append((xxhash.xxh64_intdigest(b"\n".join(normal[i : i + WINDOW]), 7) or 1) if counts else 0)
-    return np.array(hashes, dtype=np.uint64).view(np.int64), spans
+            least = least & same & (h < left) & (h <= right)
+        cut |= least
+    first = np.flatnonzero(cut)  # first word of each line or piece
+    last = np.append(first[1:], len(cut)) - 1
+    words = last - first + 1
+    starts, stops = word_starts[first], word_ends[last]
+    whole = first_of_line[first] & np.append(first_of_line[first[1:]], True)
+    tidy = (stops - starts == np.add.reduceat(length, first) + words - 1) & (np.cumsum(space & (data != 32))[stops - 1] == np.cumsum(space & (data != 32))[starts])
+    digest, view = xxhash.xxh64_intdigest, memoryview(raw)
+    each = np.array([digest(view[a:b] if t else b" ".join(raw[a:b].split()), 7) for a, b, t in zip(starts.tolist(), stops.tolist(), tidy.tolist())], dtype=np.uint64)
+    # a line reaches from its start (with what stands before its first word on that line) to the next one's
+    spans = np.where(first_of_line[first], line_starts[line[first]], starts)
+    ends = np.where(whole | np.append(first_of_line[first[1:]], True), np.append(line_starts[1:], n)[line[first]], np.append(spans[1:], n))
+    if len(each) < WINDOW:
+        return none, spans, ends
+    mixed = each[:-2] * np.uint64(0x9E3779B97F4A7C15)
+    mixed = ((mixed ^ mixed >> np.uint64(31)) + each[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = ((mixed ^ mixed >> np.uint64(29)) + each[2:]) * np.uint64(0x165667B19E3779F9)
+    mixed ^= mixed >> np.uint64(32)
+    counts = (words[:-2] + words[1:-1] + words[2:] >= fewest) | (whole[:-2] & whole[1:-1] & whole[2:])
+    return np.where(counts, np.maximum(mixed, np.uint64(1)), np.uint64(0)).view(np.int64), spans, ends
 
 
 def strip(raw: bytes, places: list[int], fewest: int) -> tuple[str, int]:
     """A text without the lines that windows at ``places`` cover, and how many lines that were."""
-    _, spans = windows(raw, fewest)
+    _, starts, ends = windows(raw, fewest)
     gone = sorted({i + k for i in places for k in range(WINDOW)})
     out, at = [], 0
     for i in gone:
-        a, b = spans[i]
-        out.append(raw[at:a])
-        at = b
+        out.append(raw[at : starts[i]])
+        at = ends[i]
     out.append(raw[at:])
     return b"".join(out).decode("utf-8", "replace"), len(gone)
 
@@ -115,14 +112,13 @@ def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, most_b
     again = checkpointed(hashed.select(F.explode("hashes").alias("h")).filter("h <> 0").groupBy("h").count().filter("count > 1").select("h"))
     if again.count() <= most_broadcast:
         again = F.broadcast(again)
-    each = hashed.select("id", "text_hash", F.posexplode("hashes").alias("place", "h")).filter("h <> 0").join(again, "h")
-    each = checkpointed(each.select("h", F.struct("id", "text_hash", "place").alias("spot")))
+    each = hashed.select("id", "text_hash", F.posexplode("hashes").alias("place", "h")).filter("h <> 0").join(again, "h").select("h", F.struct("id", "text_hash", "place").alias("spot"))
     first = each.groupBy("h").agg(F.min("spot").alias("first"))
     later = each.join(first, "h").filter("spot > first")
     return later.select("spot.*").groupBy("id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = 12, most_broadcast: int = 500_000) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = 12, most_broadcast: int = 2_000_000) -> DataFrame:
     """``docs`` with repeated lines out of its texts, and a column ``n_removed`` (lines, long; a column of this name is replaced).
 
     A window of three consecutive non-blank lines (their words joined by single spaces) that occurred before, in an earlier
