@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from landstat.llm.common import table
 from landstat.llm.labelled import fit_in_one_task, remainder, sample, score
 
-SAMPLE = 12_000  # labelled rows to learn from, at most
+SAMPLE = 8_000  # labelled rows to learn from, at most
 FEATURES = 2_048  # words and beginnings that may carry weight, at most
 FEWEST, APART = 4, 4.5  # texts that such a feature is in, at least; standard errors of its log odds from zero, at least
 STEMS = (3, 4, 5, 6)  # lengths of beginnings
@@ -72,16 +73,15 @@ class Model:
 
 def fit(texts: list[str], y: np.ndarray, share: float, groups: tuple = GROUPS, penalty: float = PENALTY) -> Model:
     """Weights that fit the labels, with equal scores for texts and their copies with swapped terms as far as ``penalty`` asks."""
-    words = [set(t.split()) for t in texts]
-    every = [set().union(*map(features_of, ws)) if ws else set() for ws in words]
+    features = lambda text: {f for w in set(text.split()) for f in features_of(w)}
     n = np.array([max(1, (y == 0).sum()), max(1, (y == 1).sum())])
     seen = [Counter(), Counter()]
-    for fs, label in zip(every, y.astype(int)):
-        seen[label].update(fs)
+    for text, label in zip(texts, y.astype(int)):  # features are made anew where they are needed; all at once would fill a task's memory
+        seen[label].update(features(text))
     terms = {t for of in groups for g in of for t in g}
     ranked = []
-    for f, b in seen[1].items() | {(f, seen[1].get(f, 0)) for f in seen[0]}:
-        a = seen[0].get(f, 0)
+    for f in chain(seen[1], (f for f in seen[0] if f not in seen[1])):
+        a, b = seen[0].get(f, 0), seen[1].get(f, 0)
         if a + b >= FEWEST:
             odds = np.log((b + 0.5) / (n[1] - b + 0.5)) - np.log((a + 0.5) / (n[0] - a + 0.5))
             z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
@@ -89,23 +89,26 @@ def fit(texts: list[str], y: np.ndarray, share: float, groups: tuple = GROUPS, p
                 ranked.append((-abs(z), f))
     chosen = {f: i for i, (_, f) in enumerate(sorted(ranked)[:FEATURES])}
 
-    def matrix(rows: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(rows), len(chosen)), dtype=np.float32)
-        for i, fs in enumerate(rows):
-            x[i, [chosen[f] for f in fs if f in chosen]] = 1.0
-        return x
-
-    x = matrix(every)
-    pairs = []
-    for i, ws in enumerate(words):
-        lowered = [m for w in ws for m in LETTERS.findall(w.lower())]
-        if terms.intersection(lowered):
+    del seen, ranked
+
+    def row(fs: set[str]) -> np.ndarray:
+        out = np.zeros(len(chosen), dtype=np.float32)
+        out[[chosen[f] for f in fs if f in chosen]] = 1.0
+        return out
+
+    x = np.zeros((len(texts), len(chosen)), dtype=np.float32)
+    apart = []
+    for i, text in enumerate(texts):
+        x[i] = row(features(text))
+        lowered = set(LETTERS.findall(text.lower()))
+        if terms & lowered:
             for swap in swaps(groups):
-                copy = set().union(*(features_of(swap.get(w, w)) for w in lowered))
-                if copy != every[i]:
-                    pairs.append((i, copy))
-    apart = x[[i for i, _ in pairs]] - matrix([c for _, c in pairs]) if pairs else np.zeros((0, len(chosen)), np.float32)
-    w, bias = np.zeros(len(chosen)), 0.0
+                copy = row({f for w in lowered for f in features_of(swap.get(w, w))})
+                if (copy != x[i]).any():
+                    apart.append(x[i] - copy)
+    apart = np.array(apart, dtype=np.float32).reshape(-1, len(chosen))
+    y = y.astype(np.float32)
+    w, bias = np.zeros(len(chosen), dtype=np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -40, 40)))
@@ -116,7 +119,7 @@ def fit(texts: list[str], y: np.ndarray, share: float, groups: tuple = GROUPS, p
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         rate = RATE * (1 - step / (STEPS + 1))
-        w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w = (w - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         bias -= rate * (mb / (1 - 0.9**step)) / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
     odds = lambda q: float(np.log(np.clip(q, 1e-3, 1 - 1e-3) / (1 - np.clip(q, 1e-3, 1 - 1e-3))))
     return Model({f: float(w[i]) for f, i in chosen.items()}, bias + odds(share) - odds(y.mean()))
