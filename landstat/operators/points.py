@@ -101,7 +101,7 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
 
 def reference_sample(pixels: DataFrame, n_by_class: dict[int, int], meta: dict[str, float], seed: int = 0) -> DataFrame:
     """A stratified sample of a class map: exactly n pixels a class (or all there are) with ids and places."""
-    key = F.pmod((F.col("row") * 100_003 + F.col("col") + seed) * 48271, F.lit(2147483647))
+    key = F.pmod((F.col("row").cast("long") * 100_003 + F.col("col") + seed) * 48271, F.lit(2147483647))
     wanted = F.coalesce(*[F.when(F.col("value") == k, F.lit(n)) for k, n in n_by_class.items()])
     kept = pixels.withColumn("_n", wanted).filter(F.col("_n").isNotNull()).withColumn("_draw", key)
     # a class may hold most pixels: only those that its smallest draws can hold reach the window of the class

@@ -29,8 +29,8 @@ def pixels_to_tiles(pixels: DataFrame, width: int, height: int) -> DataFrame:
 
 
 def binarize(value: Column, threshold: float = 0.5, nodata: float = NODATA) -> Column:
-    """0 or 1 by a threshold; null for nodata."""
-    return F.when(value == nodata, None).when(value < threshold, 0).otherwise(1)
+    """0 or 1 by a threshold; null for nodata and null."""
+    return F.when(value.isNull() | (value == nodata), None).when(value < threshold, 0).otherwise(1)
 
 
 def with_crop_flag(values: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -122,9 +122,9 @@ def attrs(s: SparkSession) -> DataFrame:
     return s.createDataFrame([("m_size", 10, 2019), ("m_key", 30, 2020), ("m_price", 100, 2015), ("ensemble", 10, 2020)], "dataset string, resolution_m int, year int")
 
 
-ATTR = "at as (select * from (values ('m_size',10,2019),('m_key',30,2020),('m_price',100,2015),('ensemble',10,2020)) t(dataset, resolution_m, year))"
-query("C15_map_attrs", lambda s, d: reports(s, d).select("dataset", "country").join(F.broadcast(attrs(s)), "dataset").withColumn("mismatch", F.abs(F.col("year") - 2018)), f"{KC}, {ATTR} select dataset, country, resolution_m, year, abs(year-2018) as mismatch from rp join at using (dataset)")
-query("D38_correlation", lambda s, d: rounded(r.metric_correlation(reports(s, d).join(F.broadcast(attrs(s)), "dataset"), "resolution_m", "accuracy")), f"{KC}, {ATTR} select round(corr(resolution_m, accuracy),6) as r, round(regr_r2(accuracy, resolution_m),6) as r2 from rp join at using (dataset)")
+ATTR = "atr as (select * from (values ('m_size',10,2019),('m_key',30,2020),('m_price',100,2015),('ensemble',10,2020)) t(dataset, resolution_m, year))"
+query("C15_map_attrs", lambda s, d: reports(s, d).select("dataset", "country").join(F.broadcast(attrs(s)), "dataset").withColumn("mismatch", F.abs(F.col("year") - 2018)), f"{KC}, {ATTR} select dataset, country, resolution_m, year, abs(year-2018) as mismatch from rp join atr using (dataset)")
+query("D38_correlation", lambda s, d: rounded(r.metric_correlation(reports(s, d).join(F.broadcast(attrs(s)), "dataset"), "resolution_m", "accuracy")), f"{KC}, {ATTR} select round(corr(resolution_m, accuracy),6) as r, round(regr_r2(accuracy, resolution_m),6) as r2 from rp join atr using (dataset)")
 query("F15_mosaic", lambda s, d: r.mosaic(b.pixels(s, d), {"A": 1, "N": 2, "R": 3}), "select row, col, value from (select *, row_number() over (partition by row, col order by map desc) as o from b_pixels where value<>255) where o=1")
 query("H4_mode_composite", lambda s, d: r.mode_composite(b.pixels(s, d)), "with k as (select row, col, value, count(*) as n from b_pixels group by 1,2,3) select row, col, value from (select *, row_number() over (partition by row, col order by n desc, value) as o from k) where o=1")
 query("H3_median_composite", lambda s, d: rounded(r.median_composite(b.pixels(s, d).withColumn("cloud_percent", F.col("row") % 100), ["row", "col"], F.col("value") != 255, 80)), "select row, col, round(median(value),6)+0.0 as value from b_pixels where value<>255 and row % 100 <= 80 group by 1,2")
@@ -164,7 +164,7 @@ AREA = f"with {AGREED}, {RPX}, cm as (select g.region, i.c as ref_class, j.c as
 query("E19_estimate_area", lambda s, d: rounded(estimated(s, d).select("region", "class", "area_px"), 4), f"{AREA} select region, class, round(area_px,4)+0.0 as area_px from ar")
 query("E20_estimate_areas", lambda s, d: estimated(s, d).select("region", "class", F.round("area_ha", 2).alias("area_ha"), F.round("ci_ha", 2).alias("ci_ha")))
 query("A9_area_jobs", lambda s, d: estimated(s, d).join(F.broadcast(b.regions(s, d).filter("country_id <= 2").select("region")), "region").select("region", "class", F.round("area_ha", 2).alias("area_ha")), f"{AREA} select ar.region, class, round(area_px*0.09,2) as area_ha from ar join b_regions r on r.region=ar.region and country_id<=2")
-query("A8_area_results", lambda s, d: estimated(s, d).groupBy("class").pivot("region", ["FRANCE", "JAPAN", "KENYA"]).agg(F.round(F.first("area_px"), 4)), f"{AREA} select class, max(case when region='FRANCE' then round(area_px,4) end) as \"FRANCE\", max(case when region='JAPAN' then round(area_px,4) end) as \"JAPAN\", max(case when region='KENYA' then round(area_px,4) end) as \"KENYA\" from ar group by 1")
+query("A8_area_results", lambda s, d: estimated(s, d).groupBy("class").pivot("region", ["NATION_1", "NATION_2", "NATION_3"]).agg(F.round(F.first("area_px"), 4)), f"{AREA} select class, max(case when region='NATION_1' then round(area_px,4) end) as \"NATION_1\", max(case when region='NATION_2' then round(area_px,4) end) as \"NATION_2\", max(case when region='NATION_3' then round(area_px,4) end) as \"NATION_3\" from ar group by 1")
 query("A14_area_summary", lambda s, d: rounded(estimated(s, d).select("region", "class", F.col("area_px").alias("px"), F.col("area_ha").alias("ha")).unpivot(["region", "class"], ["px", "ha"], "metric", "value"), 3), f"{AREA} select region, class, 'px' as metric, round(area_px,3)+0.0 as value from ar union all select region, class, 'ha', round(area_px*0.09,3)+0.0 from ar")
 query("G2_haversine", lambda s, d: rounded(b.points(s, d).select("id", geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0)).alias("km")), 4), f"with k as (select id, {H.format('p', 'q')} as h from b_points p, (select 10.0::double as lat, 20.0::double as lon) q) select id, round({HAV},4)+0.0 as km from k")
 query("G3_rowcol", lambda s, d: b.points(s, d).select("id", *[c.alias(n) for c, n in zip(geo.rowcol(F.col("lon"), F.col("lat"), META), ("row", "col"))]), f"select id, {ROW} as row, {COL} as col from b_points")
@@ -174,11 +174,11 @@ query("G6_unit_xyz", lambda s, d: rounded(b.points(s, d).select("id", geo.unit_x
 query("G19_deg_to_km", lambda s, d: rounded(b.points(s, d).select("id", geo.deg_to_km(F.col("lat")).alias("km"))), "select id, round(lat*111,6)+0.0 as km from b_points")
 query("G20_tile_grid", lambda s, d: rounded(geo.tile_grid(b.regions(s, d), 3, 4).select("region", "tile_row", "tile_col", "tx0", "ty0", "tx1", "ty1")), "select region, cast(i as int) as tile_row, cast(j as int) as tile_col, round(x0+j*18.0::double,6)+0.0 as tx0, round(y0+i*(28.0::double/3),6)+0.0 as ty0, round(x0+(j+1)*18.0::double,6)+0.0 as tx1, round(y0+(i+1)*(28.0::double/3),6)+0.0 as ty1 from b_regions, (select unnest(range(0,3)) as i), (select unnest(range(0,4)) as j)")
 query("G20_point_box", lambda s, d: rounded(b.points(s, d).select("id", geo.point_box(F.col("lat"), F.col("lon"), 0.5).alias("b")).select("id", "b.*")), "select id, round(lat-0.25,6)+0.0 as min_lat, round(lat+0.25,6)+0.0 as max_lat, round(lon-0.25,6)+0.0 as min_lon, round(lon+0.25,6)+0.0 as max_lon from b_points")
-query("G21_find_regions", lambda s, d: geo.find_regions(b.regions(s, d).withColumn("code", F.concat(F.lit("C"), F.col("country_id"))), "C1", ["BRAZIL", "CANADA", "KENYA"]).select("region", "code"), "select region, concat('C', country_id) as code from b_regions where country_id=1 and region in ('BRAZIL','CANADA','KENYA')")
+query("G21_find_regions", lambda s, d: geo.find_regions(b.regions(s, d).withColumn("code", F.concat(F.lit("C"), F.col("country_id"))), "C1", ["NATION_6", "NATION_11", "NATION_3"]).select("region", "code"), "select region, concat('C', country_id) as code from b_regions where country_id=1 and region in ('NATION_6','NATION_11','NATION_3')")
 query("G21_missing_regions", lambda s, d: geo.missing_regions(b.regions(s, d).filter("country_id = 1"), b.regions(s, d).select("region")), "select region from b_regions where country_id<>1")
 query("G22_dissolve", lambda s, d: geo.dissolve(rings(s, d), "country_id").select("country_id", F.size("parts").alias("n_parts")), "select country_id, cast(count(*) as int) as n_parts from b_regions group by 1")
 query("I2_reference_sample", lambda s, d: p.reference_sample(classes(s, d).filter("map = 'A' and class is not null").select("row", "col", F.col("class").alias("value")), {0: 50, 1: 50}, META).groupBy("value").agg(F.count("*").alias("n"), F.max("sample_id").alias("last")), f"with {CL}, k as (select class as value, row_number() over (partition by class) as o from cl where map='A' and class is not null) select value, count(*) as n, max(o) as last from k where o<=50 group by 1")
 query("I3_points_in_polygons", lambda s, d: p.points_in_polygons(rings(s, d), 10))
 query("I4_upsample_local", lambda s, d: p.upsample_local(l.with_is_local(b.points(s, d).withColumn("is_crop", (F.col("class_probability") > 0.5).cast("int")), (-20.0, 40.0, -60.0, 120.0))))
-query("I5_region_holdout", lambda s, d: p.region_holdout(b.points(s, d).select("id", "lat", "lon"), rings(s, d).filter("region = 'KENYA'")).select("id", "part"), f"select id, case when exists (select 1 from b_regions where region='KENYA' and {INSIDE}) then 'test' else 'train' end as part from b_points")
+query("I5_region_holdout", lambda s, d: p.region_holdout(b.points(s, d).select("id", "lat", "lon"), rings(s, d).filter("region = 'NATION_3'")).select("id", "part"), f"select id, case when exists (select 1 from b_regions where region='NATION_3' and {INSIDE}) then 'test' else 'train' end as part from b_points")
 query("I6_sample_n", lambda s, d: p.sample_n(b.points(s, d), 100, "id").select("id"), "select id from b_points order by (id*48271) % 2147483647, id limit 100")
