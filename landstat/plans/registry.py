@@ -29,6 +29,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def load() -> tuple[dict, dict]:
     """All queries and SQL of the library."""
-    from landstat.plans import agreement, area, labels, places  # noqa: F401
+    from landstat.plans import agreement, area, labels, places, series  # noqa: F401
 
     return QUERIES, ORACLE_SQL
