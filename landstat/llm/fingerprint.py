@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 Only DataFrame and SQL functions. A text is cut into paragraphs at words that their own hash chooses, the more seldom the longer
-the text, so that equal passages give equal paragraphs and any text has some tens of them. The digest of a paragraph goes into
+the text, so that equal passages give equal paragraphs and a text has one or two dozen of them. The digest of a paragraph goes into
 one cell of each of three tables; a cell keeps a count, the XOR of its digests and the XOR of their check values. Sketches of
 equal size subtract cell by cell, and equal digests cancel. A cell that then holds a single digest shows it; taking that out of
 its other cells (peeling) shows more, until the digests by which the two texts differ are known. If a small sketch does not
@@ -20,7 +20,7 @@ from landstat.llm.decontaminate import let
 TABLES = 3
 BITS = 21  # of a digest that place it in each table
 ROUNDS = 12  # of peeling, at most
-TEXT_PER_PIECE = 150  # characters in a paragraph from which the next rarer cutting word is used
+TEXT_PER_PIECE = 75  # characters a paragraph may have before a rarer cutting word is used: a text has a dozen to two dozen paragraphs
 END = "\u0001"
 
 
