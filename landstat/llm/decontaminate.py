@@ -67,14 +67,23 @@ def scan(words: Column, buckets: Column, n_buckets: int, lengths: list[int]) ->
     return F.array_sort(F.concat(*[of(length) for length in lengths])) if lengths else F.array().cast(NO_HITS)
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, text: str, words: str, hits: str, n: int = 13, most_windows: int = 200_000) -> DataFrame:
-    """``docs`` with its words (column ``words``) and its hits (column ``hits``)."""
+def prepared(benchmark: DataFrame, n: int) -> tuple[DataFrame, int, list[int]]:
+    """The windows of a benchmark, how many there are, and their lengths."""
     windows = benchmark_windows(benchmark, n)
     counted = windows.groupBy("length").count().orderBy("length").collect()  # one row a length: n at most
-    total, lengths = sum(r["count"] for r in counted), [r["length"] for r in counted]
+    return windows, sum(r["count"] for r in counted), [r["length"] for r in counted]
+
+
+def buckets_for(total: int) -> int:
+    return 1 << max(4, (2 * total).bit_length())
+
+
+def with_hits(docs: DataFrame, benchmark: DataFrame, text: str, words: str, hits: str, n: int = 13, most_windows: int = 200_000) -> DataFrame:
+    """``docs`` with its words (column ``words``) and its hits (column ``hits``)."""
+    windows, total, lengths = prepared(benchmark, n)
     docs = docs.withColumn(words, words_of(F.col(text)))
     if total <= most_windows:
-        buckets = 1 << max(4, (2 * total).bit_length())
+        buckets = buckets_for(total)
         if not total:
             return docs.withColumn(hits, F.array().cast(NO_HITS))
         held = fresh(docs, "buckets")
@@ -124,11 +133,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", n:
     ).drop(words, hits, items)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 13) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, as they are."""
-    columns = docs.columns
-    inner = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
-    return contamination(inner, benchmark, "text", n).filter(~F.col("contaminated")).select("row.*")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 13, most_windows: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, as they are.
+
+    The test of a row is one expression in which words, hits and their count are bound once: a filter on columns would be pushed
+    below them, and each of its uses would scan the text anew.
+    """
+    windows, total, lengths = prepared(benchmark, n)
+    if not total:
+        return docs
+    if total > most_windows:
+        inner = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+        return contamination(inner, benchmark, "text", n, most_windows).filter(~F.col("contaminated")).select("row.*")
+    held, size = fresh(docs, "buckets"), buckets_for(total)
+    judged = lambda w: let(let(F.col(held), lambda b: hit_count(scan(w, b, size, lengths))), lambda k: (k > 0) & (20 * k >= F.size(w)))
+    return docs.withColumn(held, bucket_array(windows, size).scalar()).filter(F.coalesce(~let(words_of(F.col(text)), judged), F.lit(True))).drop(held)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = 13) -> DataFrame:
