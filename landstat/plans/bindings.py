@@ -88,7 +88,8 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_stream(events: DataFrame) -> DataFrame:
     """The label stream of an ``events`` frame, batch or streaming."""
-    return events.select("event_id", "ts", (F.col("user_id") % 40).alias("plotid"), F.concat(F.lit("u"), (F.col("user_id") % 25).cast("string")).alias("email"), F.when(F.col("event_type").isin("click", "purchase"), "Crop").otherwise("Non-crop").alias("answer"), F.col("value").alias("analysis_secs"))
+    ts = F.col("ts").cast("timestamp") if events.isStreaming else F.col("ts")  # watermarks need a time with a zone
+    return events.select("event_id", ts.alias("ts"), (F.col("user_id") % 40).alias("plotid"), F.concat(F.lit("u"), (F.col("user_id") % 25).cast("string")).alias("email"), F.when(F.col("event_type").isin("click", "purchase"), "Crop").otherwise("Non-crop").alias("answer"), F.col("value").alias("analysis_secs"))
 
 
 #: The same inputs in DuckDB SQL.

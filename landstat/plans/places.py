@@ -165,7 +165,7 @@ query("E19_estimate_area", lambda s, d: rounded(estimated(s, d).select("region",
 query("E20_estimate_areas", lambda s, d: estimated(s, d).select("region", "class", F.round("area_ha", 2).alias("area_ha"), F.round("ci_ha", 2).alias("ci_ha")))
 query("A9_area_jobs", lambda s, d: estimated(s, d).join(F.broadcast(b.regions(s, d).filter("country_id <= 2").select("region")), "region").select("region", "class", F.round("area_ha", 2).alias("area_ha")), f"{AREA} select ar.region, class, round(area_px*0.09,2) as area_ha from ar join b_regions r on r.region=ar.region and country_id<=2")
 query("A8_area_results", lambda s, d: estimated(s, d).groupBy("class").pivot("region", ["NATION_1", "NATION_2", "NATION_3"]).agg(F.round(F.first("area_px"), 4)), f"{AREA} select class, max(case when region='NATION_1' then round(area_px,4) end) as \"NATION_1\", max(case when region='NATION_2' then round(area_px,4) end) as \"NATION_2\", max(case when region='NATION_3' then round(area_px,4) end) as \"NATION_3\" from ar group by 1")
-query("A14_area_summary", lambda s, d: rounded(estimated(s, d).select("region", "class", F.col("area_px").alias("px"), F.col("area_ha").alias("ha")).unpivot(["region", "class"], ["px", "ha"], "metric", "value"), 3), f"{AREA} select region, class, 'px' as metric, round(area_px,3)+0.0 as value from ar union all select region, class, 'ha', round(area_px*0.09,3)+0.0 from ar")
+query("A14_area_summary", lambda s, d: rounded(estimated(s, d).select("region", "class", F.col("area_px").alias("px"), F.col("area_ha").alias("ha")).unpivot(["region", "class"], ["px", "ha"], "metric", "value"), 6), f"{AREA} select region, class, 'px' as metric, round(area_px,6)+0.0 as value from ar union all select region, class, 'ha', round(area_px*0.09,6)+0.0 from ar")
 query("G2_haversine", lambda s, d: rounded(b.points(s, d).select("id", geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0)).alias("km")), 4), f"with k as (select id, {H.format('p', 'q')} as h from b_points p, (select 10.0::double as lat, 20.0::double as lon) q) select id, round({HAV},4)+0.0 as km from k")
 query("G3_rowcol", lambda s, d: b.points(s, d).select("id", *[c.alias(n) for c, n in zip(geo.rowcol(F.col("lon"), F.col("lat"), META), ("row", "col"))]), f"select id, {ROW} as row, {COL} as col from b_points")
 query("G4_utm_round_trip", lambda s, d: b.points(s, d).filter("lon between 30 and 36").select("id", *[F.round(c, 6).alias(n) for c, n in zip(geo.utm_to_wgs84(*geo.wgs84_to_utm(F.col("lat"), F.col("lon"), 32636), 32636), ("lat", "lon"))]), "select id, round(lat,6) as lat, round(lon,6) as lon from b_points where lon between 30 and 36")

@@ -45,8 +45,9 @@ def round_trip_geojson(s: SparkSession, d: str) -> DataFrame:
     pair = lambda x, y: F.array(F.col(x), F.col(y))
     ring = F.array(pair("x0", "y0"), pair("x1", "y0"), pair("x1", "y1"), pair("x0", "y1"), pair("x0", "y0"))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct("region").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
-    b.regions(s, d).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")))).write.text(at)
-    read = files.read_geojson(s, f"{at}/*.txt", T.StructType([T.StructField("region", T.StringType())]))
+    collection = F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))  # a file's features, by country
+    b.regions(s, d).groupBy("country_id").agg(F.to_json(collection).alias("value")).repartition(5, "country_id").write.partitionBy("country_id").text(at)
+    read = files.read_geojson(s, f"{at}/*/*.txt", T.StructType([T.StructField("region", T.StringType())]))
     return read.select("region", F.size(files.rings(F.col("coordinates"))).alias("n_vertices"))
 
 
