@@ -23,16 +23,17 @@ DIM, ONES = 64, 6  # length of index vectors, and how many of their places are n
 REACH = 2  # neighbours on either side that a context vector gathers
 SAMPLE = 8_000  # labelled rows to learn from, at most
 VOCABULARY, FEWEST = 60_000, 3  # words with a context vector, at most, and times that such a word occurs, at least
-KEPT = 300_000  # words whose vectors a worker remembers
+KEPT = 120_000  # words whose vectors a worker remembers
 HIDDEN, EPOCHS, RATE, DECAY, HELD = 24, 60, 0.003, 1e-4, 5  # every HELD-th row of the sample sets the temperature
 
 
-def index_vector(word: str, salt: int) -> np.ndarray:
-    rng = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), salt)
-    out = np.zeros(DIM, dtype=np.float32)
-    for _ in range(ONES):
-        out[rng % DIM] += 1.0 if rng >> 7 & 1 else -1.0
-        rng >>= 9
+def index_vectors(words: list[str], salt: int) -> np.ndarray:
+    """The sparse random vectors of words: ONES places of each, plus or minus, drawn from its hash."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), salt) for w in words), np.uint64, len(words))
+    out, rows = np.zeros((len(words), DIM), dtype=np.float32), np.arange(len(words))
+    for k in range(ONES):
+        part = (h >> np.uint64(9 * k)).astype(np.int64)
+        out[rows, part % DIM] += np.where(part >> 7 & 1, 1.0, -1.0).astype(np.float32)
     return out / np.float32(ONES**0.5)
 
 
@@ -47,7 +48,8 @@ def form(word: str) -> str:
 
 @dataclass
 class Model:
-    context: dict[str, np.ndarray]
+    context: dict[str, int]  # rows of vectors
+    vectors: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     layers: list[np.ndarray]
@@ -58,8 +60,9 @@ class Model:
 class Pooler:
     """Document vectors; remembers the vectors of words it has met."""
 
-    def __init__(self, context: dict[str, np.ndarray]):
-        self.context = context
+    def __init__(self, context: dict[str, int], known: np.ndarray):
+        self.context, self.known = context, known
+        self.forms: dict[str, np.ndarray] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -67,13 +70,25 @@ class Pooler:
         self.vectors = np.zeros((1024, 2 * DIM), dtype=np.float32)
 
     def learn(self, words: set[str]) -> None:
-        while len(self.ids) + len(words) > len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        for w in sorted(words):
-            k = self.ids[w] = len(self.ids)
-            known = self.context.get(w)
-            self.vectors[k, :DIM] = index_vector(w, 1) if known is None else known
-            self.vectors[k, DIM:] = index_vector(form(w), 2)
+        size = len(self.vectors)
+        while len(self.ids) + len(words) > size:
+            size *= 2
+        if size > len(self.vectors):
+            self.vectors = np.concatenate([self.vectors, np.zeros((size - len(self.vectors), 2 * DIM), dtype=np.float32)])
+        new, first = sorted(words), len(self.ids)
+        self.ids.update(zip(new, range(first, first + len(new))))
+        rows = self.vectors[first : first + len(new)]
+        rows[:, :DIM] = index_vectors(new, 1)
+        met = [(i, self.context[w]) for i, w in enumerate(new) if w in self.context]
+        if met:
+            at, row = map(list, zip(*met))
+            rows[at, :DIM] = self.known[row]
+        forms = [form(w) for w in new]
+        if len(self.forms) > 20_000:
+            self.forms = {}
+        if unknown := sorted(set(forms).difference(self.forms)):
+            self.forms.update(zip(unknown, index_vectors(unknown, 2)))
+        rows[:, DIM:] = [self.forms[f] for f in forms]
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), 2 * DIM + 3))
@@ -81,12 +96,13 @@ class Pooler:
         new = set().union(*parts).difference(self.ids)
         if len(self.ids) + len(new) > KEPT:
             self.clear()
+            new = set().union(*parts)
+        if new:
+            self.learn(new)
         for i, words in enumerate(parts):
             if not words:
                 out[i, -1] = 1.0
                 continue
-            if new:
-                self.learn(set(words).difference(self.ids))
             ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
             for a in range(0, len(ids), 65_536):
                 out[i, : 2 * DIM] += self.vectors[ids[a : a + 65_536]].sum(0, dtype=np.float64)
@@ -96,7 +112,7 @@ class Pooler:
         return out
 
 
-def context_vectors(texts: list[str]) -> dict[str, np.ndarray]:
+def context_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Context vectors of the words that occur FEWEST times at least, the VOCABULARY most frequent of them."""
     counts: dict[str, int] = {}
     for t in texts:
@@ -104,7 +120,7 @@ def context_vectors(texts: list[str]) -> dict[str, np.ndarray]:
             counts[w] = counts.get(w, 0) + 1
     words = sorted((w for w, n in counts.items() if n >= FEWEST), key=lambda w: (-counts[w], w))[:VOCABULARY]
     ids = {w: i for i, w in enumerate(words)}
-    index = np.stack([*(index_vector(w, 1) for w in words), np.zeros(DIM, np.float32)])
+    index = np.concatenate([index_vectors(words, 1), np.zeros((1, DIM), np.float32)])
     total = np.zeros((len(words) + 1, DIM), dtype=np.float32)
     for t in texts:
         row = np.fromiter((ids.get(w, len(words)) for w in t.split()), np.int64)
@@ -115,7 +131,7 @@ def context_vectors(texts: list[str]) -> dict[str, np.ndarray]:
         np.add.at(total, row, near)
     norms = np.linalg.norm(total, axis=1, keepdims=True)
     total /= np.where(norms > 0, norms, 1)
-    return {w: total[i] for w, i in ids.items()}
+    return ids, total[:-1].copy()
 
 
 def forward(layers: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,19 +174,21 @@ def temperature(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(texts: list[str], y: np.ndarray, share: float) -> Model:
-    context = context_vectors(texts)
-    x = Pooler(context)(texts)
+    context, known = context_vectors(texts)
+    pool = Pooler(context, known)
+    x = np.concatenate([pool(texts[i : i + 64]) for i in range(0, len(texts), 64)])
+    del pool
     mean, scale = x.mean(0), x.std(0)
     scale[scale < 1e-6] = 1.0
     x = np.clip((x - mean) / scale, -6, 6)
     held = np.arange(len(x)) % HELD == 0 if len(x) >= 10 * HELD else np.zeros(len(x), bool)
     layers = train(x[~held], y[~held])
     odds = lambda p: float(np.log(np.clip(p, 1e-3, 1 - 1e-3) / (1 - np.clip(p, 1e-3, 1 - 1e-3))))
-    return Model(context, mean, scale, layers, temperature(forward(layers, x[held])[1], y[held]), odds(share) - odds(y.mean()))
+    return Model(context, known, mean, scale, layers, temperature(forward(layers, x[held])[1], y[held]), odds(share) - odds(y.mean()))
 
 
 def scorer(model: Model):
-    pool = Pooler(model.context)
+    pool = Pooler(model.context, model.vectors)
 
     def of(texts: list[str]) -> np.ndarray:
         x = np.clip((pool(texts) - model.mean) / model.scale, -6, 6)
