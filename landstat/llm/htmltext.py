@@ -140,6 +140,8 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if tag == "body":
             close(0)
+        elif stack and stack[-1][0] == "head" and tag != "template":  # a head that is not closed ends at the first element that it can't hold
+            close(len(stack) - 1)
         if stack and (stack[-1][0] == "p" or tag in ("li", "option", "dt", "dd", "tr", "td", "th") and stack[-1][0] == tag):
             close(len(stack) - 1)
         stack.append((tag, kinds_of(m[3])))
