@@ -182,3 +182,15 @@ query("I3_points_in_polygons", lambda s, d: p.points_in_polygons(rings(s, d), 10
 query("I4_upsample_local", lambda s, d: p.upsample_local(l.with_is_local(b.points(s, d).withColumn("is_crop", (F.col("class_probability") > 0.5).cast("int")), (-20.0, 40.0, -60.0, 120.0))))
 query("I5_region_holdout", lambda s, d: p.region_holdout(b.points(s, d).select("id", "lat", "lon"), rings(s, d).filter("region = 'NATION_3'")).select("id", "part"), f"select id, case when exists (select 1 from b_regions where region='NATION_3' and {INSIDE}) then 'test' else 'train' end as part from b_points")
 query("I6_sample_n", lambda s, d: p.sample_n(b.points(s, d), 100, "id").select("id"), "select id from b_points order by (id*48271) % 2147483647, id limit 100")
+
+
+def grid_by_sql(s: SparkSession, d: str) -> DataFrame:
+    """The tile grid through the table function."""
+    from landstat.functions import tables
+
+    tables.register(s)
+    b.regions(s, d).createOrReplaceTempView("landstat_regions")
+    return rounded(s.sql("select region, t.* from landstat_regions, lateral tile_grid(x0, y0, x1, y1, 3, 4) t"))
+
+
+query("L5_tile_grid_udtf", grid_by_sql, "select region, cast(i as int) as tile_row, cast(j as int) as tile_col, round(x0+j*18.0::double,6)+0.0 as tx0, round(y0+i*(28.0::double/3),6)+0.0 as ty0, round(x0+(j+1)*18.0::double,6)+0.0 as tx1, round(y0+(i+1)*(28.0::double/3),6)+0.0 as ty1 from b_regions, (select unnest(range(0,3)) as i), (select unnest(range(0,4)) as j)")
