@@ -33,8 +33,8 @@ def grain(n_chars: Column) -> Column:
 def digests(text: Column, every: Column) -> Column:
     """The different digests of a text's paragraphs; ``every`` is its ``grain``. A text without words has none."""
     words = F.split(text, "\\s+")
-    ended = F.transform(words, lambda w: F.when(F.pmod(F.xxhash64(w), every) == 0, F.concat(w, F.lit(END))).otherwise(w))
-    pieces = F.split(F.array_join(ended, " "), f" ?{END} ?")
+    ends = lambda w, e: F.when(F.pmod(F.xxhash64(w), e) == 0, F.concat(w, F.lit(END))).otherwise(w)
+    pieces = let(every, lambda e: F.split(F.array_join(F.transform(words, lambda w: ends(w, e)), " "), f" ?{END} ?"))
     return F.array_distinct(F.transform(F.filter(pieces, lambda p: F.trim(p) != ""), lambda p: F.xxhash64(p)))
 
 
