@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landstat.operators.confusion import binary_metrics, ratio, rates_of
+from landstat.operators.confusion import binary_metrics, ratio
+
+BUCKETS = 128  # cuts of the scores of a group
 
 
 def score_counts(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", score: str = "score") -> DataFrame:
@@ -16,24 +18,42 @@ def score_counts(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", s
     return df.groupBy(*by, F.col(score).alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
 
 
+def running(counts: DataFrame, by: Sequence[str], sums: dict[str, str], descending: bool, own: bool) -> DataFrame:
+    """``counts`` (by, score, ...) with running sums ``{new: column}`` in the order of the score, with the row's own value or without.
+
+    A group may hold most scores and there may be a single group, so no window spans one: scores are cut at quantiles into
+    buckets, sums run inside a bucket, and what the buckets before it hold (a few hundred rows a group) is added.
+    """
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("score", [i / BUCKETS for i in range(1, BUCKETS)], 10 * BUCKETS).alias("_cuts"))
+    tagged = counts.join(cuts, list(by)) if by else counts.join(F.broadcast(cuts), F.lit(True))  # without groups: one row
+    tagged = tagged.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("score")))).drop("_cuts")
+    way = F.desc if descending else F.asc
+    before = Window.partitionBy(*by).orderBy(way("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = tagged.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    offsets = totals.select(*by, "_bucket", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    inside = Window.partitionBy(*by, "_bucket").orderBy(way("score")).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    parts = tagged.withColumns({f"_i_{n}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()})
+    out = parts.join(offsets, [*by, "_bucket"]).withColumns({n: F.col(f"_o_{n}") + F.col(f"_i_{n}") for n in sums})
+    return out.drop("_bucket", *[f"{k}{n}" for n in sums for k in ("_o_", "_i_")])
+
+
 def cumulative_hits(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", score: str = "score") -> DataFrame:
-    """(by, score, tp, fp): true and false positives if everything from ``score`` up is taken. The window runs over different scores."""
-    w = Window.partitionBy(*by).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return score_counts(df, by, truth, score).select(*by, "score", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"))
+    """(by, score, tp, fp): true and false positives if everything from ``score`` up is taken."""
+    return running(score_counts(df, by, truth, score), by, {"tp": "pos", "fp": "neg"}, descending=True, own=True).select(*by, "score", "tp", "fp")
 
 
 def roc_curve(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", score: str = "score") -> DataFrame:
     """(by, threshold, fpr, tpr) at each different score."""
     hits = cumulative_hits(df, by, truth, score)
-    all_ = Window.partitionBy(*by)
-    return hits.select(*by, F.col("score").alias("threshold"), ratio(F.col("fp"), F.max("fp").over(all_)).alias("fpr"), ratio(F.col("tp"), F.max("tp").over(all_)).alias("tpr"))
+    y = F.col(truth) == 1
+    all_ = df.groupBy(*by).agg(F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg"))
+    both = hits.join(all_, list(by)) if by else hits.join(F.broadcast(all_), F.lit(True))  # without groups: one row
+    return both.select(*by, F.col("score").alias("threshold"), ratio(F.col("fp"), F.col("_neg")).alias("fpr"), ratio(F.col("tp"), F.col("_pos")).alias("tpr"))
 
 
 def roc_auc(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", score: str = "score") -> DataFrame:
     """(by, auc): the exact chance that a positive outranks a negative, ties as half; null for groups of one class."""
-    counts = score_counts(df, by, truth, score)
-    w = Window.partitionBy(*by).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    below = counts.withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    below = running(score_counts(df, by, truth, score), by, {"below": "neg"}, descending=False, own=False)
     wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     return below.groupBy(*by).agg(F.try_divide(wins, F.sum("pos") * F.sum("neg")).alias("auc"))
 

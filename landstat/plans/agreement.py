@@ -66,3 +66,4 @@ RATES = "round(count_if((score>{t})=(y_true=1))/count(*),{r}) as {p}accuracy, ro
 query("D40_split_metrics", lambda s, d: rounded(m.split_metrics(b.scores(s, d), "id")), f"with c as (select median(id) as cut from b_scores) select case when id>cut then 'above' else 'below' end as half, {RATES.format(t=0.5, r=6, p='')} from b_scores, c group by 1")
 query("D41_cloudy_months", lambda s, d: rounded(m.cloudy_months(b.table(s, d, "embeddings"), "embedding", [0.5, 0.7, 0.9], ["label"])), "select label, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.5 as double)))),6) as above_50, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.7 as double)))),6) as above_70, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.9 as double)))),6) as above_90 from embeddings group by 1")
 query("J11_evaluate", lambda s, d: m.evaluate(b.scores(s, d), 0.5, 0.7, ["grp"]), f"with r as (select *, rank() over (partition by grp order by score) as lo, count(*) over (partition by grp, score) as t from b_scores) select grp, {RATES.format(t=0.5, r=4, p='')}, round((sum(case when y_true=1 then lo + (t-1)/2.0::double end) - count_if(y_true=1)*(count_if(y_true=1)+1)/2)/(count_if(y_true=1)*count_if(y_true=0)),4) as auc, {RATES.format(t=0.7, r=4, p='thresh0_7_')} from r group by 1")
+query("D20_roc_auc_whole", lambda s, d: rounded(m.roc_auc(b.scores(s, d))), "with r as (select y_true, rank() over (order by score) as lo, count(*) over (partition by score) as t from b_scores) select round((sum(case when y_true=1 then lo + (t-1)/2.0::double end) - count_if(y_true=1)*(count_if(y_true=1)+1)/2)/(count_if(y_true=1)*count_if(y_true=0)),6) as auc from r")
