@@ -18,7 +18,7 @@ def raw(s: SparkSession, d: str) -> DataFrame:
 
 
 RAW = "raw as (select o_orderkey as id, cast((o_orderkey*7919) % 14000 as double)/100 - 70 as lat, cast((o_orderkey*104729) % 36000 as double)/100 - 180 as lon, o_orderdate, o_orderstatus, o_totalprice as price from orders)"
-SOURCE = l.LabelSource("orders", l.ProbRule.equals("o_orderstatus", "F"), date_col="moved", filter=lambda df: df.withColumn("moved", F.add_months(F.to_date("o_orderdate"), 300)))
+SOURCE = l.LabelSource("orders", lambda _: l.ProbRule.equals("o_orderstatus", "F"), date_col="moved", filter=lambda df: df.withColumn("moved", F.add_months(F.to_date("o_orderdate"), 300)))
 #: The window rule over a date column ``dt`` and the subset rule, in SQL.
 WINDOW = f"greatest(make_date(year(dt),1,1), date '2015-07-01') as start_date, least(make_date(year(dt)+1,12,31), date '{AS_OF}' - 1) as end_date"
 KEEP = f"make_date(year(dt),1,1) > date '2015-01-01' and greatest(make_date(year(dt),1,1), date '2015-07-01') < least(make_date(year(dt)+1,12,31), date '{AS_OF}' - 1)"

@@ -51,3 +51,13 @@ def test_confusion_completes_zeros_and_empty_input(spark):
     got = {(r["g"], r["ref_class"], r["map_class"]): r["n"] for r in c.confusion(df, by=["g"]).collect()}
     assert got[("a", 0, 0)] == 2 and got[("b", 1, 1)] == 1 and sum(got.values()) == 3 and len(got) == 8
     assert c.confusion(df.limit(0), by=["g"]).count() == 0
+
+
+def test_queries_and_sql_load_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) > 150, set(e.oracle_sql()) <= set(e.queries()))"], cwd=root, capture_output=True, text=True)
+    assert done.stdout.split() == ["True", "True"], done.stderr
