@@ -1,9 +1,12 @@
 """Cross-entropy difference: how much likelier a document is under a target model than under a background model.
 
 Both are word bigram models with the same vocabulary, smoothing and order; the target model counts the target documents, the
-background model all documents. The vocabulary is the ``VOCABULARY`` most frequent words of all documents (a parameter of the
-model, as its order is); every other word is the unknown word, whose own counts are kept. Counts cover every document.
-Per-task counts are added up by Spark; what reaches the driver is bounded by the square of the vocabulary.
+background model all documents. Every word of the corpus has its own counts, so words and pairs grow with the input; a smaller
+vocabulary, whose other words are one unknown word, is a parameter. Counts cover every document.
+
+Documents are dealt into blocks of bounded text. A block counts its own words and pairs under keys (64-bit hashes), sorted, and
+sends each bucket of the key space its part; a bucket adds up the counts of all blocks and sends each block the sums of its own
+keys, in their order. A key, however common, is sent once a block; nothing but the size of the text reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,14 +16,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstat.llm.common import fresh, table
 
-VOCABULARY = 4094  # with the unknown word and the start of a document, pairs fit a table of 4095 by 4095
 MASS = 20.0  # pseudo-counts with which a word's unigram chance enters its bigram chance
-TOKENS = 2_000_000  # tokens after which a task hands on its counts
+BLOCK = 8_000_000  # characters of text in a block, about
+LEAST_BLOCKS = 12  # so that small inputs are spread as well
+START, UNKNOWN = "\n", "\t"  # stand for the start of a document and words outside a given vocabulary; no word has white space
+ODD_A, ODD_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+ONE = np.uint64(1)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -45,103 +54,128 @@ def vocabulary(docs: DataFrame, text: str, size: int) -> list[str]:
     return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
 
 
-def encoded(texts: list[str | None], ids: dict[str, int], start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pair codes (word before, word) of texts end to end, and how many each has; 0 is the unknown word, ``start`` stands before the first."""
-    parts = [words_of(t) for t in texts]
-    counts = np.fromiter(map(len, parts), np.int64, len(parts))
-    flat = np.fromiter((ids.get(w, 0) for ws in parts for w in ws), np.int64, int(counts.sum()))
-    before = np.concatenate([[0], flat[:-1]]) if len(flat) else flat
-    firsts = (np.cumsum(counts) - counts)[counts > 0]
-    before[firsts] = start
-    return before * (start + 1) + flat, counts
+class Hashes(dict):
+    """The hash of each word; of ``UNKNOWN`` for words outside ``words``, if those are given."""
 
+    def __init__(self, words: list[str] | None):
+        super().__init__({} if words is None else {w: xxhash.xxh64_intdigest(w) for w in words})
+        self.other = None if words is None else xxhash.xxh64_intdigest(UNKNOWN)
 
-def pair_counts(docs: DataFrame, text: str, target: str, words: list[str]) -> DataFrame:
-    """(pair, n_target, n_all) over all documents; ``target`` is a boolean column."""
-    shared = docs.sparkSession.sparkContext.broadcast({w: i + 1 for i, w in enumerate(words)})
-    start = len(words) + 1
+    def __missing__(self, word: str) -> int:
+        if self.other is not None:
+            return self.other
+        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
+        return h
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: list[np.ndarray] = []
-        marks: list[np.ndarray] = []
-
-        def hand() -> pa.RecordBatch:
-            pairs, inverse = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_inverse=True)
-            chosen = np.concatenate([np.zeros(0, bool), *marks])
-            out = [pairs, np.bincount(inverse[chosen], minlength=len(pairs)), np.bincount(inverse, minlength=len(pairs))]
-            codes.clear(), marks.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names=["pair", "n_target", "n_all"])
-
-        waiting = 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                code, counts = encoded(batch.column(0).to_pylist(), shared.value, start)
-                codes.append(code)
-                marks.append(np.repeat(np.array(batch.column(1).to_pylist(), dtype=bool), counts))
-                waiting += len(code)
-                if waiting > TOKENS:
-                    yield hand()
-                    waiting = 0
-        yield hand()
 
-    return docs.select(text, target).mapInArrow(run, "pair long, n_target long, n_all long").groupBy("pair").agg(F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all"))
-
-
-def loss_differences(pairs: np.ndarray, n_target: np.ndarray, n_all: np.ndarray, start: int, mass: float = MASS) -> np.ndarray:
-    """For each pair code: the loss of the word after the one before under the target model, less that under the background model."""
-    width = start + 1
-    out = np.empty((width, width), dtype=np.float32)
-    models = []
-    order = np.argsort(pairs)
-    pairs = pairs[order]
-    for n in (n_target[order].astype(np.float64), n_all[order].astype(np.float64)):
-        single = np.bincount(pairs % width, weights=n, minlength=width) + 1.0
-        models.append((n, single / single.sum(), np.bincount(pairs // width, weights=n, minlength=width)))
-    edges = np.searchsorted(pairs, np.arange(width + 1) * width)
-    for a in range(width):
-        some, losses = slice(edges[a], edges[a + 1]), []
-        for n, single, before in models:
-            row = mass * single
-            row[pairs[some] % width] += n[some]
-            losses.append(np.log((before[a] + mass) / row))
-        out[a] = losses[0] - losses[1]
-    return out.ravel()
-
-
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, size: int = VOCABULARY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def encoded(texts: pa.ChunkedArray, hashes: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of texts end to end and of the word before each, and how many words each text has."""
+    parts, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(texts), 512):
+        ws = [words_of(t) for t in texts.slice(at, 512).to_pylist()]
+        sizes.append(np.fromiter(map(len, ws), np.int64, len(ws)))
+        parts.append(np.fromiter((hashes[w] for one in ws for w in one), np.uint64, int(sizes[-1].sum())))
+    flat, counts = np.concatenate(parts), np.concatenate(sizes)
+    before = np.roll(flat, 1)
+    before[(np.cumsum(counts) - counts)[counts > 0]] = xxhash.xxh64_intdigest(START)
+    return before, flat, counts
+
+
+def keys_of(before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of pairs, of words before and of words; only the keys of words are odd."""
+    pair, first, single = (before * ODD_A + word) & ~ONE, (before * ODD_B) & ~ONE, word | ONE
+    return pair.view(np.int64), first.view(np.int64), single.view(np.int64)
+
+
+def counted(before: np.ndarray, word: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, n_target, n_all) of a block: each of its keys once, in ascending order."""
+    keys, inverse = np.unique(np.concatenate(keys_of(before, word)), return_inverse=True)
+    return keys, np.bincount(inverse[np.tile(chosen, 3)], minlength=len(keys)), np.bincount(inverse, minlength=len(keys))
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers of 64 bits, byte by byte of all of them, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def edges_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each of the buckets, equal parts of the key space, begins and ends among sorted keys."""
+    bounds = [-(2**63) + 2**64 * i // buckets for i in range(1, buckets)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, dtype=np.int64)), [len(keys)]])
+
+
+def summed(table: pa.Table) -> pa.Table:
+    """The sums over all blocks for the keys of each block; ``table`` has a bucket's keys and counts by block."""
+    read = lambda name: [unpacked(x) for x in table.column(name).to_pylist()]
+    each = [np.cumsum(x) for x in read("keys")]
+    sizes = [len(x) for x in each]
+    keys, inverse = np.unique(np.concatenate(each), return_inverse=True)
+    sums = [np.bincount(inverse, weights=np.concatenate(read(n)), minlength=len(keys)).astype(np.int64) for n in ("n_target", "n_all")]
+    is_word, ends = keys & 1 == 1, np.cumsum(sizes)
+    whole = [int(is_word.sum()), *(int(n[is_word].sum()) for n in sums)]
+    parts = [[packed(n[inverse[e - k : e]]) for e, k in zip(ends, sizes)] for n in sums]
+    return pa.table([table.column("block"), table.column("bucket"), *(pa.array(x, pa.binary()) for x in parts), *(pa.array([x] * len(sizes), pa.int64()) for x in whole)], names=["block", "bucket", "n_target", "n_all", "n_words", "all_target", "all_all"])
+
+
+def scores_of(before: np.ndarray, word: np.ndarray, counts: np.ndarray, sums: tuple[np.ndarray, np.ndarray], totals: tuple[int, int], width: int) -> np.ndarray:
+    """The mean loss difference of each text; ``sums`` are the counts of the two models for the block's keys in ascending order."""
+    inverse = np.unique(np.concatenate(keys_of(before, word)), return_inverse=True)[1]
+    pair, first, single = inverse.reshape(3, -1)
+    losses = [np.log((n[first] + MASS) / (n[pair] + MASS * (n[single] + 1.0) / (total + width))) for n, total in zip(sums, totals)]
+    ends, at_end = np.concatenate([[0.0], np.cumsum(losses[0] - losses[1])]), np.cumsum(counts)
+    return np.where(counts > 0, (ends[at_end] - ends[at_end - counts]) / np.maximum(counts, 1), 0.0)
+
+
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame, size: int | None = None, text: str = "text", doc_id: str = "doc_id", block_chars: int = BLOCK) -> DataFrame:
     """``docs`` and n_tokens (long) and score (double): the mean over a text's words of target loss less background loss, in nats.
 
     Lower is closer to the target. ``targets`` has the ids of the target documents (column doc_id; repeats and nulls do not
     count). A null or empty text has no words and score 0. Without target documents the target model is uniform. Repeated rows
-    count as often as they stand there and get equal scores. Columns of the two names are replaced.
+    count as often as they stand there and get equal scores. Columns of the two names are replaced. All words are in the
+    vocabulary unless ``size`` cuts it to the most frequent ones.
     """
     docs = docs.drop("n_tokens", "score")
-    words = vocabulary(docs, text, size)
-    start = len(words) + 1
-    key, mark = fresh(docs, "target_id"), fresh(docs, "is_target")
-    chosen = targets.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(key)).distinct()
-    # the ids grow with the documents, so they are never broadcast: one plan at every size
-    marked = docs.select(doc_id, text).join(chosen.hint("shuffle_hash"), F.col(doc_id) == F.col(key), "left").withColumn(mark, F.col(key).isNotNull())
-    counts = pair_counts(marked, text, mark, words).toArrow()  # at most (size + 2) ** 2 rows
-    table_ = loss_differences(*(counts.column(c).to_numpy() for c in ("pair", "n_target", "n_all")), start)
-    shared = docs.sparkSession.sparkContext.broadcast((words, table_))
+    words = None if size is None else vocabulary(docs, text, size)
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    block = fresh(docs, "block")
+    blocks = max(LEAST_BLOCKS, (docs.agg(F.sum(F.length(text))).first()[0] or 0) // block_chars + 1)
+    # a text without an id is no target, so it may be in any block
+    dealt = docs.withColumn(block, F.pmod(F.when(F.col(doc_id).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id)), F.lit(blocks)).cast("int"))
+    chosen = targets.select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("id")).filter("id is not null").distinct()
+    chosen = chosen.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 3)], names=["block", "bucket", "keys", "n_target", "n_all"])
+        before, word, counts = encoded(left.column(text), Hashes(shared.value))
+        mark = pc.is_in(left.column(doc_id), value_set=right.column("id").combine_chunks()).to_numpy() if right.num_rows else np.zeros(left.num_rows, bool)
+        keys, *both = counted(before, word, np.repeat(mark.astype(bool), counts))
+        edges = edges_of(keys, blocks)
+        steps = lambda x: np.diff(x, prepend=x.dtype.type(0))  # noqa: E731  of sorted keys, with fewer bits
+        parts = [pa.array([packed(turn(x[i:j])) for i, j in zip(edges, edges[1:])], pa.binary()) for x, turn in ((keys, steps), *((n, np.asarray) for n in both))]
+        at = np.full(blocks, left.column(block)[0].as_py(), np.int32)
+        return pa.table([pa.array(at), pa.array(np.arange(blocks, dtype=np.int32)), *parts], names=["block", "bucket", "keys", "n_target", "n_all"])
+
+    by_block = dealt.groupBy(block)
+    asked = by_block.cogroup(chosen.groupBy("block")).applyInArrow(count, "block int, bucket int, keys binary, n_target binary, n_all binary")
+    given = asked.groupBy("bucket").applyInArrow(summed, "block int, bucket int, n_target binary, n_all binary, n_words long, all_target long, all_all long")
     schema = docs.withColumn("n_tokens", F.lit(0).cast("long")).withColumn("score", F.lit(0.0)).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, differences = shared.value
-        ids = {w: i + 1 for i, w in enumerate(words)}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                code, counts = encoded(batch.column(text).to_pylist(), ids, start)
-                ends = np.concatenate([[0.0], np.cumsum(differences[code], dtype=np.float64)])
-                at_end = np.cumsum(counts)
-                sums = ends[at_end] - ends[at_end - counts]
-                score = np.where(counts > 0, sums / np.maximum(counts, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts), pa.array(score)], names=[*batch.schema.names, "n_tokens", "score"])
-
-    return docs.mapInArrow(run, schema)
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.drop_columns([block])
+        before, word, counts = encoded(left.column(text), Hashes(shared.value))
+        right = right.sort_by("bucket")  # every bucket answers every block, so that its totals add up
+        sums = [np.concatenate([unpacked(x) for x in right.column(n).to_pylist()]) for n in ("n_target", "n_all")] if len(word) else []
+        n_words, *totals = (int(right.column(n).to_numpy().sum()) for n in ("n_words", "all_target", "all_all"))
+        width = (n_words if shared.value is None else len(shared.value)) + 2  # the unknown word and the start of a document
+        score = scores_of(before, word, counts, sums, totals, width) if len(word) else np.zeros(len(counts))
+        return left.append_column("n_tokens", pa.array(counts)).append_column("score", pa.array(score))
+
+    return by_block.cogroup(given.groupBy("block")).applyInArrow(score, schema)
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

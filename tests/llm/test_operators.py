@@ -113,6 +113,30 @@ def test_lm_scores_against_plain_counts(spark):
         assert got[i]["score"] == pytest.approx(want, abs=1e-5) and got[i]["n_tokens"] == len(s) - 1
 
 
+def test_lm_scores_know_every_word_and_do_not_depend_on_blocks(spark):
+    rng = random.Random(10)
+    seldom = [f"w{i}" for i in range(5_000)]  # more words than any fixed vocabulary of the operator has held
+    texts = [" ".join(seldom[i : i + 50]) for i in range(0, 5_000, 50)] + ["the cat"] * 5 + [words(rng, 40), None, ""]
+    targets = {0, 2, 98, 101}
+    seqs = [["<", *(t or "").split()] for t in texts]
+    names = sorted({w for s in seqs for w in s[1:]})
+    pair, single, first = ([{}, {}] for _ in range(3))
+    for i, s in enumerate(seqs):
+        for a, b in zip(s, s[1:]):
+            for m in [1] + [0] * (i in targets):
+                for table, k in ((pair, (a, b)), (single, b), (first, a)):
+                    table[m][k] = table[m].get(k, 0) + 1
+    totals = [sum(x.values()) + len(names) + 2 for x in single]
+    p = lambda m, a, b: (pair[m].get((a, b), 0) + lmscore.MASS * (single[m].get(b, 0) + 1) / totals[m]) / (first[m].get(a, 0) + lmscore.MASS)
+    marks = spark.createDataFrame([(i,) for i in targets] * 2 + [(None,)], "doc_id long")
+    for chars in (lmscore.BLOCK, 200):
+        got = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(frame(spark, texts), marks, block_chars=chars).collect()}
+        assert len(got) == len(texts)
+        for i, s in enumerate(seqs):
+            want = np.mean([np.log(p(1, a, b) / p(0, a, b)) for a, b in zip(s, s[1:])]) if len(s) > 1 else 0.0
+            assert got[i]["score"] == pytest.approx(want, abs=1e-9) and got[i]["n_tokens"] == len(s) - 1 and got[i]["words"] == "w"
+
+
 # 3. licenses
 
 
