@@ -1,15 +1,18 @@
 """License scans by conditional compression.
 
-Blocks of a text that speak of licensing are compressed with zstandard, plain and with each template as a raw dictionary. A
-template that the block repeats makes it much smaller; templates are ranked by how much. The best ones are then compared with
-the block word by word, and the one with the fewest differences is confirmed if no word differs that tells licenses apart.
+Around each cue in a block of a text that speaks of licensing, a window a little longer than a template on either side is
+compressed with zstandard, plain and with the template as a raw dictionary. A template that the window repeats makes it much
+smaller, by a good part of the template's own size; each such template is compared with the window word by word, and the one
+with the fewest differences is confirmed if no word differs that tells licenses apart. Its words are then taken out of the block,
+and what is left is searched again until nothing is confirmed.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -46,8 +49,8 @@ CUES = ("licen", "permission is hereby", "redistribution and use", "redistribute
 TELLING = set("apache mit bsd gnu general lesser affero mozilla mpl gpl lgpl agpl cc cc0 by sa nc nd 1 2 3 4 0".split())
 WORD = re.compile(r"[^\W_]+")
 LEVEL = 19
-TOP = 4  # best-ranked templates that are compared word by word
-LEAST = 0.15  # of a block's compressed size that the best template saves, at least
+AROUND = 4  # words that a window has more than the template on either side of a cue
+LEAST = 0.15  # of the compressed size of the window or, if smaller, of the template itself that a template saves, at least
 DIFFER = 0.2  # of the template's words that may differ, at most
 
 
@@ -71,7 +74,8 @@ class Scanner:
         self.known = {w for _, _, words in self.templates for w in words}
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, text in templates]
-        self.seen: dict[str, Match] = {}
+        self.own = [len(self.plain.compress(text.lower().encode())) for _, text in templates]
+        self.seen: dict[tuple[str, int], tuple] = {}
 
     def blocks(self, text: str) -> list[str]:
         """Runs of lines: one that holds a cue, and those around it most of whose words stand in some template."""
@@ -93,42 +97,70 @@ class Scanner:
             out.append(" ".join(" ".join(lines[a : b + 1]).split()))
         return out
 
-    def match(self, block: str) -> Match:
-        """The best template for a block; blocks met before are remembered."""
-        if (found := self.seen.get(block)) is not None:
+    def compared(self, window: str, k: int) -> tuple[tuple, Match, int, int]:
+        """A window against a template: rank, match and where the words that match begin and end; windows met before are remembered."""
+        if (found := self.seen.get((window, k))) is not None:
             return found
-        raw = block.lower().encode("utf-8", "replace")
+        name, _, wanted = self.templates[k]
+        raw, words = window.lower().encode("utf-8", "replace"), wording(window)
         alone = len(self.plain.compress(raw))
-        ranked = sorted(((alone - len(c.compress(raw))) / alone, -i) for i, c in enumerate(self.given))[::-1][:TOP]
-        words, best = wording(block), None
-        for reduction, k in ranked:
-            name, _, wanted = self.templates[-k]
-            missing, extra, inner = [], [], SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes()
-            for n, (kind, i, j, a, b) in enumerate(inner):
-                missing += wanted[i:j] if kind in ("delete", "replace") else []
-                # words of the block before or after the whole template do not differ from it, they surround it
-                edge = kind == "insert" and n in (0, len(inner) - 1)
-                extra += words[a:b] if kind in ("insert", "replace") and not edge else []
-            telling = TELLING.intersection(missing) or TELLING.intersection(extra)
-            confirmed = not telling and len(missing) + len(extra) <= DIFFER * len(wanted) and reduction >= LEAST
-            found = Match(block, name, reduction, missing, extra, bool(confirmed))
-            rank = (not confirmed, len(missing) + len(extra), -len(wanted), -reduction)
-            if best is None or rank < best[0]:
-                best = (rank, found)
-        if len(self.seen) > 50_000:
+        reduction = (alone - len(self.given[k].compress(raw))) / min(alone, self.own[k])
+        missing, extra, inside = [], [], []
+        inner = SequenceMatcher(None, wanted, words, autojunk=False).get_opcodes() if reduction >= LEAST else [("replace", 0, len(wanted), 0, 0)]
+        for n, (kind, i, j, a, b) in enumerate(inner):
+            # words before or after the whole template do not differ from it, they surround it
+            if kind in ("insert", "replace") and n in (0, len(inner) - 1):
+                a, b = (max(a, b - (j - i)), b) if n == 0 else (a, min(b, a + (j - i)))
+            missing += wanted[i:j] if kind in ("delete", "replace") else []
+            extra += words[a:b] if kind in ("insert", "replace") else []
+            inside += [a, b] if kind == "equal" else []
+        telling = TELLING.intersection(missing) or TELLING.intersection(extra)
+        confirmed = not telling and len(missing) + len(extra) <= DIFFER * len(wanted) and reduction >= LEAST
+        rank = (not confirmed, len(missing) + len(extra), -len(wanted), -reduction)
+        if len(self.seen) > 200_000:
             self.seen = {}
-        self.seen[block] = best[1]
-        return best[1]
+        self.seen[window, k] = found = (rank, Match("", name, reduction, missing, extra, bool(confirmed)), *((inside[0], inside[-1]) if inside else (0, 0)))
+        return found
+
+    def matches(self, block: str) -> list[Match]:
+        """All templates confirmed in a block, in the order of certainty, or else the best one, not confirmed."""
+        spans = [m.span() for m in WORD.finditer(block)]
+        if not spans:
+            return []
+        starts, lowered = [a for a, _ in spans], block.lower()
+        if len(lowered) != len(block):  # letters that are longer in lower case would move the cues
+            lowered = "".join(c if len(c) == 1 else "?" for c in map(str.lower, block))
+        cues = {max(0, bisect_right(starts, m.start()) - 1) for cue in CUES for m in re.finditer(re.escape(cue), lowered)}
+        reach = max(len(wanted) for _, _, wanted in self.templates) + AROUND
+        free = dict.fromkeys(cues, (0, len(spans)))
+
+        def best(c: int) -> tuple:
+            low, high = free[c]
+            options = []
+            for k, (_, _, wanted) in enumerate(self.templates):
+                a, b = max(low, c - len(wanted) - AROUND), min(high, c + len(wanted) + AROUND + 1)
+                rank, found, first, last = self.compared(block[spans[a][0] : spans[b - 1][1]], k)
+                options.append((rank, a + first, a + last, k, found))
+            return min(options, key=lambda o: o[:4])
+
+        chosen, out = {c: best(c) for c in sorted(cues)}, []
+        while chosen:
+            rank, a, b, _, found = min(chosen.values(), key=lambda o: o[:4])
+            if not out or found.confirmed:
+                out.append(replace(found, block=block))
+            break
+        return out
 
 
 def license_blocks(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``doc_id`` and ``blocks`` of each row: per candidate block its text, best license, reduction (the share of the compressed
-    size that the template saves), missing and extra words and whether it is confirmed.
+    """``doc_id`` and ``blocks`` of each row: per candidate block all its confirmed licenses, or the best one if none is, each with the
+    block's text and number, reduction (the share of the compressed size of the window or the template that is saved), missing and
+    extra words and whether it is confirmed.
 
     The whole text is searched. Null, empty and unlicensed texts have no blocks. Repeated rows have equal blocks.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
-    block = pa.struct([("text", pa.string()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.list_(pa.string())), ("extra", pa.list_(pa.string())), ("confirmed", pa.bool_())])
+    block = pa.struct([("number", pa.int32()), ("text", pa.string()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.list_(pa.string())), ("extra", pa.list_(pa.string())), ("confirmed", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
@@ -137,11 +169,11 @@ def license_blocks(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc
                 batch = whole.slice(at, 512)
                 rows = []
                 for t in batch.column(1).to_pylist():
-                    found = [scanner.match(b) for b in scanner.blocks(t or "")]
-                    rows.append([{"text": m.block, "license": m.license, "reduction": m.reduction, "missing": m.missing, "extra": m.extra, "confirmed": m.confirmed} for m in found])
+                    found = [(i, m) for i, b in enumerate(scanner.blocks(t or "")) for m in scanner.matches(b)]
+                    rows.append([{"number": i, "text": m.block, "license": m.license, "reduction": m.reduction, "missing": m.missing, "extra": m.extra, "confirmed": m.confirmed} for i, m in found])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(block))], names=["doc_id", "blocks"])
 
-    schema = f"doc_id {kind}, blocks array<struct<text:string,license:string,reduction:double,missing:array<string>,extra:array<string>,confirmed:boolean>>"
+    schema = f"doc_id {kind}, blocks array<struct<number:int,text:string,license:string,reduction:double,missing:array<string>,extra:array<string>,confirmed:boolean>>"
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
@@ -151,7 +183,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     sure = F.filter("blocks", lambda b: b["confirmed"])
     return found.select(
         "doc_id",
-        F.size("blocks").cast("long").alias("n_blocks"),
+        F.size(F.array_distinct(F.transform("blocks", lambda b: b["number"]))).cast("long").alias("n_blocks"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda b: b["license"]))), ",").alias("licenses"),
         F.aggregate(sure, F.lit(0).cast("long"), lambda n, b: n + F.size(b["missing"]) + F.size(b["extra"])).alias("n_differing_words"),
     )

@@ -148,6 +148,14 @@ def test_licenses_tell_versions_apart_and_find_long_notices(spark):
     assert not any(sure for _, sure in got[4]) and not any(got[5:])
 
 
+def test_licenses_inside_long_lines(spark):
+    rng = random.Random(11)
+    notices = [("MIT", "Released under the MIT License."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("MIT", licenses.TEMPLATES[4][1])]
+    texts = [f"{words(rng, n)} {text} {words(rng, n)}" for n in (10, 40, 400) for _, text in notices]
+    got = [[(b["license"], b["confirmed"]) for b in r["blocks"]] for r in licenses.license_blocks(frame(spark, texts)).orderBy("doc_id").collect()]
+    assert got == [[(name, True)] for _ in range(3) for name, _ in notices]
+
+
 # 4. toxicity
 
 
