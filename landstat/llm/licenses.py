@@ -148,7 +148,18 @@ class Scanner:
             rank, a, b, _, found = min(chosen.values(), key=lambda o: o[:4])
             if not out or found.confirmed:
                 out.append(replace(found, block=block))
-            break
+            if not found.confirmed:
+                break
+            for c in list(chosen):
+                low, high = free[c]
+                if a <= c < b:
+                    del chosen[c]
+                elif c >= b > low:
+                    free[c] = (b, high)
+                elif c < a < high:
+                    free[c] = (low, a)
+                if c in chosen and (low, high) != free[c] and (c - reach <= b and c + reach >= a):
+                    chosen[c] = best(c)
         return out
 
 

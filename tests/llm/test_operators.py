@@ -156,6 +156,16 @@ def test_licenses_inside_long_lines(spark):
     assert got == [[(name, True)] for _ in range(3) for name, _ in notices]
 
 
+def test_licenses_all_notices_of_a_block(spark):
+    rng = random.Random(12)
+    mit, apache, cc = "Licensed under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-SA 4.0."
+    texts = [f"{mit}\n{apache}", f"{apache} {mit}", f"{words(rng, 60)} {cc} {words(rng, 30)} {mit} {apache} {words(rng, 60)}", f"{mit} {mit}", f"{mit}\n{licenses.TEMPLATES[4][1]}\n{cc}"]
+    rows = licenses.license_blocks(frame(spark, texts)).orderBy("doc_id").collect()
+    got = [sorted(b["license"] for b in r["blocks"] if b["confirmed"]) for r in rows]
+    assert got == [["Apache-2.0", "MIT"], ["Apache-2.0", "MIT"], ["Apache-2.0", "CC-BY-SA-4.0", "MIT"], ["MIT", "MIT"], ["CC-BY-SA-4.0", "MIT", "MIT"]]
+    assert all(not b["missing"] and not b["extra"] for r in rows for b in r["blocks"] if b["confirmed"]) and {b["number"] for b in rows[0]["blocks"]} == {0}
+
+
 # 4. toxicity
 
 
