@@ -101,12 +101,11 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
 
 def reference_sample(pixels: DataFrame, n_by_class: dict[int, int], meta: dict[str, float], seed: int = 0) -> DataFrame:
     """A stratified sample of a class map: exactly n pixels a class (or all there are) with ids and places."""
-    key = F.pmod((F.col("row").cast("long") * 100_003 + F.col("col") + seed) * 48271, F.lit(2147483647))
     wanted = F.coalesce(*[F.when(F.col("value") == k, F.lit(n)) for k, n in n_by_class.items()])
-    kept = pixels.withColumn("_n", wanted).filter(F.col("_n").isNotNull()).withColumn("_draw", key)
-    # a class may hold most pixels: only those that its smallest draws can hold reach the window of the class
-    sizes = kept.groupBy("value").agg(F.count("*").alias("_size"))
-    few_ = kept.join(F.broadcast(sizes), "value").filter(F.col("_draw") < 2147483647.0 * F.least(F.lit(1.0), (4.0 * F.col("_n") + 100) / F.col("_size")))
+    kept = pixels.withColumn("_n", wanted).filter(F.col("_n").isNotNull()).withColumn("_draw", F.xxhash64("row", "col", F.lit(seed)))
+    # a class may hold most pixels: the smallest draws of each of its parts, then of the class among them
+    parts = Window.partitionBy("value", F.pmod("_draw", F.lit(64))).orderBy("_draw", "row", "col")
+    few_ = kept.withColumn("_place", F.row_number().over(parts)).filter(F.col("_place") <= F.col("_n"))
     w = Window.partitionBy("value").orderBy("_draw", "row", "col")
     x, y = geo.pixel_center(F.col("row"), F.col("col"), meta)
     return few_.withColumn("sample_id", F.row_number().over(w)).filter(F.col("sample_id") <= F.col("_n")).select("value", "sample_id", "row", "col", x.alias("x"), y.alias("y"))
