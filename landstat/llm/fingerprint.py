@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-Only DataFrame and SQL functions. A text is cut into paragraphs at words that their own hash chooses, the more seldom the longer
-the text, so that equal passages give equal paragraphs and a text has one or two dozen of them. The digest of a paragraph goes into
+Only DataFrame and SQL functions. A text is cut into paragraphs at words that their own hash chooses, one in ``EVERY`` whatever
+the length of the text, so that equal passages give equal paragraphs; digests and sketches grow with the text. The digest of a paragraph goes into
 one cell of each of three tables; a cell keeps a count, the XOR of its digests and the XOR of their check values. Sketches of
 equal size subtract cell by cell, and equal digests cancel. A cell that then holds a single digest shows it; taking that out of
 its other cells (peeling) shows more, until the digests by which the two texts differ are known. If a small sketch does not
@@ -11,6 +11,8 @@ themselves are compared.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,21 +22,15 @@ from landstat.llm.decontaminate import let
 TABLES = 3
 BITS = 21  # of a digest that place it in each table
 ROUNDS = 12  # of peeling, at most
-TEXT_PER_PIECE = 75  # characters a paragraph may have before a rarer cutting word is used: a text has a dozen to two dozen paragraphs
+EVERY = 8  # words of a paragraph on average, in every text
 END = "\u0001"
 
 
-def grain(n_chars: Column) -> Column:
-    """Every how many words a paragraph ends on average, a power of two that follows the length of the text."""
-    g = F.floor(F.log2(F.greatest(F.lit(1.0), n_chars / F.lit(TEXT_PER_PIECE))))
-    return F.pow(F.lit(2.0), g).cast("int")
-
-
-def digests(text: Column, every: Column) -> Column:
-    """The different digests of a text's paragraphs; ``every`` is its ``grain``. A text without words has none."""
+def digests(text: Column) -> Column:
+    """The different digests of a text's paragraphs. A text without words has none."""
     words = F.split(text, "\\s+")
-    ends = lambda w, e: F.when(F.pmod(F.xxhash64(w), e) == 0, F.concat(w, F.lit(END))).otherwise(w)
-    pieces = let(every, lambda e: F.split(F.array_join(F.transform(words, lambda w: ends(w, e)), " "), f" ?{END} ?"))
+    ends = lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(EVERY)) == 0, F.concat(w, F.lit(END))).otherwise(w)
+    pieces = F.split(F.array_join(F.transform(words, ends), " "), f" ?{END} ?")
     return F.array_distinct(F.transform(F.filter(pieces, lambda p: F.trim(p) != ""), lambda p: F.xxhash64(p)))
 
 
@@ -47,6 +43,17 @@ def cell(count: Column, key: Column, check: Column) -> Column:
     return F.struct(count.cast("int").alias("c"), key.alias("k"), check.alias("s"))
 
 
+def by_cell(placed: Column, width: Column, fn: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``fn`` of a function from a cell to what is ``placed`` there; cells lie in groups, so that one looks at its own group only."""
+
+    def grouped(side: Column) -> Column:
+        group = lambda i: F.floor(i / side).cast("int")
+        groups = let(placed, lambda ps: F.transform(F.sequence(F.lit(0), group(width - 1)), lambda j: F.filter(ps, lambda x: group(x["p"]) == j)))
+        return let(groups, lambda gs: fn(lambda i: F.filter(F.get(gs, group(i)), lambda x: x["p"] == i)))
+
+    return let(F.ceil(F.sqrt(width)).cast("int"), grouped)
+
+
 def sketch(ds: Column, width: Column) -> Column:
     """Three tables of ``width`` cells each."""
     none = cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
@@ -54,7 +61,7 @@ def sketch(ds: Column, width: Column) -> Column:
     def one(of: int) -> Column:
         add = lambda a, d: cell(a["c"] + 1, a["k"].bitwiseXOR(d), a["s"].bitwiseXOR(F.xxhash64(d)))
         placed = F.transform(ds, lambda d: F.struct(place(d, of, width).alias("p"), d.alias("d")))
-        return let(placed, lambda ps: F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.aggregate(F.filter(ps, lambda x: x["p"] == i), none, lambda a, x: add(a, x["d"]))))
+        return by_cell(placed, width, lambda at: F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.aggregate(at(i), none, lambda a, x: add(a, x["d"]))))
 
     return F.array(*[one(of) for of in range(TABLES)])
 
@@ -88,9 +95,10 @@ def peel(tables: Column, width: Column) -> Column:
 
         def without(found: Column) -> Column:
             take = lambda a, x: cell(a["c"] - x["c"], a["k"].bitwiseXOR(x["k"]), a["s"].bitwiseXOR(F.xxhash64(x["k"])))
-            one = lambda of: let(
+            one = lambda of: by_cell(
                 F.transform(found, lambda x: F.struct(x["k"].alias("k"), x["c"].alias("c"), place(x["k"], of, width).alias("p"))),
-                lambda ps: F.transform(F.get(state["t"], F.lit(of)), lambda y, i: F.aggregate(F.filter(ps, lambda x: x["p"] == i), y, take)),
+                width,
+                lambda at: F.transform(F.get(state["t"], F.lit(of)), lambda y, i: F.aggregate(at(i), y, take)),
             )
             more = F.struct(F.array(*[one(of) for of in range(TABLES)]).alias("t"), F.concat(state["out"], found).alias("out"), F.lit(False).alias("done"))
             same = F.struct(state["t"].alias("t"), state["out"].alias("out"), F.lit(True).alias("done"))
@@ -167,25 +175,19 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         "n_before",
         F.struct(
             F.left("text", F.floor(F.col("n_before") / 4).cast("int")).alias("head"),
-            digests(F.col("text"), grain(F.greatest("n", "n_before"))).alias("digests"),
+            digests(F.col("text")).alias("digests"),
             F.col("n").alias("n"),
         ).alias("next"),
     )
     handed = handed.repartition("key").groupBy("key", "n_before").agg(F.min("next").alias("next"))
     both = dealt.join(handed, (dealt["key"] == handed["key"]) & (dealt["n"] <= handed["n_before"]) & (dealt["n"] >= handed["n_before"])).drop(handed["key"])
     both = both.withColumn("edited", F.concat(F.left("text", F.col("n") - F.floor(F.col("n") / 4).cast("int")), F.col("next.head")))
-    own, wide = grain(F.col("n")), grain(F.greatest("n", "next.n"))
-    cut = both.select(
-        "key", "n", "next", "text", "edited", digests(F.col("text"), own).alias("own"), digests(F.col("edited"), own).alias("changed")
-    )
-    out = cut.select(
+    out = both.select(
         F.when(F.col("key.has"), F.col("key.id")).alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        "own",
-        "changed",
-        F.when(grain(F.char_length("edited")) == own, F.col("changed")).otherwise(digests(F.col("edited"), grain(F.char_length("edited")))).alias("edited_own"),
-        F.when(wide == own, F.col("own")).otherwise(digests(F.col("text"), wide)).alias("own_wide"),
+        digests(F.col("text")).alias("own"),
+        digests(F.col("edited")).alias("changed"),
         F.col("next.digests").alias("next_digests"),
     )
     return out.select(
@@ -193,9 +195,9 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         "n_chars",
         "edited_sha256",
         written_out(F.col("own")).alias("fingerprint"),
-        written_out(F.col("edited_own")).alias("edited_fingerprint"),
+        written_out(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own_wide"), F.col("next_digests")).alias("near_next"),
+        likeness(F.col("own"), F.col("next_digests")).alias("near_next"),
     )
 
 

@@ -278,6 +278,17 @@ def test_fingerprints_recover_differences(spark):
     assert rows[0]["near_edited"] > 0.3
 
 
+def test_fingerprints_of_long_texts_see_small_edits_and_shared_passages(spark):
+    rng = random.Random(13)
+    long = words(rng, 6000).split()
+    edited = [w + "x" if i % 1000 == 500 else w for i, w in enumerate(long)]
+    passage = words(rng, 400)
+    texts = [" ".join(long), " ".join(edited), f"{words(rng, 5000)} {passage} {words(rng, 500)}", f"{words(rng, 300)} {passage} {words(rng, 5000)}"]
+    rows = fingerprint.edited_fingerprints(frame(spark, texts)).orderBy("doc_id").collect()
+    assert 0.95 < rows[0]["near_next"] < 1 and rows[0]["near_edited"] > 0.5 and rows[2]["near_next"] > 0.02 and rows[1]["near_next"] < 0.01
+    assert int(rows[0]["fingerprint"].split(";")[0]) > 500
+
+
 def test_peeling_finds_the_very_digests_or_says_that_it_cannot(spark):
     rng = random.Random(6)
     common = [rng.getrandbits(63) for _ in range(30)]
