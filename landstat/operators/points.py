@@ -66,15 +66,21 @@ def nearest(a: DataFrame, b: DataFrame, start_km: float = 50.0, most_km: float =
             return out
 
 
-def pairwise_distance(a: DataFrame, b: DataFrame) -> DataFrame:
+def pairwise_distance(a: DataFrame, b: DataFrame, block: int = 2_000) -> DataFrame:
     """Average, smallest (identical places left out) and largest distance of all pairs, in km.
 
-    This is the one operator whose answer needs every pair; the pairs are never stored, and each task adds up its own.
+    This is the one operator whose answer needs every pair. Equal places are counted first; then blocks of different places meet
+    by block, and each task adds up its own pairs, which are never stored.
     """
-    one = lambda df, n: df.select(F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}"))
+    one = lambda df, n: df.groupBy(F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}")).agg(F.count("*").alias(f"n{n}"))
+    left, right = one(a, 1), one(b, 2)
+    blocks = right.count() // block + 1
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = right.withColumn("block", F.pmod(F.xxhash64("lat2", "lon2"), F.lit(blocks)).cast("int"))
     d = geo.haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
     same = (F.col("lat1") == F.col("lat2")) & (F.col("lon1") == F.col("lon2"))
-    return one(a, 1).crossJoin(one(b, 2)).agg(F.avg(d).alias("avg_km"), F.min(F.when(~same, d)).alias("min_km"), F.max(d).alias("max_km"))
+    pairs = F.col("n1") * F.col("n2")
+    return left.join(right, "block").agg((F.sum(d * pairs) / F.sum(F.when(d.isNotNull(), pairs))).alias("avg_km"), F.min(F.when(~same, d)).alias("min_km"), F.max(d).alias("max_km"))
 
 
 def density_report(df: DataFrame, by: Sequence[str]) -> DataFrame:

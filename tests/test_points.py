@@ -1,8 +1,12 @@
 """Samples and distances against counts and brute force."""
 
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from landstat.operators import points as p
+from landstat.plans import bindings as b
 from landstat.plans.places import META
 
 
@@ -18,3 +22,23 @@ def test_reference_sample_of_clumped_classes_is_exact(spark):
     assert len({(r["row"], r["col"]) for r in got}) == len(got) == 407
     again = p.reference_sample(pixels.repartition(3), {k: 50 for k in range(9)}, META).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
+def km(p1, p2):
+    (a, c), (d, e) = (map(math.radians, x) for x in (p1, p2))
+    h = math.sin((d - a) / 2) ** 2 + math.cos(a) * math.cos(d) * math.sin((e - c) / 2) ** 2
+    return 6371 * 2 * math.atan2(math.sqrt(h), math.sqrt(max(0.0, 1 - h)))
+
+
+def test_distances_of_the_whole_table_against_brute_force(spark, sf):
+    whole = b.points(spark, sf).select("id", "lat", "lon")
+    whole = whole.unionByName(whole.filter("id <= 5").withColumn("id", F.col("id") + 1_000_000))  # places that occur twice
+    rows = {r["id"]: (r["lat"], r["lon"]) for r in whole.collect()}
+    all_km = {(i, j): km(x, y) for i, x in rows.items() for j, y in rows.items()}
+    near = {(r["id_a"], r["id_b"]): r["km"] for r in p.within_distance(whole, whole, 300.0).filter("id_a <> id_b").collect()}
+    assert near.keys() == {k for k, d in all_km.items() if d <= 300 and k[0] != k[1]} and all(d == pytest.approx(all_km[k], abs=1e-6) for k, d in near.items())
+    frame = p.pairwise_distance(whole, whole, block=20)
+    assert "CartesianProduct" not in (plan := frame._jdf.queryExecution().toString()) and "NestedLoop" not in plan
+    got = frame.first()
+    assert got["avg_km"] == pytest.approx(sum(all_km.values()) / len(all_km)) and got["max_km"] == pytest.approx(max(all_km.values()))
+    assert got["min_km"] == pytest.approx(min(d for (i, j), d in all_km.items() if rows[i] != rows[j]))
