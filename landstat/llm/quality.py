@@ -13,17 +13,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landstat.llm.labelled import fit_in_one_task, remainder, sample, score
+from landstat.llm.labelled import fit_in_one_task, remainder, sample, score_of
 from landstat.llm.common import table
 
 DIM, ONES = 64, 6  # length of index vectors, and how many of their places are not zero
 REACH = 2  # neighbours on either side that a context vector gathers
 SAMPLE = 8_000  # labelled rows to learn from, at most
+LEAST = 0.3  # the score from which a text is taken
 VOCABULARY, FEWEST = 60_000, 3  # words with a context vector, at most, and times that such a word occurs, at least
 KEPT = 120_000  # words whose vectors a worker remembers
+LONGEST = 40  # characters of a word
+STEP = 65_536  # words whose vectors are added up at once
 HIDDEN, EPOCHS, RATE, DECAY, HELD = 24, 60, 0.003, 1e-4, 5  # every HELD-th row of the sample sets the temperature
 
 
@@ -42,10 +45,18 @@ RUN = re.compile(r"(.)\1+", re.S)
 
 def form(word: str) -> str:
     """The form of a word: A, a, 9 for runs of upper case, lower case and digits; other characters as they are, runs of two at most."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return RUN.sub(lambda m: m[1] if m[1] in "Aa9" else m[1] * 2, kinds)
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text; a stretch without spaces of more than LONGEST characters counts as pieces of that length, end to end."""
+    words = text.split()
+    if len(text) > LONGEST and len(max(words, key=len, default="")) > LONGEST:
+        words = [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+    return words
+
+
 @dataclass
 class Model:
     context: dict[str, int]  # rows of vectors
@@ -92,7 +103,7 @@ class Pooler:
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), 2 * DIM + 3))
-        parts = [t.split() for t in texts]
+        parts = [words_of(t) for t in texts]
         new = set().union(*parts).difference(self.ids)
         if len(self.ids) + len(new) > KEPT:
             self.clear()
@@ -104,8 +115,8 @@ class Pooler:
                 out[i, -1] = 1.0
                 continue
             ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
-            for a in range(0, len(ids), 65_536):
-                out[i, : 2 * DIM] += self.vectors[ids[a : a + 65_536]].sum(0, dtype=np.float64)
+            for a in range(0, len(ids), STEP):
+                out[i, : 2 * DIM] += self.vectors[ids[a : a + STEP]].sum(0, dtype=np.float64)
             out[i, : 2 * DIM] /= len(ids)
             out[i, -3] = np.mean(ids[1:] == ids[:-1]) if len(ids) > 1 else 0.0
             out[i, -2] = np.log1p(len(ids)) / 10
@@ -116,19 +127,22 @@ def context_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Context vectors of the words that occur FEWEST times at least, the VOCABULARY most frequent of them."""
     counts: dict[str, int] = {}
     for t in texts:
-        for w in t.split():
+        for w in words_of(t):
             counts[w] = counts.get(w, 0) + 1
     words = sorted((w for w, n in counts.items() if n >= FEWEST), key=lambda w: (-counts[w], w))[:VOCABULARY]
     ids = {w: i for i, w in enumerate(words)}
     index = np.concatenate([index_vectors(words, 1), np.zeros((1, DIM), np.float32)])
     total = np.zeros((len(words) + 1, DIM), dtype=np.float32)
     for t in texts:
-        row = np.fromiter((ids.get(w, len(words)) for w in t.split()), np.int64)
-        near = np.zeros((len(row), DIM), dtype=np.float32)
-        for k in range(1, REACH + 1):
-            near[k:] += index[row[:-k]]
-            near[:-k] += index[row[k:]]
-        np.add.at(total, row, near)
+        row = np.fromiter((ids.get(w, len(words)) for w in words_of(t)), np.int64)
+        for a in range(0, len(row), STEP):
+            some = row[a : a + STEP]
+            near = np.zeros((len(some), DIM), dtype=np.float32)
+            for k in range(1, REACH + 1):
+                before, after = row[max(0, a - k) : a + len(some) - k], row[a + k : a + len(some) + k]
+                near[len(some) - len(before) :] += index[before]
+                near[: len(after)] += index[after]
+            np.add.at(total, some, near)
     norms = np.linalg.norm(total, axis=1, keepdims=True)
     total /= np.where(norms > 0, norms, 1)
     return ids, total[:-1].copy()
@@ -197,17 +211,31 @@ def scorer(model: Model):
     return of
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, most_rows: int = SAMPLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` and held_out (boolean), score (double, 0 to 1, higher: quality 1 likelier) and predicted (score >= 0.3).
+def quality_score(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, most_rows: int = SAMPLE, text: str = "text", doc_id: str = "doc_id") -> Column:
+    """The score of each row of ``docs`` (double, 0 to 1, higher: quality 1 likelier) as a column; fits the model at once.
 
     Learns from at most ``most_rows`` labelled rows whose crc32(id) modulo ``mod`` is not ``held``; only the text is an input.
-    Null and empty texts get a score like any other; a null id is not held out. Without any label all scores are 0.5.
-    Repeated rows get equal scores. Columns of the three names are replaced.
     """
     rows, share = sample(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labels, "quality", remainder(F.col("doc_id"), mod) != held, most_rows)
     model = fit_in_one_task(rows, lambda texts, y: fit(texts, y, share))
-    docs = docs.withColumn("held_out", F.coalesce(remainder(F.col(doc_id), mod) == held, F.lit(False)))
-    return score(docs, model, scorer, text, "score").withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    return score_of(docs.sparkSession, model, scorer, F.col(text))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, most_rows: int = SAMPLE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` and held_out (boolean), score (``quality_score``) and predicted (score >= 0.3).
+
+    Null and empty texts get a score like any other; a null id is not held out. Without any label all scores are 0.5; with
+    labels of one class only, all scores lean to that class. Repeated rows get equal scores. Columns of the three names are replaced.
+    """
+    docs = docs.drop("held_out", "score", "predicted")
+    value = quality_score(docs, labels, mod, held, most_rows, text, doc_id)
+    docs = docs.withColumn("held_out", F.coalesce(remainder(F.col(doc_id), mod) == held, F.lit(False))).withColumn("score", value)
+    return docs.withColumn("predicted", (F.col("score") >= LEAST).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = LEAST, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose score is ``least`` or more, as they are; all columns stay, whatever their names."""
+    return docs.filter(quality_score(docs, labels, text=text, doc_id=doc_id) >= least)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstat.llm.common import table
-from landstat.llm.labelled import fit_in_one_task, remainder, sample, score
+from landstat.llm.labelled import fit_in_one_task, remainder, sample, score_of
 
 SAMPLE = 8_000  # labelled rows to learn from, at most
 FEATURES = 2_048  # words and beginnings that may carry weight, at most
@@ -152,10 +152,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int
     Null and empty texts get the score of a text without any known word; a null id is not held out. Without any label all
     scores are 0.5. Repeated rows get equal scores. Columns of the three names are replaced.
     """
+    docs = docs.drop("held_out", "score", "predicted")
     rows, share = sample(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labels, "toxic", remainder(F.col("doc_id"), mod) != held, most_rows)
     model = fit_in_one_task(rows, lambda texts, y: fit(texts, y, share, groups, penalty))
     docs = docs.withColumn("held_out", F.coalesce(remainder(F.col(doc_id), mod) == held, F.lit(False)))
-    return score(docs, model, scorer, text, "score").withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+    docs = docs.withColumn("score", score_of(docs.sparkSession, model, scorer, F.col(text)))
+    return docs.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
