@@ -17,9 +17,7 @@ from landstat.llm.common import fresh, shared_dir, table
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier takes (predicted 1), unchanged."""
-    inner = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    scored = quality.quality_scores(inner, table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("predicted") == 1).select("row.*")
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
