@@ -69,37 +69,35 @@ class Model:
 
 
 class Pooler:
-    """Document vectors; remembers the vectors of words it has met."""
+    """Document vectors; remembers the vectors and the forms of words it has met."""
 
     def __init__(self, context: dict[str, int], known: np.ndarray):
         self.context, self.known = context, known
-        self.forms: dict[str, np.ndarray] = {}
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
-        self.vectors = np.zeros((1024, 2 * DIM), dtype=np.float32)
+        self.forms: dict[str, int] = {}
+        self.vectors, self.form_of, self.form_vectors = np.zeros((1024, DIM), np.float32), np.zeros(1024, np.int32), np.zeros((0, DIM), np.float32)
 
     def learn(self, words: set[str]) -> None:
-        size = len(self.vectors)
-        while len(self.ids) + len(words) > size:
-            size *= 2
-        if size > len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros((size - len(self.vectors), 2 * DIM), dtype=np.float32)])
         new, first = sorted(words), len(self.ids)
+        if first + len(new) > len(self.vectors):
+            size = max(first + len(new), len(self.vectors) * 3 // 2)
+            self.vectors.resize((size, DIM), refcheck=False)
+            self.form_of.resize(size, refcheck=False)
         self.ids.update(zip(new, range(first, first + len(new))))
         rows = self.vectors[first : first + len(new)]
-        rows[:, :DIM] = index_vectors(new, 1)
+        rows[:] = index_vectors(new, 1)
         met = [(i, self.context[w]) for i, w in enumerate(new) if w in self.context]
         if met:
             at, row = map(list, zip(*met))
-            rows[at, :DIM] = self.known[row]
+            rows[at] = self.known[row]
         forms = [form(w) for w in new]
-        if len(self.forms) > 20_000:
-            self.forms = {}
         if unknown := sorted(set(forms).difference(self.forms)):
-            self.forms.update(zip(unknown, index_vectors(unknown, 2)))
-        rows[:, DIM:] = [self.forms[f] for f in forms]
+            self.forms.update(zip(unknown, range(len(self.forms), len(self.forms) + len(unknown))))
+            self.form_vectors = np.concatenate([self.form_vectors, index_vectors(unknown, 2)])
+        self.form_of[first : first + len(new)] = [self.forms[f] for f in forms]
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), 2 * DIM + 3))
@@ -116,7 +114,9 @@ class Pooler:
                 continue
             ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
             for a in range(0, len(ids), STEP):
-                out[i, : 2 * DIM] += self.vectors[ids[a : a + STEP]].sum(0, dtype=np.float64)
+                some = ids[a : a + STEP]
+                out[i, :DIM] += self.vectors[some].sum(0, dtype=np.float64)
+                out[i, DIM : 2 * DIM] += self.form_vectors[self.form_of[some]].sum(0, dtype=np.float64)
             out[i, : 2 * DIM] /= len(ids)
             out[i, -3] = np.mean(ids[1:] == ids[:-1]) if len(ids) > 1 else 0.0
             out[i, -2] = np.log1p(len(ids)) / 10
