@@ -1,29 +1,26 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 Only DataFrame and SQL functions. A text is cut into paragraphs at words that their own hash chooses, one in ``EVERY`` whatever
-the length of the text, so that equal passages give equal paragraphs; digests and sketches grow with the text. The digest of a paragraph goes into
-one cell of each of three tables; a cell keeps a count, the XOR of its digests and the XOR of their check values. Sketches of
+the length of the text, so that equal passages give equal paragraphs; digests and sketches grow with the text. The digest of
+a paragraph goes into one cell of each of three tables; a cell keeps a count, the XOR of its digests and the XOR of their check values. Sketches of
 equal size subtract cell by cell, and equal digests cancel. A cell that then holds a single digest shows it; taking that out of
-its other cells (peeling) shows more, until the digests by which the two texts differ are known. If a small sketch does not
-peel, one of twice the size is tried; beyond that a sketch would hold more cells than there are digests, and the digests
-themselves are compared.
+its other cells (peeling) shows more, until the digests by which the two texts differ are known. If the fingerprints' own
+sketches do not peel, larger ones are tried until they do; the likeness of two texts always comes from peeled digests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstat.llm.common import checkpointed, table
-from landstat.llm.decontaminate import let
 
 TABLES = 3
 BITS = 21  # of a digest that place it in each table
 ROUNDS = 12  # of peeling, at most
 EVERY = 8  # words of a paragraph on average, in every text
 END = "\u0001"
+FOUND = "array<struct<k:bigint,c:int>>"
 
 
 def digests(text: Column) -> Column:
@@ -34,109 +31,119 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(pieces, lambda p: F.trim(p) != ""), lambda p: F.xxhash64(p)))
 
 
-def place(digest: Column, of: int, width: Column) -> Column:
-    """The cell of a digest in table ``of``; halving ``width`` folds a table upon itself."""
-    return F.pmod(F.shiftrightunsigned(digest, BITS * of).bitwiseAND(F.lit((1 << BITS) - 1)), width)
+# The expressions below are SQL texts: they have many small nodes, and the parser makes them at once.
 
 
-def cell(count: Column, key: Column, check: Column) -> Column:
-    return F.struct(count.cast("int").alias("c"), key.alias("k"), check.alias("s"))
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def by_cell(placed: Column, width: Column, fn: Callable[[Callable[[Column], Column]], Column]) -> Column:
-    """``fn`` of a function from a cell to what is ``placed`` there; cells lie in groups, so that one looks at its own group only."""
+def place(digest: str, of: int, width: str) -> str:
+    """The cell of a digest in table ``of``; halving ``width`` folds a table upon itself."""
+    return f"pmod(shiftrightunsigned({digest}, {BITS * of}) & {(1 << BITS) - 1}L, {width})"
 
-    def grouped(side: Column) -> Column:
-        group = lambda i: F.floor(i / side).cast("int")
-        groups = let(placed, lambda ps: F.transform(F.sequence(F.lit(0), group(width - 1)), lambda j: F.filter(ps, lambda x: group(x["p"]) == j)))
-        return let(groups, lambda gs: fn(lambda i: F.filter(F.get(gs, group(i)), lambda x: x["p"] == i)))
 
-    return let(F.ceil(F.sqrt(width)).cast("int"), grouped)
+def cell(count: str, key: str, check: str) -> str:
+    return f"named_struct('c', {count}, 'k', {key}, 's', {check})"
 
 
-def sketch(ds: Column, width: Column) -> Column:
-    """Three tables of ``width`` cells each."""
-    none = cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+def by_cell(placed: str, width: str, body: str) -> str:
+    """``body`` in which AT(i) is what is ``placed`` in cell i; cells lie in groups, so that one looks at its own group only."""
+    at = "filter(get(gs, cast(i div side as int)), x -> x.p = i)"
+    groups = f"transform(sequence(0, cast(({width} - 1) div side as int)), j -> filter(ps, x -> x.p div side = j))"
+    return let("side", f"cast(ceil(sqrt({width})) as int)", let("ps", placed, let("gs", groups, body.replace("AT(i)", at))))
 
-    def one(of: int) -> Column:
-        add = lambda a, d: cell(a["c"] + 1, a["k"].bitwiseXOR(d), a["s"].bitwiseXOR(F.xxhash64(d)))
-        placed = F.transform(ds, lambda d: F.struct(place(d, of, width).alias("p"), d.alias("d")))
-        return by_cell(placed, width, lambda at: F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.aggregate(at(i), none, lambda a, x: add(a, x["d"]))))
 
-    return F.array(*[one(of) for of in range(TABLES)])
+def sketch(ds: str, width: str) -> str:
+    """Three tables of ``width`` cells each."""
+    add = cell("acc.c + 1", "acc.k ^ x.d", "acc.s ^ xxhash64(x.d)")
 
+    def one(of: int) -> str:
+        placed = f"transform({ds}, d -> named_struct('p', {place('d', of, width)}, 'd', d))"
+        return by_cell(placed, width, f"transform(sequence(0, {width} - 1), i -> aggregate(AT(i), {cell('0', '0L', '0L')}, (acc, x) -> {add}))")
 
-def half(tables: Column) -> Column:
-    """The sketch of half the width, from one of an even width: cells that then share a place are added."""
+    return f"array({', '.join(map(one, range(TABLES)))})"
 
-    def fold(t: Column) -> Column:
-        n = (F.size(t) / 2).cast("int")
-        add = lambda x, y: cell(x["c"] + y["c"], x["k"].bitwiseXOR(y["k"]), x["s"].bitwiseXOR(y["s"]))
-        return F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, n + 1, n), add)
 
-    return F.transform(tables, fold)
+def folded(tables: str, width: str) -> str:
+    """The sketch of a smaller width (powers of two), from a larger one: cells that then share a place are added."""
+    half = "cast(size(t) div 2 as int)"
+    halved = f"zip_with(slice(t, 1, {half}), slice(t, {half} + 1, {half}), (x, y) -> {cell('x.c + y.c', 'x.k ^ y.k', 'x.s ^ y.s')})"
+    halvings = f"sequence(1, cast(round(log2(size({tables}[0]) / {width})) as int))"
+    return f"case when size({tables}[0]) > {width} then aggregate({halvings}, {tables}, (ts, n) -> transform(ts, t -> {halved})) else {tables} end"
 
 
-def subtract(a: Column, b: Column) -> Column:
+def subtract(a: str, b: str) -> str:
     """Cell by cell; sketches of equal width."""
-    less = lambda x, y: cell(x["c"] - y["c"], x["k"].bitwiseXOR(y["k"]), x["s"].bitwiseXOR(y["s"]))
-    return F.zip_with(a, b, lambda t, u: F.zip_with(t, u, less))
+    return f"zip_with({a}, {b}, (t, u) -> zip_with(t, u, (x, y) -> {cell('x.c - y.c', 'x.k ^ y.k', 'x.s ^ y.s')}))"
 
 
-def peel(tables: Column, width: Column) -> Column:
+def peel(diff: str, width: str) -> str:
     """The digests left in a difference as an array of (k, c), c 1 or -1 by the side it is on; null if they do not all come out."""
-    kind = "array<struct<k:bigint,c:int>>"
+    single = "filter(flatten(st.t), x -> abs(x.c) = 1 and xxhash64(x.k) = x.s)"
+    side = lambda c: f"transform(array_distinct(transform(filter(single, x -> x.c = {c}), x -> x.k)), k -> named_struct('k', k, 'c', {c}))"
+    take = cell("y.c - x.c", "y.k ^ x.k", "y.s ^ xxhash64(x.k)")
 
-    def step(state: Column, _: Column) -> Column:
-        single = F.transform(
-            F.filter(F.flatten(state["t"]), lambda x: (F.abs(x["c"]) == 1) & (F.xxhash64(x["k"]) == x["s"])),
-            lambda x: F.struct(x["k"].alias("k"), x["c"].alias("c")),
-        )
+    def one(of: int) -> str:
+        placed = f"transform(found, x -> named_struct('k', x.k, 'c', x.c, 'p', {place('x.k', of, width)}))"
+        return by_cell(placed, width, f"transform(st.t[{of}], (z, i) -> aggregate(AT(i), z, (y, x) -> {take}))")
 
-        def without(found: Column) -> Column:
-            take = lambda a, x: cell(a["c"] - x["c"], a["k"].bitwiseXOR(x["k"]), a["s"].bitwiseXOR(F.xxhash64(x["k"])))
-            one = lambda of: by_cell(
-                F.transform(found, lambda x: F.struct(x["k"].alias("k"), x["c"].alias("c"), place(x["k"], of, width).alias("p"))),
-                width,
-                lambda at: F.transform(F.get(state["t"], F.lit(of)), lambda y, i: F.aggregate(at(i), y, take)),
-            )
-            more = F.struct(F.array(*[one(of) for of in range(TABLES)]).alias("t"), F.concat(state["out"], found).alias("out"), F.lit(False).alias("done"))
-            same = F.struct(state["t"].alias("t"), state["out"].alias("out"), F.lit(True).alias("done"))
-            return F.when(F.size(found) > 0, more).otherwise(same)
+    more = f"named_struct('t', array({', '.join(map(one, range(TABLES)))}), 'out', concat(st.out, found), 'done', false)"
+    step = let("single", single, let("found", f"concat({side(1)}, {side(-1)})", f"case when size(found) > 0 then {more} else named_struct('t', st.t, 'out', st.out, 'done', true) end"))
+    start = f"named_struct('t', {diff}, 'out', cast(array() as {FOUND}), 'done', false)"
+    clear = "forall(flatten(st.t), x -> x.c = 0 and x.k = 0 and x.s = 0)"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, r) -> case when st.done then st else {step} end, st -> case when {clear} then st.out end)"
 
-        return F.when(state["done"], state).otherwise(let(F.array_distinct(single), without))
 
-    start = F.struct(tables.alias("t"), F.array().cast(kind).alias("out"), F.lit(False).alias("done"))
-    clear = lambda t: F.forall(F.flatten(t), lambda x: (x["c"] == 0) & (x["k"] == 0) & (x["s"] == 0))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.when(clear(s["t"]), s["out"]))
+def power(x: str) -> str:
+    """The least power of two that is ``x`` or more."""
+    return f"cast(pow(2.0D, ceil(log2({x}))) as int)"
 
 
-def width_of(n: Column) -> Column:
-    """The width of the larger sketch of ``n`` digests: even, three tables of it hold as many cells as there are digests."""
-    return (2 * F.ceil(F.greatest(n, F.lit(6)) / 6)).cast("int")
+def width_of(ds: str) -> str:
+    """The width of the fingerprint of these digests: its three tables hold half to all as many cells as there are digests."""
+    return power(f"greatest(size({ds}), 24) / 6")
 
 
-def difference(a: Column, b: Column) -> Column:
-    """How many digests are in one of two arrays only: by sketches of half and of full width, else by the digests themselves."""
+def digests_apart(diff: str, excess: str, width: str) -> str:
+    """About how many digests differ: the mean squared sum of a table's counts, less what ``excess`` more digests on one side add."""
+    squares = f"aggregate(flatten({diff}), 0.0D, (n, x) -> n + double(x.c) * x.c)"
+    return f"({squares} / {TABLES} - double({excess}) * ({excess}) / {width}) * {width} / ({width} - 1)"
 
-    def at(width: Column) -> Column:
-        sized = lambda col: F.when(col >= 0, col)  # noqa: E731  the size of null may be -1
-        return let(subtract(sketch(a, width), sketch(b, width)), lambda diff: F.coalesce(sized(F.size(peel(half(diff), (width / 2).cast("int")))), sized(F.size(peel(diff, width)))))
 
-    exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
-    return F.coalesce(let(width_of(F.greatest(F.size(a), F.size(b))), at), exact)
+def larger(a: str, b: str, width: str) -> str:
+    """What ``peel`` finds between two arrays of digests with sketches of ``width`` or, until they peel, of twice as much."""
+    found = peel(subtract(sketch(a, "big.w"), sketch(b, "big.w")), "big.w")
+    step = f"case when big.out is not null then big else named_struct('w', 2 * big.w, 'out', {found}) end"
+    return f"aggregate(sequence(1, {BITS}), named_struct('w', {width}, 'out', cast(null as {FOUND})), (big, n) -> {step}, big -> big.out)"
+
+
+def with_differences(rows: DataFrame, pairs: dict[str, tuple[str, str, str, str]]) -> DataFrame:
+    """``rows`` and, by its name, a column of the digests by which each pair differs: (digests, digests, difference of their
+    sketches, its width).
+
+    A difference that does not peel is tried again with larger sketches, at first as wide as the digests need that seem to
+    differ; more of them than there are cells are not peeled in vain. Widths grow until all digests come out. Each step is a
+    column of its own, so that what several of its uses share is computed once.
+    """
+    columns = lambda some: rows.withColumns({n: F.expr(x) for n, x in some.items()})
+    rows = columns({f"{n}_{k}": x for n, (_, _, diff, width) in pairs.items() for k, x in (("diff", diff), ("w", width))})
+    rows = columns({f"{n}_guess": digests_apart(f"{n}_diff", f"size({a}) - size({b})", f"{n}_w") for n, (a, b, _, _) in pairs.items()})
+    rows = columns({f"{n}_first": f"case when {n}_guess <= {TABLES} * {n}_w then {peel(f'{n}_diff', f'{n}_w')} end" for n in pairs})
+    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, {power(f'greatest({n}_guess, 8) / 2')})')})" for n, (a, b, _, _) in pairs.items()})
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """The share of the digests of two texts that both have, 0 to 1; 1 if neither has any."""
-    n = F.size(a) + F.size(b)
-    return F.when(n == 0, F.lit(1.0)).otherwise(let(difference(a, b), lambda d: ((n - d) / (n + d)).cast("double")))
+def likeness(a: str, b: str, differing: str) -> str:
+    """The share of the digests of two texts that both have, 0 to 1, from those that differ; 1 if neither has any."""
+    n, d = f"(size({a}) + size({b}))", f"size({differing})"
+    return f"case when {n} = 0 then 1.0D else double(({n} - {d}) / ({n} + {d})) end"
 
 
-def written_out(ds: Column) -> Column:
-    """The half-width sketch as a string: the number of digests, then count, XOR of digests and of check values of each cell."""
-    cells = F.flatten(half(sketch(ds, width_of(F.size(ds)))))
-    return F.concat_ws(";", F.size(ds).cast("string"), F.array_join(F.transform(cells, lambda x: F.when(x["c"] == 0, F.lit("")).otherwise(F.concat_ws(":", x["c"].cast("string"), F.hex(x["k"]), F.hex(x["s"])))), ","))
+def written_out(ds: str, tables: str) -> str:
+    """A sketch as a string: the number of digests, then count, XOR of digests and of check values of each cell."""
+    shown = "case when x.c = 0 then '' else concat_ws(':', string(x.c), hex(x.k), hex(x.s)) end"
+    return f"concat_ws(';', string(size({ds})), array_join(transform(flatten({tables}), x -> {shown}), ','))"
 
 
 def next_ids(keys: DataFrame) -> DataFrame:
@@ -188,16 +195,21 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
         F.sha2("edited", 256).alias("edited_sha256"),
         digests(F.col("text")).alias("own"),
         digests(F.col("edited")).alias("changed"),
-        F.col("next.digests").alias("next_digests"),
+        F.col("next.digests").alias("after"),
     )
+    out = out.withColumns({"own_width": F.expr(width_of("own")), "changed_width": F.expr(width_of("changed"))})
+    out = out.withColumns({"own_tables": F.expr(sketch("own", "own_width")), "changed_tables": F.expr(sketch("changed", "changed_width"))})
+    common = "least(own_width, changed_width)"
+    edit = subtract(folded("own_tables", common), folded("changed_tables", common))
+    out = with_differences(out, {"edit": ("own", "changed", edit, common), "next": ("own", "after", subtract("own_tables", sketch("after", "own_width")), "own_width")})
     return out.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        written_out(F.col("own")).alias("fingerprint"),
-        written_out(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_digests")).alias("near_next"),
+        F.expr(written_out("own", "own_tables")).alias("fingerprint"),
+        F.expr(written_out("changed", "changed_tables")).alias("edited_fingerprint"),
+        F.expr(likeness("own", "changed", "edit")).alias("near_edited"),
+        F.expr(likeness("own", "after", "next")).alias("near_next"),
     )
 
 
