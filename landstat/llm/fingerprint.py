@@ -39,61 +39,51 @@ def let(name: str, value: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def place(digest: str, of: int, width: str) -> str:
-    """The cell of a digest in table ``of``; halving ``width`` folds a table upon itself."""
-    return f"pmod(shiftrightunsigned({digest}, {BITS * of}) & {(1 << BITS) - 1}L, {width})"
+def placed(ds: str, width: str, count: str, digest: str) -> str:
+    """The entries of an array: a cell (p, c, k, s) in each table for each element d, by the SQL of its ``count`` and ``digest``."""
+    at = lambda of: f"int(shiftrightunsigned({digest}, {BITS * of}) & ({width} - 1)) + {of} * {width}"
+    one = lambda of: f"transform({ds}, d -> named_struct('p', {at(of)}, 'c', {count}, 'k', {digest}, 's', xxhash64({digest})))"
+    return f"concat({', '.join(map(one, range(TABLES)))})"
 
 
-def cell(count: str, key: str, check: str) -> str:
-    return f"named_struct('c', {count}, 'k', {key}, 's', {check})"
+def summed(entries: str) -> str:
+    """The cells that entries add up to, in the order of their places; cells that are empty again are left out.
 
-
-def by_cell(placed: str, width: str, body: str) -> str:
-    """``body`` in which AT(i) is what is ``placed`` in cell i; cells lie in groups, so that one looks at its own group only."""
-    at = "filter(get(gs, cast(i div side as int)), x -> x.p = i)"
-    groups = f"transform(sequence(0, cast(({width} - 1) div side as int)), j -> filter(ps, x -> x.p div side = j))"
-    return let("side", f"cast(ceil(sqrt({width})) as int)", let("ps", placed, let("gs", groups, body.replace("AT(i)", at))))
+    Entries are put in order by numbers that hold place and index; each run of one place becomes a cell.
+    """
+    starts = "filter(transform(qs, (q, i) -> case when i = 0 or shiftright(q, 32) <> shiftright(get(qs, i - 1), 32) then i end), i -> i is not null)"
+    entry = "get(es, int({} & 4294967295L))".format
+    add = "named_struct('p', x.p, 'c', acc.c + x.c, 'k', acc.k ^ x.k, 's', acc.s ^ x.s)"
+    total = f"aggregate(slice(qs, a + 2, get(ends, j) - a - 1), {entry('get(qs, a)')}, (acc, q) -> {let('x', entry('q'), add)})"
+    cells = f"filter(transform(starts, (a, j) -> case when get(ends, j) = a + 1 then {entry('get(qs, a)')} else {total} end), x -> x.c <> 0 or x.k <> 0 or x.s <> 0)"
+    cells = let("ends", "concat(slice(starts, 2, size(qs)), array(size(qs)))", cells)
+    return let("es", entries, let("qs", "sort_array(transform(es, (x, i) -> shiftleft(bigint(x.p), 32) | i))", let("starts", starts, cells)))
 
 
 def sketch(ds: str, width: str) -> str:
-    """Three tables of ``width`` cells each."""
-    add = cell("acc.c + 1", "acc.k ^ x.d", "acc.s ^ xxhash64(x.d)")
-
-    def one(of: int) -> str:
-        placed = f"transform({ds}, d -> named_struct('p', {place('d', of, width)}, 'd', d))"
-        return by_cell(placed, width, f"transform(sequence(0, {width} - 1), i -> aggregate(AT(i), {cell('0', '0L', '0L')}, (acc, x) -> {add}))")
-
-    return f"array({', '.join(map(one, range(TABLES)))})"
+    """Three tables of ``width`` cells each, end to end: those that are not empty."""
+    return summed(placed(ds, width, "1", "d"))
 
 
-def folded(tables: str, width: str) -> str:
+def folded(cells: str, width: str, narrow: str) -> str:
     """The sketch of a smaller width (powers of two), from a larger one: cells that then share a place are added."""
-    half = "cast(size(t) div 2 as int)"
-    halved = f"zip_with(slice(t, 1, {half}), slice(t, {half} + 1, {half}), (x, y) -> {cell('x.c + y.c', 'x.k ^ y.k', 'x.s ^ y.s')})"
-    halvings = f"sequence(1, cast(round(log2(size({tables}[0]) / {width})) as int))"
-    return f"case when size({tables}[0]) > {width} then aggregate({halvings}, {tables}, (ts, n) -> transform(ts, t -> {halved})) else {tables} end"
+    moved = f"transform({cells}, x -> named_struct('p', int(x.p div {width} * {narrow} + pmod(x.p, {narrow})), 'c', x.c, 'k', x.k, 's', x.s))"
+    return f"case when {width} > {narrow} then {summed(moved)} else {cells} end"
 
 
 def subtract(a: str, b: str) -> str:
     """Cell by cell; sketches of equal width."""
-    return f"zip_with({a}, {b}, (t, u) -> zip_with(t, u, (x, y) -> {cell('x.c - y.c', 'x.k ^ y.k', 'x.s ^ y.s')}))"
+    return summed(f"concat({a}, transform({b}, x -> named_struct('p', x.p, 'c', -x.c, 'k', x.k, 's', x.s)))")
 
 
 def peel(diff: str, width: str) -> str:
     """The digests left in a difference as an array of (k, c), c 1 or -1 by the side it is on; null if they do not all come out."""
-    single = "filter(flatten(st.t), x -> abs(x.c) = 1 and xxhash64(x.k) = x.s)"
+    single = "filter(st.t, x -> abs(x.c) = 1 and xxhash64(x.k) = x.s)"
     side = lambda c: f"transform(array_distinct(transform(filter(single, x -> x.c = {c}), x -> x.k)), k -> named_struct('k', k, 'c', {c}))"
-    take = cell("y.c - x.c", "y.k ^ x.k", "y.s ^ xxhash64(x.k)")
-
-    def one(of: int) -> str:
-        placed = f"transform(found, x -> named_struct('k', x.k, 'c', x.c, 'p', {place('x.k', of, width)}))"
-        return by_cell(placed, width, f"transform(st.t[{of}], (z, i) -> aggregate(AT(i), z, (y, x) -> {take}))")
-
-    more = f"named_struct('t', array({', '.join(map(one, range(TABLES)))}), 'out', concat(st.out, found), 'done', false)"
+    more = f"named_struct('t', {summed(f'concat(st.t, {placed("found", width, "-d.c", "d.k")})')}, 'out', concat(st.out, found), 'done', false)"
     step = let("single", single, let("found", f"concat({side(1)}, {side(-1)})", f"case when size(found) > 0 then {more} else named_struct('t', st.t, 'out', st.out, 'done', true) end"))
     start = f"named_struct('t', {diff}, 'out', cast(array() as {FOUND}), 'done', false)"
-    clear = "forall(flatten(st.t), x -> x.c = 0 and x.k = 0 and x.s = 0)"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, r) -> case when st.done then st else {step} end, st -> case when {clear} then st.out end)"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, r) -> case when st.done then st else {step} end, st -> case when size(st.t) = 0 then st.out end)"
 
 
 def power(x: str) -> str:
@@ -108,13 +98,16 @@ def width_of(ds: str) -> str:
 
 def digests_apart(diff: str, excess: str, width: str) -> str:
     """About how many digests differ: the mean squared sum of a table's counts, less what ``excess`` more digests on one side add."""
-    squares = f"aggregate(flatten({diff}), 0.0D, (n, x) -> n + double(x.c) * x.c)"
+    squares = f"aggregate({diff}, 0.0D, (n, x) -> n + double(x.c) * x.c)"
     return f"({squares} / {TABLES} - double({excess}) * ({excess}) / {width}) * {width} / ({width} - 1)"
 
 
 def larger(a: str, b: str, width: str) -> str:
-    """What ``peel`` finds between two arrays of digests with sketches of ``width`` or, until they peel, of twice as much."""
-    found = peel(subtract(sketch(a, "big.w"), sketch(b, "big.w")), "big.w")
+    """What ``peel`` finds between two arrays of digests with sketches of ``width`` or, until they peel, of twice as much.
+
+    The second sketch is subtracted as it is made: its entries count -1 each.
+    """
+    found = peel(summed(f"concat({placed(a, 'big.w', '1', 'd')}, {placed(b, 'big.w', '-1', 'd')})"), "big.w")
     step = f"case when big.out is not null then big else named_struct('w', 2 * big.w, 'out', {found}) end"
     return f"aggregate(sequence(1, {BITS}), named_struct('w', {width}, 'out', cast(null as {FOUND})), (big, n) -> {step}, big -> big.out)"
 
@@ -131,7 +124,7 @@ def with_differences(rows: DataFrame, pairs: dict[str, tuple[str, str, str, str]
     rows = columns({f"{n}_{k}": x for n, (_, _, diff, width) in pairs.items() for k, x in (("diff", diff), ("w", width))})
     rows = columns({f"{n}_guess": digests_apart(f"{n}_diff", f"size({a}) - size({b})", f"{n}_w") for n, (a, b, _, _) in pairs.items()})
     rows = columns({f"{n}_first": f"case when {n}_guess <= {TABLES} * {n}_w then {peel(f'{n}_diff', f'{n}_w')} end" for n in pairs})
-    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, {power(f'greatest({n}_guess, 8) / 2')})')})" for n, (a, b, _, _) in pairs.items()})
+    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, {power(f'greatest({n}_guess, 8) / 1.5')})')})" for n, (a, b, _, _) in pairs.items()})
 
 
 def likeness(a: str, b: str, differing: str) -> str:
@@ -140,10 +133,10 @@ def likeness(a: str, b: str, differing: str) -> str:
     return f"case when {n} = 0 then 1.0D else double(({n} - {d}) / ({n} + {d})) end"
 
 
-def written_out(ds: str, tables: str) -> str:
-    """A sketch as a string: the number of digests, then count, XOR of digests and of check values of each cell."""
-    shown = "case when x.c = 0 then '' else concat_ws(':', string(x.c), hex(x.k), hex(x.s)) end"
-    return f"concat_ws(';', string(size({ds})), array_join(transform(flatten({tables}), x -> {shown}), ','))"
+def written_out(ds: str, cells: str, width: str) -> str:
+    """A sketch as a string: how many digests, the width, then place, count, XOR of digests and of check values of each cell."""
+    shown = "concat_ws(':', string(x.p), string(x.c), hex(x.k), hex(x.s))"
+    return f"concat_ws(';', string(size({ds})), string({width}), array_join(transform({cells}, x -> {shown}), ','))"
 
 
 def next_ids(keys: DataFrame) -> DataFrame:
@@ -200,14 +193,14 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     out = out.withColumns({"own_width": F.expr(width_of("own")), "changed_width": F.expr(width_of("changed"))})
     out = out.withColumns({"own_tables": F.expr(sketch("own", "own_width")), "changed_tables": F.expr(sketch("changed", "changed_width"))})
     common = "least(own_width, changed_width)"
-    edit = subtract(folded("own_tables", common), folded("changed_tables", common))
+    edit = subtract(folded("own_tables", "own_width", common), folded("changed_tables", "changed_width", common))
     out = with_differences(out, {"edit": ("own", "changed", edit, common), "next": ("own", "after", subtract("own_tables", sketch("after", "own_width")), "own_width")})
     return out.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.expr(written_out("own", "own_tables")).alias("fingerprint"),
-        F.expr(written_out("changed", "changed_tables")).alias("edited_fingerprint"),
+        F.expr(written_out("own", "own_tables", "own_width")).alias("fingerprint"),
+        F.expr(written_out("changed", "changed_tables", "changed_width")).alias("edited_fingerprint"),
         F.expr(likeness("own", "changed", "edit")).alias("near_edited"),
         F.expr(likeness("own", "after", "next")).alias("near_next"),
     )
