@@ -2,8 +2,9 @@
 
 Consecutive lines are hashed three at a time; windows that occur more than once are found over all documents, and every
 occurrence but the first is removed by merging the positions that such windows cover. A passage may also stand inside a long
-line, so a line of many words is first wrapped at places that only its own words decide (a word whose hash is the least of
-its neighbours'); the same passage is then wrapped alike wherever it stands, and a wrapped piece is a line of its own.
+line, so a line of many words is wrapped as well, at places that only its own words decide (a word whose hash is the least of
+its neighbours'); the same passage is then wrapped alike wherever it stands, and windows of wrapped pieces are hashed besides
+those of three whole lines, which always are.
 """
 
 from __future__ import annotations
@@ -21,15 +22,17 @@ from landstat.llm.common import checkpointed, fresh, table
 WINDOW = 3
 RADIUS = 3  # a wrap stands before a word whose hash is the least among this many neighbours on either side
 LONG = 12  # lines of more words are wrapped
+FEWEST = 12  # words of a window of wrapped pieces, at least
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window hashes (signed) by the place of the window's first line among the non-blank lines; starts and ends of those lines.
+def windows(raw: bytes, fewest: int = FEWEST, longest: int | None = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Window hashes (signed), the first and last piece that each window covers, and where each piece starts and ends.
 
-    Lines of many words are wrapped; all lines with the blank ones between them cover the text. A window of three whole lines
-    always counts, one with wrapped pieces counts from ``fewest`` words; others have the hash 0.
+    A piece is a non-blank line or, of a line of more than ``longest`` words (None: of no line), a part of it. Windows of three
+    whole lines come always; windows of three pieces that are not all whole lines from ``fewest`` words on (others have the hash
+    0). All pieces with the blank lines between them cover the text.
     """
     none = np.zeros(0, np.int64)
     data = np.frombuffer(raw, dtype=np.uint8)
@@ -38,7 +41,7 @@ def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
     word_starts, word_ends = edges[::2], edges[1::2]
     if not len(word_starts):
-        return none, none, none
+        return none, none.reshape(0, 2), none, none
     line_starts = np.concatenate([[0], np.flatnonzero(data == 10) + 1])
     line = np.searchsorted(line_starts, word_starts, side="right") - 1
     length = word_ends - word_starts
@@ -47,7 +50,7 @@ def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     h ^= h >> np.uint64(29)
     first_of_line = np.concatenate([[True], line[1:] != line[:-1]])
     cut = first_of_line.copy()
-    long_lines = np.bincount(line)[line] > LONG
+    long_lines = np.bincount(line)[line] > (len(line) if longest is None else longest)
     if long_lines.any():
         least = long_lines
         for k in range(1, RADIUS + 1):
@@ -69,20 +72,34 @@ def windows(raw: bytes, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     # a line reaches from its start (with what stands before its first word on that line) to the next one's
     spans = np.where(first_of_line[first], line_starts[line[first]], starts)
     ends = np.where(whole | np.append(first_of_line[first[1:]], True), np.append(line_starts[1:], n)[line[first]], np.append(spans[1:], n))
-    if len(each) < WINDOW:
-        return none, spans, ends
-    mixed = each[:-2] * np.uint64(0x9E3779B97F4A7C15)
-    mixed = ((mixed ^ mixed >> np.uint64(31)) + each[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed = ((mixed ^ mixed >> np.uint64(29)) + each[2:]) * np.uint64(0x165667B19E3779F9)
-    mixed ^= mixed >> np.uint64(32)
-    counts = (words[:-2] + words[1:-1] + words[2:] >= fewest) | (whole[:-2] & whole[1:-1] & whole[2:])
-    return np.where(counts, np.maximum(mixed, np.uint64(1)), np.uint64(0)).view(np.int64), spans, ends
-
-
-def strip(raw: bytes, places: list[int], fewest: int) -> tuple[str, int]:
-    """A text without the lines that windows at ``places`` cover, and how many lines that were."""
-    _, starts, ends = windows(raw, fewest)
-    gone = sorted({i + k for i in places for k in range(WINDOW)})
+    opens = np.flatnonzero(first_of_line[first])  # the first piece of each line
+    closes = np.append(opens[1:], len(each)) - 1
+    found, covers = [none.view(np.uint64)], [none.reshape(0, 2)]
+    if len(each) >= WINDOW:
+        counts = (words[:-2] + words[1:-1] + words[2:] >= fewest) | (whole[:-2] & whole[1:-1] & whole[2:])
+        at = np.arange(len(each) - 2)
+        found.append(np.where(counts, np.maximum(mixed(each), np.uint64(1)), np.uint64(0))), covers.append(np.stack([at, at + 2], 1))
+    wrapped = opens < closes
+    if len(opens) >= WINDOW and wrapped.any():
+        lines = each[opens]
+        lines[wrapped] = [digest(b" ".join(raw[a:b].split()), 7) for a, b in zip(starts[opens[wrapped]].tolist(), stops[closes[wrapped]].tolist())]
+        some = np.flatnonzero(wrapped[:-2] | wrapped[1:-1] | wrapped[2:])
+        found.append(np.maximum(mixed(lines)[some], np.uint64(1))), covers.append(np.stack([opens[some], closes[some + 2]], 1))
+    return np.concatenate(found).view(np.int64), np.concatenate(covers), spans, ends
+
+
+def mixed(each: np.ndarray) -> np.ndarray:
+    """The hash of each three consecutive hashes, in their order."""
+    out = each[:-2] * np.uint64(0x9E3779B97F4A7C15)
+    out = ((out ^ out >> np.uint64(31)) + each[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    out = ((out ^ out >> np.uint64(29)) + each[2:]) * np.uint64(0x165667B19E3779F9)
+    return out ^ out >> np.uint64(32)
+
+
+def strip(raw: bytes, places: list[int], fewest: int = FEWEST, longest: int | None = LONG) -> tuple[str, int]:
+    """A text without the pieces that windows at ``places`` cover, and how many pieces that were."""
+    _, covers, starts, ends = windows(raw, fewest, longest)
+    gone = sorted({i for place in places for i in range(covers[place][0], covers[place][1] + 1)})
     out, at = [], 0
     for i in gone:
         out.append(raw[at : starts[i]])
@@ -91,7 +108,7 @@ def strip(raw: bytes, places: list[int], fewest: int) -> tuple[str, int]:
     return b"".join(out).decode("utf-8", "replace"), len(gone)
 
 
-def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, most_broadcast: int) -> DataFrame:
+def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, longest: int | None, most_broadcast: int) -> DataFrame:
     """(id, text_hash, places): per document, the windows that occurred before, in the order of id, text hash and place.
 
     Rows with the same id and text are one document.
@@ -102,7 +119,7 @@ def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, most_b
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                found = [windows((t or "").encode("utf-8", "replace"), fewest)[0] for t in batch.column(2).to_pylist()]
+                found = [windows((t or "").encode("utf-8", "replace"), fewest, longest)[0] for t in batch.column(2).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(h) for h in found])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "text_hash", "hashes"])
@@ -118,18 +135,19 @@ def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, most_b
     return later.select("spot.*").groupBy("id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = 12, most_broadcast: int = 2_000_000) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = FEWEST, longest: int | None = LONG, most_broadcast: int = 2_000_000) -> DataFrame:
     """``docs`` with repeated lines out of its texts, and a column ``n_removed`` (lines, long; a column of this name is replaced).
 
     A window of three consecutive non-blank lines (their words joined by single spaces) that occurred before, in an earlier
     document or higher up in the same one, is removed with all other such windows it overlaps; the first occurrence stays.
     Earlier means a smaller id (null ids first), then a smaller hash of the text, then a smaller place; rows that repeat both
     id and text are one document and stay alike. Blank lines stay. Texts of fewer than three lines, null and empty texts stay
-    as they are. A text whose lines all occurred before becomes empty; its row stays.
+    as they are. A text whose lines all occurred before becomes empty; its row stays. With ``longest`` None no line is wrapped,
+    and windows of three whole lines are all there is; else a line of more words can lose a part, and counts by its pieces.
     """
     docs = docs.drop("n_removed")
     key, places = fresh(docs, "text_hash"), fresh(docs, "places")
-    found = repeated_places(docs, text, doc_id, fewest, most_broadcast)
+    found = repeated_places(docs, text, doc_id, fewest, longest, most_broadcast)
     id_ = fresh(docs, "id_of_places")
     found = found.select(F.col("id").alias(id_), F.col("text_hash").alias(key), F.col("places").alias(places))
     own = fresh(docs, "own_hash")
@@ -143,7 +161,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", few
                 texts, removed = batch.column(text).to_pylist(), [0] * batch.num_rows
                 for i, some in enumerate(batch.column(places).to_pylist()):
                     if some:
-                        texts[i], removed[i] = strip(texts[i].encode("utf-8", "replace"), some, fewest)
+                        texts[i], removed[i] = strip(texts[i].encode("utf-8", "replace"), some, fewest, longest)
                 columns = {n: batch.column(n) for n in batch.schema.names if n != places} | {text: pa.array(texts, pa.string()), "n_removed": pa.array(removed, pa.int64())}
                 yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], names=[f.name for f in schema])
 

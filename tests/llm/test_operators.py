@@ -197,19 +197,54 @@ def test_counterfactual_penalty_takes_weight_from_group_terms():
 # 5. line dedup
 
 
-def test_line_dedup_against_brute_force(spark, sf):
-    d = docs(spark, sf)
-    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in linededup.dedup_lines(d).collect()}
-    seen = set()
-    for r in sorted(d.collect(), key=lambda r: r["doc_id"]):
-        raw = r["text"].encode()
-        gone = []
-        for place, h in enumerate(linededup.windows(raw, 12)[0].tolist()):
-            if h and h in seen:
-                gone.append(place)
-            elif h:
-                seen.add(h)
-        assert got[r["doc_id"]] == (linededup.strip(raw, gone, 12) if gone else (r["text"], 0))
+def plain_line_dedup(texts):
+    """Three-line dedup in plain Python, over texts in the order of their ids."""
+    seen, out = set(), []
+    for text in texts:
+        lines = (text or "").splitlines(keepends=True) if "\r" not in (text or "") else (text or "").split("\n")
+        lines = [x + "\n" for x in (text or "").split("\n")[:-1]] + [(text or "").split("\n")[-1]]
+        full = [i for i, x in enumerate(lines) if x.encode().split()]
+        gone = set()
+        for a, b, c in zip(full, full[1:], full[2:]):
+            window = tuple(b" ".join(lines[i].encode().split()) for i in (a, b, c))
+            if window in seen:
+                gone |= {a, b, c}
+            seen.add(window)
+        out.append(("".join(x for i, x in enumerate(lines) if i not in gone) if text is not None else None, len(gone)))
+    return out
+
+
+def lined(rng, n):
+    """Texts of short and long lines, some of them runs of lines from a common stock."""
+    stock = [words(rng, rng.choice([1, 2, 3, 5, 13, 16, 40])) for _ in range(30)]
+
+    def part():
+        k = rng.randint(0, 27)
+        return stock[k : k + rng.randint(2, 5)] if rng.random() < 0.6 else [words(rng, rng.randint(1, 30)), ""]
+
+    return ["\n".join(x for _ in range(rng.randint(1, 5)) for x in part()) for _ in range(n)]
+
+
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_whole_line_windows_against_plain_python(spark, sf, most):
+    given = docs(spark, sf).orderBy("doc_id").collect()
+    texts = [r["text"] for r in given] + lined(random.Random(20), 120) + ODD
+    want = plain_line_dedup(texts)
+    got = linededup.dedup_lines(frame(spark, texts), longest=None, most_broadcast=most).orderBy("doc_id").collect()
+    assert [(r["text"], r["n_removed"]) for r in got] == want and sum(n for _, n in want) > 200
+    wrapped = linededup.dedup_lines(frame(spark, texts), most_broadcast=most).orderBy("doc_id").collect()
+    squeezed = lambda t: (t or "").split()
+    for r, (plain, n) in zip(wrapped, want):  # wrapping only ever takes more away, in order
+        rest = iter(squeezed(plain))
+        assert all(w in rest for w in squeezed(r["text"])) and (r["n_removed"] >= n)
+
+
+def test_window_of_short_and_long_lines_goes(spark):
+    rng = random.Random(21)
+    for _ in range(5):
+        block = f"{words(rng, 2)}\n{words(rng, 15)}\n{words(rng, 2)}"
+        rows = linededup.dedup_lines(frame(spark, [f"{words(rng, 9)}\n{block}\nend", f"{block}\n{words(rng, 8)}"])).orderBy("doc_id").collect()
+        assert block in rows[0]["text"] and not any(x in rows[1]["text"] for x in block.split("\n"))
 
 
 def test_passages_go_from_all_but_the_first_and_clean_texts_stay(spark):
@@ -263,19 +298,34 @@ def test_spans_are_taken_out(spark):
 # 7. fingerprints
 
 
-def test_fingerprints_recover_differences(spark):
+def test_fingerprints_against_sets_of_digests(spark):
     rng = random.Random(5)
     base = words(rng, 400)
-    texts = [base, base[: len(base) * 9 // 10] + words(rng, 30), words(rng, 400), base, *ODD]
+    texts = [base, base[: len(base) * 9 // 10] + words(rng, 30), words(rng, 400), base, words(rng, 3), words(rng, 5000), words(rng, 40), *ODD]
     rows = {r["doc_id"]: r for r in fingerprint.edited_fingerprints(frame(spark, texts)).collect()}
+    edited = []
     for i, t in enumerate(texts):
         t, after = t or "", texts[(i + 1) % len(texts)] or ""
         k = len(t) // 4
-        edited = t[: len(t) - k] + after[:k]
-        assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= rows[i]["near_edited"] <= 1 and 0 <= rows[i]["near_next"] <= 1
+        edited.append(t[: len(t) - k] + after[:k])
+        assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (len(t), hashlib.sha256(edited[i].encode()).hexdigest())
+    sets = [set(r["d"]) for r in frame(spark, [t or "" for t in texts] + edited).select("doc_id", fingerprint.digests(F.col("text")).alias("d")).orderBy("doc_id").collect()]
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for i in range(len(texts)):
+        assert rows[i]["near_edited"] == pytest.approx(alike(sets[i], sets[len(texts) + i]), abs=1e-12)
+        assert rows[i]["near_next"] == pytest.approx(alike(sets[i], sets[(i + 1) % len(texts)]), abs=1e-12)
     assert rows[0]["near_next"] > 0.5 > rows[1]["near_next"] and rows[0]["fingerprint"] == rows[3]["fingerprint"] != rows[2]["fingerprint"]
-    assert rows[0]["near_edited"] > 0.3
+    assert fingerprint.edited_fingerprints(frame(spark, [])).count() == 0
+
+
+def test_fingerprint_columns_against_sql(spark, sf):
+    import duckdb
+
+    want = duckdb.sql(f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id), '') AS z FROM '{sf}/documents.parquet')
+        SELECT doc_id, n, sha256(substring(t, 1, n - n // 4) || substring(z, 1, n // 4)) FROM d""").fetchall()
+    got = fingerprint.op7_fingerprints(spark, sf).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_fingerprints_of_long_texts_see_small_edits_and_shared_passages(spark):
@@ -292,12 +342,15 @@ def test_fingerprints_of_long_texts_see_small_edits_and_shared_passages(spark):
 def test_peeling_finds_the_very_digests_or_says_that_it_cannot(spark):
     rng = random.Random(6)
     common = [rng.getrandbits(63) for _ in range(30)]
-    cases = [(common + [1, 2, 3], common + [9]), (common, common), ([], []), (common, [rng.getrandbits(63) for _ in range(40)])]
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], "i int, a array<long>, b array<long>")
-    w = fingerprint.width_of(F.greatest(F.size("a"), F.size("b")))
-    out = df.select("i", fingerprint.peel(fingerprint.subtract(fingerprint.sketch(F.col("a"), w), fingerprint.sketch(F.col("b"), w)), w).alias("p"), fingerprint.difference(F.col("a"), F.col("b")).alias("d")).orderBy("i").collect()
-    assert {(x["k"], x["c"]) for x in out[0]["p"]} == {(1, 1), (2, 1), (3, 1), (9, -1)} and out[1]["p"] == [] and out[2]["p"] == [] and out[3]["p"] is None
-    assert [r["d"] for r in out] == [4, 0, 0, 70]
+    other = [rng.getrandbits(63) for _ in range(40)]
+    few = [rng.getrandbits(63) for _ in range(4)]
+    cases = [(common + few[:3], common + few[3:]), (common, common), ([], []), (common, other)]
+    df = spark.createDataFrame([(i, a, b, 8) for i, (a, b) in enumerate(cases)], "i int, a array<long>, b array<long>, w int")
+    small = fingerprint.peel(fingerprint.subtract(fingerprint.sketch("a", "w"), fingerprint.sketch("b", "w")), "w")
+    out = df.select(F.expr(small).alias("p"), F.expr(fingerprint.larger("a", "b", "w")).alias("q"), F.expr(f"({fingerprint.folded(fingerprint.sketch('a', '64'), '64', '8')}) = ({fingerprint.sketch('a', '8')})").alias("same")).orderBy("i").collect()
+    found = lambda x: {(y["k"], y["c"]) for y in x}
+    assert found(out[0]["p"]) == {*((k, 1) for k in few[:3]), (few[3], -1)} and out[1]["p"] == [] and out[2]["p"] == [] and out[3]["p"] is None
+    assert found(out[3]["q"]) == {(k, 1) for k in common} | {(k, -1) for k in other} and all(r["same"] for r in out)
 
 
 def test_repeated_and_null_ids_have_a_next_document(spark):
