@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
+from landstat.functions.shared import checkpointed
 from landstat.operators.labels import few
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
@@ -50,14 +51,17 @@ def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     return left.join(right, ["k", "c"]).withColumn("km", d).filter(F.col("km") <= km).select("id_a", "id_b", "km")
 
 
-def nearest(a: DataFrame, b: DataFrame, start_km: float = 50.0, most_km: float = 20_100.0) -> DataFrame:
-    """For each place of ``a`` the nearest of ``b``: id_a, id_b, km; ties by the smaller id.
+def nearest(a: DataFrame, b: DataFrame, start_km: float = 50.0, most_km: float = 20_100.0, other: bool = False) -> DataFrame:
+    """For each place of ``a`` the nearest of ``b``: id_a, id_b, km; ties by the smaller id. With ``other``, one of another id.
 
-    Places without a partner within a distance try again with four times the distance; each round works on what is left.
+    Places without a partner within a distance try again with four times the distance; each round works on what is left, and what
+    it finds is kept in the shared folder.
     """
     out, left, km = None, a, start_km
     while True:
-        found = within_distance(left, b, min(km, most_km)).groupBy("id_a").agg(F.min_by(F.struct("id_b", "km"), F.struct("km", "id_b")).alias("n")).select("id_a", "n.id_b", "n.km")
+        near = within_distance(left, b, min(km, most_km))
+        near = near.filter(F.col("id_a") != F.col("id_b")) if other else near
+        found = checkpointed(near.groupBy("id_a").agg(F.min_by(F.struct("id_b", "km"), F.struct("km", "id_b")).alias("n")).select("id_a", "n.id_b", "n.km"))
         out = found if out is None else out.unionByName(found)
         if km >= most_km:
             return out
@@ -66,13 +70,14 @@ def nearest(a: DataFrame, b: DataFrame, start_km: float = 50.0, most_km: float =
             return out
 
 
-def pairwise_distance(a: DataFrame, b: DataFrame, block: int = 2_000) -> DataFrame:
-    """Average, smallest (identical places left out) and largest distance of all pairs, in km.
+def pairwise_distance(a: DataFrame, b: DataFrame, by: Sequence[str] = (), own: bool = False, block: int = 2_000) -> DataFrame:
+    """Average, smallest (identical places left out) and largest distance of all pairs, in km; of all pairs that agree in ``by``.
 
-    This is the one operator whose answer needs every pair. Equal places are counted first; then blocks of different places meet
-    by block, and each task adds up its own pairs, which are never stored.
+    With ``own``, ``a`` and ``b`` are one set, and a row makes no pair with itself. This is the one operator whose answer needs
+    every pair. Equal places are counted first; then blocks of different places meet by block, and each task adds up its own
+    pairs, which are never stored.
     """
-    one = lambda df, n: df.groupBy(F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}")).agg(F.count("*").alias(f"n{n}"))
+    one = lambda df, n: df.groupBy(*by, F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}")).agg(F.count("*").alias(f"n{n}"))
     left, right = one(a, 1), one(b, 2)
     blocks = right.count() // block + 1
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -80,7 +85,8 @@ def pairwise_distance(a: DataFrame, b: DataFrame, block: int = 2_000) -> DataFra
     d = geo.haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
     same = (F.col("lat1") == F.col("lat2")) & (F.col("lon1") == F.col("lon2"))
     pairs = F.col("n1") * F.col("n2")
-    return left.join(right, "block").agg((F.sum(d * pairs) / F.sum(F.when(d.isNotNull(), pairs))).alias("avg_km"), F.min(F.when(~same, d)).alias("min_km"), F.max(d).alias("max_km"))
+    counted = F.when(d.isNotNull(), pairs - F.when(same & F.lit(own), F.col("n1")).otherwise(0))
+    return left.join(right, ["block", *by]).groupBy(*by).agg(F.try_divide(F.sum(d * pairs), F.sum(counted)).alias("avg_km"), F.min(F.when(~same, d)).alias("min_km"), F.max(d).alias("max_km"))
 
 
 def density_report(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -129,7 +135,8 @@ def points_in_polygons(regions: DataFrame, n: int, seed: int = 0, oversample: in
 
 
 def upsample_local(df: DataFrame, local: str = "is_local", label: str = "is_crop", key: str = "id") -> DataFrame:
-    """``df`` with local rows of the rarer class repeated until both classes have as many: whole copies, then the first by a hash."""
+    """``df`` with local rows of the rarer class repeated so often that both classes have about as many: whole copies of each row, and
+    one more of those whose hash falls under the share that is left, so that the classes are equal on average and no row is sorted."""
     counts = df.filter(local).agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     both = df.join(F.broadcast(counts), F.lit(True))  # one row
     rare = F.when(F.col("_pos") < F.col("_neg"), 1).otherwise(0)

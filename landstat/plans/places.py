@@ -32,9 +32,8 @@ def rings(s: SparkSession, d: str) -> DataFrame:
     return b.regions(s, d).withColumn("ring", geo.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")))
 
 
-def small_points(s: SparkSession, d: str, k: int) -> DataFrame:
-    """Every k-th customer: the two sides of a distance join."""
-    return b.points(s, d).select("id", "lat", "lon").filter(F.col("id") % 3 == k)
+def places(s: SparkSession, d: str) -> DataFrame:
+    return b.points(s, d).select("id", "lat", "lon", "subset")
 
 
 CATALOG = [("m_size", 25.0, None), ("m_key", None, [1, 2, 3, 5, 8, 13, 21, 34]), ("m_price", 25.0, None)]
@@ -62,11 +61,12 @@ INSIDE = "lon >= x0 and lon < x1 and lat >= y0 and lat < y1"
 query("C6_join_regions", lambda s, d: p.join_regions(b.points(s, d), rings(s, d)).select("id", "region"), f"select id, region from b_points join b_regions on {INSIDE}")
 HAV = "6371*2*atan2(sqrt(h), sqrt(greatest(0, 1-h)))"
 H = "pow(sin((radians({1}.lat)-radians({0}.lat))/2),2) + cos(radians({0}.lat))*cos(radians({1}.lat))*pow(sin((radians({1}.lon)-radians({0}.lon))/2),2)"
-PAIRS = f"pr as (select id_a, id_b, {HAV} as km, la, lo, lb, ob from (select a.id as id_a, z.id as id_b, a.lat as la, a.lon as lo, z.lat as lb, z.lon as ob, {H.format('a', 'z')} as h from b_points a, b_points z where a.id % 3 = 0 and z.id % 3 = 1))"
-query("C7_within_distance", lambda s, d: rounded(p.within_distance(small_points(s, d, 0), small_points(s, d, 1), 300.0), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from pr where km <= 300")
-query("C8_nearest", lambda s, d: rounded(p.nearest(small_points(s, d, 0), small_points(s, d, 1)), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr) where o=1")
-query("C9_pairwise_distance", lambda s, d: rounded(p.pairwise_distance(small_points(s, d, 0), small_points(s, d, 1)), 4), f"with {PAIRS} select round(avg(km),4) as avg_km, round(min(case when not (la=lb and lo=ob) then km end),4) as min_km, round(max(km),4) as max_km from pr")
-query("D29_distance_metrics", lambda s, d: rounded(p.pairwise_distance(small_points(s, d, 1), small_points(s, d, 0)), 4), f"with {PAIRS} select round(avg(km),4) as avg_km, round(min(case when not (la=lb and lo=ob) then km end),4) as min_km, round(max(km),4) as max_km from pr")
+PAIRS = f"pr as (select id_a, id_b, sa, sb, {HAV} as km, la, lo, lb, ob from (select a.id as id_a, z.id as id_b, a.subset as sa, z.subset as sb, a.lat as la, a.lon as lo, z.lat as lb, z.lon as ob, {H.format('a', 'z')} as h from b_points a, b_points z))"
+ALL_KM = "round(avg(km),4) as avg_km, round(min(case when not (la=lb and lo=ob) then km end),4) as min_km, round(max(km),4) as max_km"
+query("C7_within_distance", lambda s, d: rounded(p.within_distance(places(s, d), places(s, d), 300.0).filter("id_a <> id_b"), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from pr where km <= 300 and id_a <> id_b")
+query("C8_nearest", lambda s, d: rounded(p.nearest(places(s, d), places(s, d), other=True), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr where id_a <> id_b) where o=1")
+query("C9_pairwise_distance", lambda s, d: rounded(p.pairwise_distance(places(s, d), places(s, d)), 4), f"with {PAIRS} select {ALL_KM} from pr")
+query("D29_distance_metrics", lambda s, d: rounded(p.pairwise_distance(places(s, d), places(s, d), ["subset"], own=True), 4), f"with {PAIRS} select sa as subset, {ALL_KM} from pr where sa = sb and id_a <> id_b group by 1")
 query("D30_density_report", lambda s, d: rounded(p.density_report(b.points(s, d), ["dataset", "subset"]), 4), "select dataset, subset, count(*) as n, round((max(lat)-min(lat))*111*((max(lon)-min(lon))*111),4) as area_km2, round(count(*)*100/nullif((max(lat)-min(lat))*111*((max(lon)-min(lon))*111),0),4)+0.0 as density_100km2 from b_points group by 1,2")
 query("D31_histogram", lambda s, d: p.histogram(b.points(s, d), "lat", -70.0, 70.0), "select cast(case when lat < -70 then 0 when lat >= 70 then 41 else floor((lat+70)/140*40)+1 end as bigint) as bin, count(*) as n from b_points group by 1")
 query("D32_region_proportion", lambda s, d: rounded(p.region_crop_proportion(b.points(s, d).withColumn("label", F.col("class_probability")), b.regions(s, d).select(F.col("region").alias("country"), (F.col("region_id") + 1).cast("double").alias("area_mha")), "country"), 4), "select country, round(avg(class_probability),4) as proportion, count(*) as n, round(avg(class_probability)*max(region_id+1)*1000000,4) as crop_ha from b_points join b_regions on region=country group by 1")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from landstat.operators import labels as l
 from landstat.operators import ml
 from landstat.operators import timeseries as ts
+from landstat.functions.shared import shared_dir
 from landstat.plans import bindings as b
 from landstat.plans.registry import query, rounded
 from landstat.sources import files
@@ -20,9 +20,7 @@ from landstat.streaming import labels as st
 
 def folder(s: SparkSession) -> str:
     """A new folder below the shared one."""
-    if s.sparkContext.getCheckpointDir() is None:
-        s.sparkContext.setCheckpointDir(s.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
-    return f"{s.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    return f"{shared_dir(s)}/{uuid.uuid4().hex}"
 
 
 def values(df: DataFrame, eo: str = "eo") -> DataFrame:

@@ -42,3 +42,30 @@ def test_distances_of_the_whole_table_against_brute_force(spark, sf):
     got = frame.first()
     assert got["avg_km"] == pytest.approx(sum(all_km.values()) / len(all_km)) and got["max_km"] == pytest.approx(max(all_km.values()))
     assert got["min_km"] == pytest.approx(min(d for (i, j), d in all_km.items() if rows[i] != rows[j]))
+    halves = whole.withColumn("subset", F.col("id") % 2)
+    own = {r["subset"]: r for r in p.pairwise_distance(halves, halves, ["subset"], own=True, block=20).collect()}
+    for k in (0, 1):
+        among = [d for (i, j), d in all_km.items() if i % 2 == j % 2 == k and i != j]
+        assert own[k]["avg_km"] == pytest.approx(sum(among) / len(among)) and own[k]["max_km"] == pytest.approx(max(among))
+    next_ = {r["id_a"]: (r["km"], r["id_b"]) for r in p.nearest(whole, whole, other=True).collect()}
+    assert next_.keys() == rows.keys() and all(d == pytest.approx(min(all_km[i, x] for x in rows if x != i), abs=1e-6) and j != i for i, (d, j) in next_.items())
+
+
+def test_many_boxes_meet_points_by_cells(spark, sf):
+    from landstat.operators.labels import join_bbox
+
+    points = b.points(spark, sf).select("id", "lat", "lon")
+    boxes = spark.createDataFrame([(f"b{i}", -70 + i, -66.5 + i, -180 + 2 * i, -150.0 + 2 * i) for i in range(120)] + [("point", 0.0, 0.0, 0.0, 0.0), ("none", 5.0, 4.0, 0.0, 1.0)], "name string, min_lat double, max_lat double, min_lon double, max_lon double")
+    cells = join_bbox(points, boxes, most=1)
+    assert "NestedLoop" not in (plan := cells._jdf.queryExecution().toString()) and "Cartesian" not in plan
+    assert sorted(map(tuple, cells.select("id", "name").collect())) == sorted(map(tuple, join_bbox(points, boxes).select("id", "name").collect()))
+
+
+def test_large_regions_are_handed_over_in_parts(spark):
+    from landstat.operators.ml import per_region
+
+    df = spark.range(1000).select(F.when(F.col("id") % 10 > 0, "big").otherwise(F.when(F.col("id") % 20 > 0, "small")).alias("region"), "id")
+    size = lambda rows: rows.groupby("region", dropna=False).agg(n=("id", "size"), low=("id", "min")).reset_index()
+    got = per_region(df, size, "region string, n long, low long", "region", most_rows=100).collect()
+    assert sum(r["n"] for r in got) == 1000 and max(r["n"] for r in got) < 200 and sum(r["n"] for r in got if r["region"] == "big") == 900
+    assert sorted((str(r["region"]), r["n"]) for r in got if r["region"] != "big") == [("None", 50), ("small", 50)]
