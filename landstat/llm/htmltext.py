@@ -26,7 +26,7 @@ from landstat.llm.common import table
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = set("script style title iframe noembed noframes noscript head template svg math object canvas audio video map datalist".split())
+UNSEEN = set("script style title iframe noembed noframes noscript head template svg math object canvas audio video map datalist textarea select".split())
 #: Words in class, id or role that speak for boilerplate, and for main text.
 AGAINST = {
     "nav": "nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toc tabs",
@@ -45,7 +45,8 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[
 
 @lru_cache(maxsize=20_000)
 def kinds_of(attributes: str) -> tuple[str, ...]:
-    """What the attributes of an element say about it."""
+    """What the attributes of an element say about it: a kind for a whole word of them, a kind with - after it for the last part
+    of a compound word (content-ad) and with - before it for another part (hidden-gem)."""
     out = set()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -55,8 +56,11 @@ def kinds_of(attributes: str) -> tuple[str, ...]:
             for word in value.split():
                 if word in WORD_KIND:
                     out.add(WORD_KIND[word])
-                else:
-                    out.update(WORD_KIND[w] for w in re.split(r"[-_\d]+|:", word) if w in WORD_KIND)
+                    continue
+                *before, last = re.split(r"[-_\d]+|:", word.strip("-_0123456789:")) or [""]
+                if last in WORD_KIND:
+                    out.add(WORD_KIND[last] + ("-" if before else ""))
+                out.update(f"-{WORD_KIND[w]}" for w in before if w in WORD_KIND)
     return tuple(sorted(out))
 
 
@@ -150,17 +154,20 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
+#: Elements that hold a page's text or large parts of it, so that their class words say less.
+LARGE = set("html body main article".split())
+
+
 @lru_cache(maxsize=20_000)
 def path_features(path: tuple) -> tuple[str, ...]:
     tags = [t for t, _ in path]
     out = {f"in:{t}" for t in tags if t not in ("html", "body", "div", "section")}
     out.add(f"parent:{tags[-1] if tags else '-'}")
-    kinds = {k for _, ks in path for k in ks}
-    out |= {f"kind:{k}" for k in kinds}
-    if not kinds:
+    said = [(f"{k}@" if t in LARGE else k) for t, ks in path for k in ks]
+    out |= {f"kind:{k}" for k in said}
+    if not said:
         out.add("kind:-")
-    nearest = next((k for _, ks in reversed(path) for k in ks), "-")
-    out.add(f"near:{nearest}")
+    out.add(f"near:{said[-1] if said else '-'}")
     return tuple(sorted(out))
 
 
@@ -282,6 +289,18 @@ LAYOUTS = (
     "<html><body><div><ul>{N}</ul></div><div><h1>{H}</h1>{M}</div><div><ul>{N}</ul></div></body></html>",
     "<div class='content'>{M}<div class='note comment-list'>{C}</div></div>",
     "<html><body><main>{M}{L}{M}</main><aside>{B}</aside></body></html>",
+    "<html><body class='has-sidebar with-comments'><div class='main-nav'><ul>{N}</ul></div><article class='post hidden-gem promo-series'><h1>{H}</h1>{M}<div class='post-footer'>{b}</div></article><div class='site-footer'>{B}</div></body></html>",
+    "<html><body class='nav-open'><main class='content-area no-sidebar'><h1>{H}</h1>{M}<div class='content-ad'>{B}</div>{M}<div class='in-article-promo'>{b}</div>{M}</main><div class='sidebar-left'>{B}</div></body></html>",
+    "<html><body><div class='site-header'>{b}</div><div class='post-body story-content'><h2>{H}</h2>{M}<div class='ad-slot'>{B}</div>{M}</div><div class='comment-list'>{C}</div><div class='widget-area'>{N}</div><div class='footer-links'>{N}</div></body></html>",
+    "<html><body><div class='cookie-banner'>{B}</div><div class='main-content'><div class='article-header'><h1>{H}</h1></div>{M}{L}{M}<div class='social-share'>{N}</div><div class='newsletter-signup'><p>{b}</p><button>{b}</button></div></div><div class='related-posts'>{N}</div></body></html>",
+    "<html><body><article class='ad-free premium-article comment-enabled'>{M}{M}<div class='story-ad'>{b}</div>{M}<div class='user-comments'>{C}</div></article><div class='bottom-bar'>{b}</div></body></html>",
+    "<html><body><article><h1>{H}</h1>{M}<form><label>{b}</label><button>{b}</button></form>{M}</article><footer>{b}</footer></body></html>",
+    "<html><body><main>{M}<form class='poll'><fieldset><legend>{b}</legend><label>{b}</label></fieldset><button>{b}</button></form>{M}</main></body></html>",
+    "<html><body><div class='site-header'><p>{b}</p></div><main class='site-main'><article class='post type-post'><header class='entry-header'><h1>{H}</h1></header><div class='entry-content'>{M}</div><footer class='entry-footer'>{b}</footer></article><div id='comments' class='comments-area'><ol class='comment-list'><li>{C}</li><li><p>{b}</p></li></ol></div></main><aside class='widget-area'>{B}</aside></body></html>",
+    "<html><body><main><article>{M}{L}<footer><p>{b}</p></footer></article><section class='reader-comments'>{C}</section></main></body></html>",
+    "<html><body class='single-post'><div id='page' class='site'><header class='site-header'><p>{b}</p></header><div id='content' class='site-content'><main id='main' class='site-main'><article class='post'><header class='entry-header'><h1 class='entry-title'>{H}</h1></header><div class='entry-content'>{M}</div><footer class='entry-footer'>{b}</footer></article><div id='comments' class='comments-area'><ol class='comment-list'><li>{C}</li></ol></div></main></div><footer id='colophon'>{b}</footer></div></body></html>",
+    "<html><body><div id='content'><div class='content-inner'><div class='article-text'>{M}<p>{H}</p></div><div class='content-comments'><p>{b}</p>{C}</div><div class='content-share'>{N}</div></div></div></body></html>",
+    "<html><body><div class='notice-board-story'>{M}</div><div class='site-notice'>{B}</div><div class='search-box'><form>{b}<button>{b}</button></form></div></body></html>",
 )
 
 

@@ -392,6 +392,28 @@ def test_html_extraction_on_labelled_pages_it_was_not_trained_on():
     assert np.mean(right) > 0.99
 
 
+def test_html_pages_of_other_layouts():
+    crf = htmltext.train(htmltext.labelled_pages())
+    p = "This is a paragraph of the story, with enough words to look like one."
+    q = "Another one follows it, as long as the first, and it ends here."
+    cases = {
+        f"<html><body><nav><a href='/'>Home</a></nav><article class='post hidden-gem promo-series'><h1>A title</h1><p>{p}</p><p>{q}</p></article><footer>foot</footer></body></html>": f"A title\n{p}\n{q}",
+        f"<html><body><main><p>{p}</p><div class='content-ad'><p>Buy our fine things now.</p></div><p>{q}</p></main></body></html>": f"{p}\n{q}",
+        f"<html><body><article><p>{p}</p><form><label>Say it</label><textarea>type here</textarea><button>Send</button></form><textarea>typed text</textarea><p>{q}</p></article></body></html>": f"{p}\n{q}",
+        f"<html><body><h2>Heading</h2><p>{p}</p><p>{q}</p><p>Short one.</p></body></html>": f"Heading\n{p}\n{q}\nShort one.",
+        f"<html><body class='single has-sidebar'><header id='masthead' class='site-header'><p>Brand</p></header><main id='main' class='site-main'><article class='post-12 post hentry'><header class='entry-header'><h1 class='entry-title'>The title</h1></header><div class='entry-content'><p>{p}</p><p>{q}</p></div></article><div id='comments' class='comments-area'><ol class='comment-list'><li><p>I agree with all of it.</p></li></ol></div></main><aside class='widget-area'><section class='widget'><h2>Search</h2></section></aside><footer id='colophon'>Powered</footer></body></html>": f"The title\n{p}\n{q}",
+    }
+    for html, want in cases.items():
+        assert htmltext.main_text(html, crf) == want
+
+
+def test_html_long_repeated_and_no_pages(spark):
+    long = "<article>" + "".join(f"<p>Paragraph {i} of a very long page that goes on and on.</p>" for i in range(20_000)) + "</article>"
+    df = spark.createDataFrame([(1, "u", long), (1, "u", long), (2, "u", "<article><p>One.</p></article>")], "page_id long, url string, html string")
+    rows = htmltext.extract(df).orderBy("page_id").collect()
+    assert rows[0]["text"] == rows[1]["text"] and rows[0]["text"].count("\n") == 19_999 and htmltext.extract(df.limit(0)).count() == 0
+
+
 def test_html_blocks_and_odd_pages(spark):
     pages = [
         "<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/x'>Home</a></li></ul></nav><article><h1>A &amp;lt; B</h1><p>One\n  two&nbsp;<b>three</b>.<br><p>Four <i>f</i>ive &eacute;<script>var t='</p>';</script></article><div class='comments'><p>Nice post, I like it a lot.</p></div><footer>&copy; x</footer></body></html>",
