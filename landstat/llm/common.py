@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landstat.functions.shared import checkpointed, shared_dir  # noqa: F401  for the operators of this subpackage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,27 +27,6 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a compressed table in the shared folder and read again; for rows that several branches read."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.translate(text, UPPER, LOWER)

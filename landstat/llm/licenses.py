@@ -43,14 +43,34 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("MIT", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
 )
 #: Parts of words that make a line a candidate, and words that tell licenses apart.
-CUES = ("licen", "permission is hereby", "redistribution and use", "redistribute it", "public domain", "creative commons", "mozilla public", "cc by", "cc0")
-TELLING = set("apache mit bsd gnu general lesser affero mozilla mpl gpl lgpl agpl cc cc0 by sa nc nd 1 2 3 4 0".split())
+CUES = ("licen", "permission is hereby", "redistribution and use", "redistribute it", "public domain", "creative commons", "mozilla public", "cc by", "cc0", "permission to use", "as is", "as-is", "eclipse public", "unencumbered", "prior written permission")
+TELLING = set("apache mit bsd gnu general lesser affero mozilla mpl gpl lgpl agpl cc cc0 by sa nc nd 1 2 3 4 0 isc eclipse epl boost unlicense attribution sharealike noncommercial noderivatives".split())
 WORD = re.compile(r"[^\W_]+")
 LEVEL = 19
 AROUND = 4  # words that a window has more than the template on either side of a cue
 LEAST = 0.15  # of the compressed size of the window or, if smaller, of the template itself that a template saves, at least
+REMEMBERED = 16_000_000  # characters of windows that a worker remembers
 DIFFER = 0.2  # of the template's words that may differ, at most
 
 
@@ -76,6 +96,7 @@ class Scanner:
         self.given = [zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, text in templates]
         self.own = [len(self.plain.compress(text.lower().encode())) for _, text in templates]
         self.seen: dict[tuple[str, int], tuple] = {}
+        self.held = 0
 
     def blocks(self, text: str) -> list[str]:
         """Runs of lines: one that holds a cue, and those around it most of whose words stand in some template."""
@@ -117,8 +138,9 @@ class Scanner:
         telling = TELLING.intersection(missing) or TELLING.intersection(extra)
         confirmed = not telling and len(missing) + len(extra) <= DIFFER * len(wanted) and reduction >= LEAST
         rank = (not confirmed, len(missing) + len(extra), -len(wanted), -reduction)
-        if len(self.seen) > 200_000:
-            self.seen = {}
+        self.held += len(window)
+        if self.held > REMEMBERED:
+            self.seen, self.held = {}, 0
         self.seen[window, k] = found = (rank, Match("", name, reduction, missing, extra, bool(confirmed)), *((inside[0], inside[-1]) if inside else (0, 0)))
         return found
 
@@ -168,7 +190,8 @@ def license_blocks(docs: DataFrame, templates=TEMPLATES, text: str = "text", doc
     block's text and number, reduction (the share of the compressed size of the window or the template that is saved), missing and
     extra words and whether it is confirmed.
 
-    The whole text is searched. Null, empty and unlicensed texts have no blocks. Repeated rows have equal blocks.
+    The whole text is searched, however long; a window never holds more than a few hundred words. Null, empty and unlicensed texts
+    have no blocks. Repeated rows have equal blocks. All other columns of ``docs`` are left out.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     block = pa.struct([("number", pa.int32()), ("text", pa.string()), ("license", pa.string()), ("reduction", pa.float64()), ("missing", pa.list_(pa.string())), ("extra", pa.list_(pa.string())), ("confirmed", pa.bool_())])

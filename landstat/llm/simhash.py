@@ -178,8 +178,10 @@ def links(fps: DataFrame, most: int = 2, chunk: int = CHUNK) -> DataFrame:
     # Chunks of a large top node: cuts at quantiles of the Gray rank; shared bits of each chunk; pairs of chunks that may link.
     much = rows.join(large, ["top", "bits"])
     parts = F.ceil(F.col("n") / chunk).cast("int")
-    cuts = much.groupBy("top", "bits").agg(F.first("count").alias("n"), F.percentile_approx("gray", [i / 64 for i in range(1, 64)], 1000).alias("cuts"))
-    cuts = cuts.withColumn("step", F.greatest(F.lit(1), (64 / parts).cast("int")))
+    largest = large.agg(F.max("count")).first()[0]
+    fine = 1 << max(6, (2 * largest // chunk).bit_length())  # quantiles, at least two for each chunk of the largest node
+    cuts = much.groupBy("top", "bits").agg(F.first("count").alias("n"), F.percentile_approx("gray", [i / fine for i in range(1, fine)], 16 * fine).alias("cuts"))
+    cuts = cuts.withColumn("step", F.greatest(F.lit(1), (fine / parts).cast("int")))
     cuts = cuts.select("top", "bits", F.expr("filter(cuts, (c, i) -> (i + 1) % step = 0)").alias("cuts"))
     much = checkpointed(much.drop("count").join(cuts, ["top", "bits"]).withColumn("chunk", F.expr("size(filter(cuts, c -> c < gray))")).drop("cuts"))
     nodes = much.groupBy("top", "bits", "chunk").agg(F.bit_and("fp").alias("ones"), F.bit_and(F.bitwise_not("fp")).alias("zeros"))

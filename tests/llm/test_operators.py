@@ -66,6 +66,14 @@ def test_simhash_components(spark, chunk):
     assert [roots.get(f, f) for f in signed] == brute_components(signed, fps)
 
 
+def test_simhash_nodes_of_many_chunks(spark):
+    rng = np.random.default_rng(1)
+    low = rng.choice(2**20, 900, replace=False).astype(np.uint64)
+    fps = sorted({*(int(x) for x in low), *(int(x) ^ 1 << 9 for x in low[:100])})  # all in one top node, 240 chunks of four
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), 2, 4)).collect()}
+    assert [roots.get(f, f) for f in fps] == brute_components(fps, fps)
+
+
 def test_simhash_fingerprints_and_odd_rows(spark, sf):
     import xxhash
 
@@ -148,6 +156,15 @@ def test_licenses_tell_versions_apart_and_find_long_notices(spark):
     assert not any(sure for _, sure in got[4]) and not any(got[5:])
 
 
+def test_licenses_every_template_in_prose_and_none_without(spark):
+    rng = random.Random(14)
+    texts = [f"{words(rng, 30)} {text} {words(rng, 30)}" for _, text in licenses.TEMPLATES] + [words(rng, 200), "under the Apache License 2.0 as of today", "He said the car was sold as is, with permission to use the garage."]
+    rows = licenses.license_blocks(frame(spark, texts + texts[:1])).orderBy("doc_id").collect()
+    got = [{b["license"] for b in r["blocks"] if b["confirmed"]} for r in rows]
+    assert all(name in g for (name, _), g in zip(licenses.TEMPLATES, got)) and got[-1] == got[0]
+    assert got[len(licenses.TEMPLATES) :][:3] == [set(), {"Apache-2.0"}, set()] and licenses.license_blocks(frame(spark, [])).count() == 0
+
+
 def test_licenses_inside_long_lines(spark):
     rng = random.Random(11)
     notices = [("MIT", "Released under the MIT License."), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("MIT", licenses.TEMPLATES[4][1])]
