@@ -67,6 +67,18 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(hits, F.lit(0), lambda a, h: a + h) % 2 == 1
 
 
+def holds(parts: Column, x: Column, y: Column) -> Column:
+    """Whether any part holds a place. A part is a list of rings, the outer one and its holes: an odd number of them holds the place."""
+    odd = lambda part: F.aggregate(part, F.lit(0), lambda a, ring: a + contains(ring, x, y).cast("int")) % 2 == 1
+    return F.exists(parts, odd)
+
+
+def edge_near(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether the bounds of any edge of a ring meet a box."""
+    meets = lambda p, q: (F.least(p["x"], q["x"]) <= x1) & (F.greatest(p["x"], q["x"]) >= x0) & (F.least(p["y"], q["y"]) <= y1) & (F.greatest(p["y"], q["y"]) >= y0)
+    return F.exists(F.zip_with(ring, _rotated(ring), meets), lambda b: b)
+
+
 def ring_area(ring: Column) -> Column:
     """Area by the shoelace formula, in squared units of the coordinates."""
     parts = F.zip_with(ring, _rotated(ring), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])
@@ -110,8 +122,9 @@ def missing_regions(regions: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def dissolve(regions: DataFrame, by: str) -> DataFrame:
-    """One row a group with the rings of all its parts; a place is inside if any part holds it. A region's rings, not data rows."""
-    return regions.groupBy(by).agg(F.collect_list("ring").alias("parts"))
+    """One row a group with all its parts, as ``holds`` and ``join_regions`` take them. A region's rings, not data rows."""
+    part = F.flatten(F.collect_list("parts")) if "parts" in regions.columns else F.collect_list(F.array("ring"))
+    return regions.groupBy(by).agg(part.alias("parts"))
 
 
 # Transverse Mercator on WGS84: fixed values of the ellipsoid and the zones' scale and offsets; series by Krueger (1912).

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landstat.operators.metrics import quantile
+
 
 def duration_secs(c: Column) -> Column:
     """``12.3 secs`` as seconds; null for anything else."""
@@ -82,13 +84,14 @@ def labeler_overrides(c: DataFrame) -> DataFrame:
 
 
 def median_durations(c: DataFrame) -> DataFrame:
-    return c.agg(F.median("overridden_secs").alias("overridden"), F.median("kept_secs").alias("kept"))
+    both = [quantile(c, f"{k}_secs", 0.5, k) for k in ("overridden", "kept")]
+    return both[0].join(F.broadcast(both[1]), F.lit(True))  # one row each
 
 
 def pooled_quantile(c: DataFrame, q: float, approx: bool = False) -> DataFrame:
     """The q-quantile of the durations of both sides, by linear interpolation or (``approx``) by a bounded sketch."""
     pooled = c.select(F.explode(F.array("secs1", "secs2")).alias("secs"))
-    return pooled.agg((F.percentile_approx("secs", q, 10_000) if approx else F.percentile("secs", q)).alias("secs"))
+    return pooled.agg(F.percentile_approx("secs", q, 10_000).alias("secs")) if approx else quantile(pooled, "secs", q, "secs")
 
 
 def slow_points(c: DataFrame, q: float, approx: bool = False) -> DataFrame:

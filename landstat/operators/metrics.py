@@ -37,6 +37,20 @@ def running(counts: DataFrame, by: Sequence[str], sums: dict[str, str], descendi
     return out.drop("_bucket", *[f"{k}{n}" for n in sums for k in ("_o_", "_i_")])
 
 
+def quantile(df: DataFrame, column: str, q: float, name: str = "value") -> DataFrame:
+    """One row with the exact q-quantile of a column, by linear interpolation; null without values.
+
+    Values are counted first, and running counts in buckets find the two values around the position, so that no task holds all
+    different values.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("score")).agg(F.count("*").alias("n"))
+    upto = running(counts, (), {"upto": "n"}, descending=False, own=True)
+    at = df.agg(((F.count(column) - 1) * q).alias("_at"))
+    low, high = F.min(F.when(F.col("upto") > F.floor("_at"), F.col("score"))), F.min(F.when(F.col("upto") > F.ceil("_at"), F.col("score")))
+    share = F.max("_at") - F.floor(F.max("_at"))
+    return upto.join(F.broadcast(at), F.lit(True)).agg((low * (1 - share) + high * share).alias(name))  # one row
+
+
 def cumulative_hits(df: DataFrame, by: Sequence[str] = (), truth: str = "y_true", score: str = "score") -> DataFrame:
     """(by, score, tp, fp): true and false positives if everything from ``score`` up is taken."""
     return running(score_counts(df, by, truth, score), by, {"tp": "pos", "fp": "neg"}, descending=True, own=True).select(*by, "score", "tp", "fp")
@@ -93,8 +107,8 @@ def threshold_effect(df: DataFrame, thresholds: Sequence[float], by: Sequence[st
 
 
 def f1_by_balance(df: DataFrame, steps: Sequence[int], threshold: float = 0.5, key: str = "id", truth: str = "y_true", score: str = "score") -> DataFrame:
-    """(percent, accuracy, precision, recall, f1) with only ``percent`` of the negatives, drawn by a hash of the key."""
-    draw = F.pmod(F.xxhash64(key), F.lit(100))
+    """(percent, accuracy, precision, recall, f1) with only ``percent`` of the negatives, drawn by a hash of the (whole) key."""
+    draw = F.pmod(F.col(key) * 48271, F.lit(2147483647)) % 100
     each = df.withColumn("percent", F.explode(F.array(*map(F.lit, steps)))).filter((F.col(truth) == 1) | (draw < F.col("percent")))
     return binary_metrics(each, threshold, ["percent"], truth, score)
 
@@ -110,7 +124,7 @@ def evaluate(df: DataFrame, threshold: float = 0.5, other: float | None = None,
 
 def split_metrics(df: DataFrame, column: str, threshold: float = 0.5, truth: str = "y_true", score: str = "score") -> DataFrame:
     """Metrics above and up to the median of a column."""
-    cut = df.agg(F.median(column).alias("cut"))
+    cut = quantile(df, column, 0.5, "cut")
     halves = df.join(F.broadcast(cut), F.lit(True)).withColumn("half", F.when(F.col(column) > F.col("cut"), "above").otherwise("below"))  # one row
     return binary_metrics(halves, threshold, ["half"], truth, score)
 

@@ -9,27 +9,31 @@ from pyspark.sql import functions as F
 
 from landstat.functions import geo
 from landstat.functions.shared import checkpointed
-from landstat.operators.labels import few
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
+MOST_VERTICES = 2_000_000  # of the regions that are broadcast, about 50 MB
 
 
-def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: str = "lon", y: str = "lat", most: int = 10_000, cell: float = CELL) -> DataFrame:
-    """Points with the regions (columns of ``regions``, with ``ring``) that hold them; ``how``: inner, left_semi or left_anti.
+def as_parts(regions: DataFrame) -> Column:
+    """The geometry of a table of regions: ``parts`` (lists of rings, holes among them), or a ``ring`` as the only one."""
+    return F.col("parts") if "parts" in regions.columns else F.array(F.array("ring"))
 
-    A region lies in the cells that its bounds touch; points meet regions of their own cell, then the exact test. Few regions are
-    broadcast, many are shuffled by cell.
-    """
-    b = geo.ring_bounds(F.col("ring"))
-    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / cell), F.floor(hi / cell)))
-    placed = regions.withColumn("_b", b).withColumn("_cx", cells(F.col("_b.min_x"), F.col("_b.max_x"))).withColumn("_cy", cells(F.col("_b.min_y"), F.col("_b.max_y"))).drop("_b")
-    own = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & geo.contains(F.col("ring"), F.col(x), F.col(y))
-    return own.join(few(placed, most * 100), on, how).drop("_px", "_py", "_cx", "_cy")
 
+def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: str = "lon", y: str = "lat", most: int = MOST_VERTICES, cell: float = CELL) -> DataFrame:
+    """Points with the regions (columns of ``regions``, with ``ring`` or ``parts``) that hold them; ``how``: inner, left_semi or left_anti.
 
-def _cells(lat: str, lon: str, size: float) -> tuple[Column, Column]:
-    return F.floor(F.col(lat) / size).cast("long"), F.floor((F.col(lon) + 180) / size).cast("long")
+    A region lies in the cells that its bounds touch; points meet regions of their own cell, then the exact test. Regions are
+    broadcast if their vertices, counted in each cell, are at most ``most``; else both sides are shuffled by cell.
+    """
+    b = geo.ring_bounds(F.flatten(F.flatten(as_parts(regions))))
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / cell), F.floor(hi / cell)))
+    own = regions.withColumns({"_b": b, "_parts": as_parts(regions)}).filter(F.col("_b.min_x").isNotNull())
+    placed = own.withColumn("_cx", cells(F.col("_b.min_x"), F.col("_b.max_x"))).withColumn("_cy", cells(F.col("_b.min_y"), F.col("_b.max_y"))).drop("_b")
+    reach = lambda k: F.floor(F.col(f"_b.max_{k}") / cell) - F.floor(F.col(f"_b.min_{k}") / cell) + 1
+    vertices = own.agg(F.sum(reach("x") * reach("y") * (8 + F.size(F.flatten(F.flatten("_parts")))))).first()[0] or 0
+    tagged = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
+    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & geo.holds(F.col("_parts"), F.col(x), F.col(y))
+    return tagged.join(F.broadcast(placed) if vertices <= most else placed, on, how).drop("_px", "_py", "_cx", "_cy", "_parts")
 
 
 def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
@@ -134,22 +138,33 @@ def points_in_polygons(regions: DataFrame, n: int, seed: int = 0, oversample: in
     return inside.withColumn("draw", F.row_number().over(w)).filter(F.col("draw") <= n).select(key, "draw", "x", "y")
 
 
-def upsample_local(df: DataFrame, local: str = "is_local", label: str = "is_crop", key: str = "id") -> DataFrame:
-    """``df`` with local rows of the rarer class repeated so often that both classes have about as many: whole copies of each row, and
-    one more of those whose hash falls under the share that is left, so that the classes are equal on average and no row is sorted."""
+def upsample_local(df: DataFrame, local: str = "is_local", label: str = "is_crop", key: str = "id", seed: int = 0) -> DataFrame:
+    """``df`` with local rows of the rarer class repeated until both classes have as many.
+
+    Every row has as many copies as fit; the remainder goes to the rows with the smallest hash of their (unique, whole) key. Where
+    that order ends is found by counts of 4,096 ranges of the hash and by the rows of one range, so no task sorts a class.
+    """
     counts = df.filter(local).agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     both = df.join(F.broadcast(counts), F.lit(True))  # one row
-    rare = F.when(F.col("_pos") < F.col("_neg"), 1).otherwise(0)
     small, big = F.least("_pos", "_neg"), F.greatest("_pos", "_neg")
-    share = F.when(F.col(local) & (F.col(label) == rare) & (small > 0), big / small).otherwise(1.0)
-    draw = F.pmod(F.xxhash64(key), F.lit(2**40)) / float(2**40)
-    times = F.floor(share).cast("int") + (draw < share - F.floor(share)).cast("int")
-    return both.withColumn("copy", F.explode(F.sequence(F.lit(1), times))).drop("_pos", "_neg")
+    rare = F.col(local) & (F.col(label) == F.when(F.col("_pos") < F.col("_neg"), 1).otherwise(0)) & (small > 0)
+    draw = F.pmod(F.col(key) * 48271 + seed, F.lit(2147483647))
+    tagged = both.withColumns({"_draw": draw, "_range": F.floor(draw / 2**19), "_rare": F.coalesce(rare, F.lit(False)), "_whole": F.floor(F.try_divide(big, small)), "_rest": F.try_mod(big, small)})
+    chosen = tagged.filter("_rare and _rest > 0")
+    ranges = chosen.groupBy("_range", "_rest").agg(F.count("*").alias("n")).withColumn("_upto", F.sum("n").over(Window.orderBy("_range")))  # 4,096 rows
+    last = ranges.filter(F.col("_upto") >= F.col("_rest")).orderBy("_range").limit(1).select("_range", (F.col("_rest") - F.col("_upto") + F.col("n")).alias("_take"))
+    # the rows of one range in 4,096
+    inside = chosen.select("_range", "_draw", F.col(key).alias("_key")).join(F.broadcast(last), "_range")
+    cut = inside.withColumn("_place", F.row_number().over(Window.orderBy("_draw", "_key"))).filter(F.col("_place") <= F.col("_take")).agg(F.max(F.struct("_draw", "_key")).alias("_cut"))
+    more = F.coalesce(F.struct("_draw", F.col(key).alias("_key")) <= F.col("_cut"), F.lit(False)).cast("int")
+    times = F.when(F.col("_rare"), F.col("_whole").cast("int") + more).otherwise(1)
+    return tagged.join(F.broadcast(cut), F.lit(True)).withColumn("copy", F.explode(F.sequence(F.lit(1), times))).select(*df.columns, "copy")  # cut is one row
 
 
 def region_holdout(df: DataFrame, region: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     """``df`` with ``part``: train outside the region, test inside; extra points train as well."""
-    test = join_regions(df, region.select("ring"), "left_semi").withColumn("part", F.lit("test"))
-    train = join_regions(df, region.select("ring"), "left_anti").withColumn("part", F.lit("train"))
+    region = region.select(as_parts(region).alias("parts"))
+    test = join_regions(df, region, "left_semi").withColumn("part", F.lit("test"))
+    train = join_regions(df, region, "left_anti").withColumn("part", F.lit("train"))
     both = train.unionByName(test)
     return both if extra is None else both.unionByName(extra.withColumn("part", F.lit("train")), allowMissingColumns=True)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
 from landstat.operators.labels import few
-from landstat.operators.points import join_regions
+from landstat.operators.points import as_parts
 
 NODATA = 255.0
 
@@ -40,15 +40,18 @@ def with_crop_flag(values: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def attach_map_values(points: DataFrame, samples: DataFrame, maps: Sequence[str], key: str = "id") -> DataFrame:
-    """Points with a column for each map: one pass over the samples, one join."""
-    wide = samples.groupBy(key).pivot("map", list(maps)).agg(F.first("value"))
+    """Points with a column for each map: one pass over the samples, one join. Of several values the smallest."""
+    wide = samples.groupBy(key).agg(*[F.min(F.when(F.col("map") == m, F.col("value"))).alias(m) for m in maps])
     return points.join(wide, key, "left")
 
 
-def sample_raster(points: DataFrame, pixels: DataFrame, meta: dict[str, float], x: str = "lon", y: str = "lat") -> DataFrame:
-    """Points with the value of the pixel that holds them, null outside the raster. A point meets its pixel by row and column."""
+def sample_raster(points: DataFrame, pixels: DataFrame, meta: dict[str, float], x: str = "lon", y: str = "lat", keep: Sequence[str] = ()) -> DataFrame:
+    """Points with the value of the pixel that holds them, null outside the raster. A point meets its pixel by row and column.
+
+    With ``keep`` (map, year), a point has a row for each pixel of several rasters there.
+    """
     row, col = geo.rowcol(F.col(x), F.col(y), meta)
-    return points.withColumns({"row": row, "col": col}).join(pixels.select("row", "col", "value"), ["row", "col"], "left")
+    return points.withColumns({"row": row, "col": col}).join(pixels.select("row", "col", *keep, "value"), ["row", "col"], "left")
 
 
 def sample_zonal(points: DataFrame, pixels: DataFrame, meta: dict[str, float], radius: int = 1, x: str = "lon", y: str = "lat", key: str = "id") -> DataFrame:
@@ -121,18 +124,54 @@ def paint(pixels: DataFrame, updates: DataFrame, value: float = 0.0) -> DataFram
     return pixels.join(marked, ["row", "col"], "left").withColumn("value", F.coalesce("_new", "value")).drop("_new")
 
 
-def clip_pixels(pixels: DataFrame, meta: dict[str, float], regions: DataFrame | None) -> DataFrame:
-    """Pixels whose centre a region holds, with the region's columns; all pixels without a region."""
+TILE = 64  # pixels a side of the blocks by which pixels meet regions
+MOST_VERTICES = 2_000_000  # of the rings that are broadcast, about 50 MB
+
+
+def region_tiles(regions: DataFrame, meta: dict[str, float], size: int = TILE) -> DataFrame:
+    """The blocks of size by size pixels that each region touches: the region's columns, _tr, _tc, and ``_exact``.
+
+    A block that no edge comes near lies inside or outside as a whole; those outside go, those inside carry no geometry and ask for
+    no test. Blocks near an edge (``_exact``) keep it for a test of each pixel.
+    """
+    parts = as_parts(regions)
+    b = geo.ring_bounds(F.flatten(F.flatten(parts)))
+    at = [geo.rowcol(F.col(f"_b.{x}"), F.col(f"_b.{y}"), meta) for x in ("min_x", "max_x") for y in ("min_y", "max_y")]
+    span = lambda k: F.explode(F.sequence(F.floor(F.least(*[c[k] for c in at]) / size).cast("int"), F.floor(F.greatest(*[c[k] for c in at]) / size).cast("int")))
+    own = regions.withColumns({"_parts": parts, "_b": b}).filter(F.size(F.flatten(F.flatten("_parts"))) > 0)
+    own = own.withColumn("_tr", span(0)).withColumn("_tc", span(1)).drop("_b", "ring", "parts")
+    corner = [geo.pixel_center(F.col("_tr") * size + i * size - 0.5, F.col("_tc") * size + j * size - 0.5, meta) for i in (0, 1) for j in (0, 1)]
+    box = [f(*[c[k] for c in corner]) for k in (0, 1) for f in (F.least, F.greatest)]
+    placed = own.withColumns({"_x0": box[0], "_x1": box[1], "_y0": box[2], "_y1": box[3]})
+    near = F.exists(F.flatten("_parts"), lambda ring: geo.edge_near(ring, F.col("_x0"), F.col("_y0"), F.col("_x1"), F.col("_y1")))
+    kept = placed.withColumn("_exact", near).filter(F.col("_exact") | geo.holds(F.col("_parts"), (F.col("_x0") + F.col("_x1")) / 2, (F.col("_y0") + F.col("_y1")) / 2))
+    return kept.withColumn("_parts", F.when(F.col("_exact"), F.col("_parts"))).drop("_x0", "_x1", "_y0", "_y1")
+
+
+def clip_pixels(pixels: DataFrame, meta: dict[str, float], regions: DataFrame | None, size: int = TILE, most: int = MOST_VERTICES) -> DataFrame:
+    """Pixels whose centre a region (``ring`` or ``parts``) holds, with the region's columns; all pixels without a region.
+
+    Pixels meet regions by blocks, so a key holds size * size pixels of each map at most, however large the region; only pixels of
+    blocks near a border are tested. Blocks are broadcast if their vertices are few, else both sides are shuffled by block.
+    """
     if regions is None:
         return pixels
+    tiles = region_tiles(regions, meta, size)
+    vertices = tiles.agg(F.sum(F.lit(8) + F.coalesce(F.size(F.flatten(F.flatten("_parts"))), F.lit(0)))).first()[0] or 0
     x, y = geo.pixel_center(F.col("row"), F.col("col"), meta)
-    return join_regions(pixels.withColumns({"_x": x, "_y": y}), regions, x="_x", y="_y").drop("_x", "_y", "ring")
+    own = pixels.withColumns({"_pr": F.floor(F.col("row") / size).cast("int"), "_pc": F.floor(F.col("col") / size).cast("int"), "_x": x, "_y": y})
+    on = (F.col("_pr") == F.col("_tr")) & (F.col("_pc") == F.col("_tc")) & (~F.col("_exact") | geo.holds(F.col("_parts"), F.col("_x"), F.col("_y")))
+    return own.join(F.broadcast(tiles) if vertices <= most else tiles, on).drop("_pr", "_pc", "_x", "_y", "_tr", "_tc", "_exact", "_parts")
+
 
+def resample(pixels: DataFrame, source: dict[str, float], target: dict[str, float], rows: int, cols: int, to_source: Callable[[Column, Column], tuple[Column, Column]] | None = None) -> DataFrame:
+    """Nearest-neighbour values of another grid: each target centre looks up the pixel that holds it. The grid is made by Spark.
 
-def resample(pixels: DataFrame, source: dict[str, float], target: dict[str, float], rows: int, cols: int) -> DataFrame:
-    """Nearest-neighbour values of another grid: each target centre looks up the pixel that holds it. The grid is made by Spark."""
+    ``to_source`` takes (x, y) of the target's reference system to the source's, such as from a UTM zone to degrees.
+    """
     grid = pixels.sparkSession.range(rows * cols).select(F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"))
     x, y = geo.pixel_center(F.col("row"), F.col("col"), target)
+    x, y = (x, y) if to_source is None else to_source(x, y)
     r, c = geo.rowcol(x, y, source)
     looked = grid.select("row", "col", r.alias("_r"), c.alias("_c"))
     return looked.join(pixels.select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value"), ["_r", "_c"], "left").select("row", "col", "value")

@@ -48,6 +48,7 @@ query("D16_agreement_summary", lambda s, d: rounded(c.agreement_summary(paired(s
 query("C12_outer_counts", lambda s, d: c.outer_counts(firsts(s, d), "email"), f"with {FIRST} select email, cast(count_if(set_id=1) as bigint) as n1, cast(count_if(set_id=2) as bigint) as n2 from f group by 1")
 query("D43_compare_exports", lambda s, d: rounded(c.compare_exports(*firsts(s, d), ["plotid"])), f"with {FIRST} select count(*) as n, round(avg(cast(coalesce(a.answer=z.answer,false) as double)),6) as same_answer, round(avg(cast(a.lat=z.lat and a.lon=z.lon as double)),6) as same_place from f a join f z on a.plotid=z.plotid and a.set_id=1 and z.set_id=2")
 query("D44_slow_points_approx", lambda s, d: c.slow_points(table(s, d), 0.9, approx=True).select("plotid", "secs1", "secs2"))
+query("D44_distinct_labelers_exact", lambda s, d: c.distinct_labelers(b.annotations(s, d), ["set_id"], approx=False), "select set_id, count(distinct email) as labelers from b_annotations group by 1")
 query("D44_distinct_labelers", lambda s, d: c.distinct_labelers(b.annotations(s, d), ["set_id"]))
 query("F6_sorted_overrides", lambda s, d: c.label_overrides(table(s, d)).orderBy("label"), f"{CON} select label, count(*) as n from o group by 1 order by 1")
 
@@ -61,8 +62,8 @@ query("D21_threshold_sweep", lambda s, d: m.threshold_sweep(b.scores(s, d), ["gr
 query("D21_best_f1_threshold", lambda s, d: rounded(m.best_f1_threshold(b.scores(s, d), ["grp"])), f"{SWEEP}, f as (select *, coalesce(2*tp/nullif(2*tp+fp+fn,0),0) as f1, row_number() over (partition by grp order by coalesce(2*tp/nullif(2*tp+fp+fn,0),0) desc, k) as r from w) select grp, round(k/100,6) as threshold, round(f1,6) as f1 from f where r=1")
 query("D22_threshold_for_fpr", lambda s, d: rounded(m.threshold_for_fpr(b.scores(s, d), 0.1, ["grp"])), f"{HIT}, g as (select grp, score, fp/max(fp) over (partition by grp) as fpr from h) select grp, round(score,6) as threshold from (select *, row_number() over (partition by grp order by abs(fpr-cast(0.1 as double)), score desc) as r from g) where r=1")
 query("D23_threshold_effect", lambda s, d: rounded(m.threshold_effect(b.scores(s, d), [0.25, 0.5, 0.75], ["grp"])), "select grp, threshold, round(count_if(score>threshold and y_true=0)/count_if(y_true=0),6) as fpr, round(count_if(score>threshold and y_true=1)/count_if(y_true=1),6) as tpr from b_scores, (select unnest([0.25::double,0.5::double,0.75::double]) as threshold) group by 1,2")
-query("D24_f1_by_balance", lambda s, d: m.f1_by_balance(b.scores(s, d), [10, 25, 50, 100]))
 RATES = "round(count_if((score>{t})=(y_true=1))/count(*),{r}) as {p}accuracy, round(coalesce(count_if(score>{t} and y_true=1)/nullif(count_if(score>{t}),0),0),{r}) as {p}precision, round(coalesce(count_if(score>{t} and y_true=1)/nullif(count_if(y_true=1),0),0),{r}) as {p}recall, round(coalesce(2*count_if(score>{t} and y_true=1)/nullif(count_if(score>{t})+count_if(y_true=1),0),0),{r}) as {p}f1"
+query("D24_f1_by_balance", lambda s, d: rounded(m.f1_by_balance(b.scores(s, d), [10, 25, 50, 100])), f"with e as (select *, (id*48271) % 2147483647 % 100 as draw from b_scores) select percent, {RATES.format(t=0.5, r=6, p='')} from e, (select unnest([10, 25, 50, 100])::int as percent) where y_true=1 or draw<percent group by 1")
 query("D40_split_metrics", lambda s, d: rounded(m.split_metrics(b.scores(s, d), "id")), f"with c as (select median(id) as cut from b_scores) select case when id>cut then 'above' else 'below' end as half, {RATES.format(t=0.5, r=6, p='')} from b_scores, c group by 1")
 query("D41_cloudy_months", lambda s, d: rounded(m.cloudy_months(b.table(s, d, "embeddings"), "embedding", [0.5, 0.7, 0.9], ["label"])), "select label, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.5 as double)))),6) as above_50, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.7 as double)))),6) as above_70, round(avg(len(list_filter(embedding, lambda x: cast(x as double) > cast(0.9 as double)))),6) as above_90 from embeddings group by 1")
 query("J11_evaluate", lambda s, d: m.evaluate(b.scores(s, d), 0.5, 0.7, ["grp"]), f"with r as (select *, rank() over (partition by grp order by score) as lo, count(*) over (partition by grp, score) as t from b_scores) select grp, {RATES.format(t=0.5, r=4, p='')}, round((sum(case when y_true=1 then lo + (t-1)/2.0::double end) - count_if(y_true=1)*(count_if(y_true=1)+1)/2)/(count_if(y_true=1)*count_if(y_true=0)),4) as auc, {RATES.format(t=0.7, r=4, p='thresh0_7_')} from r group by 1")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
+from landstat.operators import areas as ar
 from landstat.operators import confusion as cf
-from landstat.operators import estimators as e
 from landstat.operators import labels as l
 from landstat.operators import points as p
 from landstat.operators import raster as r
@@ -97,13 +97,11 @@ query("D36_ensemble_vote", lambda s, d: voted(s, d).select("id", "ensemble"), f"
 
 
 def intercompared(s: SparkSession, d: str) -> DataFrame:
-    """Reports of every map and the ensemble in every country, in one plan."""
-    v = voted(s, d)
-    entries = [F.struct(F.lit(m).alias("dataset"), F.col(m).cast("int").alias("map_class")) for m in (*MAPS, "ensemble")]
-    long = v.select("ref_class", "country", F.explode(F.array(*entries)).alias("m")).select("ref_class", "country", "m.dataset", "m.map_class")
-    by = ["dataset", "country"]
-    mapped = long.groupBy(*by, "map_class").agg((F.count("*") * 100).alias("px"))
-    return e.map_report(cf.confusion(long, by=by), mapped, by)
+    """Reports of every map and the ensemble in every country, in one plan; each point stands for 100 pixels."""
+    points = b.table(s, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") % 2).alias("ref_class"), F.col("p_brand").alias("country"))
+    groups = ["dataset", "country", "map_class"]
+    px = ar.compared_maps(points, b.map_values(s, d), catalog(s), MAPS, MAPS).groupBy(*groups).agg((F.count("*") * 100).alias("px"))
+    return ar.intercompare(points, b.map_values(s, d), catalog(s), MAPS, MAPS, px)
 
 
 def reports(s: SparkSession, d: str) -> DataFrame:
@@ -123,7 +121,7 @@ def attrs(s: SparkSession) -> DataFrame:
 
 
 ATTR = "atr as (select * from (values ('m_size',10,2019),('m_key',30,2020),('m_price',100,2015),('ensemble',10,2020)) t(dataset, resolution_m, year))"
-query("C15_map_attrs", lambda s, d: reports(s, d).select("dataset", "country").join(F.broadcast(attrs(s)), "dataset").withColumn("mismatch", F.abs(F.col("year") - 2018)), f"{KC}, {ATTR} select dataset, country, resolution_m, year, abs(year-2018) as mismatch from rp join atr using (dataset)")
+query("C15_map_attrs", lambda s, d: ar.with_map_attrs(reports(s, d).select("dataset", "country"), attrs(s), 2018), f"{KC}, {ATTR} select dataset, country, resolution_m, year, abs(year-2018) as mismatch from rp join atr using (dataset)")
 query("D38_correlation", lambda s, d: rounded(r.metric_correlation(reports(s, d).join(F.broadcast(attrs(s)), "dataset"), "resolution_m", "accuracy")), f"{KC}, {ATTR} select round(corr(resolution_m, accuracy),6) as r, round(regr_r2(accuracy, resolution_m),6) as r2 from rp join atr using (dataset)")
 query("F15_mosaic", lambda s, d: r.mosaic(b.pixels(s, d), {"A": 1, "N": 2, "R": 3}), "select row, col, value from (select *, row_number() over (partition by row, col order by map desc) as o from b_pixels where value<>255) where o=1")
 query("H4_mode_composite", lambda s, d: r.mode_composite(b.pixels(s, d)), "with k as (select row, col, value, count(*) as n from b_pixels group by 1,2,3) select row, col, value from (select *, row_number() over (partition by row, col order by n desc, value) as o from k) where o=1")
@@ -132,37 +130,54 @@ query("H5_paint", lambda s, d: r.paint(one_map(s, d), one_map(s, d).filter("(row
 CENTER = "-180+(col+0.5::double)*3.6::double as lon, 70+(row+0.5::double)*(-0.7::double) as lat"
 query("H1_clip_pixels", lambda s, d: r.clip_pixels(one_map(s, d), META, rings(s, d)).select("row", "col", "region"), f"select row, col, region from (select *, {CENTER} from b_pixels where map='A') join b_regions on {INSIDE}")
 FINE = {"a": 1.8, "b": 0.0, "c": -180.0, "d": 0.0, "e": -0.35, "f": 70.0}
-query("H2_resample", lambda s, d: r.resample(one_map(s, d), META, FINE, 400, 200).filter("value is not null"))
+query("H2_resample", lambda s, d: r.resample(one_map(s, d), META, FINE, 400, 200).filter("value is not null"), "select cast(2*row+i as int) as row, cast(2*col+j as int) as col, value from b_pixels, (values (0),(1)) x(i), (values (0),(1)) y(j) where map='A'")
 query("H7_compare_points", lambda s, d: r.sample_raster(b.points(s, d), one_map(s, d), META).select("id", F.col("class_probability").alias("actual"), F.coalesce((F.col("value") > 0.5).cast("int"), F.lit(-1)).alias("prediction")), f"with {SAMPLED} select id, class_probability as actual, case when value=-1 then -1 else cast(value>0.5 as int) end as prediction from sp")
 query("H6_ndvi_demote", lambda s, d: r.ndvi_demote(b.scores(s, d).select("id", (F.col("score") > 0.5).cast("int").alias("prediction"), F.col("y_true").alias("label"), (F.col("id") % 1000 / 1000.0).alias("ndvi")), 0.5).select("id", "demoted"), "with k as (select id, cast(score>0.5 as int) as prediction, cast(id % 1000 as double)/1000 as ndvi from b_scores), c as (select avg(ndvi)-0.5*stddev_pop(ndvi) as cut from k where prediction=1) select id, case when prediction=1 and ndvi<cut then 0 else prediction end as demoted from k, c")
 
 
+def sets(s: SparkSession, d: str) -> list[DataFrame]:
+    return [b.annotations(s, d).filter(F.col("set_id") == k) for k in (1, 2)]
+
+
 def agreed(s: SparkSession, d: str) -> DataFrame:
     """Plots on which both sets agree, with the class of the map and the region there."""
-    a = b.annotations(s, d).withColumn("class", l.answer_to_class(F.col("answer")))
-    one = [l.keep_first(a.filter(F.col("set_id") == k), ["plotid"], ["file_ord"]) for k in (1, 2)]
-    both = one[0].select("plotid", "lon", "lat", F.col("class").alias("ref_class")).join(one[1].select("plotid", F.col("class").alias("_other")), "plotid").filter(F.col("ref_class") == F.col("_other")).drop("_other")
-    sampled = r.sample_raster(both, one_map(s, d), META).withColumn("map_class", r.binarize(F.col("value"))).filter("map_class is not null")
-    return p.join_regions(sampled, rings(s, d)).select("plotid", "region", "ref_class", "map_class")
+    return p.join_regions(ar.reference_agreement(*sets(s, d), one_map(s, d), META), rings(s, d)).select("plotid", "region", "ref_class", "map_class")
 
 
 AGREED = f"f as (select * from (select *, case answer when 'Crop' then 1 when 'Non-crop' then 0 end as k, row_number() over (partition by set_id, plotid order by file_ord) as o from b_annotations) where o=1), ag0 as (select a.plotid, a.lon, a.lat, a.k as ref_class from f a join f z on a.plotid=z.plotid and a.set_id=1 and z.set_id=2 and a.k=z.k), ag as (select plotid, region, ref_class, {CLASS} as map_class from (select *, {ROW} as row, {COL} as col from ag0) join (select row, col, value from b_pixels where map='A') using (row, col) join b_regions on {INSIDE} where {CLASS} is not null)"
 query("E18_reference_agreement", agreed, f"with {AGREED} select * from ag")
 
 
-def region_px(s: SparkSession, d: str) -> DataFrame:
-    clipped = r.clip_pixels(one_map(s, d), META, rings(s, d)).withColumn("map_class", r.binarize(F.col("value")))
-    return clipped.filter("map_class is not null").groupBy("region", "map_class").agg(F.count("*").alias("px"))
-
-
 def estimated(s: SparkSession, d: str) -> DataFrame:
-    return e.area_estimate(cf.confusion(agreed(s, d), by=["region"]), region_px(s, d), PX, ["region"])
+    return ar.estimate_area(one_map(s, d), META, rings(s, d), *sets(s, d), PX)
 
 
 RPX = f"rp as (select region, {CLASS} as map_class, count(*) as px from (select *, {CENTER} from b_pixels where map='A') join b_regions on {INSIDE} where {CLASS} is not null group by 1,2)"
 AREA = f"with {AGREED}, {RPX}, cm as (select g.region, i.c as ref_class, j.c as map_class, count(ag.plotid) as n from (select distinct region from ag) g cross join (values (0),(1)) i(c) cross join (values (0),(1)) j(c) left join ag on ag.region=g.region and ag.ref_class=i.c and ag.map_class=j.c group by 1,2,3), q as (select cm.*, coalesce(px,0) as px, sum(n) over (partition by region, map_class) as nj, sum(case when ref_class=0 then coalesce(px,0) end) over (partition by region) as t from cm left join rp using (region, map_class)), ar as (select region, ref_class as class, sum(coalesce(px*n/nullif(nj,0),0)) as area_px from q group by 1,2)"
 query("E19_estimate_area", lambda s, d: rounded(estimated(s, d).select("region", "class", "area_px"), 4), f"{AREA} select region, class, round(area_px,4)+0.0 as area_px from ar")
-query("E20_estimate_areas", lambda s, d: estimated(s, d).select("region", "class", F.round("area_ha", 2).alias("area_ha"), F.round("ci_ha", 2).alias("ci_ha")))
+EST = "t as (select *, sum(case when ref_class=0 then px end) over (partition by {by}) as t_px from j), w as (select *, px/nullif(t_px,0) as wj, coalesce(px/nullif(t_px,0)*n/nullif(nj,0),0) as pij from t), es as (select {by}, ref_class as class, sum(pij) as a, max(t_px) as t_px, case when count_if(nj=1)=0 then sqrt(greatest(0, sum((coalesce(wj,0)*pij-pij*pij)/nullif(nj-1,0)))) end as se from w group by {by}, ref_class)"
+HA = "class, round(a*t_px*cast(0.09 as double),2)+0.0 as area_ha, round(cast(1.96 as double)*se*t_px*cast(0.09 as double),2)+0.0 as ci_ha"
+HA_FINE = HA.replace(",2)", ",6)")  # two digits meet ties
+query("E20_estimate_areas", lambda s, d: rounded(estimated(s, d).select("region", "class", "area_ha", "ci_ha"), 2), f"{AREA}, j as (select region, ref_class, map_class, n, nj, px from q), {EST.format(by='region')} select region, {HA} from es")
+
+
+def jobs(s: SparkSession, d: str) -> DataFrame:
+    """Every region in three years, each with a map and the two sets of its own."""
+    years = s.createDataFrame([(2019, "A", 1, 2), (2020, "R", 1, 2), (2021, "N", 2, 1)], "year int, map string, set1 int, set2 int")
+    return b.regions(s, d).select(F.col("region").alias("roi")).crossJoin(F.broadcast(years)).select("roi", "year", "map", "set1", "set2")  # three rows
+
+
+def by_year(s: SparkSession, d: str) -> DataFrame:
+    return ar.estimate_areas(jobs(s, d), b.pixels(s, d), META, rings(s, d).withColumnRenamed("region", "roi"), b.annotations(s, d), PX)
+
+
+YEARS = f"f as (select * from (select *, case answer when 'Crop' then 1 when 'Non-crop' then 0 end as k, row_number() over (partition by set_id, plotid order by file_ord) as o from b_annotations) where o=1), jb as (select region as roi, year, map, s1, s2 from b_regions, (values (2019,'A',1,2),(2020,'R',1,2),(2021,'N',2,1)) y(year,map,s1,s2)), ag0 as (select a.plotid, a.lon, a.lat, a.set_id as s1, z.set_id as s2, a.k as ref_class from f a join f z on a.plotid=z.plotid and a.set_id<>z.set_id and a.k=z.k), ag as (select plotid, roi, year, ref_class, map_class from (select plotid, s1, s2, map, region as roi, ref_class, {CLASS} as map_class from (select *, {ROW} as row, {COL} as col from ag0) join b_pixels using (row, col) join b_regions on {INSIDE} where {CLASS} is not null) join jb using (roi, map, s1, s2)), rp as (select roi, year, map_class, count(*) as px from (select region as roi, map, {CLASS} as map_class from (select *, {CENTER} from b_pixels) join b_regions on {INSIDE} where {CLASS} is not null) join jb using (roi, map) group by 1,2,3), cm as (select g.roi, g.year, i.c as ref_class, j.c as map_class, count(ag.plotid) as n from (select distinct roi, year from ag) g cross join (values (0),(1)) i(c) cross join (values (0),(1)) j(c) left join ag on ag.roi=g.roi and ag.year=g.year and ag.ref_class=i.c and ag.map_class=j.c group by 1,2,3,4), j as (select cm.*, coalesce(px,0) as px, sum(n) over (partition by roi, year, map_class) as nj from cm left join rp using (roi, year, map_class))"
+EST_YEARS = f"with {YEARS}, {EST.format(by='roi, year')}"
+query("E20_estimate_areas_by_year", lambda s, d: rounded(by_year(s, d).select("roi", "year", "class", "area_ha", "ci_ha")), f"{EST_YEARS} select roi, year, {HA_FINE} from es")
+ROIS = [f"NATION_{k}" for k in range(25)]
+WIDE = ", ".join(f"max(case when roi='{r}' and class={k} then {c} end) as \"{r} {n}\"" for r in ROIS for k, c, n in ((1, "area_ha", "crop area"), (1, "ci_ha", "95% CI crop"), (0, "area_ha", "Non-crop area"), (0, "ci_ha", "95% CI noncrop")))
+query("A8_area_results_by_year", lambda s, d: rounded(ar.area_results(by_year(s, d), ROIS, digits=6)), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es) select year as \"Year\", {WIDE} from h group by 1")
+query("A14_cm_summary", lambda s, d: rounded(ar.cm_summary(cf.confusion(agreed(s, d), by=["region"]), ["region"])), f"{AREA}, k as (select region, sum(case when ref_class=0 and map_class=0 then n end) as tn, sum(case when ref_class=1 and map_class=1 then n end) as tp, sum(case when ref_class=0 and map_class=1 then n end) as fp, sum(case when ref_class=1 and map_class=0 then n end) as fn from cm group by 1) select region, 'False Positive Rate' as metric, round(coalesce(fn/nullif(fn+tp,0),0),6)+0.0 as \"Non-Crop\", round(coalesce(fp/nullif(fp+tn,0),0),6)+0.0 as \"Crop\" from k union all select region, 'True Positive Rate', round(coalesce(tn/nullif(tn+fp,0),0),6)+0.0, round(coalesce(tp/nullif(tp+fn,0),0),6)+0.0 from k union all select region, 'Accuracy', round((tp+tn)/(tp+tn+fp+fn),6)+0.0, round((tp+tn)/(tp+tn+fp+fn),6)+0.0 from k")
 query("A9_area_jobs", lambda s, d: estimated(s, d).join(F.broadcast(b.regions(s, d).filter("country_id <= 2").select("region")), "region").select("region", "class", F.round("area_ha", 2).alias("area_ha")), f"{AREA} select ar.region, class, round(area_px*0.09,2) as area_ha from ar join b_regions r on r.region=ar.region and country_id<=2")
 query("A8_area_results", lambda s, d: estimated(s, d).groupBy("class").pivot("region", ["NATION_1", "NATION_2", "NATION_3"]).agg(F.round(F.first("area_px"), 4)), f"{AREA} select class, max(case when region='NATION_1' then round(area_px,4) end) as \"NATION_1\", max(case when region='NATION_2' then round(area_px,4) end) as \"NATION_2\", max(case when region='NATION_3' then round(area_px,4) end) as \"NATION_3\" from ar group by 1")
 query("A14_area_summary", lambda s, d: rounded(estimated(s, d).select("region", "class", F.col("area_px").alias("px"), F.col("area_ha").alias("ha")).unpivot(["region", "class"], ["px", "ha"], "metric", "value"), 6), f"{AREA} select region, class, 'px' as metric, round(area_px,6)+0.0 as value from ar union all select region, class, 'ha', round(area_px*0.09,6)+0.0 from ar")
@@ -179,7 +194,8 @@ query("G21_missing_regions", lambda s, d: geo.missing_regions(b.regions(s, d).fi
 query("G22_dissolve", lambda s, d: geo.dissolve(rings(s, d), "country_id").select("country_id", F.size("parts").alias("n_parts")), "select country_id, cast(count(*) as int) as n_parts from b_regions group by 1")
 query("I2_reference_sample", lambda s, d: p.reference_sample(classes(s, d).filter("map = 'A' and class is not null").select("row", "col", F.col("class").alias("value")), {0: 50, 1: 50}, META).groupBy("value").agg(F.count("*").alias("n"), F.max("sample_id").alias("last")), f"with {CL}, k as (select class as value, row_number() over (partition by class) as o from cl where map='A' and class is not null) select value, count(*) as n, max(o) as last from k where o<=50 group by 1")
 query("I3_points_in_polygons", lambda s, d: p.points_in_polygons(rings(s, d), 10))
-query("I4_upsample_local", lambda s, d: p.upsample_local(l.with_is_local(b.points(s, d).withColumn("is_crop", (F.col("class_probability") > 0.5).cast("int")), (-20.0, 40.0, -60.0, 120.0))))
+LOCAL = "u as (select *, cast(class_probability>0.5 as int) as is_crop, coalesce(lat between -20 and 40 and lon between -60 and 120, false) as is_local from b_points), n as (select count_if(is_crop=1) as pos, count_if(is_crop=0) as neg from u where is_local)"
+query("I4_upsample_local", lambda s, d: p.upsample_local(l.with_is_local(b.points(s, d).withColumn("is_crop", (F.col("class_probability") > 0.5).cast("int")), (-20.0, 40.0, -60.0, 120.0))), f"with {LOCAL}, m as (select u.*, is_local and is_crop=case when pos<neg then 1 else 0 end as rare, row_number() over (partition by is_local, is_crop order by (id*48271) % 2147483647, id) as o, greatest(pos,neg) as big, least(pos,neg) as small from u, n) select * exclude (rare, o, big, small, k), cast(k as int) as copy from (select *, unnest(range(1, cast(case when rare then big//small + cast(o <= big % small as int) else 1 end + 1 as bigint))) as k from m)")
 query("I5_region_holdout", lambda s, d: p.region_holdout(b.points(s, d).select("id", "lat", "lon"), rings(s, d).filter("region = 'NATION_3'")).select("id", "part"), f"select id, case when exists (select 1 from b_regions where region='NATION_3' and {INSIDE}) then 'test' else 'train' end as part from b_points")
 query("I6_sample_n", lambda s, d: p.sample_n(b.points(s, d), 100, "id").select("id"), "select id from b_points order by (id*48271) % 2147483647, id limit 100")
 

@@ -26,11 +26,19 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> Da
 def rings(coordinates, geometry_type: str = "Polygon"):
     """Outer rings of polygons as arrays of (x, y), without the repeated last vertex."""
     if geometry_type != "Polygon":
-        raise ValueError("only polygons have one outer ring")
+        raise ValueError("only polygons have one outer ring; parts() takes multipolygons")
     outer = F.get(F.from_json(coordinates, "array<array<array<double>>>"), F.lit(0))
     return F.transform(F.slice(outer, F.lit(1), F.size(outer) - 1), lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
 
 
+def parts(coordinates, geometry_type):
+    """Polygons and multipolygons as lists of parts, each its outer ring and its holes; null for other geometries."""
+    one = F.array(F.from_json(coordinates, "array<array<array<double>>>"))
+    many = F.from_json(coordinates, "array<array<array<array<double>>>>")
+    ring = lambda r: F.transform(F.slice(r, F.lit(1), F.greatest(F.size(r) - 1, F.lit(0))), lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return F.transform(F.when(geometry_type == "Polygon", one).when(geometry_type == "MultiPolygon", many), lambda part: F.transform(part, ring))
+
+
 def read_all_labels(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:
     """All CSV files of a folder in one read, with ``dataset`` from the file's name."""
     df = spark.read.csv(f"{folder}/*.csv", header=True, schema=schema)

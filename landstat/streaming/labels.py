@@ -49,25 +49,35 @@ def moments(stats: DataFrame, by: str = "answer") -> DataFrame:
 CONSENSUS = "plotid long, n_crop long, n_other long, answer string"
 
 
-def stream_consensus(df: DataFrame) -> DataFrame:
+def stream_consensus(df: DataFrame, delay: str = "1 hour", keep_days: float = 400.0) -> DataFrame:
     """Per plot: labels for crop and for other, and the answer of most (``tie`` for as many). A stream re-emits a plot on each change.
 
-    The state of a plot is two counts; replaying a batch after a restart starts from the counts before it.
+    The state of a plot is two counts; replaying a batch after a restart starts from the counts before it. The state ends once the
+    watermark is ``keep_days`` past the last label of the plot, and later labels of it count anew; labels older than the watermark
+    go. The batch twin counts all labels.
     """
     if not df.isStreaming:
         crop, other = F.count_if(F.col("answer") == "Crop"), F.count_if(F.col("answer") != "Crop")
         return df.groupBy("plotid").agg(crop.alias("n_crop"), other.alias("n_other")).withColumn("answer", F.when(F.col("n_crop") > F.col("n_other"), "Crop").when(F.col("n_crop") < F.col("n_other"), "Non-crop").otherwise("tie"))
 
+    keep_ms = int(keep_days * 86_400_000) + 1
+
     def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        crop, other = state.get if state.exists else (0, 0)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        crop, other, last = state.get if state.exists else (0, 0, 0)
         for f in frames:
             own = int((f["answer"] == "Crop").sum())
             crop, other = crop + own, other + len(f) - own
-        state.update((crop, other))
+            last = max(last, int(f["ts"].max().timestamp() * 1000)) if f["ts"].notna().any() else last
+        state.update((crop, other, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
         answer = "Crop" if crop > other else "Non-crop" if crop < other else "tie"
         yield pd.DataFrame({"plotid": [key[0]], "n_crop": [crop], "n_other": [other], "answer": [answer]})
 
-    return df.groupBy("plotid").applyInPandasWithState(update, CONSENSUS, "n_crop long, n_other long", "update", GroupStateTimeout.NoTimeout)
+    own = df.withWatermark("ts", delay).groupBy("plotid")
+    return own.applyInPandasWithState(update, CONSENSUS, "n_crop long, n_other long, last long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def upsert_batch(target: str, keys=("source", "start_year")):
