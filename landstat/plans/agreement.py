@@ -33,7 +33,7 @@ CON = f"{PAIR}, c0 as (select *, case when answer1=final then '2' when answer2=f
 query("C1_pair_sets", paired, f"{PAIR} select * from p")
 query("E22_consensus", lambda s, d: table(s, d).select("plotid", "overridden_side", "overridden_label", "overridden_email", "overridden_secs", "kept_secs"), f"{CON} select plotid, side as overridden_side, ol as overridden_label, oe as overridden_email, os as overridden_secs, ks as kept_secs from c")
 query("B18_change_class", lambda s, d: b.ref_map(s, d).groupBy(c.change_class(F.col("ref_class"), F.col("map_class")).alias("code"), c.change_name(F.col("ref_class"), F.col("map_class")).alias("name")).agg(F.count("*").alias("n")), "select ref_class*2+map_class as code, case ref_class*2+map_class when 3 then 'Stable P' when 0 then 'Stable NP' when 2 then 'P loss' else 'P gain' end as name, count(*) as n from b_ref_map group by 1,2")
-query("B19_resolve_labels", lambda s, d: c.resolve_labels(*firsts(s, d), ["u1", "u2", "u3"], ["u4", "u5"], b.final_labels(s, d).filter("plotid % 10 = 0"), -100.0), f"with {FIRST} select a.plotid, coalesce(g.answer, case when a.answer=z.answer then a.answer end, case when z.answer is null then a.answer end, case when a.email in ('u1','u2','u3') then a.answer end, case when z.email in ('u4','u5') then z.answer end) as label from f a join f z on a.plotid=z.plotid and a.set_id=1 and z.set_id=2 left join (select * from b_final where plotid % 10 = 0) g on g.plotid=a.plotid where a.lon >= -100 and label is not null")
+query("B19_resolve_labels", lambda s, d: c.resolve_labels(*firsts(s, d), ["u1", "u2", "u3"], ["u4", "u5"], b.final_labels(s, d).filter("answer = 'Non-crop'"), -100.0), f"with {FIRST} select a.plotid, coalesce(g.answer, case when a.answer=z.answer then a.answer end, case when z.answer is null then a.answer end, case when a.email in ('u1','u2','u3') then a.answer end, case when z.email in ('u4','u5') then z.answer end) as label from f a join f z on a.plotid=z.plotid and a.set_id=1 and z.set_id=2 left join (select * from b_final where answer = 'Non-crop') g on g.plotid=a.plotid where a.lon >= -100 and label is not null")
 query("G1_duration_secs", lambda s, d: b.annotations(s, d).groupBy("email").agg(F.sum(c.duration_secs(F.col("analysis_duration"))).alias("secs")), "select email, sum(cast(split_part(analysis_duration,' ',1) as double)) as secs from b_annotations group by 1")
 query("D8_labeler_disagreement", lambda s, d: rounded(c.labeler_disagreement(b.points(s, d).select(F.concat(F.lit("u"), F.col("id") % 7, F.lit(",u"), F.col("id") % 11).alias("labelers"), "class_probability"))), "select labeler, count(*) as n, cast(count_if(p=0.5) as bigint) as n_disagree, round(count_if(p=0.5)/count(*),6) as ratio from (select unnest(['u' || (id % 7), 'u' || (id % 11)]) as labeler, class_probability as p from b_points) group by 1")
 query("D9_label_overrides", lambda s, d: c.label_overrides(table(s, d)), f"{CON} select label, count(*) as n from o group by 1")

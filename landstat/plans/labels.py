@@ -70,9 +70,9 @@ query("B22_check_sets", lambda s, d: l.check_sets(*sets(s, d)), "with c as (sele
 query("A3_read_sets", lambda s, d: l.read_sets({k: x.drop("set_id", "file_ord") for k, x in zip((1, 2), sets(s, d))}), "select * exclude (file_ord) from b_annotations")
 query("A6_export_training", lambda s, d: l.export_training_table(b.points(s, d).withColumn("eo_data", F.when(F.col("id") % 4 != 0, F.concat(F.lit("eo"), F.col("id"))))), "select dataset, cast(class_probability>0.5 as int) as is_crop, lat, lon, subset, num_labelers, country, concat('eo', id) as eo_data from b_points where id % 4 <> 0 and class_probability<>0.5")
 query("A7_export_points", lambda s, d: l.export_points(b.points(s, d)), "select lat as latitude, lon as longitude, subset, class_probability as is_crop from b_points where class_probability<>0.5 and num_labelers>1")
-EXIST = lambda s, d: b.points(s, d).filter("id % 3 = 0").select("id", F.col("dataset").alias("source"), (F.col("id") % 2 + 2020).alias("start_year"))
-INCOME = lambda s, d: b.points(s, d).filter("id % 3 = 1").select("id", F.col("dataset").alias("source"), (F.col("id") % 5 + 2019).alias("start_year"))
-query("A13_ingest_new_sources", lambda s, d: l.ingest_new_sources(EXIST(s, d), INCOME(s, d)), "with e as (select id, dataset as source, id % 2 + 2020 as start_year from b_points where id % 3 = 0), i as (select id, dataset as source, id % 5 + 2019 as start_year from b_points where id % 3 = 1) select * from e union all select i.* from i where not exists (select 1 from e where e.source=i.source and e.start_year=i.start_year)")
+EXIST = lambda s, d: b.points(s, d).filter("subset = 'training'").select("id", F.col("dataset").alias("source"), (F.col("id") % 2 + 2020).alias("start_year"))
+INCOME = lambda s, d: b.points(s, d).filter("subset <> 'training'").select("id", F.col("dataset").alias("source"), (F.col("id") % 5 + 2019).alias("start_year"))
+query("A13_ingest_new_sources", lambda s, d: l.ingest_new_sources(EXIST(s, d), INCOME(s, d)), "with e as (select id, dataset as source, id % 2 + 2020 as start_year from b_points where subset = 'training'), i as (select id, dataset as source, id % 5 + 2019 as start_year from b_points where subset <> 'training') select * from e union all select i.* from i where not exists (select 1 from e where e.source=i.source and e.start_year=i.start_year)")
 LOG = lambda s, d: b.scores(s, d).select(F.col("grp").alias("model"), F.col("id").alias("run_ts"), F.col("score").alias("accuracy"))
 query("A10_latest_metrics", lambda s, d: l.latest_metrics(l.upsert_metrics(LOG(s, d).filter("run_ts % 2 = 0"), LOG(s, d).filter("run_ts % 2 = 1"))), "select model, run_ts, accuracy from (select grp as model, id as run_ts, score as accuracy, row_number() over (partition by grp order by id desc) as r from b_scores) where r = 1")
 query("C10_anti_rows", lambda s, d: l.rows_not_in(b.points(s, d), b.points(s, d).filter("subset = 'testing'"), ["country", "dataset"]), "select * from b_points p where not exists (select 1 from b_points q where q.subset='testing' and q.country=p.country and q.dataset=p.dataset)")
@@ -102,7 +102,7 @@ query("D42_value_share", lambda s, d: rounded(l.share(b.table(s, d, "part"), "p_
 query("F11_union_all", lambda s, d: l.union_all(b.points(s, d).select("id", "dataset"), b.points(s, d).select("id", "country")), "select id, dataset, null as country from b_points union all select id, null, country from b_points")
 query("F12_common_ids", lambda s, d: l.common_ids(*[x.select("plotid") for x in sets(s, d)]), "select plotid from b_annotations where set_id=1 intersect select plotid from b_annotations where set_id=2")
 query("F13_rows_not_in", lambda s, d: l.rows_not_in(*sets(s, d), ["plotid"]).select("plotid", "email"), "select plotid, email from b_annotations where set_id=1 and plotid not in (select plotid from b_annotations where set_id=2)")
-query("F14_apply_assignment", lambda s, d: l.apply_assignment(b.points(s, d).select("id", "country"), b.points(s, d).filter("id % 7 <> 0"), "id"), "select p.id, p.country, q.subset from b_points p left join (select id, subset from b_points where id % 7 <> 0) q using (id)")
+query("F14_apply_assignment", lambda s, d: l.apply_assignment(b.points(s, d).select("id", "country"), b.points(s, d).filter("subset <> 'testing'"), "id"), "select p.id, p.country, q.subset from b_points p left join (select id, subset from b_points where subset <> 'testing') q using (id)")
 query("I1_split_subsets", lambda s, d: l.split_subsets(b.points(s, d).select("id")), f"select id, {SUBSET} from b_points")
 for rule, sql in {"training": "select id, cast(class_probability>=0.5 as int) as is_crop from b_points", "export": "select id, cast(class_probability>0.5 as int) as is_crop from b_points where class_probability<>0.5", "unanimous": "select id, cast(class_probability as int) as is_crop from b_points where class_probability in (0,1)"}.items():
     query(f"B_binarize_{rule}", lambda s, d, r=rule: l.binarize_labels(b.points(s, d), r).select("id", "is_crop"), sql)
