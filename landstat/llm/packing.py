@@ -27,12 +27,13 @@ from landstat.llm.common import checkpointed, fresh, table
 
 CAPACITY = 2048
 END = 0
-KEPT, LONGEST = 500_000, 64  # parts that a worker remembers, and characters of the longest; all others are encoded each time
+KEPT, LONGEST = 800_000, 64  # parts that a worker remembers, and characters of the longest; all others are encoded each time
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTER, SIGN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 #: Parts that can be encoded on their own: letters up to a space or sign, signs up to a letter or space, other runs up to white space,
 #: and white space, whose last space opens the next token.
 PARTS = re.compile(f" ?[{LETTER}]+(?=[{SPACE}{SIGN}]|\\Z)| ?[{SIGN}]+(?=[{LETTER}{SPACE}]|\\Z)| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+SIMPLE = re.compile(f" ?[{LETTER}]+").fullmatch  # one match of the tokenizer's pattern, which goes to its model as it is
 
 
 class Encoder:
@@ -40,24 +41,29 @@ class Encoder:
 
     def __init__(self, content: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.content, self.tokenizer, self.known = content, Tokenizer.from_buffer(content), {}
         self.tokenizer.encode_special_tokens = True
+        as_signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {k: as_signs.pre_tokenize_str(chr(k))[0][0] for k in range(256) if k == 32 or re.fullmatch(f"[{LETTER}]", chr(k))}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [PARTS.findall(t) for t in texts]
-        wanted = set().union(*parts)
-        new = list(wanted.difference(self.known))
+        found = [list(map(self.known.get, some)) for some in parts]
+        lacking = [k for k, some in enumerate(found) if None in some]
+        new = list({p for k in lacking for p, ids in zip(parts[k], found[k]) if ids is None})
+        simple = {p for p in new if SIMPLE(p)}
+        other = [p for p in new if p not in simple]
+        coded = [(p, c.ids) for p, c in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False))]
+        coded += [(p, [t.id for t in self.tokenizer.model.tokenize(p.translate(self.signs))]) for p in simple]
+        fresh_ids = {p: struct.pack(f"<{len(ids)}I", *ids) for p, ids in coded}
+        for k in lacking:
+            found[k] = [fresh_ids[p] if ids is None else ids for p, ids in zip(parts[k], found[k])]
         if len(self.known) + len(new) > KEPT:
-            self.known, new = {}, list(wanted)
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((p, struct.pack(f"<{len(ids)}I", *ids)) for p, ids in zip(new, [c.ids for c in coded]))
-        out = [b"".join(map(self.known.__getitem__, some)) for some in parts]
-        for p in new:
-            if len(p) > LONGEST:
-                del self.known[p]
-        return out
+            self.known = {}
+        self.known.update((p, ids) for p, ids in fresh_ids.items() if len(p) <= LONGEST)
+        return [b"".join(some) for some in found]
 
 
 _ENCODERS: list[Encoder] = []
