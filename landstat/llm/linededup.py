@@ -1,10 +1,11 @@
 """Line dedup by overlapping three-line windows.
 
 Consecutive lines are hashed three at a time; windows that occur more than once are found over all documents, and every
-occurrence but the first is removed by merging the positions that such windows cover. A passage may also stand inside a long
-line, so a line of many words is wrapped as well, at places that only its own words decide (a word whose hash is the least of
-its neighbours'); the same passage is then wrapped alike wherever it stands, and windows of wrapped pieces are hashed besides
-those of three whole lines, which always are.
+occurrence but the first is removed by merging the positions that such windows cover.
+
+A caller may ask for more: a passage may also stand inside a long line, and with ``longest`` a line of more words is wrapped at
+places that only its own words decide (a word whose hash is the least of its neighbours'); the same passage is then wrapped alike
+wherever it stands, and windows of wrapped pieces are hashed besides those of three whole lines.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from landstat.llm.common import checkpointed, fresh, table
 
 WINDOW = 3
 RADIUS = 3  # a wrap stands before a word whose hash is the least among this many neighbours on either side
-LONG = 12  # lines of more words are wrapped
+LONG = 12  # a choice for ``longest``: lines of more words are wrapped
 FEWEST = 12  # words of a window of wrapped pieces, at least
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def windows(raw: bytes, fewest: int = FEWEST, longest: int | None = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows(raw: bytes, fewest: int = FEWEST, longest: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Window hashes (signed), the first and last piece that each window covers, and where each piece starts and ends.
 
     A piece is a non-blank line or, of a line of more than ``longest`` words (None: of no line), a part of it. Windows of three
@@ -96,7 +97,7 @@ def mixed(each: np.ndarray) -> np.ndarray:
     return out ^ out >> np.uint64(32)
 
 
-def strip(raw: bytes, places: list[int], fewest: int = FEWEST, longest: int | None = LONG) -> tuple[str, int]:
+def strip(raw: bytes, places: list[int], fewest: int = FEWEST, longest: int | None = None) -> tuple[str, int]:
     """A text without the pieces that windows at ``places`` cover, and how many pieces that were."""
     _, covers, starts, ends = windows(raw, fewest, longest)
     gone = sorted({i for place in places for i in range(covers[place][0], covers[place][1] + 1)})
@@ -135,15 +136,15 @@ def repeated_places(docs: DataFrame, text: str, doc_id: str, fewest: int, longes
     return later.select("spot.*").groupBy("id", "text_hash").agg(F.collect_set("place").alias("places"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = FEWEST, longest: int | None = LONG, most_broadcast: int = 2_000_000) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fewest: int = FEWEST, longest: int | None = None, most_broadcast: int = 2_000_000) -> DataFrame:
     """``docs`` with repeated lines out of its texts, and a column ``n_removed`` (lines, long; a column of this name is replaced).
 
     A window of three consecutive non-blank lines (their words joined by single spaces) that occurred before, in an earlier
     document or higher up in the same one, is removed with all other such windows it overlaps; the first occurrence stays.
     Earlier means a smaller id (null ids first), then a smaller hash of the text, then a smaller place; rows that repeat both
     id and text are one document and stay alike. Blank lines stay. Texts of fewer than three lines, null and empty texts stay
-    as they are. A text whose lines all occurred before becomes empty; its row stays. With ``longest`` None no line is wrapped,
-    and windows of three whole lines are all there is; else a line of more words can lose a part, and counts by its pieces.
+    as they are. A text whose lines all occurred before becomes empty; its row stays. Windows of three whole lines are all there is,
+    unless ``longest`` is given: a line of more words is then wrapped too, can lose a part, and counts by its pieces.
     """
     docs = docs.drop("n_removed")
     key, places = fresh(docs, "text_hash"), fresh(docs, "places")
@@ -168,6 +169,31 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", few
     return joined.mapInArrow(run, schema)
 
 
+#: Windows of three lines over whole texts, for distinct ids.
+OP5_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, len(parts) AS n_lines, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), words AS (
+  SELECT doc_id, i, line, n_lines, trim(regexp_replace(line, '[\x09-\x0D ]+', ' ', 'g'), ' ') AS w FROM lines
+), numbered AS (
+  SELECT doc_id, i, w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r FROM words WHERE w <> ''
+), windows AS (
+  SELECT doc_id, r, w || chr(10) || lead(w, 1) OVER o || chr(10) || lead(w, 2) OVER o AS three FROM numbered WINDOW o AS (PARTITION BY doc_id ORDER BY r)
+), later AS (
+  SELECT doc_id, r FROM (SELECT doc_id, r, row_number() OVER (PARTITION BY three ORDER BY doc_id, r) AS k FROM windows WHERE three IS NOT NULL) AS k WHERE k > 1
+), gone AS (
+  SELECT DISTINCT later.doc_id, later.r + d.d AS r FROM later, (VALUES (0), (1), (2)) AS d(d)
+), kept AS (
+  SELECT words.doc_id, string_agg(CASE WHEN gone.r IS NULL THEN line || CASE WHEN words.i < n_lines THEN chr(10) ELSE '' END ELSE '' END, '' ORDER BY words.i) AS text, count(gone.r) AS n_removed
+  FROM words LEFT JOIN numbered ON words.doc_id = numbered.doc_id AND words.i = numbered.i
+  LEFT JOIN gone ON numbered.doc_id = gone.doc_id AND numbered.r = gone.r
+  GROUP BY words.doc_id
+)
+SELECT doc_id, n_removed, length(text) AS n_chars_kept, sha256(text) AS text_sha256 FROM kept
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_removed, the kept text's length and SHA-256."""
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))

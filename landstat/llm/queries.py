@@ -11,7 +11,7 @@ from landstat.llm.decontaminate import OP6_SQL, op6_decontaminate
 from landstat.llm.fingerprint import op7_fingerprints
 from landstat.llm.htmltext import op9_html_text
 from landstat.llm.licenses import op3_licenses
-from landstat.llm.linededup import op5_line_dedup
+from landstat.llm.linededup import OP5_SQL, op5_line_dedup
 from landstat.llm.lmscore import op2_lm_score
 from landstat.llm.packing import op11_packing
 from landstat.llm.quality import op8_quality
@@ -38,4 +38,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_prefix_trie,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op6_decontaminate": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": OP5_SQL, "op6_decontaminate": OP6_SQL}

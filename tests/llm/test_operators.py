@@ -247,9 +247,9 @@ def test_whole_line_windows_against_plain_python(spark, sf, most):
     given = docs(spark, sf).orderBy("doc_id").collect()
     texts = [r["text"] for r in given] + lined(random.Random(20), 120) + ODD
     want = plain_line_dedup(texts)
-    got = linededup.dedup_lines(frame(spark, texts), longest=None, most_broadcast=most).orderBy("doc_id").collect()
+    got = linededup.dedup_lines(frame(spark, texts), most_broadcast=most).orderBy("doc_id").collect()
     assert [(r["text"], r["n_removed"]) for r in got] == want and sum(n for _, n in want) > 200
-    wrapped = linededup.dedup_lines(frame(spark, texts), most_broadcast=most).orderBy("doc_id").collect()
+    wrapped = linededup.dedup_lines(frame(spark, texts), longest=linededup.LONG, most_broadcast=most).orderBy("doc_id").collect()
     squeezed = lambda t: (t or "").split()
     for r, (plain, n) in zip(wrapped, want):  # wrapping only ever takes more away, in order
         rest = iter(squeezed(plain))
@@ -260,7 +260,7 @@ def test_window_of_short_and_long_lines_goes(spark):
     rng = random.Random(21)
     for _ in range(5):
         block = f"{words(rng, 2)}\n{words(rng, 15)}\n{words(rng, 2)}"
-        rows = linededup.dedup_lines(frame(spark, [f"{words(rng, 9)}\n{block}\nend", f"{block}\n{words(rng, 8)}"])).orderBy("doc_id").collect()
+        rows = linededup.dedup_lines(frame(spark, [f"{words(rng, 9)}\n{block}\nend", f"{block}\n{words(rng, 8)}"]), longest=linededup.LONG).orderBy("doc_id").collect()
         assert block in rows[0]["text"] and not any(x in rows[1]["text"] for x in block.split("\n"))
 
 
@@ -269,7 +269,7 @@ def test_passages_go_from_all_but_the_first_and_clean_texts_stay(spark):
     passage = words(rng, 55)
     lines = "\n".join(words(rng, 20) for _ in range(3))
     texts = [f"{words(rng, 9)} {passage} {words(rng, 9)}", f"{words(rng, 20)} {passage}", words(rng, 200), f"{words(rng, 5)}\n{lines}\n{words(rng, 5)}", f"{lines}\n{words(rng, 5)}", *ODD]
-    rows = linededup.dedup_lines(frame(spark, texts), most_broadcast=0).orderBy("doc_id").collect()
+    rows = linededup.dedup_lines(frame(spark, texts), longest=linededup.LONG, most_broadcast=0).orderBy("doc_id").collect()
     assert [r["n_removed"] > 0 for r in rows[:5]] == [False, True, False, False, True]
     assert passage not in rows[1]["text"] and lines not in rows[4]["text"] and rows[2]["text"] == texts[2]
     assert [r["text"] for r in rows[5:12]] == ODD[:7] and rows[0]["words"] == "w"
