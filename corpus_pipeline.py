@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landstat.llm import bpe, decontaminate, linededup, quality, simhash
-from landstat.llm.common import fresh, shared_dir, table
+from landstat.llm.common import fresh, remove, shared_dir, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; what is between them is written to the shared folder."""
+    """The stages over ``documents``; what is between them is written to the shared folder, and only the last of it stays there.
+
+    Ids are taken to be unique: rows that repeat an id go or stay together in the near-duplicate stage. No rows give no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     at = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
@@ -73,4 +76,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{at}/{k}")
             docs = spark.read.parquet(f"{at}/{k}")
+            remove(spark, f"{at}/{k - 1}")
     return docs.drop("token_ids")

@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system; one that is not there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, so that helper columns never clash with a caller's."""
     taken = {c.lower() for c in df.columns}
