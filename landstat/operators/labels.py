@@ -117,8 +117,11 @@ def drop_unlabeled(df: DataFrame, question: str) -> DataFrame:
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in a stated order; the same on every run unless rows tie in all of ``order``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")  # each task sends one row a key
+    return df.groupBy(*keys).agg(first).select(*(F.col(c) if c in keys else F.col(f"_first.`{c}`") for c in df.columns))
 
 
 def clean_annotations(df: DataFrame, order: Sequence[str] = ("file_ord",)) -> DataFrame:

@@ -120,15 +120,17 @@ def score(df: DataFrame, predict_fn: Callable[[pd.Series], pd.Series], features:
     return df.mapInPandas(run, schema)
 
 
-def per_region(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType, by: str, most_rows: int = 1_000_000) -> DataFrame:
-    """A user's pandas function of each region. A region of more than ``most_rows`` rows is handed over in parts of about that
-    size, drawn by a hash of its rows, so that every call fits a task; what a region's calls return stands side by side."""
-    sizes = df.groupBy(F.col(by).alias("_by")).agg(F.ceil(F.count("*") / most_rows).cast("int").alias("_parts")).filter(F.col("_parts") > 1)
-    if sizes.isEmpty():
-        return df.groupBy(by).applyInPandas(fn, schema)
-    # one row for each most_rows rows at most
-    parted = df.join(F.broadcast(sizes), F.col(by).eqNullSafe(F.col("_by")), "left").withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.coalesce("_parts", F.lit(1)))).drop("_by", "_parts")
-    return parted.groupBy(by, "_part").applyInPandas(lambda rows: fn(rows.drop(columns="_part")), schema)
+def per_region(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | T.StructType, by: str) -> DataFrame:
+    """A user's function of each region, called once a region, whatever its size, on the frames of its rows as they come.
+
+    A call sees an iterator of frames, at most one Arrow batch of rows each, and yields frames of ``schema``; what it keeps is all the
+    memory that it takes. Rows without a region are one region.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(batches)
+
+    return df.groupBy(by).applyInPandas(run, schema)
 
 
 def region_maps(train: DataFrame, pixels: DataFrame, regions: Sequence[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from landstat.operators import timeseries as ts
 from landstat.functions.shared import shared_dir
 from landstat.plans import bindings as b
 from landstat.plans.registry import query, rounded
+from landstat.streaming import sinks
 from landstat.sources import files
 from landstat.streaming import labels as st
 
@@ -104,10 +105,14 @@ def mean_score(batch):
     return pd.Series([float(1 / (1 + np.exp(-np.mean(x)))) for x in batch])
 
 
-def region_summary(frame):
+def region_summary(frames):
+    """A user's function of a region: its rows and crops, from one frame after the other."""
     import pandas as pd
 
-    return pd.DataFrame({"region": [frame["region"].iloc[0]], "n": [len(frame)], "crop": [int(frame["is_crop"].sum())]})
+    region, n, crop = None, 0, 0
+    for f in frames:
+        region, n, crop = f["region"].iloc[0], n + len(f), crop + int(f["is_crop"].sum())
+    yield pd.DataFrame({"region": [region], "n": [n], "crop": [crop]})
 
 
 for kind, name in (("forest", "J1_forest"), ("logistic", "J2_logistic"), ("gbt", "J3_gbt"), ("svm", "J4_svm")):
@@ -128,10 +133,46 @@ def with_text(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
 
 
+COUNTS_SQL = "select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as start, strftime(date_trunc('day', ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as \"end\", answer, count(*) as n from b_stream group by 1,2,3"
+CONSENSUS_SQL = "select plotid, cast(count_if(answer='Crop') as bigint) as n_crop, cast(count_if(answer<>'Crop') as bigint) as n_other, case when count_if(answer='Crop') > count_if(answer<>'Crop') then 'Crop' when count_if(answer='Crop') < count_if(answer<>'Crop') then 'Non-crop' else 'tie' end as answer from b_stream group by 1"
+MOMENTS_SQL = "select answer, count(analysis_secs) as n, round(avg(analysis_secs),3) as mean, round(stddev_samp(analysis_secs),3) as std from b_stream group by 1"
+UPSERT_SQL = "with e as (select event_id, email as source, cast(year(ts) as int) as start_year from b_stream where plotid<20), i as (select event_id, email as source, cast(year(ts)+event_id % 2 as int) as start_year from b_stream where plotid>=20) select * from e union all select * from i where not exists (select 1 from e where e.source=i.source and e.start_year=i.start_year)"
 query("K1_dedupe", lambda s, d: st.stream_dedupe(b.stream(s, d)).select("event_id", "plotid", "email"), "select event_id, plotid, email from (select *, row_number() over (partition by plotid, email order by ts, event_id) as o from b_stream) where o=1")
-query("K2_counts", lambda s, d: with_text(st.stream_counts(b.stream(s, d)), "start", "end"), "select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as start, strftime(date_trunc('day', ts) + interval 1 day, '%Y-%m-%d %H:%M:%S') as \"end\", answer, count(*) as n from b_stream group by 1,2,3")
+query("K2_counts", lambda s, d: with_text(st.stream_counts(b.stream(s, d)), "start", "end"), COUNTS_SQL)
 query("K2_sliding_counts", lambda s, d: with_text(st.stream_counts(b.stream(s, d), "1 day", "6 hours"), "start", "end"), "with k as (select answer, time_bucket(interval 6 hour, ts, timestamp '1970-01-01') - i * interval 6 hour as start from b_stream, (select unnest(range(0,4)) as i)) select strftime(start, '%Y-%m-%d %H:%M:%S') as start, strftime(start + interval 1 day, '%Y-%m-%d %H:%M:%S') as \"end\", answer, count(*) as n from k group by 1,2,3")
 query("K3_sessions", lambda s, d: rounded(with_text(st.stream_sessions(b.stream(s, d)), "start", "end"), 4), "with k as (select *, case when ts - lag(ts) over (partition by email order by ts) >= interval 30 minute or lag(ts) over (partition by email order by ts) is null then 1 else 0 end as o from b_stream), g as (select *, sum(o) over (partition by email order by ts, event_id rows unbounded preceding) as k from k) select email, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as start, strftime(max(ts) + interval 30 minute, '%Y-%m-%d %H:%M:%S') as \"end\", count(*) as n, round(sum(analysis_secs),4) as secs from g group by email, k")
-query("K4_consensus", lambda s, d: st.stream_consensus(b.stream(s, d)), "select plotid, cast(count_if(answer='Crop') as bigint) as n_crop, cast(count_if(answer<>'Crop') as bigint) as n_other, case when count_if(answer='Crop') > count_if(answer<>'Crop') then 'Crop' when count_if(answer='Crop') < count_if(answer<>'Crop') then 'Non-crop' else 'tie' end as answer from b_stream group by 1")
-query("K5_band_stats", lambda s, d: rounded(st.moments(st.stream_band_stats(b.stream(s, d))), 3), "select answer, count(analysis_secs) as n, round(avg(analysis_secs),3) as mean, round(stddev_samp(analysis_secs),3) as std from b_stream group by 1")
-query("K6_upsert", lambda s, d: st.upsert(b.stream(s, d).filter("plotid < 20").select("event_id", F.col("email").alias("source"), F.year("ts").alias("start_year")), b.stream(s, d).filter("plotid >= 20").select("event_id", F.col("email").alias("source"), (F.year("ts") + F.col("event_id") % 2).cast("int").alias("start_year"))), "with e as (select event_id, email as source, cast(year(ts) as int) as start_year from b_stream where plotid<20), i as (select event_id, email as source, cast(year(ts)+event_id % 2 as int) as start_year from b_stream where plotid>=20) select * from e union all select * from i where not exists (select 1 from e where e.source=i.source and e.start_year=i.start_year)")
+query("K4_consensus", lambda s, d: st.stream_consensus(b.stream(s, d)), CONSENSUS_SQL)
+def arriving(s: SparkSession, d: str) -> DataFrame:
+    """The label stream as a stream over the files of the events."""
+    return b.as_stream(s.readStream.schema(b.table(s, d, "events").schema).parquet(f"{d}/events.parque[t]"))
+
+
+def drained(s: SparkSession, stream: DataFrame, write, mode: str = "append") -> str:
+    """Runs ``write(folder)`` over all of a stream; the folder."""
+    at = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    sinks.drain(stream, write(f"{at}/table"), f"{at}/checkpoint", mode)
+    return f"{at}/table"
+
+
+def latest(s: SparkSession, d: str, stream: DataFrame, keys: list[str]) -> DataFrame:
+    """What a stream in update mode last said of each key."""
+    said = sinks.read_batches(s, drained(s, stream, sinks.append_once, "update"))
+    values = [c for c in stream.columns if c not in keys]
+    return said.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*keys, "v.*")
+
+
+def streamed_upsert(s: SparkSession, d: str) -> DataFrame:
+    incoming = arriving(s, d).select("event_id", F.col("email").alias("source"), F.year("ts").alias("start_year"), (F.col("plotid") < 20).alias("early"))
+    at = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    for k, part in enumerate((incoming.filter("early"), incoming.filter("not early").withColumn("start_year", (F.col("start_year") + F.col("event_id") % 2).cast("int")))):
+        # the batches of the second stream follow those of the first in one table
+        sinks.drain(part.drop("early"), lambda batch, i, k=k: sinks.upsert_once(f"{at}/table", ["source", "start_year"])(batch, 1_000 * k + i), f"{at}/checkpoint-{k}")
+    return sinks.read_batches(s, f"{at}/table", "rows").drop("batch")
+
+
+query("K2_counts_stream", lambda s, d: with_text(latest(s, d, st.stream_counts(arriving(s, d)), ["start", "end", "answer"]), "start", "end"), COUNTS_SQL)
+query("K4_consensus_stream", lambda s, d: latest(s, d, st.stream_consensus(arriving(s, d)), ["plotid"]), CONSENSUS_SQL)
+query("K5_band_stats_stream", lambda s, d: rounded(st.moments(sinks.read_merged(s, drained(s, arriving(s, d), st.merged_band_stats))), 3), MOMENTS_SQL)
+query("K6_upsert_stream", streamed_upsert, UPSERT_SQL)
+query("K5_band_stats", lambda s, d: rounded(st.moments(st.stream_band_stats(b.stream(s, d))), 3), MOMENTS_SQL)
+query("K6_upsert", lambda s, d: st.upsert(b.stream(s, d).filter("plotid < 20").select("event_id", F.col("email").alias("source"), F.year("ts").alias("start_year")), b.stream(s, d).filter("plotid >= 20").select("event_id", F.col("email").alias("source"), (F.year("ts") + F.col("event_id") % 2).cast("int").alias("start_year"))), UPSERT_SQL)

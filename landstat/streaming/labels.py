@@ -10,9 +10,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from landstat.operators.labels import ingest_new_sources, keep_first
+from landstat.streaming import sinks
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_dedupe(df: DataFrame, keys=("plotid", "email"), delay: str = "40 days") -> DataFrame:
@@ -49,54 +52,59 @@ def moments(stats: DataFrame, by: str = "answer") -> DataFrame:
 CONSENSUS = "plotid long, n_crop long, n_other long, answer string"
 
 
-def stream_consensus(df: DataFrame, delay: str = "1 hour", keep_days: float = 400.0) -> DataFrame:
-    """Per plot: labels for crop and for other, and the answer of most (``tie`` for as many). A stream re-emits a plot on each change.
+class Consensus(StatefulProcessor):
+    """Counts of a plot in a value state, and a timer that ends them."""
 
-    The state of a plot is two counts; replaying a batch after a restart starts from the counts before it. The state ends once the
-    watermark is ``keep_days`` past the last label of the plot, and later labels of it count anew; labels older than the watermark
-    go. The batch twin counts all labels.
-    """
-    if not df.isStreaming:
-        crop, other = F.count_if(F.col("answer") == "Crop"), F.count_if(F.col("answer") != "Crop")
-        return df.groupBy("plotid").agg(crop.alias("n_crop"), other.alias("n_other")).withColumn("answer", F.when(F.col("n_crop") > F.col("n_other"), "Crop").when(F.col("n_crop") < F.col("n_other"), "Non-crop").otherwise("tie"))
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
 
-    keep_ms = int(keep_days * 86_400_000) + 1
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getValueState("counts", "n_crop long, n_other long, last long")
 
-    def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        crop, other, last = state.get if state.exists else (0, 0, 0)
-        for f in frames:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        crop, other, last = self.counts.get() if self.counts.exists() else (0, 0, 0)
+        for f in rows:
             own = int((f["answer"] == "Crop").sum())
-            crop, other = crop + own, other + len(f) - own
+            crop, other = crop + own, other + int(f["answer"].notna().sum()) - own
             last = max(last, int(f["ts"].max().timestamp() * 1000)) if f["ts"].notna().any() else last
-        state.update((crop, other, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.counts.update((crop, other, last))
+        self.handle.registerTimer(max(last, timerValues.getCurrentWatermarkInMs()) + self.keep_ms)
         answer = "Crop" if crop > other else "Non-crop" if crop < other else "tie"
         yield pd.DataFrame({"plotid": [key[0]], "n_crop": [crop], "n_other": [other], "answer": [answer]})
 
-    own = df.withWatermark("ts", delay).groupBy("plotid")
-    return own.applyInPandasWithState(update, CONSENSUS, "n_crop long, n_other long, last long", "update", GroupStateTimeout.EventTimeTimeout)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.counts.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
-def upsert_batch(target: str, keys=("source", "start_year")):
-    """A ``foreachBatch`` function that adds rows of sources that the table at ``target`` lacks; a batch written twice adds nothing."""
+def stream_consensus(df: DataFrame, delay: str = "1 hour", keep_days: float = 400.0) -> DataFrame:
+    """Per plot: labels for crop and for other, and the answer of most (``tie`` for as many). A stream re-emits a plot on each change.
+
+    The state of a plot is two counts and a time; a batch that is run again after a restart starts from the counts before it. A timer ends
+    the state once the watermark is ``keep_days`` past the last label of the plot, and later labels of it count anew; labels older than
+    the watermark go. Labels without an answer count for neither. The batch twin counts all labels. A stream needs the state store that
+    has timers, which this sets for the session.
+    """
+    if not df.isStreaming:
+        crop, other = F.count_if(F.col("answer") == "Crop"), F.count_if(F.col("answer") != "Crop")
+        return df.groupBy("plotid").agg(crop.alias("n_crop"), other.alias("n_other")).withColumn("answer", F.when(F.col("n_crop") > F.col("n_other"), "Crop").when(F.col("n_crop") < F.col("n_other"), "Non-crop").otherwise("tie"))
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    own = df.select("plotid", "answer", "ts").withWatermark("ts", delay).groupBy("plotid")
+    return own.transformWithStateInPandas(Consensus(int(keep_days * 86_400_000) + 1), CONSENSUS, "update", "eventTime")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            existing = spark.read.parquet(target)
-        except Exception as e:  # the first batch: there is no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            batch.write.mode("append").parquet(target)
-            return
-        batch.join(existing.select(*keys).distinct(), list(keys), "left_anti").write.mode("append").parquet(target)
 
-    return write
+def merged_band_stats(table: str, by: str = "answer") -> sinks.Write:
+    """A ``foreachBatch`` function that keeps the table of ``stream_band_stats`` at ``table`` up to date, each batch once."""
+    sums = [F.sum(c).alias(c) for c in ("n", "sum", "sum_sq")]
+    return sinks.merge_once(table, lambda batch: stream_band_stats(batch, by), lambda both: both.groupBy(by).agg(*sums))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The batch twin of ``upsert_batch``."""
+    """The batch twin of ``sinks.upsert_once``."""
     return ingest_new_sources(existing, incoming)

@@ -62,11 +62,24 @@ def test_many_boxes_meet_points_by_cells(spark, sf):
     assert sorted(map(tuple, cells.select("id", "name").collect())) == sorted(map(tuple, join_bbox(points, boxes).select("id", "name").collect()))
 
 
-def test_large_regions_are_handed_over_in_parts(spark):
+def test_a_region_of_any_size_streams_through_one_call(spark):
     from landstat.operators.ml import per_region
 
-    df = spark.range(1000).select(F.when(F.col("id") % 10 > 0, "big").otherwise(F.when(F.col("id") % 20 > 0, "small")).alias("region"), "id")
-    size = lambda rows: pd.DataFrame({"region": [rows["region"].iloc[0]], "n": [len(rows)], "low": [rows["id"].min()]})
-    got = per_region(df, size, "region string, n long, low long", "region", most_rows=100).collect()
-    assert sum(r["n"] for r in got) == 1000 and max(r["n"] for r in got) < 200 and sum(r["n"] for r in got if r["region"] == "big") == 900
-    assert sorted((str(r["region"]), r["n"]) for r in got if r["region"] != "big") == [("None", 50), ("small", 50)]
+    df = spark.range(10_000).select(F.when(F.col("id") % 10 > 0, "big").otherwise(F.when(F.col("id") % 20 > 0, "small")).alias("region"), "id")
+
+    def size(frames):
+        region, sizes, total = None, [], 0
+        for f in frames:
+            region, total = f["region"].iloc[0], total + int(f["id"].sum())
+            sizes.append(len(f))
+        yield pd.DataFrame({"region": [region], "n": [sum(sizes)], "most": [max(sizes)], "frames": [len(sizes)], "total": [total]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    try:
+        got = {r["region"]: r for r in per_region(df, size, "region string, n long, most long, frames long, total long", "region").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {k: [i for i in range(10_000) if ("big" if i % 10 else "small" if i % 20 else None) == k] for k in ("big", "small", None)}
+    assert {k: (r["n"], r["total"]) for k, r in got.items()} == {k: (len(v), sum(v)) for k, v in want.items()}
+    assert got["big"]["frames"] >= 45 and got["big"]["most"] <= 200
