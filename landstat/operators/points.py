@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
-from landstat.functions.shared import checkpointed
+from landstat.operators.neighbours import nearest  # noqa: F401  one of the joins of places
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
 MOST_VERTICES = 2_000_000  # of the regions that are broadcast, about 50 MB
@@ -55,25 +55,6 @@ def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     return left.join(right, ["k", "c"]).withColumn("km", d).filter(F.col("km") <= km).select("id_a", "id_b", "km")
 
 
-def nearest(a: DataFrame, b: DataFrame, start_km: float = 50.0, most_km: float = 20_100.0, other: bool = False) -> DataFrame:
-    """For each place of ``a`` the nearest of ``b``: id_a, id_b, km; ties by the smaller id. With ``other``, one of another id.
-
-    Places without a partner within a distance try again with four times the distance; each round works on what is left, and what
-    it finds is kept in the shared folder.
-    """
-    out, left, km = None, a, start_km
-    while True:
-        near = within_distance(left, b, min(km, most_km))
-        near = near.filter(F.col("id_a") != F.col("id_b")) if other else near
-        found = checkpointed(near.groupBy("id_a").agg(F.min_by(F.struct("id_b", "km"), F.struct("km", "id_b")).alias("n")).select("id_a", "n.id_b", "n.km"))
-        out = found if out is None else out.unionByName(found)
-        if km >= most_km:
-            return out
-        left, km = left.join(found.select(F.col("id_a").alias("id")), "id", "left_anti"), km * 4
-        if left.isEmpty():
-            return out
-
-
 def pairwise_distance(a: DataFrame, b: DataFrame, by: Sequence[str] = (), own: bool = False, block: int = 2_000) -> DataFrame:
     """Average, smallest (identical places left out) and largest distance of all pairs, in km; of all pairs that agree in ``by``.
 

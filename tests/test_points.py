@@ -83,3 +83,59 @@ def test_a_region_of_any_size_streams_through_one_call(spark):
     want = {k: [i for i in range(10_000) if ("big" if i % 10 else "small" if i % 20 else None) == k] for k in ("big", "small", None)}
     assert {k: (r["n"], r["total"]) for k, r in got.items()} == {k: (len(v), sum(v)) for k, v in want.items()}
     assert got["big"]["frames"] >= 45 and got["big"]["most"] <= 200
+
+
+@pytest.mark.parametrize(("k", "other", "sample"), [(1, False, 50_000), (3, True, 50_000), (3, False, 80), (2, True, 0)])
+def test_nearest_of_clumped_places(spark, monkeypatch, k, other, sample):
+    """Clumps of very different density, equal places, poles and the date line, against all distances."""
+    import numpy as np
+
+    from landstat.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "MOST", 50)
+    rng = np.random.default_rng(k)
+    clumps = [rng.normal(c, s, (n, 2)) for c, s, n in (((10, 10), 1e-3, 300), ((10.01, 10.01), 1e-6, 200), ((-40, 179.999), 0.01, 80), ((89.9, 0), 0.05, 40), ((0, 0), 30, 60))]
+    at = np.concatenate([*clumps, np.repeat([[20.0, 20.0]], 50, 0)])
+    at[:, 0] = np.clip(at[:, 0], -90, 90)
+    at[:, 1] = (at[:, 1] + 180) % 360 - 180
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(at)] + [(10_000, None, 3.0)]
+    places = spark.createDataFrame(rows, "id long, lat double, lon double")
+    asking = places if other else spark.createDataFrame(rows[::3] + [(-1, 10.0005, 10.0005), (-2, 90.0, 0.0)], "id long, lat double, lon double")
+    got = {}
+    for r in neighbours.nearest(asking, places, k, other, sample).collect():
+        got.setdefault(r["id_a"], []).append((r["km"], r["id_b"]))
+    xyz = neighbours.unit(at[:, 0], at[:, 1])
+    asked = [r for r in asking.collect() if r["lat"] is not None]
+    assert set(got) == {r["id"] for r in asked}
+    for r in asked:
+        d = np.linalg.norm(xyz - neighbours.unit(np.array([r["lat"]]), np.array([r["lon"]])), axis=1)
+        if other:
+            d[r["id"]] = np.inf
+        want = np.sort(d)[:k] * 6371
+        found = sorted(got[r["id"]])
+        assert len(found) == k and [x for x, _ in found] == pytest.approx(2 * 6371 * np.arcsin(want / 2 / 6371), abs=1e-6)
+        ties = [j for x, j in found if x == 0]
+        assert ties == [j for j in np.flatnonzero(d == 0).tolist()][: len(ties)]
+    few = spark.createDataFrame([(7, 1.0, 1.0)], "id long, lat double, lon double")
+    assert [(r["id_a"], r["id_b"]) for r in neighbours.nearest(few, few, 3).collect()] == [(7, 7)] and neighbours.nearest(places.limit(0), few).count() == neighbours.nearest(few, places.limit(0)).count() == 0
+
+
+def test_few_cells_are_asked(spark):
+    """Dense clumps far apart: a place asks a few cells, however dense its own is, and a cell holds a bounded share."""
+    import numpy as np
+
+    from landstat.operators import neighbours
+
+    rng = np.random.default_rng(1)
+    at = np.concatenate([rng.normal(0, 1e-5, (3_000, 2)), rng.normal(40, 5, (1_000, 2))])
+    xyz = neighbours.unit(at[:, 0], at[:, 1])
+    tree = neighbours.Tree(xyz, 16)
+    assert max(map(len, tree.leaves)) <= 16
+    cells = neighbours.Tree(xyz[::10], 16)
+    own = cells.owner(xyz)
+    assert np.bincount(own).max() <= 400
+    far, _ = neighbours.best(tree, xyz, np.arange(len(xyz)), xyz, 4, np.full(len(xyz), 4.0))
+    low = np.array([xyz[own == c].min(0) for c in range(len(cells.leaves))])
+    high = np.array([xyz[own == c].max(0) for c in range(len(cells.leaves))])
+    cells.fit(low, high)
+    assert sum(len(rows) for _, rows in cells.within(xyz, far[:, -1])) <= 4 * len(xyz)
