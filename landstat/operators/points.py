@@ -108,17 +108,6 @@ def reference_sample(pixels: DataFrame, n_by_class: dict[int, int], meta: dict[s
     return few_.withColumn("sample_id", F.row_number().over(w)).filter(F.col("sample_id") <= F.col("_n")).select("value", "sample_id", "row", "col", x.alias("x"), y.alias("y"))
 
 
-def points_in_polygons(regions: DataFrame, n: int, seed: int = 0, oversample: int = 8, key: str = "region_id") -> DataFrame:
-    """Up to ``n`` places in each region: draws in the bounds, those inside kept. Very thin regions may get fewer."""
-    b = geo.ring_bounds(F.col("ring"))
-    drawn = regions.withColumn("_b", b).withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(n * oversample))))
-    u = lambda salt: F.pmod(F.xxhash64(key, "_i", F.lit(seed), F.lit(salt)), F.lit(2**40)) / float(2**40)
-    placed = drawn.withColumns({"x": F.col("_b.min_x") + u("x") * (F.col("_b.max_x") - F.col("_b.min_x")), "y": F.col("_b.min_y") + u("y") * (F.col("_b.max_y") - F.col("_b.min_y"))})
-    inside = placed.filter(geo.contains(F.col("ring"), F.col("x"), F.col("y")))
-    w = Window.partitionBy(key).orderBy("_i")
-    return inside.withColumn("draw", F.row_number().over(w)).filter(F.col("draw") <= n).select(key, "draw", "x", "y")
-
-
 def upsample_local(df: DataFrame, local: str = "is_local", label: str = "is_crop", key: str = "id", seed: int = 0) -> DataFrame:
     """``df`` with local rows of the rarer class repeated until both classes have as many.
 

@@ -10,6 +10,7 @@ from landstat.operators import areas as ar
 from landstat.operators import confusion as cf
 from landstat.operators import labels as l
 from landstat.operators import points as p
+from landstat.operators import triangles as tr
 from landstat.operators import raster as r
 from landstat.plans import bindings as b
 from landstat.plans.registry import query, rounded
@@ -179,9 +180,11 @@ ROIS = [f"NATION_{k}" for k in range(25)]
 WIDE = ", ".join(f"max(case when roi='{r}' and class={k} then {c} end) as \"{r} {n}\"" for r in ROIS for k, c, n in ((1, "area_ha", "crop area"), (1, "ci_ha", "95% CI crop"), (0, "area_ha", "Non-crop area"), (0, "ci_ha", "95% CI noncrop")))
 query("A8_area_results_by_year", lambda s, d: rounded(ar.area_results(by_year(s, d), ROIS, digits=6)), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es) select year as \"Year\", {WIDE} from h group by 1")
 query("A14_cm_summary", lambda s, d: rounded(ar.cm_summary(cf.confusion(agreed(s, d), by=["region"]), ["region"])), f"{AREA}, k as (select region, sum(case when ref_class=0 and map_class=0 then n end) as tn, sum(case when ref_class=1 and map_class=1 then n end) as tp, sum(case when ref_class=0 and map_class=1 then n end) as fp, sum(case when ref_class=1 and map_class=0 then n end) as fn from cm group by 1) select region, 'False Positive Rate' as metric, round(coalesce(fn/nullif(fn+tp,0),0),6)+0.0 as \"Non-Crop\", round(coalesce(fp/nullif(fp+tn,0),0),6)+0.0 as \"Crop\" from k union all select region, 'True Positive Rate', round(coalesce(tn/nullif(tn+fp,0),0),6)+0.0, round(coalesce(tp/nullif(tp+fn,0),0),6)+0.0 from k union all select region, 'Accuracy', round((tp+tn)/(tp+tn+fp+fn),6)+0.0, round((tp+tn)/(tp+tn+fp+fn),6)+0.0 from k")
-query("A9_area_jobs", lambda s, d: estimated(s, d).join(F.broadcast(b.regions(s, d).filter("country_id <= 2").select("region")), "region").select("region", "class", F.round("area_ha", 2).alias("area_ha")), f"{AREA} select ar.region, class, round(area_px*0.09,2) as area_ha from ar join b_regions r on r.region=ar.region and country_id<=2")
-query("A8_area_results", lambda s, d: estimated(s, d).groupBy("class").pivot("region", ["NATION_1", "NATION_2", "NATION_3"]).agg(F.round(F.first("area_px"), 4)), f"{AREA} select class, max(case when region='NATION_1' then round(area_px,4) end) as \"NATION_1\", max(case when region='NATION_2' then round(area_px,4) end) as \"NATION_2\", max(case when region='NATION_3' then round(area_px,4) end) as \"NATION_3\" from ar group by 1")
-query("A14_area_summary", lambda s, d: rounded(estimated(s, d).select("region", "class", F.col("area_px").alias("px"), F.col("area_ha").alias("ha")).unpivot(["region", "class"], ["px", "ha"], "metric", "value"), 6), f"{AREA} select region, class, 'px' as metric, round(area_px,6)+0.0 as value from ar union all select region, class, 'ha', round(area_px*0.09,6)+0.0 from ar")
+YEARLY = ((2019, "A", 1, 2), (2020, "R", 1, 2), (2021, "N", 2, 1))
+query("A9_area_jobs", lambda s, d: rounded(ar.estimate_areas(ar.area_jobs(s, [dict(zip(("roi", "year", "map", "set1", "set2"), (r, *y))) for r in ROIS for y in YEARLY]), b.pixels(s, d), META, rings(s, d).withColumnRenamed("region", "roi"), b.annotations(s, d), PX).select("roi", "year", "class", "area_ha")), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es) select roi, year, class, area_ha from h")
+query("A8_area_results", lambda s, d: rounded(ar.area_results(estimated(s, d).withColumnRenamed("region", "roi").withColumn("year", F.lit(2019)), ROIS, digits=6)), f"{AREA}, j as (select region, ref_class, map_class, n, nj, px from q), {EST.format(by='region')}, h as (select region as roi, {HA_FINE} from es) select cast(2019 as int) as \"Year\", {WIDE} from h")
+SUMMARY = "sm as (select roi, year, ref_class as class, max(case when map_class=ref_class then n/nullif(nj,0) end) as u, sum(case when map_class=ref_class then pij end)/nullif(sum(pij),0) as p from w group by 1,2,3), ml as (select roi, year, class, 'Estimated area [ha]' as metric, area_ha as v from h union all select roi, year, class, '95% CI of area [ha]', ci_ha from h union all select roi, year, class, 'User''s accuracy', round(u,6) from sm union all select roi, year, class, 'Producer''s accuracy', round(p,6) from sm)"
+query("A14_area_summary", lambda s, d: rounded(ar.area_summary(by_year(s, d), ["roi", "year"]).filter(~F.col("metric").isin(ar.MEASURES["ci_u"], ar.MEASURES["ci_p"]))), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es), {SUMMARY} select roi, year, metric, max(case when class=0 then v end)+0.0 as \"Non-Crop\", max(case when class=1 then v end)+0.0 as \"Crop\" from ml group by 1,2,3")
 query("G2_haversine", lambda s, d: rounded(b.points(s, d).select("id", geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0)).alias("km")), 4), f"with k as (select id, {H.format('p', 'q')} as h from b_points p, (select 10.0::double as lat, 20.0::double as lon) q) select id, round({HAV},4)+0.0 as km from k")
 query("G3_rowcol", lambda s, d: b.points(s, d).select("id", *[c.alias(n) for c, n in zip(geo.rowcol(F.col("lon"), F.col("lat"), META), ("row", "col"))]), f"select id, {ROW} as row, {COL} as col from b_points")
 query("G4_utm_round_trip", lambda s, d: b.points(s, d).filter("lon between 30 and 36").select("id", *[F.round(c, 6).alias(n) for c, n in zip(geo.utm_to_wgs84(*geo.wgs84_to_utm(F.col("lat"), F.col("lon"), 32636), 32636), ("lat", "lon"))]), "select id, round(lat,6) as lat, round(lon,6) as lon from b_points where lon between 30 and 36")
@@ -194,7 +197,8 @@ query("G21_find_regions", lambda s, d: geo.find_regions(b.regions(s, d).withColu
 query("G21_missing_regions", lambda s, d: geo.missing_regions(b.regions(s, d).filter("country_id = 1"), b.regions(s, d).select("region")), "select region from b_regions where country_id<>1")
 query("G22_dissolve", lambda s, d: geo.dissolve(rings(s, d), "country_id").select("country_id", F.size("parts").alias("n_parts")), "select country_id, cast(count(*) as int) as n_parts from b_regions group by 1")
 query("I2_reference_sample", lambda s, d: p.reference_sample(classes(s, d).filter("map = 'A' and class is not null").select("row", "col", F.col("class").alias("value")), {0: 50, 1: 50}, META).groupBy("value").agg(F.count("*").alias("n"), F.max("sample_id").alias("last")), f"with {CL}, k as (select class as value, row_number() over (partition by class) as o from cl where map='A' and class is not null) select value, count(*) as n, max(o) as last from k where o<=50 group by 1")
-query("I3_points_in_polygons", lambda s, d: p.points_in_polygons(rings(s, d), 10))
+query("I3_points_in_polygons", lambda s, d: tr.points_in_polygons(rings(s, d), 10).join(rings(s, d), "region_id").select("region_id", "draw", ((F.col("x") >= F.col("x0")) & (F.col("x") <= F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") <= F.col("y1"))).alias("inside")), "select region_id, cast(unnest(range(1, 11)) as int) as draw, true as inside from b_regions")
+query("I3_triangulate", lambda s, d: rounded(tr.triangulate(rings(s, d)).groupBy("region_id").agg(F.count("*").alias("n"), F.sum("area").alias("area"))), "select region_id, cast(2 as bigint) as n, round((x1-x0)*(y1-y0),6) as area from b_regions")
 LOCAL = "u as (select *, cast(class_probability>0.5 as int) as is_crop, coalesce(lat between -20 and 40 and lon between -60 and 120, false) as is_local from b_points), n as (select count_if(is_crop=1) as pos, count_if(is_crop=0) as neg from u where is_local)"
 query("I4_upsample_local", lambda s, d: p.upsample_local(l.with_is_local(b.points(s, d).withColumn("is_crop", (F.col("class_probability") > 0.5).cast("int")), (-20.0, 40.0, -60.0, 120.0))), f"with {LOCAL}, m as (select u.*, is_local and is_crop=case when pos<neg then 1 else 0 end as rare, row_number() over (partition by is_local, is_crop order by (id*48271) % 2147483647, id) as o, greatest(pos,neg) as big, least(pos,neg) as small from u, n) select * exclude (rare, o, big, small, k), cast(k as int) as copy from (select *, unnest(range(1, cast(case when rare then big//small + cast(o <= big % small as int) else 1 end + 1 as bigint))) as k from m)")
 query("I5_region_holdout", lambda s, d: p.region_holdout(b.points(s, d).select("id", "lat", "lon"), rings(s, d).filter("region = 'NATION_3'")).select("id", "part"), f"select id, case when exists (select 1 from b_regions where region='NATION_3' and {INSIDE}) then 'test' else 'train' end as part from b_points")

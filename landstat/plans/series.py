@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from landstat.operators import labels as l
 from landstat.operators import ml
+from landstat.operators import sketches as sk
 from landstat.operators import timeseries as ts
 from landstat.functions.shared import shared_dir
 from landstat.plans import bindings as b
@@ -172,6 +173,21 @@ def streamed_upsert(s: SparkSession, d: str) -> DataFrame:
 
 query("K2_counts_stream", lambda s, d: with_text(latest(s, d, st.stream_counts(arriving(s, d)), ["start", "end", "answer"]), "start", "end"), COUNTS_SQL)
 query("K4_consensus_stream", lambda s, d: latest(s, d, st.stream_consensus(arriving(s, d)), ["plotid"]), CONSENSUS_SQL)
+
+
+def stored_sketches(s: SparkSession, d: str) -> DataFrame:
+    """Sketches a day and answer, kept as a table and united over all days; true where they are within their bounds of the exact figures."""
+    labels, at = b.stream(s, d).withColumn("day", F.to_date("ts")), f"{shared_dir(s)}/sketches-{uuid.uuid4().hex}"
+    sk.sketches(labels, ["answer", "day"], "event_id", "analysis_secs").write.parquet(at)
+    told = sk.estimates(sk.united(s.read.parquet(at), ["answer"]), [0.5, 0.9])
+    rank = lambda op, q: F.avg(op(F.col("analysis_secs"), F.col(q)).cast("double"))
+    near = lambda q, share: (rank(lambda x, y: x <= y, q) >= share - 0.02) & (rank(lambda x, y: x < y, q) <= share + 0.02)
+    exact = labels.join(F.broadcast(told), "answer").groupBy("answer", "n")  # one row an answer
+    different = F.count_distinct("event_id")
+    return exact.agg((F.abs(F.first("items") - different) <= 0.04 * different).alias("items_near"), near("q0", 0.5).alias("median_near"), near("q1", 0.9).alias("p90_near"))
+
+
+query("D44_stored_sketches", stored_sketches, "select answer, count(*) as n, true as items_near, true as median_near, true as p90_near from b_stream group by 1")
 query("K5_band_stats_stream", lambda s, d: rounded(st.moments(sinks.read_merged(s, drained(s, arriving(s, d), st.merged_band_stats))), 3), MOMENTS_SQL)
 query("K6_upsert_stream", streamed_upsert, UPSERT_SQL)
 query("K5_band_stats", lambda s, d: rounded(st.moments(st.stream_band_stats(b.stream(s, d))), 3), MOMENTS_SQL)

@@ -9,10 +9,33 @@ from pyspark.sql import types as T
 GEOMETRY = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 
 
-def read_labels(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """Delimited labels with a header: tabs in ``.txt``, commas else (or by ``fmt``: csv or txt). NaN becomes null."""
+def encodings(spark: SparkSession, path: str, fallback: str = "ISO-8859-1") -> dict[str, list[str]]:
+    """The files below ``path`` by encoding: UTF-8 where every line is, else ``fallback``.
+
+    Lines are read as bytes, so a large file is looked at in parts by many tasks. One row a file comes to the driver.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
+    out: dict[str, list[str]] = {}
+    for r in lines.groupBy("file").agg(F.bool_and("ok").alias("ok")).collect():
+        out.setdefault("UTF-8" if r["ok"] else fallback, []).append(r["file"])
+    return out
+
+
+def read_labels(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str | None = None, encoding: str | None = "UTF-8") -> DataFrame:
+    """Delimited labels with a header: tabs in ``.txt``, commas else (or by ``fmt``: csv or txt). NaN becomes null.
+
+    With ``encoding`` None each file of ``path`` (a file, folder or pattern) is read as UTF-8 or, where a byte of it is broken as such, as
+    Latin-1, which knows all bytes.
+    """
     kind = fmt or ("txt" if path.endswith(".txt") else "csv")
-    df = spark.read.csv(path, sep="\t" if kind == "txt" else ",", header=True, schema=schema, encoding=encoding, nullValue="", enforceSchema=False)
+    one = lambda files, code: spark.read.csv(files, sep="\t" if kind == "txt" else ",", header=True, schema=schema, encoding=code, nullValue="", enforceSchema=False)
+    if encoding:
+        df = one(path, encoding)
+    else:
+        by = sorted(encodings(spark, path).items()) or [("UTF-8", path)]
+        df = one(by[0][1], by[0][0])
+        for code, files in by[1:]:
+            df = df.unionByName(one(files, code))
     return df.select([F.nanvl(c, F.lit(None).cast(t)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
 
