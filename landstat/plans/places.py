@@ -10,6 +10,7 @@ from landstat.operators import areas as ar
 from landstat.operators import confusion as cf
 from landstat.operators import labels as l
 from landstat.operators import points as p
+from landstat.operators import spans as sp
 from landstat.operators import triangles as tr
 from landstat.operators import raster as r
 from landstat.plans import bindings as b
@@ -130,6 +131,15 @@ query("H4_mode_composite", lambda s, d: r.mode_composite(b.pixels(s, d)), "with
 query("H3_median_composite", lambda s, d: rounded(r.median_composite(b.pixels(s, d).withColumn("cloud_percent", F.col("row") % 100), ["row", "col"], F.col("value") != 255, 80)), "select row, col, round(median(value),6)+0.0 as value from b_pixels where value<>255 and row % 100 <= 80 group by 1,2")
 query("H5_paint", lambda s, d: r.paint(one_map(s, d), one_map(s, d).filter("(row + col) % 7 = 0")), "select row, col, map, case when (row+col) % 7 = 0 then 0 else value end as value from b_pixels where map='A'")
 CENTER = "-180+(col+0.5::double)*3.6::double as lon, 70+(row+0.5::double)*(-0.7::double) as lat"
+
+
+def shifted(s: SparkSession, d: str) -> DataFrame:
+    """Regions whose borders run through pixels."""
+    return b.regions(s, d).select("region", geo.box_ring(F.col("x0") + 1.0, F.col("y0") + 0.3, F.col("x1") + 2.0, F.col("y1") - 0.2).alias("ring"))
+
+
+query("H1_clip_spans", lambda s, d: sp.clip_to_spans(one_map(s, d), META, rings(s, d).select("region", "ring")).select("row", "col", "region"), f"select row, col, region from (select *, {CENTER} from b_pixels where map='A') join b_regions on {INSIDE}")
+query("H1_clip_touched", lambda s, d: sp.clip_to_spans(one_map(s, d), META, shifted(s, d), touched=True).select("row", "col", "region"), "select row, col, region from (select * from b_pixels where map='A') join b_regions on col*3.6::double-180 < x1+2 and (col+1)*3.6::double-180 > x0+1 and 70-row*0.7::double > y0+0.3::double and 70-(row+1)*0.7::double < y1-0.2::double")
 query("H1_clip_pixels", lambda s, d: r.clip_pixels(one_map(s, d), META, rings(s, d)).select("row", "col", "region"), f"select row, col, region from (select *, {CENTER} from b_pixels where map='A') join b_regions on {INSIDE}")
 FINE = {"a": 1.8, "b": 0.0, "c": -180.0, "d": 0.0, "e": -0.35, "f": 70.0}
 query("H2_resample", lambda s, d: r.resample(one_map(s, d), META, FINE, 400, 200).filter("value is not null"), "select cast(2*row+i as int) as row, cast(2*col+j as int) as col, value from b_pixels, (values (0),(1)) x(i), (values (0),(1)) y(j) where map='A'")

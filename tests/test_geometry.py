@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landstat.operators import sketches as sk
+from landstat.operators import spans as sp
 from landstat.operators import triangles as tr
 from landstat.sources import files
 
@@ -109,3 +110,45 @@ def test_stored_sketches_unite(spark, tmp_path):
         values = sorted(r[0] for r in some.select("secs").dropna().collect())
         for q, v in ((0.1, got["q0"]), (0.5, got["q1"]), (0.99, got["q2"])):
             assert sum(x < v for x in values) / len(values) - 0.02 <= q <= sum(x <= v for x in values) / len(values) + 0.02
+
+
+GRID = {"a": 0.5, "b": 0.0, "c": -12.0, "d": 0.0, "e": -0.5, "f": 11.0}
+
+
+def passes(p, q, col, row):
+    """Does the edge run through the inside of a pixel? Cut it by the pixel's four sides."""
+    (x1, y1), (x2, y2) = (((x + 12) / 0.5, (y - 11) / -0.5) for x, y in (p, q))
+    low, high = 0.0, 1.0
+    for a, d, lo, hi in ((x1, x2 - x1, col, col + 1), (y1, y2 - y1, row, row + 1)):
+        if d == 0:
+            if not lo < a < hi:
+                return False
+        else:
+            s, t = sorted(((lo - a) / d, (hi - a) / d))
+            low, high = max(low, s), min(high, t)
+    return low < high - 1e-12
+
+
+@pytest.mark.parametrize("touched", [False, True])
+def test_clip_by_scanlines(spark, regions, touched):
+    names = ["holes", "parts", "comb", "clockwise", "star1", "star3", "star4"]
+    shapes_, n = {k: v for k, v in shapes().items() if k in names}, 70
+    pixels = spark.range(n * n).select(F.floor(F.col("id") / n).cast("int").alias("row"), (F.col("id") % n).cast("int").alias("col"), F.lit(1.0).alias("value"))
+    spans = sp.region_spans(regions, GRID, touched)
+    got = sp.clip_to_spans(pixels, GRID, regions, touched).filter(F.col("region_id").isin(names))
+    assert "NestedLoop" not in got._jdf.queryExecution().toString()
+    rows = [(r["region_id"], r["row"], r["col"]) for r in got.collect()]
+    assert len(rows) == len(set(rows))
+    for k, parts in shapes_.items():
+        rings = [ring for part in parts for ring in part]
+        want = set()
+        for row in range(n):
+            for col in range(n):
+                inside = sum(holds(r, -12 + 0.5 * (col + 0.5), 11 - 0.5 * (row + 0.5)) for r in rings) % 2 == 1
+                if inside or (touched and any(passes(p, q, col, row) for r in rings for p, q in zip(r, r[1:] + r[:1]))):
+                    want.add((k, row, col))
+        assert {r for r in rows if r[0] == k} == want, k
+    wide = spans.groupBy("region_id", "row").agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("px"), F.max("c1").alias("high"), F.min("c0").alias("low")).filter("px > high - low + 1").count()
+    assert wide == 0
+    with pytest.raises(ValueError):
+        sp.region_spans(regions, GRID | {"b": 0.1})
