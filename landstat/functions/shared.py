@@ -22,3 +22,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, with its lineage cut, so that a lost executor costs no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that was written between two steps."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landstat.functions.shared import shared_dir
+from landstat.operators import groupfits as gf
 from landstat.operators.confusion import binary_metrics
 
 
@@ -30,9 +33,9 @@ def fit_forest(df: DataFrame, trees: int = 20, seed: int = 0, label: str = "is_c
     return RandomForestClassifier(featuresCol="vector", labelCol=label, numTrees=trees, seed=seed).fit(vectors(df))
 
 
-def fit_logistic(df: DataFrame, balanced: bool = True, label: str = "is_crop"):
+def fit_logistic(df: DataFrame, balanced: bool = True, label: str = "is_crop", ridge: float = 0.0):
     own = with_balance(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    return LogisticRegression(featuresCol="vector", labelCol=label, weightCol="weight", maxIter=20).fit(vectors(own))
+    return LogisticRegression(featuresCol="vector", labelCol=label, weightCol="weight", maxIter=20, regParam=ridge).fit(vectors(own))
 
 
 def fit_gbt(df: DataFrame, rounds: int = 10, seed: int = 0, label: str = "is_crop"):
@@ -69,6 +72,13 @@ def run_baseline(train: DataFrame, valid: DataFrame, kind: str = "forest", thres
     return binary_metrics(predict(FITS[kind](train), valid), threshold, truth="is_crop").withColumn("model", F.lit(kind))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder."""
+    at = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -81,27 +91,45 @@ def feature_benchmark(df: DataFrame, variants: dict[str, Callable[[DataFrame], D
     return _union([run_baseline(v(df).filter("part = 'train'"), v(df).filter("part = 'test'"), kind).withColumn("variant", F.lit(name)) for name, v in variants.items()])
 
 
-def plus_one(train: DataFrame, valid: DataFrame, base: Sequence[str], candidates: Sequence[str], kind: str = "logistic", rounds: int = 1) -> DataFrame:
-    """Greedy growth of a set of datasets: in each round every candidate is tried with those chosen; the best F1 stays.
+def plus_one(train: DataFrame, valid: DataFrame, base: Sequence[str], candidates: Sequence[str], kind: str = "logistic", rounds: int = 1, ridge: float = 0.01) -> DataFrame:
+    """Greedy growth of a set of datasets: in each round every candidate is tried with those chosen; the best F1 stays, on ties the last name.
 
-    The driver loops over fits, candidates times rounds of them; data stay on the executors.
+    Kinds ``logistic`` and ``linear`` (least squares) fit all candidates of a round in one plan; ``linear`` reads the training rows once for
+    all rounds, as the sums of datasets add up. Other kinds take a fit a candidate. Candidates without usable rows have no row in the result.
     """
     chosen, out = list(base), []
+    sums = gf.grams(train, "dataset").transform(stored) if kind == "linear" else None
     for k in range(1, rounds + 1):
         left = [c for c in candidates if c not in chosen]
         if not left:
             break
-        tried = []
-        for c in left:
-            m = run_baseline(train.filter(F.col("dataset").isin(*chosen, c)), valid, kind).withColumns({"round": F.lit(k), "added": F.lit(c)})
-            tried.append((m.select("f1").first()["f1"], c, m))
-        out += [m for _, _, m in tried]
-        chosen.append(max(tried, key=lambda x: (x[0], x[1]))[1])
+        if kind in ("linear", "logistic"):
+            members = gf.members_of(train, "dataset", {c: [*chosen, c] for c in left})
+            models = gf.least_squares(sums, "dataset", members, ridge) if kind == "linear" else gf.logistic(train, "dataset", members, ridge)
+            scored = gf.score_sets(models, valid, gf.curve if kind == "logistic" else lambda m: m)
+            tried = binary_metrics(scored, 0.5, ["model"], truth="is_crop").withColumnsRenamed({"model": "added"}).withColumns({"model": F.lit(kind), "round": F.lit(k)})
+        else:
+            tried = _union([run_baseline(train.filter(F.col("dataset").isin(*chosen, c)), valid, kind).withColumns({"round": F.lit(k), "added": F.lit(c)}) for c in left])
+        tried = tried.transform(stored)  # a row a candidate
+        out.append(tried)
+        best = tried.agg(F.max(F.struct("f1", "added")).alias("best")).first()["best"]
+        if best is None:
+            break
+        chosen.append(best["added"])
     return _union(out)
 
 
-def grid(train: DataFrame, valid: DataFrame, sets: dict[str, Sequence[str]], seeds: Sequence[int]) -> DataFrame:
-    """Metrics on a fixed validation frame for each training set and seed of a forest."""
+def grid(train: DataFrame, valid: DataFrame, sets: dict[str, Sequence[str]], seeds: Sequence[int], kind: str = "forest", ridge: float = 0.01, key: str = "id") -> DataFrame:
+    """Metrics on a fixed validation frame for each training set and seed.
+
+    A forest takes a fit a set and seed. ``logistic`` fits all of them in one plan; there a seed draws the rows of a model with
+    replacement, by the hash of their ``key``.
+    """
+    if kind == "logistic":
+        pairs = [(d, f"{name}/{s}", int(s)) for name, datasets in sets.items() for d in dict.fromkeys(datasets) for s in seeds]
+        members = train.sparkSession.createDataFrame(pairs, "dataset string, model string, seed long")
+        metrics = binary_metrics(gf.score_sets(gf.logistic(train, "dataset", members, ridge, key=key), valid), 0.5, ["model"], truth="is_crop")
+        return metrics.select("accuracy", "precision", "recall", "f1", F.regexp_replace("model", "/[^/]*$", "").alias("training_set"), F.element_at(F.split("model", "/"), -1).cast("int").alias("seed"))
     out = []
     for name, datasets in sets.items():
         own = train.filter(F.col("dataset").isin(*datasets))
@@ -133,6 +161,11 @@ def per_region(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd
     return df.groupBy(by).applyInPandas(run, schema)
 
 
-def region_maps(train: DataFrame, pixels: DataFrame, regions: Sequence[str]) -> DataFrame:
-    """Scores of each region's pixels by a model of its own training rows; the maps together are a mosaic."""
-    return _union([predict(fit_logistic(train.filter(F.col("region") == r)), pixels.filter(F.col("region") == r)) for r in regions])
+def region_maps(train: DataFrame, pixels: DataFrame, regions: Sequence[str] | None = None, ridge: float = 0.01) -> DataFrame:
+    """Scores of each region's pixels by a logistic model of its own training rows; the maps together are a mosaic.
+
+    All regions are fitted in one plan, however many there are; ``regions`` names those that are wanted (all of them if it is left
+    out). Pixels of regions without training rows are left out.
+    """
+    own = train if regions is None else train.filter(F.col("region").isin(*regions))
+    return gf.score_groups(gf.logistic(own, "region", ridge=ridge), pixels, "region")

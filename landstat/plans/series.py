@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landstat.operators import labels as l
+from landstat.operators import groupfits as gf
 from landstat.operators import ml
 from landstat.operators import sketches as sk
 from landstat.operators import timeseries as ts
@@ -125,6 +126,35 @@ query("J8_plus_one", lambda s, d: ml.plus_one(*halves(s, d), base=["d0"], candid
 query("J9_grid", lambda s, d: ml.grid(*halves(s, d), sets={"one": ["d0"], "all": ["d0", "d1", "d2"]}, seeds=[0, 1]))
 query("J10_score", lambda s, d: rounded(ml.score(featured(s, d).select("id", "features"), mean_score).select("id", "score"), 5), "select id, round(1/(1+exp(-avg(value))),5) as score from b_eo_long group by 1")
 query("L4_per_region", lambda s, d: ml.per_region(featured(s, d).select("region", "is_crop"), region_summary, "region string, n long, crop long", "region"), "select concat('r', id % 2) as region, count(*) as n, cast(sum(is_crop) as bigint) as crop from (select distinct id, is_crop from b_eo_long) group by 1")
+
+
+def leveled(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Both halves with the mean of a place's values as the only feature."""
+    one = lambda df: df.withColumn("features", F.array(F.aggregate("features", F.lit(0.0), lambda t, v: t + v) / F.size("features")))
+    train, test = halves(s, d)
+    return one(train), one(test)
+
+
+def flat_fits(s: SparkSession, d: str) -> DataFrame:
+    """Logistic models of all regions; true where the slopes of the loss are zero at the coefficients."""
+    train = leveled(s, d)[0]
+    models = gf.logistic(train, "region", ridge=0.0, balanced=False).filter("converged")
+    off = F.col("score") - F.col("is_crop")
+    slopes = [F.abs(F.avg(off)), F.abs(F.avg(off * F.get("features", F.lit(0))))]
+    return gf.score_groups(models, train, "region").groupBy("region").agg(F.count("*").alias("n"), (F.greatest(*slopes) < 1e-6).alias("flat"))
+
+
+LEVELS = "with e as (select id, max(is_crop) as y, avg(value) as x, concat('r', id % 2) as region, concat('d', id % 3) as dataset, id % 5 = 0 as test from b_eo_long group by id)"
+query("H8_region_fits", flat_fits, f"{LEVELS} select region, count(*) as n, true as flat from e where not test group by 1")
+query("H8_region_lines", lambda s, d: rounded(gf.score_groups(gf.least_squares(gf.grams(leveled(s, d)[0], "region"), "region"), leveled(s, d)[1], "region", lambda m: m).select("id", "region", "score"), 5), f"{LEVELS}, f as (select region, regr_slope(y, x) as k, regr_intercept(y, x) as c from e where not test group by 1) select id, region, round(c + k * x, 5) as score from e join f using (region) where test")
+query("J8_plus_one_linear", lambda s, d: rounded(ml.plus_one(*leveled(s, d), base=["d0"], candidates=["d1", "d2"], kind="linear", rounds=2, ridge=0.0)), f"""{LEVELS}, m(dataset, added, round) as (values ('d0','d1',1),('d1','d1',1),('d0','d2',1),('d2','d2',1),('d0','',2),('d1','',2),('d2','',2)),
+f as (select added, round, regr_slope(y, x) as k, regr_intercept(y, x) as c from e join m using (dataset) where not test group by 1, 2),
+p as (select added, round, c + k * x > 0.5 as p, y = 1 as y from e, f where test),
+q as (select added, round, count_if(p and y) as tp, count_if(p and not y) as fp, count_if(not p and y) as fn, count_if(not p and not y) as tn from p group by 1, 2),
+r as (select added, round, coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0.0) as accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) as "precision", coalesce(tp / nullif(tp + fn, 0), 0.0) as recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) as f1 from q),
+b as (select added from r where round = 1 order by f1 desc, added desc limit 1)
+select case when round = 2 then (select case when added = 'd1' then 'd2' else 'd1' end from b) else added end as added, cast(round as int) as round, round(accuracy, 6) as accuracy, round("precision", 6) as "precision", round(recall, 6) as recall, round(f1, 6) as f1, 'linear' as model from r""")
+query("J9_grid_logistic", lambda s, d: ml.grid(*leveled(s, d), sets={"one": ["d0"], "all": ["d0", "d1", "d2"]}, seeds=[0, 1], kind="logistic"))
 query("H8_region_maps", lambda s, d: ml.region_maps(halves(s, d)[0], halves(s, d)[1], ["r0", "r1"]).select("id", "region", F.round("score", 4).alias("score")))
 
 TEXT = "cast({} as varchar) as {}"
