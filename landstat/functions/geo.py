@@ -51,6 +51,12 @@ def _rotated(ring: Column) -> Column:
     return F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
 
 
+def _crosses(p: Column, q: Column, x: Column, y: Column) -> Column:
+    between = (p["y"] <= y) != (q["y"] <= y)
+    at = p["x"] + F.try_divide((y - p["y"]) * (q["x"] - p["x"]), q["y"] - p["y"])
+    return (between & F.coalesce(x < at, F.lit(False))).cast("int")
+
+
 def contains(ring: Column, x: Column, y: Column) -> Column:
     """Whether a ring holds a place, by crossings of a ray to the right.
 
@@ -58,12 +64,7 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     place on it. For a box that is x0 <= x < x1 and y0 <= y < y1.
     """
 
-    def crosses(p: Column, q: Column) -> Column:
-        between = (p["y"] <= y) != (q["y"] <= y)
-        at = p["x"] + F.try_divide((y - p["y"]) * (q["x"] - p["x"]), q["y"] - p["y"])
-        return (between & F.coalesce(x < at, F.lit(False))).cast("int")
-
-    hits = F.zip_with(ring, _rotated(ring), crosses)
+    hits = F.zip_with(ring, _rotated(ring), lambda p, q: _crosses(p, q, x, y))
     return F.aggregate(hits, F.lit(0), lambda a, h: a + h) % 2 == 1
 
 
@@ -73,6 +74,22 @@ def holds(parts: Column, x: Column, y: Column) -> Column:
     return F.exists(parts, odd)
 
 
+def edges_right(parts: Column, x0: Column, y0: Column, y1: Column) -> Column:
+    """Of each part the edges (p, q) that a ray to the right can cross from a place with x >= x0 and y0 <= y <= y1; parts without any are left out."""
+
+    def ahead(e: Column) -> Column:
+        p, q = e["p"], e["q"]
+        return (F.least(p["y"], q["y"]) <= y1) & (F.greatest(p["y"], q["y"]) >= y0) & (F.greatest(p["x"], q["x"]) >= x0)
+
+    of_ring = lambda ring: F.filter(F.zip_with(ring, _rotated(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q"))), ahead)
+    return F.filter(F.transform(parts, lambda part: F.flatten(F.transform(part, of_ring))), lambda edges: F.size(edges) > 0)
+
+
+def edges_hold(edges: Column, x: Column, y: Column) -> Column:
+    """``holds`` by the edges of ``edges_right``: an odd number of crossings of any part."""
+    return F.exists(edges, lambda part: F.aggregate(part, F.lit(0), lambda a, e: a + _crosses(e["p"], e["q"], x, y)) % 2 == 1)
+
+
 def edge_near(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Whether the bounds of any edge of a ring meet a box."""
     meets = lambda p, q: (F.least(p["x"], q["x"]) <= x1) & (F.greatest(p["x"], q["x"]) >= x0) & (F.least(p["y"], q["y"]) <= y1) & (F.greatest(p["y"], q["y"]) >= y0)

@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
+from landstat.functions.shared import checkpointed
 from landstat.operators.neighbours import nearest  # noqa: F401  one of the joins of places
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
 MOST_VERTICES = 2_000_000  # of the regions that are broadcast, about 50 MB
+CELL_POINTS = 1_000_000  # places of a cell that meet its regions in one task
+LEVELS = 8  # a crowded cell is halved this often each way at most
+MOST_SPLITS = 100_000  # cells that are cut in four at most
 
 
 def as_parts(regions: DataFrame) -> Column:
@@ -19,21 +23,65 @@ def as_parts(regions: DataFrame) -> Column:
     return F.col("parts") if "parts" in regions.columns else F.array(F.array("ring"))
 
 
-def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: str = "lon", y: str = "lat", most: int = MOST_VERTICES, cell: float = CELL) -> DataFrame:
+def leaf_cells(points: DataFrame, x: str, y: str, cell: float = CELL, most: int = CELL_POINTS, levels: int = LEVELS, splits: int = MOST_SPLITS) -> DataFrame:
+    """(level, cx, cy, n, pieces): cells that hold all places, each once, and how many places each holds.
+
+    A cell with more than ``most`` places is cut in four, up to ``levels`` times. What is cut grows with the data so that at most
+    ``splits`` cells are; a cell that still holds too many places is worked on in ``pieces`` of ``most``.
+    """
+    fine = cell / 2**levels
+    counts = points.groupBy(F.floor(F.col(x) / fine).alias("fx"), F.floor(F.col(y) / fine).alias("fy")).agg(F.count("*").alias("n")).filter("fx is not null and fy is not null")
+    upwards = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("fx", levels - k).alias("cx"), F.shiftright("fy", levels - k).alias("cy")) for k in range(levels + 1)]))
+    tree = counts.select(upwards.alias("c"), "n").groupBy("c.level", "c.cx", "c.cy").agg(F.sum("n").alias("n"))
+    total = counts.agg(F.greatest(F.lit(most), F.ceil(F.sum("n") * levels / splits)).alias("limit"))
+    tree = tree.join(F.broadcast(total), F.lit(True))  # one row
+    above = tree.filter(f"n > limit and level < {levels}").select((F.col("level") + 1).alias("level"), F.col("cx").alias("px"), F.col("cy").alias("py"))
+    inner = tree.withColumns({"px": F.shiftright("cx", 1), "py": F.shiftright("cy", 1)}).join(above, ["level", "px", "py"], "left_semi").drop("px", "py")
+    leaves = tree.filter("level = 0").unionByName(inner.select(*tree.columns)).filter(f"n <= limit or level = {levels}")
+    return leaves.select("level", "cx", "cy", "n", F.ceil(F.col("n") / most).cast("long").alias("pieces"))
+
+
+def _cut(placed: DataFrame, size: Column) -> DataFrame:
+    """Regions in cells (_cx, _cy) of a size with the edges that places of the cell can need; cells without any are left out."""
+    slack = size * 1e-6
+    edges = geo.edges_right(F.col("_parts"), F.col("_cx") * size - slack, F.col("_cy") * size - slack, (F.col("_cy") + 1) * size + slack)
+    return placed.withColumn("_edges", edges).drop("_parts", "_b").filter(F.size("_edges") > 0)
+
+
+def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: str = "lon", y: str = "lat", most: int = MOST_VERTICES, cell: float = CELL, most_points: int = CELL_POINTS) -> DataFrame:
     """Points with the regions (columns of ``regions``, with ``ring`` or ``parts``) that hold them; ``how``: inner, left_semi or left_anti.
 
-    A region lies in the cells that its bounds touch; points meet regions of their own cell, then the exact test. Regions are
-    broadcast if their vertices, counted in each cell, are at most ``most``; else both sides are shuffled by cell.
+    A region lies in the cells that its bounds touch, and sends each of them only those of its edges that a ray from a place of the
+    cell can cross; points meet regions of their own cell, then the exact test. Regions are broadcast if their vertices, counted
+    in each cell, are at most ``most``; else both sides are shuffled by cells that follow the density of the points
+    (``leaf_cells``), so that no key has more than about ``most_points`` points, but for rows that are equal in all columns.
     """
     b = geo.ring_bounds(F.flatten(F.flatten(as_parts(regions))))
     cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / cell), F.floor(hi / cell)))
     own = regions.withColumns({"_b": b, "_parts": as_parts(regions)}).filter(F.col("_b.min_x").isNotNull())
-    placed = own.withColumn("_cx", cells(F.col("_b.min_x"), F.col("_b.max_x"))).withColumn("_cy", cells(F.col("_b.min_y"), F.col("_b.max_y"))).drop("_b")
+    placed = own.withColumn("_cx", cells(F.col("_b.min_x"), F.col("_b.max_x"))).withColumn("_cy", cells(F.col("_b.min_y"), F.col("_b.max_y")))
     reach = lambda k: F.floor(F.col(f"_b.max_{k}") / cell) - F.floor(F.col(f"_b.min_{k}") / cell) + 1
     vertices = own.agg(F.sum(reach("x") * reach("y") * (8 + F.size(F.flatten(F.flatten("_parts")))))).first()[0] or 0
-    tagged = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
-    on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & geo.holds(F.col("_parts"), F.col(x), F.col(y))
-    return tagged.join(F.broadcast(placed) if vertices <= most else placed, on, how).drop("_px", "_py", "_cx", "_cy", "_parts")
+    held = geo.edges_hold(F.col("_edges"), F.col(x), F.col(y))
+    if vertices <= most:
+        tagged = points.withColumns({"_px": F.floor(F.col(x) / cell), "_py": F.floor(F.col(y) / cell)})
+        on = (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")) & held
+        return tagged.join(F.broadcast(_cut(placed, F.lit(cell))), on, how).drop("_px", "_py", "_cx", "_cy", "_edges")
+    leaves = checkpointed(leaf_cells(points, x, y, cell, most_points))
+    at = lambda c, k: F.shiftright(F.floor(F.col(c) / (cell / 2**LEVELS)), LEVELS - k)
+    every = F.array(*[F.struct(F.lit(k).alias("level"), at(x, k).alias("cx"), at(y, k).alias("cy")) for k in range(LEVELS + 1)])
+    known = leaves.select(F.struct("level", "cx", "cy").alias("_leaf"), F.col("pieces").alias("_pieces"))
+    known = F.broadcast(known) if leaves.count() <= 8 * MOST_SPLITS else known  # three numbers a cell
+    plain = [f.name for f in points.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    placeless = F.col(x).isNull() | F.col(y).isNull()
+    tagged = points.filter(~placeless).withColumn("_leaf", F.explode(every)).join(known, "_leaf").withColumn("_piece", F.pmod(F.xxhash64(*plain), F.col("_pieces"))).drop("_pieces")
+    size = cell / F.pow(F.lit(2.0), F.col("_at.level"))
+    meets = lambda c, k: (F.col(c) * size <= F.col(f"_b.max_{k}") + size * 1e-6) & ((F.col(c) + 1) * size >= F.col(f"_b.min_{k}") - size * 1e-6)
+    inside = leaves.select(F.expr("shiftright(cx, level)").alias("_cx"), F.expr("shiftright(cy, level)").alias("_cy"), F.struct("level", "cx", "cy").alias("_at"), F.col("pieces").alias("_pieces"))
+    both = placed.join(inside, ["_cx", "_cy"]).filter(meets("_at.cx", "x") & meets("_at.cy", "y")).withColumns({"_cx": F.col("_at.cx"), "_cy": F.col("_at.cy")})
+    both = _cut(both, size).withColumn("_each", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pieces") - 1))).drop("_cx", "_cy", "_pieces")
+    out = tagged.join(both, (F.col("_leaf") == F.col("_at")) & (F.col("_piece") == F.col("_each")) & held, how).drop("_leaf", "_piece", "_at", "_each", "_edges")
+    return out.unionByName(points.filter(placeless)) if how == "left_anti" else out
 
 
 def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:

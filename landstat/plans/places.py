@@ -61,6 +61,7 @@ query("C3_sample_raster", lambda s, d: r.sample_raster(b.points(s, d), one_map(s
 query("C4_sample_zonal", lambda s, d: r.sample_zonal(b.points(s, d), one_map(s, d), META), f"with q as (select id, {ROW} + i as row, {COL} + j as col from b_points, (select unnest([-1,0,1]) as i), (select unnest([-1,0,1]) as j)), k as (select id, value, count(*) as n from q join (select * from b_pixels where map='A') using (row, col) group by 1,2) select id, value from (select *, row_number() over (partition by id order by n desc, value) as o from k) where o=1")
 INSIDE = "lon >= x0 and lon < x1 and lat >= y0 and lat < y1"
 query("C6_join_regions", lambda s, d: p.join_regions(b.points(s, d), rings(s, d)).select("id", "region"), f"select id, region from b_points join b_regions on {INSIDE}")
+query("C6_join_regions_by_leaves", lambda s, d: p.join_regions(b.points(s, d), rings(s, d), most=0, most_points=500).select("id", "region"), f"select id, region from b_points join b_regions on {INSIDE}")
 HAV = "6371*2*atan2(sqrt(h), sqrt(greatest(0, 1-h)))"
 H = "pow(sin((radians({1}.lat)-radians({0}.lat))/2),2) + cos(radians({0}.lat))*cos(radians({1}.lat))*pow(sin((radians({1}.lon)-radians({0}.lon))/2),2)"
 PAIRS = f"pr as (select id_a, id_b, sa, sb, {HAV} as km, la, lo, lb, ob from (select a.id as id_a, z.id as id_b, a.subset as sa, z.subset as sb, a.lat as la, a.lon as lo, z.lat as lb, z.lon as ob, {H.format('a', 'z')} as h from b_points a, b_points z))"

@@ -53,6 +53,57 @@ def test_points_meet_holes_and_parts(spark, most):
     assert sorted(x["id"] for x in frame.collect()) == sorted(want)
 
 
+def blob(n, cx, cy, r):
+    import math
+
+    return [{"x": cx + r * (1 + 0.3 * math.sin(5 * k)) * math.cos(2 * math.pi * k / n), "y": cy + r * (1 + 0.3 * math.sin(5 * k)) * math.sin(2 * math.pi * k / n)} for k in range(n)]
+
+
+def crowded(spark):
+    """A third of all places within a small spot, a tenth at one place, the rest wide; one without a place."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, rng.gauss(10.3, 0.01), rng.gauss(-5.2, 0.01)) for i in range(1000)] + [(1000 + i, 10.0, -5.0) for i in range(300)] + [(1300 + i, rng.uniform(-30, 30), rng.uniform(-30, 30)) for i in range(1700)]
+    return rows, spark.createDataFrame(rows + [(9000, None, 1.0)], "id long, lon double, lat double")
+
+
+def test_crowded_cells_are_cut(spark):
+    rows, points = crowded(spark)
+    cells = [r.asDict() for r in p.leaf_cells(points, "lon", "lat", 2.0, 100).collect()]
+    assert sum(c["n"] for c in cells) == len(rows)
+    for c in cells:
+        size = 2.0 / 2 ** c["level"]
+        assert c["n"] == sum(c["cx"] * size <= x < (c["cx"] + 1) * size and c["cy"] * size <= y < (c["cy"] + 1) * size for _, x, y in rows)
+        assert c["n"] <= 100 or c["level"] == p.LEVELS
+        assert c["n"] <= 100 * c["pieces"] < c["n"] + 100
+    assert len({(c["level"], c["cx"], c["cy"]) for c in cells}) == len(cells) and max(c["level"] for c in cells) > 3
+    few = p.leaf_cells(points, "lon", "lat", 2.0, 100, splits=20).filter("level > 0").count()
+    assert few <= 4 * 20
+    assert p.leaf_cells(points.filter("false"), "lon", "lat").count() == 0
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_crowded_places_meet_regions(spark, most):
+    rows, points = crowded(spark)
+    shapes = {"wide": blob(40, 3, 2, 18), "spot": blob(9, 10.3, -5.2, 0.012), "near": blob(12, 11, -6, 2.5), "far": blob(5, 100, 60, 1)}
+    regions = spark.createDataFrame([(k, len(v), v) for k, v in shapes.items()], f"roi string, level int, ring array<{'struct<x:double,y:double>'}>")
+    want = sorted((i, k) for i, x, y in rows for k, ring in shapes.items() if inside([[(q["x"], q["y"]) for q in ring]], x, y))
+    got = p.join_regions(points, regions, most=most, most_points=50)
+    assert got.columns == ["id", "lon", "lat", "roi", "level", "ring"]
+    assert sorted((r["id"], r["roi"]) for r in got.collect()) == want
+    held = {i for i, _ in want}
+    assert sorted(r["id"] for r in p.join_regions(points, regions, "left_semi", most=most, most_points=50).collect()) == sorted(held)
+    assert sorted(r["id"] for r in p.join_regions(points, regions, "left_anti", most=most, most_points=50).collect()) == sorted({i for i, _, _ in rows} - held | {9000})
+
+
+def test_cells_carry_only_edges_ahead(spark):
+    ring = blob(400, 0, 0, 20)
+    one = spark.createDataFrame([(ring,)], "ring array<struct<x:double,y:double>>").select(F.array(F.array("ring")).alias("parts"))
+    cut = one.select(geo.edges_right(F.col("parts"), F.lit(10.0), F.lit(0.0), F.lit(2.0)).alias("e")).first()["e"]
+    assert 0 < len(cut[0]) < 40 and all(max(e["p"]["x"], e["q"]["x"]) >= 10 for e in cut[0])
+
+
 def test_geojson_parts_and_dissolve(spark, tmp_path):
     closed = lambda ring: [list(q) for q in (*ring, ring[0])]
     many = [[closed(ring) for ring in part] for part in PARTS]
