@@ -29,7 +29,7 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
@@ -62,11 +62,19 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("BSD-2-Clause", 'Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0-or-later", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
 )
+TEMPLATES += tuple((name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(n for n, _ in TEMPLATES) if name != "BSD")
 #: Parts of words that make a line a candidate, and words that tell licenses apart.
 CUES = ("licen", "permission is hereby", "redistribution and use", "redistribute it", "public domain", "creative commons", "mozilla public", "cc by", "cc0", "permission to use", "as is", "as-is", "eclipse public", "unencumbered", "prior written permission")
 TELLING = set("apache mit bsd gnu general lesser affero mozilla mpl gpl lgpl agpl cc cc0 by sa nc nd 1 2 3 4 0 isc eclipse epl boost unlicense attribution sharealike noncommercial noderivatives".split())
+DENYING = {"not", "never", "no"}  # in the three words before a notice: it does not hold
 WORD = re.compile(r"[^\W_]+")
+BREAK = re.compile(r"\s*\n[^\w\n]*")  # the end of a line, with the marks of a comment that begin the next
+CUE = re.compile("|".join(f"(?={re.escape(c)})".replace("\\ ", r"[\W_]+") for c in CUES))
 LEVEL = 19
 AROUND = 4  # words that a window has more than the template on either side of a cue
 LEAST = 0.15  # of the compressed size of the window or, if smaller, of the template itself that a template saves, at least
@@ -99,21 +107,40 @@ class Scanner:
         self.held = 0
 
     def blocks(self, text: str) -> list[str]:
-        """Runs of lines: one that holds a cue, and those around it most of whose words stand in some template."""
+        """Runs of lines: one in which a cue begins, and those around it most of whose words stand in some template (all of them in lines of
+        fewer than four words); an empty line is passed if a line of four such words follows it."""
         lowered = text.lower()
-        if not any(c in lowered for c in CUES):
+        flat = BREAK.sub(" ", lowered) if "\n" in lowered else lowered
+        if not any(c in flat for c in CUES):
             return []
         lines = text.split("\n")
+        low = [line.lower() for line in lines]
+        starts = [any(c in line for c in CUES) for line in low]
+        for i in range(len(low) - 1):  # cues that a line break cuts
+            if not starts[i] and not starts[i + 1] and any(c in BREAK.sub(" ", f"{low[i]}\n{low[i + 1]}") for c in CUES):
+                starts[i] = True
+
+        def alike(k: int, least: int = 1) -> bool:
+            words = wording(lines[k])
+            known = sum(w in self.known for w in words)
+            return len(words) >= least and known >= (0.8 * len(words) if len(words) >= 4 else len(words))
+
+        def further(k: int, step: int, stop: int) -> int:
+            """The next line on that belongs to the block, or ``k``."""
+            at = k + step
+            if at == stop or alike(at):
+                return k if at == stop else at
+            return at + step if not wording(lines[at]) and at + step != stop and alike(at + step, 4) else k
+
         out, taken = [], -1
-        for i, line in enumerate(lines):
-            if i <= taken or not any(c in line.lower() for c in CUES):
+        for i, cue in enumerate(starts):
+            if i <= taken or not cue:
                 continue
-            alike = lambda k: (words := wording(lines[k])) and sum(w in self.known for w in words) >= 0.8 * len(words) and len(words) >= 4
             a = b = i
-            while a - 1 > taken and alike(a - 1):
-                a -= 1
-            while b + 1 < len(lines) and alike(b + 1):
-                b += 1
+            while (k := further(a, -1, taken)) != a:
+                a = k
+            while (k := further(b, 1, len(lines))) != b:
+                b = k
             taken = b
             out.append(" ".join(" ".join(lines[a : b + 1]).split()))
         return out
@@ -136,7 +163,8 @@ class Scanner:
             extra += words[a:b] if kind in ("insert", "replace") else []
             inside += [a, b] if kind == "equal" else []
         telling = TELLING.intersection(missing) or TELLING.intersection(extra)
-        confirmed = not telling and len(missing) + len(extra) <= DIFFER * len(wanted) and reduction >= LEAST
+        denied = inside and DENYING.intersection(words[max(0, inside[0] - 3) : inside[0]]) and wanted[0] not in DENYING
+        confirmed = not telling and not denied and len(missing) + len(extra) <= DIFFER * len(wanted) and reduction >= LEAST
         rank = (not confirmed, len(missing) + len(extra), -len(wanted), -reduction)
         self.held += len(window)
         if self.held > REMEMBERED:
@@ -152,7 +180,7 @@ class Scanner:
         starts, lowered = [a for a, _ in spans], block.lower()
         if len(lowered) != len(block):  # letters that are longer in lower case would move the cues
             lowered = "".join(c if len(c) == 1 else "?" for c in map(str.lower, block))
-        cues = {max(0, bisect_right(starts, m.start()) - 1) for cue in CUES for m in re.finditer(re.escape(cue), lowered)}
+        cues = {max(0, bisect_right(starts, m.start()) - 1) for m in CUE.finditer(lowered)}
         reach = max(len(wanted) for _, _, wanted in self.templates) + AROUND
         free = dict.fromkeys(cues, (0, len(spans)))
 

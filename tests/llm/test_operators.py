@@ -156,6 +156,38 @@ def test_licenses_tell_versions_apart_and_find_long_notices(spark):
     assert not any(sure for _, sure in got[4]) and not any(got[5:])
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+THIRD = "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("width", [40, 70, 80])
+def test_licenses_wrapped_in_comments(mark, width):
+    import textwrap
+
+    scanner = licenses.Scanner()
+    wrapped = lambda t: "\n".join(mark + line for part in t.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+    found = lambda t: {m.license for b in scanner.blocks(wrapped(t)) for m in scanner.matches(b) if m.confirmed}
+    for name, text in licenses.TEMPLATES:
+        assert found(text) == {name}, text
+        assert found(f"import this\n\n{text}\n\ndef main(): pass") == {name}, text
+    assert found(BSD.format("")) == {"BSD", "BSD-2-Clause"}
+    assert found(BSD.format(THIRD)) == {"BSD", "BSD-3-Clause"}
+
+
+def test_licenses_that_are_denied():
+    scanner = licenses.Scanner()
+    found = lambda t: {m.license for b in scanner.blocks(t) for m in scanner.matches(b) if m.confirmed}
+    assert found("This is not licensed under the MIT License.") == found("It was never released under the MIT License.") == set()
+    assert found("Licensed under the MIT License.") == {"MIT"}
+
+
 def test_licenses_every_template_in_prose_and_none_without(spark):
     rng = random.Random(14)
     texts = [f"{words(rng, 30)} {text} {words(rng, 30)}" for _, text in licenses.TEMPLATES] + [words(rng, 200), "under the Apache License 2.0 as of today", "He said the car was sold as is, with permission to use the garage."]
