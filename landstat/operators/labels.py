@@ -318,6 +318,19 @@ def missing_datasets(wanted: DataFrame, registry: DataFrame) -> DataFrame:
     return wanted.join(registry, "dataset", "left_anti")
 
 
+def bad_maps(catalog: DataFrame) -> DataFrame:
+    """Rows of a map catalog that do not give exactly one of ``threshold`` and ``crop_classes`` (an empty list gives none), with ``problem``."""
+    threshold, classes = F.col("threshold").isNotNull(), F.coalesce(F.size("crop_classes") > 0, F.lit(False))
+    return catalog.withColumn("problem", F.when(threshold & classes, "both").when(~threshold & ~classes, "neither")).filter("problem is not null")
+
+
+def bad_splits(splits: DataFrame, parts: Sequence[str] = ("train", "val", "test"), tolerance: float = 1e-9) -> DataFrame:
+    """Rows whose shares are null or negative or do not add up to 1, with their ``total`` (null if any share is)."""
+    total = reduce(lambda a, c: a + F.col(c), parts[1:], F.col(parts[0]))
+    sound = reduce(lambda a, c: a & (F.col(c) >= 0), parts, F.abs(total - 1) <= tolerance)
+    return splits.withColumn("total", total).filter(~F.coalesce(sound, F.lit(False)))
+
+
 def share(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, column, n, share): counts of values and their share in the group. The window runs over counts, not rows."""
     counted = df.groupBy(*by, column).agg(F.count("*").alias("n"))

@@ -54,6 +54,14 @@ def sample_raster(points: DataFrame, pixels: DataFrame, meta: dict[str, float],
     return points.withColumns({"row": row, "col": col}).join(pixels.select("row", "col", *keep, "value"), ["row", "col"], "left")
 
 
+def compare_points(points: DataFrame, pixels: DataFrame, meta: dict[str, float], threshold: float = 0.5, actual: str = "class_probability", keep: Sequence[str] = ("eo_data", "crop_type"), x: str = "lon", y: str = "lat", key: str = "id") -> DataFrame:
+    """(key, actual, prediction, probability, keep...) of each point against a map of probabilities: the pixel that holds the point, and 1 where
+    it is over ``threshold``. Both are null outside the map and for points without a place."""
+    asked = points.select(key, F.col(actual).alias("actual"), F.col(x).alias("_x"), F.col(y).alias("_y"), *keep)
+    sampled = sample_raster(asked, pixels, meta, "_x", "_y").withColumnRenamed("value", "probability")
+    return sampled.select(key, "actual", (F.col("probability") > threshold).cast("int").alias("prediction"), "probability", *keep)
+
+
 def sample_zonal(points: DataFrame, pixels: DataFrame, meta: dict[str, float], radius: int = 1, x: str = "lon", y: str = "lat", key: str = "id") -> DataFrame:
     """Points with the most frequent value (the smallest of several) of the pixels within ``radius`` rows and columns."""
     row, col = geo.rowcol(F.col(x), F.col(y), meta)

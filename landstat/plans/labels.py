@@ -58,6 +58,9 @@ query("B13_count_not_local", lambda s, d: l.count_not_local(b.points(s, d), BOX)
 query("B14_evaluation_points", lambda s, d: l.evaluation_points(b.points(s, d)), "select *, cast(class_probability as int) as binary from b_points where subset='testing' and class_probability in (0,1)")
 query("B17_answer_to_class", lambda s, d: b.annotations(s, d).groupBy(F.coalesce(l.answer_to_class(F.col("answer")), F.lit(-1)).alias("class")).agg(F.count("*").alias("n")), "select case answer when 'Crop' then 1 when 'Non-crop' then 0 else -1 end as class, count(*) as n from b_annotations group by 1")
 query("B21_missing_datasets", lambda s, d: l.missing_datasets(b.points(s, d).select("dataset").distinct(), b.points(s, d).filter("subset = 'testing' and country like 'A%'").select("dataset").distinct()), "select distinct dataset from b_points where dataset not in (select dataset from b_points where subset='testing' and country like 'A%')")
+CATALOG = "p_partkey as id, case when p_size % 3 > 0 then p_size / cast(50 as double) end as threshold"
+query("B21_bad_maps", lambda s, d: l.bad_maps(b.table(s, d, "part").selectExpr(*CATALOG.split(", "), "case when p_size % 2 = 0 then array(p_size) when p_size % 5 = 0 then array() end as crop_classes")).select("id", "problem"), "with c as (select p_partkey as id, p_size % 3 > 0 as t, p_size % 2 = 0 as k from part) select id, case when t then 'both' else 'neither' end as problem from c where t = k")
+query("B21_bad_splits", lambda s, d: l.bad_splits(b.table(s, d, "customer").selectExpr("c_custkey as id", "cast(c_custkey % 10 as double) / 10 as train", "case when c_custkey % 7 > 0 then cast(0.2 as double) end as val", "cast(c_custkey % 4 as double) / 10 as test")).selectExpr("id", "round(total, 6) as total"), "select c_custkey as id, case when c_custkey % 7 > 0 then round((c_custkey % 10 + 2 + c_custkey % 4) / cast(10 as double), 6) end as total from customer where c_custkey % 7 = 0 or c_custkey % 10 + 2 + c_custkey % 4 <> 10")
 S1, S2 = "b_annotations where set_id=1", "b_annotations where set_id=2"
 
 

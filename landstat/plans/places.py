@@ -145,6 +145,7 @@ query("H1_clip_pixels", lambda s, d: r.clip_pixels(one_map(s, d), META, rings(s,
 FINE = {"a": 1.8, "b": 0.0, "c": -180.0, "d": 0.0, "e": -0.35, "f": 70.0}
 query("H2_resample", lambda s, d: r.resample(one_map(s, d), META, FINE, 400, 200).filter("value is not null"), "select cast(2*row+i as int) as row, cast(2*col+j as int) as col, value from b_pixels, (values (0),(1)) x(i), (values (0),(1)) y(j) where map='A'")
 query("H7_compare_points", lambda s, d: r.sample_raster(b.points(s, d), one_map(s, d), META).select("id", F.col("class_probability").alias("actual"), F.coalesce((F.col("value") > 0.5).cast("int"), F.lit(-1)).alias("prediction")), f"with {SAMPLED} select id, class_probability as actual, case when value=-1 then -1 else cast(value>0.5 as int) end as prediction from sp")
+query("H7_compare_all", lambda s, d: rounded(r.compare_points(b.points(s, d), one_map(s, d), META, keep=["country", "dataset"])), f"with {SAMPLED} select id, sp.class_probability as actual, case when value<>-1 then cast(value>0.5 as int) end as prediction, round(case when value<>-1 then value end, 6) as probability, p.country, p.dataset from sp join b_points p using (id)")
 query("H6_ndvi_demote", lambda s, d: r.ndvi_demote(b.scores(s, d).select("id", (F.col("score") > 0.5).cast("int").alias("prediction"), F.col("y_true").alias("label"), (F.col("id") % 1000 / 1000.0).alias("ndvi")), 0.5).select("id", "demoted"), "with k as (select id, cast(score>0.5 as int) as prediction, cast(id % 1000 as double)/1000 as ndvi from b_scores), c as (select avg(ndvi)-0.5*stddev_pop(ndvi) as cut from k where prediction=1) select id, case when prediction=1 and ndvi<cut then 0 else prediction end as demoted from k, c")
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from landstat.operators import labels, raster
 from landstat.operators import points as p
 from landstat.plans import bindings as b
 from landstat.plans.places import META
@@ -139,3 +140,17 @@ def test_few_cells_are_asked(spark):
     high = np.array([xyz[own == c].max(0) for c in range(len(cells.leaves))])
     cells.fit(low, high)
     assert sum(len(rows) for _, rows in cells.within(xyz, far[:, -1])) <= 4 * len(xyz)
+
+
+def test_checks_before_a_run(spark):
+    maps = spark.createDataFrame([("a", 0.5, None), ("b", None, [1]), ("c", 0.5, [1]), ("d", None, None), ("e", None, []), ("f", 0.5, [])], "title string, threshold double, crop_classes array<int>")
+    assert {r["title"]: r["problem"] for r in labels.bad_maps(maps).collect()} == {"c": "both", "d": "neither", "e": "neither"}
+    splits = spark.createDataFrame([(1, 0.8, 0.1, 0.1), (2, 0.8, 0.1, 0.2), (3, None, 0.5, 0.5), (4, 1.2, -0.1, -0.1), (5, 0.7, 0.2, 0.1)], "id int, train double, val double, test double")
+    assert sorted(r["id"] for r in labels.bad_splits(splits).collect()) == [2, 3, 4]
+
+
+def test_points_against_a_map(spark):
+    pixels = spark.createDataFrame([(0, 0, 0.9), (0, 1, 0.5), (1, 0, 0.1)], "row int, col int, value double")
+    points = spark.createDataFrame([(1, 0.5, 9.5, 1.0, "maize", "x"), (2, 1.5, 9.5, 0.0, None, "y"), (3, 0.5, 8.5, 0.5, "teff", None), (4, 5.5, 5.5, 1.0, "maize", "x"), (5, None, 9.5, None, "maize", "x")], "id int, lon double, lat double, class_probability double, crop_type string, eo_data string")
+    got = {r["id"]: tuple(r)[1:] for r in raster.compare_points(points, pixels, {"a": 1.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -1.0, "f": 10.0}, keep=["crop_type", "eo_data"]).collect()}
+    assert got == {1: (1.0, 1, 0.9, "maize", "x"), 2: (0.0, 0, 0.5, None, "y"), 3: (0.5, 0, 0.1, "teff", None), 4: (1.0, None, None, "maize", "x"), 5: (None, None, None, "maize", "x")}
