@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landstat.operators.cells import CELL_ROWS, meet
+
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint", "boolean"}
 EARLIEST, LATEST_START = "2015-01-01", "2015-07-01"
 
@@ -238,18 +240,19 @@ def few(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def join_bbox(points: DataFrame, boxes: DataFrame, most: int = 10_000, cell: float = 2.0) -> DataFrame:
+def join_bbox(points: DataFrame, boxes: DataFrame, most: int = 10_000, cell: float = 2.0, most_rows: int = CELL_ROWS) -> DataFrame:
     """Points with the boxes (name, min_lat, max_lat, min_lon, max_lon) that hold them, borders included.
 
-    Few boxes are broadcast. Many lie in the cells that they touch, and points meet those of their own cell.
+    Few boxes are broadcast. Many lie in the cells that they touch, and points meet those of their own cell; crowded cells are
+    worked on in pieces of about ``most_rows`` rows of a side (``meet``).
     """
     inside = F.col("lat").between(F.col("min_lat"), F.col("max_lat")) & F.col("lon").between(F.col("min_lon"), F.col("max_lon"))
     if boxes.limit(most + 1).count() <= most:
         return points.join(F.broadcast(boxes), inside)
     cells = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
     placed = boxes.filter("min_lat <= max_lat and min_lon <= max_lon").withColumn("_y", cells("min_lat", "max_lat")).withColumn("_x", cells("min_lon", "max_lon"))
-    own = points.withColumns({"_py": F.floor(F.col("lat") / cell), "_px": F.floor(F.col("lon") / cell)})
-    return own.join(placed, (F.col("_py") == F.col("_y")) & (F.col("_px") == F.col("_x")) & inside).drop("_py", "_px", "_y", "_x")
+    own = points.withColumns({"_y": F.floor(F.col("lat") / cell), "_x": F.floor(F.col("lon") / cell)})
+    return meet(own, placed, ["_y", "_x"], most_rows).filter(inside).drop("_y", "_x")
 
 
 def export_training_table(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from landstat.functions import geo
 from landstat.functions.shared import checkpointed
+from landstat.operators.cells import CELL_ROWS, meet
 from landstat.operators.neighbours import nearest  # noqa: F401  one of the joins of places
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
@@ -84,11 +85,12 @@ def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: s
     return out.unionByName(points.filter(placeless)) if how == "left_anti" else out
 
 
-def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
+def within_distance(a: DataFrame, b: DataFrame, km: float, most: int = CELL_ROWS) -> DataFrame:
     """Pairs of ``a`` (id, lat, lon) and ``b`` (id, lat, lon) at most ``km`` apart: id_a, id_b, km.
 
     Each place of ``a`` looks in the cells around its own; a cell is as high as the distance, and as wide as it is at the latitude
-    of its band, so three by three cells hold all partners. Bands near the poles are one cell around.
+    of its band, so three by three cells hold all partners. Bands near the poles are one cell around. Crowded
+    cells are worked on in pieces of about ``most`` places of a side (``meet``).
     """
     size = km / 111.0 * 1.01
     band = lambda lat: F.floor(lat / size).cast("long")
@@ -100,7 +102,7 @@ def within_distance(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     left = left.withColumn("n", around(F.col("k"))).withColumn("c", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda o: F.pmod(cell(F.col("lon_a"), F.col("n")) + o, F.col("n"))))))
     right = b.select(F.col("id").alias("id_b"), F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")).withColumn("k", band(F.col("lat_b"))).withColumn("c", cell(F.col("lon_b"), around(F.col("k"))))
     d = geo.haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
-    return left.join(right, ["k", "c"]).withColumn("km", d).filter(F.col("km") <= km).select("id_a", "id_b", "km")
+    return meet(left, right, ["k", "c"], most).withColumn("km", d).filter(F.col("km") <= km).select("id_a", "id_b", "km")
 
 
 def pairwise_distance(a: DataFrame, b: DataFrame, by: Sequence[str] = (), own: bool = False, block: int = 2_000) -> DataFrame:

@@ -113,8 +113,10 @@ def reports(s: SparkSession, d: str) -> DataFrame:
 
 
 LONG = f"{FLAG}, lg as (select p_brand as country, map as dataset, p_size % 2 as ref_class, crop as map_class from part join fl on id=p_partkey union all select p_brand, 'ensemble', p_size % 2, ens from part join (select id, cast(2*sum(crop)>count(*) as int) as ens from fl group by 1) on id=p_partkey)"
-KC = f"with {LONG}, k as (select dataset, country, count_if(ref_class=1 and map_class=1) as tp, count_if(ref_class=0 and map_class=1) as fp, count_if(ref_class=1 and map_class=0) as fn, count_if(ref_class=0 and map_class=0) as tn from lg group by 1,2), z as (select *, coalesce(tp/nullif(tp+fp,0),0) as u1, coalesce(tp/nullif(tp+fn,0),0) as p1 from k), rp as (select dataset, country, round(coalesce(2*u1*p1/nullif(u1+p1,0),0),2) as crop_f1, round((tp+tn)/(tp+fp+fn+tn),2) as accuracy, cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tn as bigint) as tn from z)"
-query("E21_intercompare", lambda s, d: reports(s, d).drop("std_crop_f1"), f"{KC} select * from rp")
+KC = f"""with {LONG}, k as (select dataset, country, count_if(ref_class=1 and map_class=1) as tp, count_if(ref_class=0 and map_class=1) as fp, count_if(ref_class=1 and map_class=0) as fn, count_if(ref_class=0 and map_class=0) as tn from lg group by 1,2), z as (select *, coalesce(tp/nullif(tp+fp,0),0) as u1, coalesce(tp/nullif(tp+fn,0),0) as p1, cast(tp+fp as double) as n1, cast(tn+fn as double) as n0, coalesce(fn/nullif(tn+fn,0),0) as s0 from k),
+ v as (select *, u1*(1-u1)/nullif(n1-1,0) as var_u1, case when n1<>1 and n0<>1 then coalesce(1/nullif(pow(floor(coalesce(100*n1*tp/nullif(n1,0),0)+coalesce(100*n0*fn/nullif(n0,0),0)),2),0),0)*(10000*n1*n1*(1-p1)*(1-p1)*u1*(1-u1)/(n1-1)+p1*p1*10000*n0*n0*s0*(1-s0)/(n0-1)) end as var_p1 from z),
+ rp as (select dataset, country, round(coalesce(2*u1*p1/nullif(u1+p1,0),0),2) as crop_f1, round(2*(p1*sqrt(var_u1)+u1*sqrt(var_p1))/nullif(p1+u1,0) + 2*p1*u1*(sqrt(var_u1)+sqrt(var_p1))/nullif((p1+u1)*(p1+u1),0),2)+0.0 as std_crop_f1, round((tp+tn)/(tp+fp+fn+tn),2) as accuracy, cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tn as bigint) as tn from v)"""
+query("E21_intercompare", reports, f"{KC} select * from rp")
 query("F4_rank_maps", lambda s, d: r.rank_maps(reports(s, d).select("dataset", "country", "accuracy"), "accuracy"), f"{KC} select dataset, country, accuracy, dense_rank() over (partition by country order by accuracy desc) as rank, dense_rank() over (partition by country order by accuracy desc)=1 as best, dense_rank() over (partition by country order by accuracy desc)=2 as second from rp")
 query("F5_best_map", lambda s, d: r.best_map(reports(s, d), "crop_f1"), f"{KC} select country, dataset as best from (select *, row_number() over (partition by country order by crop_f1 desc, dataset desc) as o from rp) where o=1")
 query("D37_summarise_results", lambda s, d: rounded(r.summarise_results(reports(s, d), "crop_f1", "accuracy"), 4).fillna("all", ["country", "dataset"]), f"{KC} select coalesce(country,'all') as country, coalesce(dataset,'all') as dataset, round(avg(crop_f1),4) as mean, round(avg(accuracy),4) as error, count(*) as n from rp group by grouping sets ((country),(dataset),())")

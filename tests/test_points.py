@@ -63,6 +63,25 @@ def test_many_boxes_meet_points_by_cells(spark, sf):
     assert sorted(map(tuple, cells.select("id", "name").collect())) == sorted(map(tuple, join_bbox(points, boxes).select("id", "name").collect()))
 
 
+def test_crowded_cells_are_cut_and_lose_no_pair(spark, sf):
+    from landstat.operators.cells import meet
+    from landstat.operators.labels import join_bbox
+
+    left = spark.range(300).select(F.when(F.col("id") < 200, 0).when(F.col("id") < 290, F.col("id") % 7).alias("k"), F.col("id").alias("a"))
+    right = spark.range(120).select(F.when(F.col("id") < 70, 0).when(F.col("id") < 110, F.col("id") % 9).alias("k"), F.col("id").alias("b")).unionAll(spark.sql("select 0 as k, 5L as b from range(3)"))
+    want = sorted(map(tuple, left.join(right, "k").select("k", "a", "b").collect()))
+    for most_hot in (50_000, 1):  # with one cut key at most, the bound on rows is raised
+        cut = meet(left, right, ["k"], 20, most_hot)
+        assert sorted(map(tuple, cut.select("k", "a", "b").collect())) == want and cut.columns == ["k", "a", "b"]
+    points = b.points(spark, sf).select("id", "lat", "lon")
+    clump = points.unionByName(points.selectExpr("id + 1000000 as id", "1 + id % 50 / 100 as lat", "2 + id % 30 / 100 as lon"))
+    pairs = lambda most: sorted((r["id_a"], r["id_b"], round(r["km"], 6)) for r in p.within_distance(clump, clump, 40.0, most).collect())
+    assert pairs(30) == pairs(10**9) and len(pairs(30)) > 5_000
+    boxes = spark.range(60).selectExpr("concat('b', id) as name", "0.5 + id / 100 as min_lat", "1.5D as max_lat", "1.5 + id / 100 as min_lon", "9.0D as max_lon")
+    held = lambda **how: sorted(map(tuple, join_bbox(clump, boxes, **how).select("id", "name").collect()))
+    assert held(most=1, most_rows=25) == held()
+
+
 def test_a_region_of_any_size_streams_through_one_call(spark):
     from landstat.operators.ml import per_region
 
