@@ -20,6 +20,8 @@ def meet(left: DataFrame, right: DataFrame, on: Sequence[str], most: int = CELL_
     """
     on = list(on)
     each = left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r")))
+    if each.limit(most + 1).count() <= most:
+        return left.join(right, on)
     counts = each.dropna(subset=on).groupBy(*on).agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr")).filter("_nl > 0 and _nr > 0")
     above = lambda: counts.filter((F.col("_nl") > most) | (F.col("_nr") > most)).limit(most_hot + 1).collect()
     while len(hot := above()) > most_hot:
