@@ -1,9 +1,10 @@
 """Toxicity: a counterfactual-regularised classifier.
 
 A logistic regression over words and the beginnings of words. For each labelled text that names a group of people, copies are
-made in which the group's terms are swapped for those of other groups; a difference between the scores of a text and its copies
-is penalised. A term that only goes with toxic texts by chance or by bias then cannot carry weight of its own, so neutral
-mentions of a group are not taken for toxic ones.
+made in which the group's terms are swapped for those of each other group of its set; a difference between the scores of a text
+and its copies is penalised. So is one between a text labelled 0 that names no group and copies to which the term of a group is
+added, which makes pairs on any data. A term, or a beginning that it shares with other words, that only goes with toxic texts by
+chance or by bias then cannot carry weight of its own, so neutral mentions of a group are not taken for toxic ones.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ GROUPS = (
 def swaps(groups: tuple) -> list[dict[str, str]]:
     """Swaps of terms: the k-th turns each group of a set into the k-th next one of the same set."""
     out: list[dict[str, str]] = []
-    for k in (1, 2):
+    for k in range(1, max(map(len, groups), default=0)):
         swap = {}
         for of in groups:
             if k < len(of):
@@ -71,6 +72,26 @@ class Model:
     bias: float
 
 
+class Apart:
+    """The mean of d d' over pairs of texts, for differences d of their features; pairs without a difference do not count.
+
+    The mean square of the pairs' score differences is w' mean w, so no pair has to be kept.
+    """
+
+    def __init__(self, chosen: dict[str, int]):
+        self.chosen, self.n, self.sums = chosen, 0, np.zeros((len(chosen), len(chosen)), dtype=np.float32)
+
+    def add(self, a: set[str], b: set[str]) -> None:
+        up, down = ([self.chosen[f] for f in one if f in self.chosen] for one in (a - b, b - a))
+        if up or down:
+            sign = np.repeat(np.array([1, -1], dtype=np.float32), [len(up), len(down)])
+            self.sums[np.ix_(up + down, up + down)] += np.outer(sign, sign)
+            self.n += 1
+
+    def mean(self) -> np.ndarray:
+        return self.sums / max(1, self.n)
+
+
 def fit(texts: list[str], y: np.ndarray, share: float, groups: tuple = GROUPS, penalty: float = PENALTY) -> Model:
     """Weights that fit the labels, with equal scores for texts and their copies with swapped terms as far as ``penalty`` asks."""
     features = lambda text: {f for w in set(text.split()) for f in features_of(w)}
@@ -97,24 +118,25 @@ def fit(texts: list[str], y: np.ndarray, share: float, groups: tuple = GROUPS, p
         return out
 
     x = np.zeros((len(texts), len(chosen)), dtype=np.float32)
-    apart = []
+    swapped, added = Apart(chosen), Apart(chosen)
     for i, text in enumerate(texts):
-        x[i] = row(features(text))
+        own = features(text)
+        x[i] = row(own)
         lowered = set(LETTERS.findall(text.lower()))
         if terms & lowered:
             for swap in swaps(groups):
-                copy = row({f for w in lowered for f in features_of(swap.get(w, w))})
-                if (copy != x[i]).any():
-                    apart.append(x[i] - copy)
-    apart = np.array(apart, dtype=np.float32).reshape(-1, len(chosen))
+                swapped.add(own, {f for w in lowered for f in features_of(swap.get(w, w))})
+        elif y[i] == 0 and groups:
+            for of in groups[i % len(groups)]:
+                added.add(own, own.union(features_of(of[i // len(groups) % len(of)])))
+    apart = penalty * (swapped.mean() + added.mean())
     y = y.astype(np.float32)
     w, bias = np.zeros(len(chosen), dtype=np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -40, 40)))
         g = x.T @ ((p - y) / len(y)) + DECAY * w
-        if len(apart):
-            g = g + 2 * penalty * (apart.T @ (apart @ w)) / len(apart)
+        g = g + 2 * (apart @ w)
         gb = float(np.mean(p - y))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -145,6 +167,27 @@ def scorer(model: Model):
     return of
 
 
+def _model(docs: DataFrame, labels: DataFrame, mod: int, held: int, most_rows: int, groups: tuple, penalty: float, text: str, doc_id: str) -> Model | None:
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows, share = sample(named, labels, "toxic", remainder(F.col("doc_id"), mod) != held, most_rows)
+    return fit_in_one_task(rows, lambda texts, y: fit(texts, y, share, groups, penalty))
+
+
+def group_gaps(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2, most_rows: int = SAMPLE, groups: tuple = GROUPS, penalty: float = PENALTY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(terms, n, gap): how far the scores of held-out texts move with the group that they name, for each set of groups.
+
+    The first term of each group of a set is put before a text in turn; the gap of a text is its largest less its smallest score,
+    the result the mean over the n texts that are held out (null and empty ones too). Without labels all gaps are 0.
+    """
+    model = _model(docs, labels, mod, held, most_rows, groups, penalty, text, doc_id)
+    sets = F.array(*[F.struct(F.lit(", ".join(g[0] for g in of)).alias("terms"), F.array(*[F.lit(g[0]) for g in of]).alias("each")) for of in groups])
+    own = docs.filter(remainder(F.col(doc_id), mod) == held).select(F.coalesce(text, F.lit("")).alias("text"))
+    named = own.select("text", F.explode(sets).alias("s")).select("s.terms", F.transform("s.each", lambda t: F.concat_ws(" ", t, "text")).alias("texts"))
+    # the copies of a text stay in one row, so nothing is shuffled but sums
+    of = [F.when(F.size("texts") > i, score_of(docs.sparkSession, model, scorer, F.coalesce(F.get("texts", i), F.lit("")))) for i in range(max(map(len, groups)))]
+    return named.select("terms", (F.array_max(F.array(*of)) - F.array_min(F.array(*of))).alias("d")).groupBy("terms").agg(F.count("*").alias("n"), F.avg("d").alias("gap"))
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int = 2, most_rows: int = SAMPLE, groups: tuple = GROUPS, penalty: float = PENALTY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` and held_out (boolean), score (double, 0 to 1, higher: toxic likelier) and predicted (score >= 0.3).
 
@@ -153,8 +196,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, mod: int = 4, held: int
     scores are 0.5. Repeated rows get equal scores. Columns of the three names are replaced.
     """
     docs = docs.drop("held_out", "score", "predicted")
-    rows, share = sample(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labels, "toxic", remainder(F.col("doc_id"), mod) != held, most_rows)
-    model = fit_in_one_task(rows, lambda texts, y: fit(texts, y, share, groups, penalty))
+    model = _model(docs, labels, mod, held, most_rows, groups, penalty, text, doc_id)
     docs = docs.withColumn("held_out", F.coalesce(remainder(F.col(doc_id), mod) == held, F.lit(False)))
     docs = docs.withColumn("score", score_of(docs.sparkSession, model, scorer, F.col(text)))
     return docs.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))

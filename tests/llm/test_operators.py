@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -243,6 +244,30 @@ def test_counterfactual_penalty_takes_weight_from_group_terms():
     assert score(50.0) < score(0.0) - 0.05
 
 
+def test_every_group_of_a_set_is_swapped_for_every_other():
+    for of in toxicity.GROUPS:
+        for i, terms in enumerate(of):
+            got = {swap[t] for swap in toxicity.swaps(toxicity.GROUPS) for t in terms if t in swap}
+            assert {t for j, other in enumerate(of) if j != i for t in other[: len(terms)]} <= got
+
+
+def test_gaps_between_groups_shrink_on_held_out_texts_that_name_none(spark):
+    # no text names a group, but toxic words share their beginning with terms of one
+    rng = random.Random(6)
+    texts = [words(rng, 30) + (" straggle blather" if i % 3 == 0 else "") for i in range(420)] + [None, ""]
+    d = frame(spark, texts).withColumn("gap", F.lit("a")).withColumn("terms", F.lit(1))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(420)], "doc_id long, toxic int")
+    gaps = lambda penalty: {r["terms"]: r for r in toxicity.group_gaps(d, labels, penalty=penalty).collect()}
+    plain, fair = gaps(0.0), gaps(5.0)
+    name = "gay, straight, lesbian, bisexual, queer, heterosexual, transgender"
+    assert plain[name]["gap"] > 0.02 and fair[name]["gap"] < plain[name]["gap"] / 4
+    held = sum(zlib.crc32(str(i).encode()) % 4 == 2 for i in range(len(texts)))
+    assert len(fair) == len(toxicity.GROUPS) and {r["n"] for r in fair.values()} == {held}
+    scores = toxicity.toxicity_scores(d, labels).filter("held_out and doc_id < 420").collect()
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in scores]) > 0.97
+    assert {r["gap"] for r in toxicity.group_gaps(d, labels.limit(0)).collect()} == {0.0} and not toxicity.group_gaps(d.limit(0), labels).collect()
+
+
 # 5. line dedup
 
 
