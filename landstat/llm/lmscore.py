@@ -7,10 +7,14 @@ vocabulary, whose other words are one unknown word, is a parameter. Counts cover
 Documents are dealt into blocks of bounded text. A block counts its own words and pairs under keys (64-bit hashes), sorted, and
 sends each bucket of the key space its part; a bucket adds up the counts of all blocks and sends each block the sums of its own
 keys, in their order. A key, however common, is sent once a block; nothing but the size of the text reaches the driver.
+
+Where there are many blocks, parties of about the square root of their number stand between: a party adds up the counts of its
+blocks, asks the buckets as one, and hands its blocks their sums. With n blocks that sends n ** 1.5 parts in place of n ** 2.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,11 +26,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landstat.llm.common import fresh, table
+from landstat.llm.common import checkpointed, fresh, table
 
 MASS = 20.0  # pseudo-counts with which a word's unigram chance enters its bigram chance
 BLOCK = 8_000_000  # characters of text in a block, about
 LEAST_BLOCKS = 12  # so that small inputs are spread as well
+MOST_DIRECT = 512  # blocks that ask the buckets themselves; more do so in parties
 START, UNKNOWN = "\n", "\t"  # stand for the start of a document and words outside a given vocabulary; no word has white space
 ODD_A, ODD_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 ONE = np.uint64(1)
@@ -102,9 +107,9 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
 
 
-def edges_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each of the buckets, equal parts of the key space, begins and ends among sorted keys."""
-    bounds = [-(2**63) + 2**64 * i // buckets for i in range(1, buckets)]
+def edges_of(keys: np.ndarray, buckets: int, first: int = 0, n: int | None = None) -> np.ndarray:
+    """Where ``n`` of the buckets (all), equal parts of the key space, begin and end among sorted keys, all of which lie in them."""
+    bounds = [-(2**63) + 2**64 * i // buckets for i in range(first + 1, first + (n or buckets))]
     return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, dtype=np.int64)), [len(keys)]])
 
 
@@ -121,6 +126,57 @@ def summed(table: pa.Table) -> pa.Table:
     return pa.table([table.column("block"), table.column("bucket"), *(pa.array(x, pa.binary()) for x in parts), *(pa.array([x] * len(sizes), pa.int64()) for x in whole)], names=["block", "bucket", "n_target", "n_all", "n_words", "all_target", "all_all"])
 
 
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as differences, with fewer bits."""
+    return np.diff(keys, prepend=keys.dtype.type(0))
+
+
+PARTS = ("block", "bucket", "keys", "n_target", "n_all")
+ANSWER = "block int, bucket int, n_target binary, n_all binary, n_words long, all_target long, all_all long"
+
+
+def parts_of(block: int, first: int, keys: np.ndarray, counts: list[np.ndarray], edges: np.ndarray) -> pa.Table:
+    """The rows that a block sends, one a bucket from ``first`` on."""
+    cut = lambda x, turn: pa.array([packed(turn(x[i:j])) for i, j in zip(edges, edges[1:])], pa.binary())
+    n = len(edges) - 1
+    return pa.table([pa.array(np.full(n, block, np.int32)), pa.array(np.arange(first, first + n, dtype=np.int32)), cut(keys, steps), *(cut(x, np.asarray) for x in counts)], names=list(PARTS))
+
+
+def united(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The different keys of some blocks in one bucket, where the key of each row stands among them, and how many rows each block has."""
+    each = [np.cumsum(unpacked(x)) for x in table.column("keys").to_pylist()]
+    return *np.unique(np.concatenate(each), return_inverse=True), [len(x) for x in each]
+
+
+def by_parties(asked: DataFrame, blocks: int, buckets: int) -> DataFrame:
+    """What ``summed`` answers to each block, for blocks that asked ``buckets`` coarse buckets; parties have as many blocks.
+
+    A party splits a coarse bucket into fine ones, so that a fine one gets about as many keys as a block has.
+    """
+    fine = blocks // buckets + 1
+    asked = checkpointed(asked.withColumn("party", F.floor(F.col("block") / buckets).cast("int")))  # both ways need it
+
+    def ask(table: pa.Table) -> pa.Table:
+        keys, inverse, _ = united(table)
+        add = lambda n: np.bincount(inverse, weights=np.concatenate([unpacked(x) for x in table.column(n).to_pylist()]), minlength=len(keys)).astype(np.int64)
+        bucket = table.column("bucket")[0].as_py()
+        return parts_of(table.column("party")[0].as_py(), bucket * fine, keys, [add("n_target"), add("n_all")], edges_of(keys, fine * buckets, bucket * fine, fine))
+
+    sums = asked.groupBy("party", "bucket").applyInArrow(ask, "block int, bucket int, keys binary, n_target binary, n_all binary").groupBy("bucket").applyInArrow(summed, ANSWER)
+    sums = sums.withColumnRenamed("block", "party").withColumn("coarse", F.floor(F.col("bucket") / fine).cast("int"))
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, inverse, sizes = united(left)
+        right = right.sort_by("bucket")
+        whole = [int(right.column(n).to_numpy().sum()) for n in ("n_words", "all_target", "all_all")]
+        both = [np.concatenate([unpacked(x) for x in right.column(n).to_pylist()]) for n in ("n_target", "n_all")]
+        ends = np.cumsum(sizes)
+        own = [pa.array([packed(n[inverse[e - k : e]]) for e, k in zip(ends, sizes)], pa.binary()) for n in both]
+        return pa.table([left.column("block"), left.column("bucket"), *own, *(pa.array([x] * len(sizes), pa.int64()) for x in whole)], names=["block", "bucket", "n_target", "n_all", "n_words", "all_target", "all_all"])
+
+    return asked.groupBy("party", "bucket").cogroup(sums.groupBy("party", "coarse")).applyInArrow(answer, ANSWER)
+
+
 def scores_of(before: np.ndarray, word: np.ndarray, counts: np.ndarray, sums: tuple[np.ndarray, np.ndarray], totals: tuple[int, int], width: int) -> np.ndarray:
     """The mean loss difference of each text; ``sums`` are the counts of the two models for the block's keys in ascending order."""
     inverse = np.unique(np.concatenate(keys_of(before, word)), return_inverse=True)[1]
@@ -130,19 +186,20 @@ def scores_of(before: np.ndarray, word: np.ndarray, counts: np.ndarray, sums: tu
     return np.where(counts > 0, (ends[at_end] - ends[at_end - counts]) / np.maximum(counts, 1), 0.0)
 
 
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, size: int | None = None, text: str = "text", doc_id: str = "doc_id", block_chars: int = BLOCK) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, targets: DataFrame, size: int | None = None, text: str = "text", doc_id: str = "doc_id", block_chars: int = BLOCK, most_direct: int = MOST_DIRECT) -> DataFrame:
     """``docs`` and n_tokens (long) and score (double): the mean over a text's words of target loss less background loss, in nats.
 
     Lower is closer to the target. ``targets`` has the ids of the target documents (column doc_id; repeats and nulls do not
     count). A null or empty text has no words and score 0. Without target documents the target model is uniform. Repeated rows
     count as often as they stand there and get equal scores. Columns of the two names are replaced. All words are in the
-    vocabulary unless ``size`` cuts it to the most frequent ones.
+    vocabulary unless ``size`` cuts it to the most frequent ones. More than ``most_direct`` blocks work in parties, with equal scores.
     """
     docs = docs.drop("n_tokens", "score")
     words = None if size is None else vocabulary(docs, text, size)
     shared = docs.sparkSession.sparkContext.broadcast(words)
     block = fresh(docs, "block")
     blocks = max(LEAST_BLOCKS, (docs.agg(F.sum(F.length(text))).first()[0] or 0) // block_chars + 1)
+    buckets = blocks if blocks <= most_direct else math.isqrt(blocks) + 1
     # a text without an id is no target, so it may be in any block
     dealt = docs.withColumn(block, F.pmod(F.when(F.col(doc_id).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id)), F.lit(blocks)).cast("int"))
     chosen = targets.select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("id")).filter("id is not null").distinct()
@@ -150,19 +207,15 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, size: int | No
 
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 3)], names=["block", "bucket", "keys", "n_target", "n_all"])
+            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 3)], names=list(PARTS))
         before, word, counts = encoded(left.column(text), Hashes(shared.value))
         mark = pc.is_in(left.column(doc_id), value_set=right.column("id").combine_chunks()).to_numpy() if right.num_rows else np.zeros(left.num_rows, bool)
         keys, *both = counted(before, word, np.repeat(mark.astype(bool), counts))
-        edges = edges_of(keys, blocks)
-        steps = lambda x: np.diff(x, prepend=x.dtype.type(0))  # noqa: E731  of sorted keys, with fewer bits
-        parts = [pa.array([packed(turn(x[i:j])) for i, j in zip(edges, edges[1:])], pa.binary()) for x, turn in ((keys, steps), *((n, np.asarray) for n in both))]
-        at = np.full(blocks, left.column(block)[0].as_py(), np.int32)
-        return pa.table([pa.array(at), pa.array(np.arange(blocks, dtype=np.int32)), *parts], names=["block", "bucket", "keys", "n_target", "n_all"])
+        return parts_of(left.column(block)[0].as_py(), 0, keys, both, edges_of(keys, buckets))
 
     by_block = dealt.groupBy(block)
     asked = by_block.cogroup(chosen.groupBy("block")).applyInArrow(count, "block int, bucket int, keys binary, n_target binary, n_all binary")
-    given = asked.groupBy("bucket").applyInArrow(summed, "block int, bucket int, n_target binary, n_all binary, n_words long, all_target long, all_all long")
+    given = asked.groupBy("bucket").applyInArrow(summed, ANSWER) if buckets == blocks else by_parties(asked, blocks, buckets)
     schema = docs.withColumn("n_tokens", F.lit(0).cast("long")).withColumn("score", F.lit(0.0)).schema
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -138,14 +138,31 @@ def test_lm_scores_know_every_word_and_do_not_depend_on_blocks(spark):
     totals = [sum(x.values()) + len(names) + 2 for x in single]
     p = lambda m, a, b: (pair[m].get((a, b), 0) + lmscore.MASS * (single[m].get(b, 0) + 1) / totals[m]) / (first[m].get(a, 0) + lmscore.MASS)
     marks = spark.createDataFrame([(i,) for i in targets] * 2 + [(None,)], "doc_id long")
-    for chars in (lmscore.BLOCK, 200):
-        got = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(frame(spark, texts), marks, block_chars=chars).collect()}
+    for chars, direct in ((lmscore.BLOCK, 512), (200, 512), (200, 1)):  # one block, many that ask themselves, many in parties
+        got = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(frame(spark, texts), marks, block_chars=chars, most_direct=direct).collect()}
         assert len(got) == len(texts)
         for i, s in enumerate(seqs):
             want = np.mean([np.log(p(1, a, b) / p(0, a, b)) for a, b in zip(s, s[1:])]) if len(s) > 1 else 0.0
             assert got[i]["score"] == pytest.approx(want, abs=1e-9) and got[i]["n_tokens"] == len(s) - 1 and got[i]["words"] == "w"
 
 
+def test_lm_parties_send_fewer_parts_and_cut_the_same_key_space(monkeypatch, spark):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(-(2**63), 2**63 - 1, 5_000))
+    whole = lmscore.edges_of(keys, 7 * 5)
+    for b, (i, j) in enumerate(zip(lmscore.edges_of(keys, 7), lmscore.edges_of(keys, 7)[1:])):
+        assert (lmscore.edges_of(keys[i:j], 35, b * 5, 5) + i == whole[b * 5 : b * 5 + 6]).all()
+    seen = []
+    monkeypatch.setattr(lmscore, "checkpointed", lambda df: seen.append(df.count()) or df)
+    d = frame(spark, [" ".join(f"a{i}b{j}" for j in range(9)) for i in range(400)])
+    none = spark.createDataFrame([], "doc_id long")
+    for chars in (200, 50):
+        lmscore.cross_entropy_difference(d, none, block_chars=chars, most_direct=1)
+    chars = d.agg(F.sum(F.length("text"))).first()[0]
+    for n, blocks in zip(seen, (chars // 200 + 1, chars // 50 + 1)):
+        assert n <= blocks * (blocks**0.5 + 1)  # and not blocks ** 2
+
+
 # 3. licenses
 
 
