@@ -196,7 +196,7 @@ query("A8_area_results_by_year", lambda s, d: rounded(ar.area_results(by_year(s,
 query("A14_cm_summary", lambda s, d: rounded(ar.cm_summary(cf.confusion(agreed(s, d), by=["region"]), ["region"])), f"{AREA}, k as (select region, sum(case when ref_class=0 and map_class=0 then n end) as tn, sum(case when ref_class=1 and map_class=1 then n end) as tp, sum(case when ref_class=0 and map_class=1 then n end) as fp, sum(case when ref_class=1 and map_class=0 then n end) as fn from cm group by 1) select region, 'False Positive Rate' as metric, round(coalesce(fn/nullif(fn+tp,0),0),6)+0.0 as \"Non-Crop\", round(coalesce(fp/nullif(fp+tn,0),0),6)+0.0 as \"Crop\" from k union all select region, 'True Positive Rate', round(coalesce(tn/nullif(tn+fp,0),0),6)+0.0, round(coalesce(tp/nullif(tp+fn,0),0),6)+0.0 from k union all select region, 'Accuracy', round((tp+tn)/(tp+tn+fp+fn),6)+0.0, round((tp+tn)/(tp+tn+fp+fn),6)+0.0 from k")
 YEARLY = ((2019, "A", 1, 2), (2020, "R", 1, 2), (2021, "N", 2, 1))
 query("A9_area_jobs", lambda s, d: rounded(ar.estimate_areas(ar.area_jobs(s, [dict(zip(("roi", "year", "map", "set1", "set2"), (r, *y))) for r in ROIS for y in YEARLY]), b.pixels(s, d), META, rings(s, d).withColumnRenamed("region", "roi"), b.annotations(s, d), PX).select("roi", "year", "class", "area_ha")), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es) select roi, year, class, area_ha from h")
-query("A8_area_results", lambda s, d: rounded(ar.area_results(estimated(s, d).withColumnRenamed("region", "roi").withColumn("year", F.lit(2019)), ROIS, digits=6)), f"{AREA}, j as (select region, ref_class, map_class, n, nj, px from q), {EST.format(by='region')}, h as (select region as roi, {HA_FINE} from es) select cast(2019 as int) as \"Year\", {WIDE} from h")
+query("A8_area_results", lambda s, d: rounded(ar.area_results(estimated(s, d).withColumnRenamed("region", "roi").withColumn("year", F.lit(2019)), ROIS, digits=6)), f"{AREA}, j as (select region, ref_class, map_class, n, nj, px from q), {EST.format(by='region')}, h as (select cast(2019 as int) as year, region as roi, {HA_FINE} from es) select year as \"Year\", {WIDE} from h group by 1")
 SUMMARY = "sm as (select roi, year, ref_class as class, max(case when map_class=ref_class then n/nullif(nj,0) end) as u, sum(case when map_class=ref_class then pij end)/nullif(sum(pij),0) as p from w group by 1,2,3), ml as (select roi, year, class, 'Estimated area [ha]' as metric, area_ha as v from h union all select roi, year, class, '95% CI of area [ha]', ci_ha from h union all select roi, year, class, 'User''s accuracy', round(coalesce(u,0),6) from sm union all select roi, year, class, 'Producer''s accuracy', round(coalesce(p,0),6) from sm)"
 query("A14_area_summary", lambda s, d: rounded(ar.area_summary(by_year(s, d), ["roi", "year"]).filter(~F.col("metric").isin(ar.MEASURES["ci_u"], ar.MEASURES["ci_p"]))), f"{EST_YEARS}, h as (select roi, year, {HA_FINE} from es), {SUMMARY} select roi, year, metric, max(case when class=0 then v end)+0.0 as \"Non-Crop\", max(case when class=1 then v end)+0.0 as \"Crop\" from ml group by 1,2,3")
 query("G2_haversine", lambda s, d: rounded(b.points(s, d).select("id", geo.haversine_km(F.col("lat"), F.col("lon"), F.lit(10.0), F.lit(20.0)).alias("km")), 4), f"with k as (select id, {H.format('p', 'q')} as h from b_points p, (select 10.0::double as lat, 20.0::double as lon) q) select id, round({HAV},4)+0.0 as km from k")

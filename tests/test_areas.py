@@ -3,6 +3,7 @@
 import json
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from landstat.operators import areas as ar
 from landstat.operators import metrics as m
 from landstat.operators import points as p
 from landstat.operators import raster as r
+from landstat.plans import registry
 from landstat.sources import files
 
 META = {"a": 1.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -1.0, "f": 20.0}
@@ -203,3 +205,18 @@ def test_upsampling_makes_classes_equal(spark, pos, neg):
     most = max(pos, neg)
     assert counts.get((True, 0), 0) == (most if neg else 0) and counts.get((True, 1), 0) == (most if pos else 0) and counts[False, 0] == 40
     assert got.select("id").distinct().count() == df.count()
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_area_results_have_no_row_for_a_year_without_estimates(spark, sf, tmp_path, known):
+    # with nodata in every pixel no plot is agreed on, and the year has no row, in the query and in its SQL
+    spark.read.parquet(f"{sf}/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    (lines if known else lines.withColumn("l_tax", F.lit(0.08))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    duck = duckdb.connect()
+    for t in ("nation", "lineitem"):
+        duck.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    queries, sql = registry.load()
+    got, want = queries["A8_area_results"](spark, str(tmp_path)).toPandas(), duck.execute(sql["A8_area_results"]).df()
+    assert len(got) == len(want) == known and list(got.columns) == list(want.columns)
+    assert got.fillna(-1).to_numpy().tolist() == want.fillna(-1).to_numpy().tolist()
