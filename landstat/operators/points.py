@@ -17,6 +17,7 @@ MOST_VERTICES = 2_000_000  # of the regions that are broadcast, about 50 MB
 CELL_POINTS = 1_000_000  # places of a cell that meet its regions in one task
 LEVELS = 8  # a crowded cell is halved this often each way at most
 MOST_SPLITS = 100_000  # cells that are cut in four at most
+COPIES = 1_000  # ids of one place that travel in a row
 
 
 def as_parts(regions: DataFrame) -> Column:
@@ -85,12 +86,26 @@ def join_regions(points: DataFrame, regions: DataFrame, how: str = "inner", x: s
     return out.unionByName(points.filter(placeless)) if how == "left_anti" else out
 
 
-def within_distance(a: DataFrame, b: DataFrame, km: float, most: int = CELL_ROWS) -> DataFrame:
-    """Pairs of ``a`` (id, lat, lon) and ``b`` (id, lat, lon) at most ``km`` apart: id_a, id_b, km.
+def _with_copies(df: DataFrame, side: str, most: int = COPIES) -> DataFrame:
+    """(lat, lon, ids) of the different places of ``df``; a place with more than ``most`` ids has a row for each piece of them."""
+    known = df.select("id", "lat", "lon").dropna(subset=["lat", "lon"])
+    crowded = known.groupBy("lat", "lon").agg(F.ceil(F.count("*") / most).cast("long").alias("_pieces")).filter("_pieces > 1")
+    keys = ["lat", "lon"]
+    if not crowded.isEmpty():
+        pieces = F.coalesce("_pieces", F.lit(1).cast("long"))
+        draw = (F.rand(7) * pieces).cast("long")  # not by a hash of the id, which may repeat
+        known, keys = checkpointed(known.join(crowded, ["lat", "lon"], "left").withColumn("_piece", draw)), [*keys, "_piece"]
+    ids = F.collect_list(F.struct("id")).alias(f"ids_{side}")  # a struct, as a null id counts too
+    return known.groupBy(*keys).agg(ids).select(F.col("lat").alias(f"lat_{side}"), F.col("lon").alias(f"lon_{side}"), f"ids_{side}")
+
+
+def within_distance(a: DataFrame, b: DataFrame, km: float, most: int = CELL_ROWS, digits: int | None = None, copies: int = COPIES) -> DataFrame:
+    """Pairs of ``a`` (id, lat, lon) and ``b`` (id, lat, lon) at most ``km`` apart: id_a, id_b, km (rounded to ``digits``).
 
     Each place of ``a`` looks in the cells around its own; a cell is as high as the distance, and as wide as it is at the latitude
     of its band, so three by three cells hold all partners. Bands near the poles are one cell around. Crowded
-    cells are worked on in pieces of about ``most`` places of a side (``meet``).
+    cells are worked on in pieces of about ``most`` places of a side (``meet``). Rows of one place meet as one: their distance is
+    computed and rounded once, and their ids (``copies`` a row at most) make pairs at the end.
     """
     size = km / 111.0 * 1.01
     band = lambda lat: F.floor(lat / size).cast("long")
@@ -98,11 +113,14 @@ def within_distance(a: DataFrame, b: DataFrame, km: float, most: int = CELL_ROWS
     reach = lambda k: F.least(F.lit(90.0), (F.greatest(F.abs(k), F.abs(k + 1)) + 1) * size)
     around = lambda k: F.greatest(F.lit(1), F.floor(360.0 / (size / F.greatest(F.lit(1e-6), F.cos(F.radians(reach(k)))))).cast("long"))
     cell = lambda lon, n: F.pmod(F.floor((lon + 180.0) / (360.0 / n)).cast("long"), n)
-    left = a.select(F.col("id").alias("id_a"), F.col("lat").alias("lat_a"), F.col("lon").alias("lon_a")).withColumn("k", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda o: band(F.col("lat_a")) + o)))
+    left = _with_copies(a, "a", copies).withColumn("k", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda o: band(F.col("lat_a")) + o)))
     left = left.withColumn("n", around(F.col("k"))).withColumn("c", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda o: F.pmod(cell(F.col("lon_a"), F.col("n")) + o, F.col("n"))))))
-    right = b.select(F.col("id").alias("id_b"), F.col("lat").alias("lat_b"), F.col("lon").alias("lon_b")).withColumn("k", band(F.col("lat_b"))).withColumn("c", cell(F.col("lon_b"), around(F.col("k"))))
+    right = _with_copies(b, "b", copies).withColumn("k", band(F.col("lat_b"))).withColumn("c", cell(F.col("lon_b"), around(F.col("k"))))
     d = geo.haversine_km(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
-    return meet(left, right, ["k", "c"], most).withColumn("km", d).filter(F.col("km") <= km).select("id_a", "id_b", "km")
+    near = meet(left, right, ["k", "c"], most).withColumn("km", d).filter(F.col("km") <= km)
+    near = near.select("ids_a", "ids_b", (F.col("km") if digits is None else F.round("km", digits) + 0.0).alias("km"))
+    each = near.select(F.explode("ids_a").alias("a"), "ids_b", "km").select("a", F.explode("ids_b").alias("b"), "km")
+    return each.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), "km")
 
 
 def pairwise_distance(a: DataFrame, b: DataFrame, by: Sequence[str] = (), own: bool = False, block: int = 2_000) -> DataFrame:

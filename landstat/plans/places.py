@@ -66,7 +66,7 @@ HAV = "6371*2*atan2(sqrt(h), sqrt(greatest(0, 1-h)))"
 H = "pow(sin((radians({1}.lat)-radians({0}.lat))/2),2) + cos(radians({0}.lat))*cos(radians({1}.lat))*pow(sin((radians({1}.lon)-radians({0}.lon))/2),2)"
 PAIRS = f"pr as (select id_a, id_b, sa, sb, {HAV} as km, la, lo, lb, ob from (select a.id as id_a, z.id as id_b, a.subset as sa, z.subset as sb, a.lat as la, a.lon as lo, z.lat as lb, z.lon as ob, {H.format('a', 'z')} as h from b_points a, b_points z))"
 ALL_KM = "round(avg(km),4) as avg_km, round(min(case when not (la=lb and lo=ob) then km end),4) as min_km, round(max(km),4) as max_km"
-query("C7_within_distance", lambda s, d: rounded(p.within_distance(places(s, d), places(s, d), 300.0).filter("id_a <> id_b"), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from pr where km <= 300 and id_a <> id_b")
+query("C7_within_distance", lambda s, d: p.within_distance(places(s, d), places(s, d), 300.0, digits=4).filter("id_a <> id_b"), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from pr where km <= 300 and id_a <> id_b")
 query("C8_nearest", lambda s, d: rounded(p.nearest(places(s, d), places(s, d), other=True), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr where id_a <> id_b) where o=1")
 query("C8_nearest_three", lambda s, d: rounded(p.nearest(b.points(s, d), b.table(s, d, "supplier").selectExpr("s_suppkey as id", "((s_suppkey * 7919) % 600) / 20.0D as lat", "((s_suppkey * 104729) % 900) / 20.0D as lon"), k=3), 4), f"with z as (select s_suppkey as id, ((s_suppkey*7919) % 600)/20.0::double as lat, ((s_suppkey*104729) % 900)/20.0::double as lon from supplier), pr as (select id_a, id_b, {HAV} as km from (select a.id as id_a, z.id as id_b, {H.format('a', 'z')} as h from b_points a, z)) select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr) where o<=3")
 query("C9_pairwise_distance", lambda s, d: rounded(p.pairwise_distance(places(s, d), places(s, d)), 4), f"with {PAIRS} select {ALL_KM} from pr")

@@ -173,3 +173,13 @@ def test_points_against_a_map(spark):
     points = spark.createDataFrame([(1, 0.5, 9.5, 1.0, "maize", "x"), (2, 1.5, 9.5, 0.0, None, "y"), (3, 0.5, 8.5, 0.5, "teff", None), (4, 5.5, 5.5, 1.0, "maize", "x"), (5, None, 9.5, None, "maize", "x")], "id int, lon double, lat double, class_probability double, crop_type string, eo_data string")
     got = {r["id"]: tuple(r)[1:] for r in raster.compare_points(points, pixels, {"a": 1.0, "b": 0.0, "c": 0.0, "d": 0.0, "e": -1.0, "f": 10.0}, keep=["crop_type", "eo_data"]).collect()}
     assert got == {1: (1.0, 1, 0.9, "maize", "x"), 2: (0.0, 0, 0.5, None, "y"), 3: (0.5, 0, 0.1, "teff", None), 4: (1.0, None, None, "maize", "x"), 5: (None, None, None, "maize", "x")}
+
+
+def test_rows_of_one_place_meet_as_one(spark):
+    rows = [(i if i else None, 10.0, 20.0) for i in range(120)] + [(1_000 + i, 10.5, 20.5) for i in range(45)] + [(2_000, 10.2, 20.2), (2_001, 50.0, 20.0), (2_001, 50.0, 20.0), (2_002, None, 20.0)]
+    frame = spark.createDataFrame(rows, "id int, lat double, lon double")
+    want = sorted((x[0] or 0, y[0] or 0, round(km(x[1:], y[1:]), 4)) for x in rows for y in rows if x[1] and y[1] and km(x[1:], y[1:]) <= 60)
+    for copies in (1_000, 50, 7):
+        near = p.within_distance(frame, frame, 60.0, digits=4, copies=copies)
+        assert sorted((r["id_a"] or 0, r["id_b"] or 0, r["km"]) for r in near.collect()) == want
+    assert p._with_copies(frame, "a").count() == 4  # the distances of a pair of places are computed once, however many rows they have
