@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landstat.functions import geo
 from landstat.functions.shared import checkpointed
 from landstat.operators.cells import CELL_ROWS, meet
-from landstat.operators.neighbours import nearest  # noqa: F401  one of the joins of places
+from landstat.operators.neighbours import nearest, unit  # noqa: F401  one of the joins of places
 
 CELL = 2.0  # degrees a side of the cells that bring near places together
 MOST_VERTICES = 2_000_000  # of the regions that are broadcast, about 50 MB
@@ -18,6 +20,11 @@ CELL_POINTS = 1_000_000  # places of a cell that meet its regions in one task
 LEVELS = 8  # a crowded cell is halved this often each way at most
 MOST_SPLITS = 100_000  # cells that are cut in four at most
 COPIES = 1_000  # ids of one place that travel in a row
+BLOCKS, MOST_BLOCK = 64, 20_000  # blocks of a set of places whose pairs are counted, and places of a block at most
+TASK_PAIRS, MOST_TASKS = 20_000_000, 10_000  # pairs of places that a task counts, as long as there are not too many tasks
+TILE = 250_000  # pairs that are computed at once
+NEAR = 1 - 2e-9  # cosine of the angle below which products of unit vectors lose too many digits
+SLACK = 1e-11  # of the angles that they give
 
 
 def as_parts(regions: DataFrame) -> Column:
@@ -123,23 +130,106 @@ def within_distance(a: DataFrame, b: DataFrame, km: float, most: int = CELL_ROWS
     return each.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), "km")
 
 
+def _tile(p: np.ndarray, q: np.ndarray) -> tuple[float, list, list]:
+    """All pairs of two blocks of places (rows: latitude, longitude, how often): the sum of their angles, each as often as its
+    places are; the nearest pair (identical places left out) and the furthest as latitude, longitude, latitude, longitude.
+
+    Angles follow from products of unit vectors. These lose digits near 0 and 180 degrees, where the haversine stands in.
+    """
+    u, v = unit(p[0], p[1]), unit(q[0], q[1]).T
+    cos1, cos2 = np.cos(np.radians(p[0])), np.cos(np.radians(q[0]))
+
+    def haversine(a, b):
+        h = np.sin(np.radians(q[0][b] - p[0][a]) / 2) ** 2 + cos1[a] * cos2[b] * np.sin(np.radians(q[1][b] - p[1][a]) / 2) ** 2
+        return 2 * np.arctan2(np.sqrt(h), np.sqrt(np.maximum(0, 1 - h)))
+
+    total, low, high, nearest_, furthest = 0.0, np.inf, -np.inf, [None] * 4, [None] * 4
+    step = max(1, TILE // max(1, q.shape[1]))
+    for i in range(0, p.shape[1] if q.shape[1] else 0, step):
+        dot = u[i : i + step] @ v
+        angle = np.arccos(np.clip(dot, -1, 1))
+        a = b = np.zeros(0, np.int64)
+        if not (dot.max() < NEAR and dot.min() > -NEAR):
+            a, b = np.nonzero(np.abs(dot) >= NEAR)
+            angle[a, b] = haversine(i + a, b)
+        total += float(p[2][i : i + step] @ (angle @ q[2]))
+        most = angle.max()
+        if not most <= high - SLACK:  # NaN too
+            x, y = np.nonzero(angle >= most - SLACK) if most == most else np.nonzero(np.isnan(angle))
+            exact = haversine(i + x, y)
+            at = int(exact.argmax())
+            if not exact[at] <= high:
+                high, furthest = exact[at], [p[0][i + x[at]], p[1][i + x[at]], q[0][y[at]], q[1][y[at]]]
+        one = (p[0][i + a] == q[0][b]) & (p[1][i + a] == q[1][b])
+        angle[a[one], b[one]] = np.inf
+        least = np.fmin.reduce(angle, axis=None)
+        if least < np.inf and least < low + SLACK:
+            x, y = np.nonzero(angle <= least + SLACK)
+            exact = haversine(i + x, y)
+            at = int(exact.argmin())
+            if exact[at] < low:
+                low, nearest_ = exact[at], [p[0][i + x[at]], p[1][i + x[at]], q[0][y[at]], q[1][y[at]]]
+    return total, [None if x is None else float(x) for x in nearest_], [None if x is None else float(x) for x in furthest]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per tile (_g, _i, _j) that both sides reach: the results of ``_tile``. Rows come by tile, the left side first."""
+    held, block = None, None
+    for batch in batches:
+        keys = list(zip(*(batch.column(k).to_pylist() for k in ("_g", "_i", "_j"))))
+        lists, out = batch.column("places"), []
+        for row, (key, side, twice) in enumerate(zip(keys, batch.column("_side").to_pylist(), batch.column("_twice").to_pylist())):
+            values = lists.slice(row, 1).flatten()
+            places = np.stack([values.field(k).to_numpy(zero_copy_only=False).astype(np.float64) for k in range(3)])
+            if side == 0:
+                held, block = key, places
+            elif held == key:
+                total, low, high = _tile(block, places)
+                out.append([key[0], total * twice, int(block[2].sum()) * int(places[2].sum()) * twice, *low, *high])
+        names = ["_g", "angles", "pairs", *(f"{k}{i}" for k in ("low", "high") for i in range(4))]
+        kinds = [pa.int64(), pa.float64(), pa.int64(), *[pa.float64()] * 8]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=names)
+
+
 def pairwise_distance(a: DataFrame, b: DataFrame, by: Sequence[str] = (), own: bool = False, block: int = 2_000) -> DataFrame:
     """Average, smallest (identical places left out) and largest distance of all pairs, in km; of all pairs that agree in ``by``.
 
-    With ``own``, ``a`` and ``b`` are one set, and a row makes no pair with itself. This is the one operator whose answer needs
-    every pair. Equal places are counted first; then blocks of different places meet by block, and each task adds up its own
-    pairs, which are never stored.
+    With ``own``, ``a`` and ``b`` are one set, and a row makes no pair with itself; groups of a single row are left out. This is
+    the one operator whose answer needs every pair. Equal places are counted first; then blocks of different places (at least ``block`` of them, as many as make 64
+    blocks, at most 20,000) meet as arrays, a tile of two blocks a time, and each task adds up its own tiles. If ``b`` is the very
+    frame ``a``, or with ``own``, each two blocks meet once. What is sent grows with the places, up to 64 blocks of 20,000 of them.
     """
-    one = lambda df, n: df.groupBy(*by, F.col("lat").alias(f"lat{n}"), F.col("lon").alias(f"lon{n}")).agg(F.count("*").alias(f"n{n}"))
-    left, right = one(a, 1), one(b, 2)
-    blocks = right.count() // block + 1
-    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = right.withColumn("block", F.pmod(F.xxhash64("lat2", "lon2"), F.lit(blocks)).cast("int"))
-    d = geo.haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
-    same = (F.col("lat1") == F.col("lat2")) & (F.col("lon1") == F.col("lon2"))
-    pairs = F.col("n1") * F.col("n2")
-    counted = F.when(d.isNotNull(), pairs - F.when(same & F.lit(own), F.col("n1")).otherwise(0))
-    return left.join(right, ["block", *by]).groupBy(*by).agg(F.try_divide(F.sum(d * pairs), F.sum(counted)).alias("avg_km"), F.min(F.when(~same, d)).alias("min_km"), F.max(d).alias("max_km"))
+    mirrored = own or a is b
+    keys = list(by) or ["_all"]
+    one = lambda df: checkpointed((df if by else df.withColumn("_all", F.lit(0))).groupBy(*keys, F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")).agg(F.count("*").alias("n")))
+    left = one(a)
+    right = left if mirrored else one(b)
+    size = min(max(block, -(-max(left.count(), right.count()) // BLOCKS)), max(block, MOST_BLOCK))
+    sizes = lambda df, k: df.groupBy(*keys).agg(F.count("*").alias(f"_n{k}"), F.sum("n").alias(f"_rows{k}"), F.sum(F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col("n")).otherwise(0)).alias(f"_known{k}"))
+    groups = sizes(left, 1).join(sizes(right, 2), keys).filter("_rows1 > 1" if own else "true")
+    groups = groups.withColumns({f"_b{k}": F.ceil(F.col(f"_n{k}") / size).cast("int") for k in (1, 2)})
+    groups = checkpointed(groups.withColumn("_g", F.monotonically_increasing_id()))
+    tiles, pairs = groups.agg(F.sum(F.col("_b1").cast("long") * F.col("_b2")), F.sum(F.col("_n1").cast("double") * F.col("_n2"))).first()
+    tasks = max(1, min(tiles or 1, int((pairs or 0) / TASK_PAIRS), MOST_TASKS))
+    place = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("lat", "lon", "n"))
+
+    def side(df: DataFrame, k: int, own_at: str, other: str, every: Column) -> DataFrame:
+        """Blocks of a side, once for each block of the other one that they meet."""
+        dealt = df.join(groups.select(*keys, "_g", "_b1", "_b2"), keys).withColumn(own_at, F.pmod(F.xxhash64("lat", "lon"), F.col(f"_b{k + 1}")).cast("int"))
+        packed = dealt.groupBy("_g", "_b1", "_b2", own_at).agg(F.collect_list(place).alias("places")).withColumn(other, F.explode(every))
+        twice = F.when(F.col("_i") == F.col("_j"), 1).otherwise(2) if mirrored else F.lit(1)
+        return packed.select("_g", "_i", "_j", F.lit(k).alias("_side"), twice.alias("_twice"), "places")
+
+    first = side(left, 0, "_i", "_j", F.sequence(F.col("_i") if mirrored else F.lit(0), F.col("_b2") - 1))
+    second = side(right, 1, "_j", "_i", F.sequence(F.lit(0), F.col("_j") if mirrored else F.col("_b1") - 1))
+    met = first.unionByName(second).repartition(tasks, "_g", "_i", "_j").sortWithinPartitions("_g", "_i", "_j", "_side")
+    partial = met.mapInArrow(_tiles, "_g long, angles double, pairs long, " + ", ".join(f"{k}{i} double" for k in ("low", "high") for i in range(4)))
+    d = lambda k: geo.haversine_km(*(F.col(f"{k}{i}") for i in range(4)))
+    counted = F.sum(F.col("pairs")) - (F.first("_known1") if own else F.lit(0))
+    summed = groups.select(*keys, "_g", "_known1").join(partial, "_g", "left").groupBy(*keys).agg(
+        F.try_divide(F.sum("angles") * geo.EARTH_KM, counted).alias("avg_km"), F.min(d("low")).alias("min_km"), F.when(counted > 0, F.max(d("high"))).alias("max_km")
+    )
+    return summed if by else summed.groupBy().agg(*[F.max(c).alias(c) for c in ("avg_km", "min_km", "max_km")])
 
 
 def density_report(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -38,6 +38,11 @@ def places(s: SparkSession, d: str) -> DataFrame:
     return b.points(s, d).select("id", "lat", "lon", "subset")
 
 
+def all_pairs(s: SparkSession, d: str, **how) -> DataFrame:
+    here = places(s, d)
+    return rounded(p.pairwise_distance(here, here, **how), 4)
+
+
 CATALOG = [("m_size", 25.0, None), ("m_key", None, [1, 2, 3, 5, 8, 13, 21, 34]), ("m_price", 25.0, None)]
 MAPS = [m for m, _, _ in CATALOG]
 
@@ -69,8 +74,8 @@ ALL_KM = "round(avg(km),4) as avg_km, round(min(case when not (la=lb and lo=ob)
 query("C7_within_distance", lambda s, d: p.within_distance(places(s, d), places(s, d), 300.0, digits=4).filter("id_a <> id_b"), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from pr where km <= 300 and id_a <> id_b")
 query("C8_nearest", lambda s, d: rounded(p.nearest(places(s, d), places(s, d), other=True), 4), f"with {PAIRS} select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr where id_a <> id_b) where o=1")
 query("C8_nearest_three", lambda s, d: rounded(p.nearest(b.points(s, d), b.table(s, d, "supplier").selectExpr("s_suppkey as id", "((s_suppkey * 7919) % 600) / 20.0D as lat", "((s_suppkey * 104729) % 900) / 20.0D as lon"), k=3), 4), f"with z as (select s_suppkey as id, ((s_suppkey*7919) % 600)/20.0::double as lat, ((s_suppkey*104729) % 900)/20.0::double as lon from supplier), pr as (select id_a, id_b, {HAV} as km from (select a.id as id_a, z.id as id_b, {H.format('a', 'z')} as h from b_points a, z)) select id_a, id_b, round(km,4)+0.0 as km from (select *, row_number() over (partition by id_a order by km, id_b) as o from pr) where o<=3")
-query("C9_pairwise_distance", lambda s, d: rounded(p.pairwise_distance(places(s, d), places(s, d)), 4), f"with {PAIRS} select {ALL_KM} from pr")
-query("D29_distance_metrics", lambda s, d: rounded(p.pairwise_distance(places(s, d), places(s, d), ["subset"], own=True), 4), f"with {PAIRS} select sa as subset, {ALL_KM} from pr where sa = sb and id_a <> id_b group by 1")
+query("C9_pairwise_distance", lambda s, d: all_pairs(s, d), f"with {PAIRS} select {ALL_KM} from pr")
+query("D29_distance_metrics", lambda s, d: all_pairs(s, d, by=["subset"], own=True), f"with {PAIRS} select sa as subset, {ALL_KM} from pr where sa = sb and id_a <> id_b group by 1")
 query("D30_density_report", lambda s, d: rounded(p.density_report(b.points(s, d), ["dataset", "subset"]), 4), "select dataset, subset, count(*) as n, round((max(lat)-min(lat))*111*((max(lon)-min(lon))*111),4) as area_km2, round(count(*)*100/nullif((max(lat)-min(lat))*111*((max(lon)-min(lon))*111),0),4)+0.0 as density_100km2 from b_points group by 1,2")
 query("D31_histogram", lambda s, d: p.histogram(b.points(s, d), "lat", -70.0, 70.0), "select cast(case when lat < -70 then 0 when lat >= 70 then 41 else floor((lat+70)/140*40)+1 end as bigint) as bin, count(*) as n from b_points group by 1")
 query("D32_region_proportion", lambda s, d: rounded(p.region_crop_proportion(b.points(s, d).withColumn("label", F.col("class_probability")), b.regions(s, d).select(F.col("region").alias("country"), (F.col("region_id") + 1).cast("double").alias("area_mha")), "country"), 4), "select country, round(avg(class_probability),4) as proportion, count(*) as n, round(avg(class_probability)*max(region_id+1)*1000000,4) as crop_ha from b_points join b_regions on region=country group by 1")

@@ -175,6 +175,30 @@ def test_points_against_a_map(spark):
     assert got == {1: (1.0, 1, 0.9, "maize", "x"), 2: (0.0, 0, 0.5, None, "y"), 3: (0.5, 0, 0.1, "teff", None), 4: (1.0, None, None, "maize", "x"), 5: (None, None, None, "maize", "x")}
 
 
+def test_all_pairs_meet_as_tiles_of_blocks(spark):
+    # clumps within metres of each other and of their antipodes, places that repeat, groups of one row, without a name, without places
+    rows = [(i, 10 + i * 1e-6, 20 + (i % 7) * 1e-6, "near") for i in range(30)] + [(40 + i, -10 - i * 1e-6, -160.0, "near") for i in range(9)]
+    rows += [(100 + i, (i * 37) % 160 - 80.0, (i * 71) % 360 - 180.0, "far") for i in range(50)] + [(200 + i, 1.5, 2.5, "far") for i in range(4)]
+    rows += [(300, 5.0, 5.0, "single"), (301, None, 5.0, "unplaced"), (302, 1.0, None, "unplaced"), (303, 1.0, 1.0, None), (304, 2.0, 2.0, None)]
+    frame = spark.createDataFrame(rows, "id int, lat double, lon double, grp string")
+    known = [r for r in rows if r[1] is not None and r[2] is not None and r[3]]
+    for block in (2_000, 7):
+        own = p.pairwise_distance(frame, frame, ["grp"], own=True, block=block)
+        assert "MapInArrow" in own._jdf.queryExecution().toString()
+        got = {r["grp"]: r for r in own.collect()}
+        assert got.keys() == {"near", "far", "unplaced"} and [got["unplaced"][c] for c in ("avg_km", "min_km", "max_km")] == [None] * 3
+        other = frame.filter("id % 3 = 0")
+        two = {r["grp"]: r for r in p.pairwise_distance(frame, other, ["grp"], block=block).collect()}
+        for g in ("near", "far"):
+            pairs = lambda keep: [(x[1:3] == y[1:3], km(x[1:3], y[1:3])) for x in known for y in known if x[3] == y[3] == g and keep(x, y)]
+            for found, among in ((got[g], pairs(lambda x, y: x[0] != y[0])), (two[g], pairs(lambda x, y: y[0] % 3 == 0))):
+                assert found["avg_km"] == pytest.approx(sum(d for _, d in among) / len(among), abs=1e-6)
+                assert found["min_km"] == pytest.approx(min(d for same, d in among if not same), abs=1e-9)
+                assert found["max_km"] == pytest.approx(max(d for _, d in among), abs=1e-3 if g == "near" else 1e-6)
+    none = p.pairwise_distance(frame, frame.filter("id < 0")).collect()
+    assert [tuple(r) for r in none] == [(None, None, None)]
+
+
 def test_rows_of_one_place_meet_as_one(spark):
     rows = [(i if i else None, 10.0, 20.0) for i in range(120)] + [(1_000 + i, 10.5, 20.5) for i in range(45)] + [(2_000, 10.2, 20.2), (2_001, 50.0, 20.0), (2_001, 50.0, 20.0), (2_002, None, 20.0)]
     frame = spark.createDataFrame(rows, "id int, lat double, lon double")
