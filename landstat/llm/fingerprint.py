@@ -18,6 +18,7 @@ from landstat.llm.common import checkpointed, table
 TABLES = 3
 BITS = 21  # of a digest that place it in each table
 ROUNDS = 12  # of peeling, at most
+WIDE = 32  # cells of a table of a larger sketch for each digest that seems to differ
 EVERY = 8  # words of a paragraph on average, in every text
 END = "\u0001"
 FOUND = "array<struct<k:bigint,c:int>>"
@@ -80,10 +81,14 @@ def peel(diff: str, width: str) -> str:
     """The digests left in a difference as an array of (k, c), c 1 or -1 by the side it is on; null if they do not all come out."""
     single = "filter(st.t, x -> abs(x.c) = 1 and xxhash64(x.k) = x.s)"
     side = lambda c: f"transform(array_distinct(transform(filter(single, x -> x.c = {c}), x -> x.k)), k -> named_struct('k', k, 'c', {c}))"
-    more = f"named_struct('t', {summed(f'concat(st.t, {placed("found", width, "-d.c", "d.k")})')}, 'out', concat(st.out, found), 'done', false)"
+    # every digest is in the first table: if its sums are those of what was found, nothing is left, and no cell needs to be added up
+    total = lambda of, x, k, check: f"aggregate({of}, named_struct('c', 0, 'k', 0L, 's', 0L), (acc, {x}) -> named_struct('c', acc.c + {x}.c, 'k', acc.k ^ {k}, 's', acc.s ^ {check}))"
+    all_found = f"{total(f'filter(st.t, x -> x.p < {width})', 'x', 'x.k', 'x.s')} = {total('found', 'd', 'd.k', 'xxhash64(d.k)')}"
+    rest = f"case when {all_found} then slice(st.t, 1, 0) else {summed(f'concat(st.t, {placed("found", width, "-d.c", "d.k")})')} end"
+    more = f"named_struct('t', {rest}, 'out', concat(st.out, found), 'done', false)"
     step = let("single", single, let("found", f"concat({side(1)}, {side(-1)})", f"case when size(found) > 0 then {more} else named_struct('t', st.t, 'out', st.out, 'done', true) end"))
     start = f"named_struct('t', {diff}, 'out', cast(array() as {FOUND}), 'done', false)"
-    return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, r) -> case when st.done then st else {step} end, st -> case when size(st.t) = 0 then st.out end)"
+    return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, r) -> case when st.done or size(st.t) = 0 then st else {step} end, st -> case when size(st.t) = 0 then st.out end)"
 
 
 def power(x: str) -> str:
@@ -116,15 +121,16 @@ def with_differences(rows: DataFrame, pairs: dict[str, tuple[str, str, str, str]
     """``rows`` and, by its name, a column of the digests by which each pair differs: (digests, digests, difference of their
     sketches, its width).
 
-    A difference that does not peel is tried again with larger sketches, at first as wide as the digests need that seem to
-    differ; more of them than there are cells are not peeled in vain. Widths grow until all digests come out. Each step is a
+    A difference that does not peel is tried again with larger sketches. Empty cells cost nothing, so these are so wide for the
+    digests that seem to differ that nearly all of them are alone in a cell and come out in one round; more differences
+    than the fingerprints have cells are not peeled in vain. Widths grow until all digests come out. Each step is a
     column of its own, so that what several of its uses share is computed once.
     """
     columns = lambda some: rows.withColumns({n: F.expr(x) for n, x in some.items()})
     rows = columns({f"{n}_{k}": x for n, (_, _, diff, width) in pairs.items() for k, x in (("diff", diff), ("w", width))})
     rows = columns({f"{n}_guess": digests_apart(f"{n}_diff", f"size({a}) - size({b})", f"{n}_w") for n, (a, b, _, _) in pairs.items()})
     rows = columns({f"{n}_first": f"case when {n}_guess <= {TABLES} * {n}_w then {peel(f'{n}_diff', f'{n}_w')} end" for n in pairs})
-    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, {power(f'greatest({n}_guess, 8) / 1.5')})')})" for n, (a, b, _, _) in pairs.items()})
+    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, least({1 << BITS}, {power(f'greatest({n}_guess, 8) * {WIDE}')}))')})" for n, (a, b, _, _) in pairs.items()})
 
 
 def likeness(a: str, b: str, differing: str) -> str:
@@ -194,7 +200,7 @@ def edited_fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     out = out.withColumns({"own_tables": F.expr(sketch("own", "own_width")), "changed_tables": F.expr(sketch("changed", "changed_width"))})
     common = "least(own_width, changed_width)"
     edit = subtract(folded("own_tables", "own_width", common), folded("changed_tables", "changed_width", common))
-    out = with_differences(out, {"edit": ("own", "changed", edit, common), "next": ("own", "after", subtract("own_tables", sketch("after", "own_width")), "own_width")})
+    out = with_differences(out, {"edit": ("own", "changed", edit, common), "next": ("own", "after", summed(f"concat(own_tables, {placed('after', 'own_width', '-1', 'd')})"), "own_width")})
     return out.select(
         "doc_id",
         "n_chars",

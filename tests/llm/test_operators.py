@@ -532,3 +532,18 @@ def test_bpe_equals_the_public_library_and_round_trips(spark, sf):
     assert [list(r["token_ids"]) for r in coded] == [enc.encode_ordinary(t or "") for t in texts]
     assert [bytes(r["decoded"]) for r in coded] == [(t or "").encode() for t in texts]
     assert bpe.encode(frame(spark, []), content, P.PATTERN).count() == 0
+
+
+def test_wide_sketches_peel_in_one_round_and_never_leave_digests_behind(spark, monkeypatch):
+    from landstat.llm import fingerprint as fp
+
+    monkeypatch.setattr(fp, "ROUNDS", 1)
+    rows = spark.range(40).selectExpr("transform(sequence(1, 150), i -> xxhash64(id, i)) as a", "transform(sequence(101, 250), i -> xxhash64(id, i)) as b")
+    peeled = lambda width: fp.peel(fp.summed(f"concat({fp.placed('a', str(width), '1', 'd')}, {fp.placed('b', str(width), '-1', 'd')})"), str(width))
+    want = [(sorted(set(r["a"]) - set(r["b"])), sorted(set(r["b"]) - set(r["a"]))) for r in rows.collect()]
+    for width, least in ((8192, 36), (512, 0), (64, 0)):  # one round is enough for nearly all, for some, for none
+        got = rows.select(F.expr(peeled(width)).alias("out")).collect()
+        found = [r["out"] and (sorted(x["k"] for x in r["out"] if x["c"] == 1), sorted(x["k"] for x in r["out"] if x["c"] == -1)) for r in got]
+        assert all(f is None or f == w for f, w in zip(found, want)) and sum(f is not None for f in found) >= least
+        assert width > 64 or set(found) == {None}
+    assert fp.WIDE * 200 >= 4096
