@@ -10,6 +10,8 @@ sketches do not peel, larger ones are tried until they do; the likeness of two t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +20,12 @@ from landstat.llm.common import checkpointed, table
 TABLES = 3
 BITS = 21  # of a digest that place it in each table
 ROUNDS = 12  # of peeling, at most
-WIDE = 32  # cells of a table of a larger sketch for each digest that seems to differ
+PEELS = 2.45  # digests that three tables show for each cell of one of them, at most
+WIDE = 1024  # cells of a table of a larger sketch for each digest of both texts
 EVERY = 8  # words of a paragraph on average, in every text
 END = "\u0001"
+FULL = "x -> x.c <> 0 or x.k <> 0 or x.s <> 0"  # a cell that is not empty
+RUN = "sequence(a, get(ends, j) - 1)"
 FOUND = "array<struct<k:bigint,c:int>>"
 
 
@@ -36,8 +41,8 @@ def digests(text: Column) -> Column:
 
 
 def let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` for ``value``, which is computed once."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    """``body`` with ``name`` for ``value``, which is computed once. Unlike ``transform``, the end of an ``aggregate`` does not copy its result."""
+    return f"aggregate(array(), {value}, (same, none) -> same, {name} -> {body})"
 
 
 def placed(ds: str, width: str, count: str, digest: str) -> str:
@@ -47,23 +52,59 @@ def placed(ds: str, width: str, count: str, digest: str) -> str:
     return f"concat({', '.join(map(one, range(TABLES)))})"
 
 
-def summed(entries: str) -> str:
-    """The cells that entries add up to, in the order of their places; cells that are empty again are left out.
+def by_place(of: str, place: str, one: str, many: str) -> str:
+    """For each place that elements x of the array ``of`` have, in order: ``one`` of an element that is alone there, else ``many``.
 
-    Entries are put in order by numbers that hold place and index; each run of one place becomes a cell.
+    Numbers that hold place and index are put in order (``qs``), and by them the elements (``xs``). Those of a place start at ``a``; ``RUN``
+    has the positions of all. Structs are made for a place and not for an element, as they cost most here.
     """
-    starts = "filter(transform(qs, (q, i) -> case when i = 0 or shiftright(q, 32) <> shiftright(get(qs, i - 1), 32) then i end), i -> i is not null)"
-    entry = "get(es, int({} & 4294967295L))".format
-    add = "named_struct('p', x.p, 'c', acc.c + x.c, 'k', acc.k ^ x.k, 's', acc.s ^ x.s)"
-    total = f"aggregate(slice(qs, a + 2, get(ends, j) - a - 1), {entry('get(qs, a)')}, (acc, q) -> {let('x', entry('q'), add)})"
-    cells = f"filter(transform(starts, (a, j) -> case when get(ends, j) = a + 1 then {entry('get(qs, a)')} else {total} end), x -> x.c <> 0 or x.k <> 0 or x.s <> 0)"
-    cells = let("ends", "concat(slice(starts, 2, size(qs)), array(size(qs)))", cells)
-    return let("es", entries, let("qs", "sort_array(transform(es, (x, i) -> shiftleft(bigint(x.p), 32) | i))", let("starts", starts, cells)))
+    qs = f"sort_array(transform({of}, (x, i) -> shiftleft({place}, 32) | i))"
+    xs = f"transform(qs, q -> get({of}, int(q & 4294967295L)))"
+    starts = "filter(transform(qs, (q, i) -> i), i -> i = 0 or shiftright(get(qs, i) ^ get(qs, i - 1), 32) <> 0)"
+    each = f"transform(starts, (a, j) -> case when get(ends, j) = a + 1 then {one} else {many} end)"
+    return let("qs", qs, let("xs", xs, let("starts", starts, let("ends", "concat(slice(starts, 2, size(qs)), array(size(qs)))", each))))
+
+
+def total(of: str, zero: str, op: str, x: str) -> str:
+    """A sum of SQL ``x`` over the elements x of an array."""
+    return f"aggregate({of}, {zero}, (acc, x) -> acc {op} {x})"
+
+
+def added(c: str, k: str, s: str) -> str:
+    """The sums of counts, digests and check values of the elements of a place, each by SQL of its position x, to follow in a struct."""
+    return ", ".join(f"{n!r}, {total(RUN, zero, op, x)}" for n, zero, op, x in (("c", "0", "+", c), ("k", "0L", "^", k), ("s", "0L", "^", s)))
+
+
+def summed(entries: str) -> str:
+    """The cells that entries add up to, in the order of their places; cells that are empty again are left out."""
+    many = f"named_struct('p', get(xs, a).p, {added('get(xs, x).c', 'get(xs, x).k', 'get(xs, x).s')})"
+    return let("es", entries, f"filter({by_place('es', 'bigint(x.p)', 'get(xs, a)', many)}, {FULL})")
+
+
+def signed(a: str, b: str, body: str) -> str:
+    """``body`` with the digests of ``a`` and then ``b`` as ``ds``, and how many of them count 1 as ``plus``; others count -1."""
+    return let("plus", f"size({a})", let("ds", f"concat({a}, {b})", body))
+
+
+def sign(at: str) -> str:
+    return f"case when get(qs, {at}) & 4294967295L < plus then 1 else -1 end"
+
+
+def cells(ds: str, width: str, one: Callable[[str], str]) -> str:
+    """Three tables of ``width`` cells each, end to end, of the digests ``ds``; ``one`` is the SQL of a digest's count from its position."""
+
+    def one_table(of: int) -> str:
+        p = f"int(shiftright(get(qs, a), 32)) + {of} * {width}"
+        alone = f"named_struct('p', {p}, 'c', {one('a')}, 'k', get(xs, a), 's', xxhash64(get(xs, a)))"
+        many = f"named_struct('p', {p}, {added(one('x'), 'get(xs, x)', 'xxhash64(get(xs, x))')})"
+        return by_place(ds, f"(shiftrightunsigned(x, {BITS * of}) & mask)", alone, many)
+
+    return let("mask", f"bigint({width} - 1)", f"concat({', '.join(map(one_table, range(TABLES)))})")
 
 
 def sketch(ds: str, width: str) -> str:
     """Three tables of ``width`` cells each, end to end: those that are not empty."""
-    return summed(placed(ds, width, "1", "d"))
+    return cells(ds, width, lambda at: "1")
 
 
 def folded(cells: str, width: str, narrow: str) -> str:
@@ -82,8 +123,8 @@ def peel(diff: str, width: str) -> str:
     single = "filter(st.t, x -> abs(x.c) = 1 and xxhash64(x.k) = x.s)"
     side = lambda c: f"transform(array_distinct(transform(filter(single, x -> x.c = {c}), x -> x.k)), k -> named_struct('k', k, 'c', {c}))"
     # every digest is in the first table: if its sums are those of what was found, nothing is left, and no cell needs to be added up
-    total = lambda of, x, k, check: f"aggregate({of}, named_struct('c', 0, 'k', 0L, 's', 0L), (acc, {x}) -> named_struct('c', acc.c + {x}.c, 'k', acc.k ^ {k}, 's', acc.s ^ {check}))"
-    all_found = f"{total(f'filter(st.t, x -> x.p < {width})', 'x', 'x.k', 'x.s')} = {total('found', 'd', 'd.k', 'xxhash64(d.k)')}"
+    same = (("0", "+", "x.c", "x.c"), ("0L", "^", "x.k", "x.k"), ("0L", "^", "x.s", "xxhash64(x.k)"))
+    all_found = let("top", f"filter(st.t, x -> x.p < {width})", " and ".join(f"{total('top', zero, op, x)} = {total('found', zero, op, y)}" for zero, op, x, y in same))
     rest = f"case when {all_found} then slice(st.t, 1, 0) else {summed(f'concat(st.t, {placed("found", width, "-d.c", "d.k")})')} end"
     more = f"named_struct('t', {rest}, 'out', concat(st.out, found), 'done', false)"
     step = let("single", single, let("found", f"concat({side(1)}, {side(-1)})", f"case when size(found) > 0 then {more} else named_struct('t', st.t, 'out', st.out, 'done', true) end"))
@@ -107,13 +148,38 @@ def digests_apart(diff: str, excess: str, width: str) -> str:
     return f"({squares} / {TABLES} - double({excess}) * ({excess}) / {width}) * {width} / ({width} - 1)"
 
 
+def roughly_apart(a: str, b: str) -> str:
+    """Roughly how many digests differ, before any sketch: the mean of squared sums of +1 and -1 by a bit of each digest, over six bits.
+
+    Three bits a number are counted at once, 20 bits apart; past a million digests counts run into each other, and only the guess is worse.
+    """
+    three = lambda ds, at: f"aggregate({ds}, 0L, (acc, d) -> acc + (shiftrightunsigned(d, {at}) & {1 | 1 << 20 | 1 << 40}L))"
+    counts = lambda ds: let("two", f"array({three(ds, 5)}, {three(ds, 13)})", "transform(sequence(0, 5), n -> shiftrightunsigned(get(two, n div 3), 20 * (n % 3)) & 1048575L)")
+    off = f"zip_with({counts(a)}, {counts(b)}, (x, y) -> 2.0D * (x - y) - (size({a}) - size({b})))"
+    return f"aggregate({off}, 0.0D, (n, x) -> n + x * x) / 6"
+
+
+def first_table(a: str, b: str, width: str) -> str:
+    """What the first table of the sketch of ``a`` less that of ``b`` shows at once, as ``peel`` gives it; null if that is not all.
+
+    A cell that one entry is in shows it; the others are added up and show a digest if one is left. All have come out if the sums of
+    the table (those of all entries) are those of what was found.
+    """
+    pure = "case when abs(x.c) = 1 and xxhash64(x.k) = x.s then named_struct('k', x.k, 'c', x.c) end"
+    many = let("x", f"named_struct({added(sign('x'), 'get(xs, x)', 'xxhash64(get(xs, x))')})", pure)
+    shown = by_place("ds", "(x & mask)", f"named_struct('k', get(xs, a), 'c', {sign('a')})", many)
+    same = (("0L", "^", "x.k", "x"), ("0L", "^", "xxhash64(x.k)", "xxhash64(x)"))
+    all_found = " and ".join([f"{total('found', '0', '+', 'x.c')} = 2 * plus - size(ds)", *(f"{total('found', zero, op, x)} = {total('ds', zero, op, y)}" for zero, op, x, y in same)])
+    return signed(a, b, let("mask", f"bigint({width} - 1)", let("found", f"filter({shown}, x -> x is not null)", f"case when {all_found} then found end")))
+
+
 def larger(a: str, b: str, width: str) -> str:
     """What ``peel`` finds between two arrays of digests with sketches of ``width`` or, until they peel, of twice as much.
 
-    The second sketch is subtracted as it is made: its entries count -1 each.
+    The second sketch is subtracted as it is made: its digests count -1 each.
     """
-    found = peel(summed(f"concat({placed(a, 'big.w', '1', 'd')}, {placed(b, 'big.w', '-1', 'd')})"), "big.w")
-    step = f"case when big.out is not null then big else named_struct('w', 2 * big.w, 'out', {found}) end"
+    diff = signed(a, b, f"filter({cells('ds', 'big.w', sign)}, {FULL})")
+    step = f"case when big.out is not null then big else named_struct('w', 2 * big.w, 'out', {peel(diff, 'big.w')}) end"
     return f"aggregate(sequence(1, {BITS}), named_struct('w', {width}, 'out', cast(null as {FOUND})), (big, n) -> {step}, big -> big.out)"
 
 
@@ -121,16 +187,19 @@ def with_differences(rows: DataFrame, pairs: dict[str, tuple[str, str, str, str]
     """``rows`` and, by its name, a column of the digests by which each pair differs: (digests, digests, difference of their
     sketches, its width).
 
-    A difference that does not peel is tried again with larger sketches. Empty cells cost nothing, so these are so wide for the
-    digests that seem to differ that nearly all of them are alone in a cell and come out in one round; more differences
-    than the fingerprints have cells are not peeled in vain. Widths grow until all digests come out. Each step is a
-    column of its own, so that what several of its uses share is computed once.
+    The fingerprints' own sketches are subtracted and peeled, unless more digests seem to differ than they can show. Those that are left
+    get larger sketches. Empty cells cost nothing, so these are so wide that nearly all digests are alone in a cell: mostly the
+    first table shows all that differ, and the others are made only where it does not. Widths grow until all digests come out. Each
+    step is a column of its own, so that what several of its uses share is computed once.
     """
     columns = lambda some: rows.withColumns({n: F.expr(x) for n, x in some.items()})
-    rows = columns({f"{n}_{k}": x for n, (_, _, diff, width) in pairs.items() for k, x in (("diff", diff), ("w", width))})
+    rows = columns({f"{n}_{k}": x for n, (a, b, _, width) in pairs.items() for k, x in (("rough", roughly_apart(a, b)), ("w", width))})
+    rows = columns({f"{n}_diff": f"case when {n}_rough <= {TABLES} * {n}_w then {diff} end" for n, (_, _, diff, _) in pairs.items()})
     rows = columns({f"{n}_guess": digests_apart(f"{n}_diff", f"size({a}) - size({b})", f"{n}_w") for n, (a, b, _, _) in pairs.items()})
-    rows = columns({f"{n}_first": f"case when {n}_guess <= {TABLES} * {n}_w then {peel(f'{n}_diff', f'{n}_w')} end" for n in pairs})
-    return columns({n: f"coalesce({n}_first, {larger(a, b, f'greatest(2 * {n}_w, least({1 << BITS}, {power(f'greatest({n}_guess, 8) * {WIDE}')}))')})" for n, (a, b, _, _) in pairs.items()})
+    rows = columns({f"{n}_first": f"case when {n}_guess <= {PEELS} * {n}_w then {peel(f'{n}_diff', f'{n}_w')} end" for n in pairs})
+    rows = columns({f"{n}_wide": f"least({1 << BITS}, {power(f'greatest(size({a}) + size({b}), 8) * {WIDE}')})" for n, (a, b, _, _) in pairs.items()})
+    rows = columns({f"{n}_shown": f"case when {n}_first is null then {first_table(a, b, f'{n}_wide')} else {n}_first end" for n, (a, b, _, _) in pairs.items()})
+    return columns({n: f"case when {n}_shown is null then {larger(a, b, f'{n}_wide')} else {n}_shown end" for n, (a, b, _, _) in pairs.items()})
 
 
 def likeness(a: str, b: str, differing: str) -> str:

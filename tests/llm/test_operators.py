@@ -547,3 +547,31 @@ def test_wide_sketches_peel_in_one_round_and_never_leave_digests_behind(spark, m
         assert all(f is None or f == w for f, w in zip(found, want)) and sum(f is not None for f in found) >= least
         assert width > 64 or set(found) == {None}
     assert fp.WIDE * 200 >= 4096
+
+
+def test_first_table_of_a_wide_sketch_shows_all_digests_or_says_that_it_cannot(spark):
+    from landstat.llm import fingerprint as fp
+
+    rng = random.Random(17)
+    some = lambda n: [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+    common, left, right = some(60), some(80), some(50)
+    cases = [(common + left, right + common), (common, common[::-1]), ([], []), ([], right), (left, [])]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], "i int, a array<long>, b array<long>")
+    shown = lambda width: F.expr(fp.first_table("a", "b", str(width)))
+    rows = df.select(shown(1 << 21).alias("wide"), shown(16).alias("narrow"), F.expr(fp.roughly_apart("a", "b")).alias("rough")).collect()
+    for (a, b), r in zip(cases, rows):
+        want = {*((k, 1) for k in set(a) - set(b)), *((k, -1) for k in set(b) - set(a))}
+        found = {(x["k"], x["c"]) for x in r["wide"]}
+        assert found == want and len(r["wide"]) == len(want)
+        assert r["narrow"] == [] if not want else r["narrow"] is None
+        assert (r["rough"] == 0) == (not want)
+    many = spark.range(1).selectExpr("transform(sequence(1, 200000), i -> xxhash64(i)) as a", "cast(array() as array<bigint>) as b")
+    assert many.select(F.expr(fp.roughly_apart("a", "b"))).first()[0] >= 0  # counts do not overflow
+
+
+def test_sketches_made_from_digests_are_the_sums_of_their_entries(spark):
+    from landstat.llm import fingerprint as fp
+
+    df = spark.range(0, 400, 23).selectExpr("transform(filter(sequence(0, id), i -> i > 0), i -> xxhash64(id, i)) as a")
+    for width in ("4", "64", "4096"):
+        assert all(r["same"] for r in df.select(F.expr(f"({fp.sketch('a', width)}) = ({fp.summed(fp.placed('a', width, '1', 'd'))})").alias("same")).collect())
