@@ -5,7 +5,8 @@ the length of the text, so that equal passages give equal paragraphs; digests an
 a paragraph goes into one cell of each of three tables; a cell keeps a count, the XOR of its digests and the XOR of their check values. Sketches of
 equal size subtract cell by cell, and equal digests cancel. A cell that then holds a single digest shows it; taking that out of
 its other cells (peeling) shows more, until the digests by which the two texts differ are known. If the fingerprints' own
-sketches do not peel, larger ones are tried until they do; the likeness of two texts always comes from peeled digests.
+sketches do not peel, larger ones are tried until they do, the first so wide that its first table alone mostly shows all digests; the likeness of
+two texts always comes from peeled digests.
 """
 
 from __future__ import annotations

@@ -575,3 +575,15 @@ def test_sketches_made_from_digests_are_the_sums_of_their_entries(spark):
     df = spark.range(0, 400, 23).selectExpr("transform(filter(sequence(0, id), i -> i > 0), i -> xxhash64(id, i)) as a")
     for width in ("4", "64", "4096"):
         assert all(r["same"] for r in df.select(F.expr(f"({fp.sketch('a', width)}) = ({fp.summed(fp.placed('a', width, '1', 'd'))})").alias("same")).collect())
+
+
+def test_three_tables_of_a_larger_sketch_are_seldom_needed(spark, monkeypatch):
+    from landstat.llm import fingerprint as fp
+
+    rng = random.Random(19)
+    texts = [words(rng, 300) for _ in range(60)]
+    want = fp.edited_fingerprints(frame(spark, texts)).orderBy("doc_id").collect()
+    monkeypatch.setattr(fp, "larger", lambda a, b, width: f"cast(null as {fp.FOUND})")
+    got = fp.edited_fingerprints(frame(spark, texts)).orderBy("doc_id").collect()
+    for name in ("near_edited", "near_next"):
+        assert all(g[name] in (None, w[name]) for g, w in zip(got, want)) and sum(g[name] is not None for g in got) >= 50
