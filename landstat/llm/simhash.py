@@ -125,25 +125,18 @@ def links_of(fps: np.ndarray, most: int) -> np.ndarray:
 def group_links(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
     """Links within groups of ``keys``: (src, dst), for each member the first of its group of links, as far as it is another.
 
-    Groups hold a bounded number of rows. They stream through a task in the order of their keys and Gray rank.
+    Groups hold a bounded number of rows. Each is gathered into one row, its members in the order of their Gray rank, so that all of
+    them meet in one task: a ``repartition`` by keys that a join before has used too can be dropped, and a broadcast may then take the
+    place of the join.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in [*keys, "fp"]]
-            if held is not None:
-                columns = [np.concatenate(x) for x in zip(held, columns)]
-            if not len(columns[0]):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns[:-1]], axis=0)]))
-            held = [c[starts[-1] :] for c in columns]
-            yield links(columns[-1], starts)
-        if held is not None:
-            yield links(held[-1], np.array([0, len(held[-1])]))
+            members = batch.column(0)
+            yield links(members.values.to_numpy(), members.offsets.to_numpy())
 
     def links(fps: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        """Of all groups but the last that ``starts`` opens."""
+        """Of the groups that ``starts`` opens; its last entry ends the last group."""
         src, dst = [], []
         sizes = np.diff(starts)
         two = starts[:-1][sizes == 2]
@@ -156,7 +149,8 @@ def group_links(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
             src.append(part[root[own]]), dst.append(part[own])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (src, dst)], names=["src", "dst"])
 
-    return rows.select(*keys, "gray", "fp").repartition(*keys).sortWithinPartitions(*keys, "gray").select(*keys, "fp").mapInArrow(run, "src long, dst long")
+    groups = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("gray", "fp"))).alias("members"))
+    return groups.select(F.col("members.fp").alias("fps")).mapInArrow(run, "src long, dst long")
 
 
 def links(fps: DataFrame, most: int = 2, chunk: int = CHUNK) -> DataFrame:

@@ -75,6 +75,20 @@ def test_simhash_nodes_of_many_chunks(spark):
     assert [roots.get(f, f) for f in fps] == brute_components(fps, fps)
 
 
+def test_simhash_groups_of_many_partitions(spark):
+    """Members of a group come from several partitions, among so many other fingerprints that the join before the groups is planned anew."""
+    from landstat.llm.common import checkpointed
+
+    rng = np.random.default_rng(2)
+    centres = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    near = {int(c) ^ (1 << int(a)) ^ (1 << int(b)) for c in centres for a, b in rng.integers(0, 64, (6, 2))}
+    fps = sorted(near | {int(x) for x in rng.integers(0, 2**64, 20_000, dtype=np.uint64)})
+    signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
+    rows = checkpointed(spark.createDataFrame([(f,) for f in signed], "fp long").repartition(8, F.xxhash64("fp")))
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(rows)).collect()}
+    assert [roots.get(f, f) for f in signed] == brute_components(signed, fps)
+
+
 def test_simhash_fingerprints_and_odd_rows(spark, sf):
     import xxhash
 
